@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 # Bytes that Spark's non-ANSI string -> integer cast skips at
 # both ends of the text (ASCII whitespace and control characters).
 _EDGE = r"[\x00-\x20\x7F]*"
-# A sign and a bare fraction, e.g. ".5", "-.", which the legacy cast reads as 0.
-_FRACTION_ONLY = r"\A" + _EDGE + r"[+-]?[.][0-9]*" + _EDGE + r"\z"
-# Integral digits, optionally followed by a fraction that is cut off.
-_INTEGRAL = r"\A" + _EDGE + r"([+-]?[0-9]+)(?:[.][0-9]*)?" + _EDGE + r"\z"
-# A date text must look like this before it is parsed (exactly 4-2-2 digits).
+# Text the non-ANSI cast reads as an integer: optional sign, then digits with
+# an optional fraction that is cut off, or a bare fraction (".5" -> 0).
+# Group 1 is the sign, group 2 the integral digits (absent for a bare fraction).
+_LEGACY_INT = r"\A" + _EDGE + r"([+-]?)(?:([0-9]+)(?:[.][0-9]*)?|[.][0-9]*)" + _EDGE + r"\z"
+# A date text must have exactly this shape before it is parsed.
 _ISO_DAY = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
@@ -43,26 +43,33 @@ def lenient_int(c: str | Column) -> Column:
     (``'30.5'`` -> 30, ``'.5'`` -> 0), anything else (exponents, words,
     overflow) is NULL. Never raises, whatever the session's ANSI setting.
     """
-    c = _col(c)
-    digits = F.nullif(F.regexp_extract(c, _INTEGRAL, 1), F.lit(""))
-    return F.when(c.rlike(_FRACTION_ONLY), F.lit(0)).otherwise(digits.try_cast("int"))
+    # Valid text is rewritten to "<sign>0<digits>" (plain digits the ANSI-safe
+    # try_cast reads); anything else is left as is and try_cast yields NULL.
+    return F.regexp_replace(_col(c), _LEGACY_INT, "$10$2").try_cast("int")
 
 
 def int_between_exclusive(c: str | Column, low: int, high: int) -> Column:
     """``low < int(c) < high`` for a text column; NULL (row dropped) when unparsable."""
-    v = lenient_int(c)
-    return (v > F.lit(low)) & (v < F.lit(high))
+    # low < v < high  <=>  |2v - (low + high)| < high - low, written with a
+    # single reference to v so the parse runs once per row.
+    v = lenient_int(c).cast("long")
+    return F.abs(v * 2 - F.lit(low + high)) < F.lit(high - low)
 
 
 def date_prefix(c: str | Column, sep: str = " ", fmt: str = "yyyy-MM-dd") -> Column:
-    """Date parsed from the text before the first ``sep``; NULL when unparsable.
+    """Date parsed from the text before the first ``sep`` (literal); NULL when unparsable.
 
     ``'2025-05-10 10:30:00'`` -> 2025-05-10; ``'2025-5-1'``, ``'2025-02-30'``,
-    ``' 2025-05-10'`` -> NULL. The shape guard keeps the result independent of
-    the session's time-parser policy for the default format.
+    ``' 2025-05-10'`` -> NULL.
+
+    For the default format only well-shaped text reaches the parser. Without
+    that guard ``try_to_date`` raises under the EXCEPTION time-parser policy
+    and parses leniently under LEGACY (``'2025-05-1x'`` -> 2025-05-01); with it
+    the result is the same under every policy. The length test runs first and
+    spares the regex on most malformed text.
     """
-    head = F.split(_col(c), sep).getItem(0)
+    head = F.substring_index(_col(c), sep, 1)
     parsed = F.try_to_date(head, fmt)
     if fmt == "yyyy-MM-dd":
-        return F.when(head.rlike(_ISO_DAY), parsed)
+        return F.when((F.length(head) == 10) & head.rlike(_ISO_DAY), parsed)
     return parsed

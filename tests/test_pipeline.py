@@ -1,0 +1,62 @@
+"""End to end: raw CSV -> bronze -> silver -> diamond -> table + gold."""
+
+import datetime as dt
+import uuid
+
+import pytest
+
+from strata.plans.pipeline import LakeRoots, ingest, promote, refine_latest, run_pipeline
+from strata.sources.layers import list_runs, read_run, write_run
+
+RAW = ('nombre,edad,obra_social,fecha_turno\n'
+       '"  Ana ",34,OSDE,2025-05-10 10:30:00\n'
+       'Ana,34,OSDE,2025-05-10 11:00:00\n'
+       '"   ",40,PAMI,2025-05-11\n'
+       'Bo,30.5,PAMI,2025-05-11\n'
+       'Cy,120,PAMI,2025-05-11\n'
+       'Di,50,,2025-05-11\n'
+       'Ed,50,IOMA,2025-5-1\n')
+
+
+def test_run_pipeline(spark, tmp_path):
+    raw = tmp_path / "pacientes_crudo.csv"
+    raw.write_text(RAW)
+    roots = LakeRoots.under(str(tmp_path / "lake"))
+    name = f"pacientes_diamond_{uuid.uuid4().hex[:8]}"
+    res = run_pipeline(spark, str(raw), roots, run_ts="202505151030", table=name,
+                       table_path=str(tmp_path / "t"))
+    assert res.created and res.source_run == "202505151030"
+    want = [("Ana", "34", "OSDE", dt.date(2025, 5, 10)), ("Bo", "30.5", "PAMI", dt.date(2025, 5, 11))]
+    for root in (roots.silver, roots.diamond, roots.gold):
+        assert sorted(tuple(r) for r in read_run(spark, root, "pacientes", "202505151030").collect()) == want
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == want
+    # same minute again: the runs are replaced, the table is left alone
+    raw.write_text(RAW.splitlines()[0] + "\nZoe,20,OSDE,2025-05-15\n")
+    res2 = run_pipeline(spark, str(raw), roots, run_ts="202505151030", table=name,
+                        table_path=str(tmp_path / "t"))
+    assert not res2.created
+    assert read_run(spark, roots.gold, "pacientes", "202505151030").count() == 1
+    assert spark.table(name).count() == 2
+
+
+def test_refine_needs_a_run_of_the_day(spark, tmp_path):
+    raw = tmp_path / "pacientes_crudo.csv"
+    raw.write_text(RAW)
+    bronze, silver = str(tmp_path / "b"), str(tmp_path / "s")
+    ingest(spark, str(raw), bronze, "202505140900")
+    with pytest.raises(FileNotFoundError):
+        refine_latest(spark, bronze, silver, "pacientes", day="20250515")
+    assert refine_latest(spark, bronze, silver, "pacientes", day="20250514",
+                         run_ts="202505151000") == "202505151000"
+
+
+def test_promote_takes_latest_of_any_day(spark, tmp_path):
+    silver, diamond = str(tmp_path / "s"), str(tmp_path / "d")
+    for i, r in enumerate(["202505140900", "202505151030", "202505131200"]):
+        write_run(spark.range(i + 1), silver, "pacientes", r)
+    assert promote(spark, silver, diamond, "pacientes") == "202505151030"
+    assert list_runs(spark, diamond, "pacientes") == ["202505151030"]
+    assert read_run(spark, diamond, "pacientes", "202505151030").count() == 2
+    assert read_run(spark, silver, "pacientes", "202505151030").count() == 2  # source kept
+    with pytest.raises(FileNotFoundError):
+        promote(spark, silver, diamond, "otro")

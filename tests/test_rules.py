@@ -1,0 +1,91 @@
+"""Rule tables (FIXTURES.md §2) and properties of the row rules."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from strata.functions.rules import date_prefix, int_between_exclusive, lenient_int, not_blank
+
+# text -> (parsed int, kept by 0 < x < 120)
+AGE_TABLE = [
+    ("34", 34, True), ("0", 0, False), ("1", 1, True), ("119", 119, True), ("120", 120, False),
+    ("30.5", 30, True), ("0.5", 0, False), ("119.9", 119, True), ("120.5", 120, False),
+    (" 45 ", 45, True), ("abc", None, False), ("1e2", None, False), ("", None, False),
+    (None, None, False), ("99999999999", None, False), ("-5", -5, False), (".5", 0, False),
+    ("5.", 5, True), ("+7", 7, True), ("\t9", 9, True),
+]
+
+DATE_TABLE = [
+    ("2025-05-10", dt.date(2025, 5, 10)),
+    ("2025-05-10 10:30:00", dt.date(2025, 5, 10)),
+    ("2025-5-1", None), ("10/05/2025", None), ("2025-02-30", None), ("2025-05", None),
+    ("20250510", None), ("12025-05-10", None), ("2025-05-10T10:00", None),
+    (" 2025-05-10", None), ("", None), (None, None),
+]
+
+
+def _one(spark, values, expr):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x string")
+    return [r.y for r in df.select("i", expr.alias("y")).orderBy("i").collect()]
+
+
+def test_age_table(spark, ansi):
+    texts = [t for t, _, _ in AGE_TABLE]
+    assert _one(spark, texts, lenient_int("x")) == [v for _, v, _ in AGE_TABLE]
+    kept = _one(spark, texts, F.coalesce(int_between_exclusive("x", 0, 120), F.lit(False)))
+    assert kept == [k for _, _, k in AGE_TABLE]
+
+
+def test_date_table(spark, ansi):
+    texts = [t for t, _ in DATE_TABLE]
+    assert _one(spark, texts, date_prefix("x")) == [d for _, d in DATE_TABLE]
+
+
+@pytest.mark.parametrize("policy", ["EXCEPTION", "LEGACY", "CORRECTED"])
+def test_date_rule_ignores_parser_policy(spark, policy):
+    texts = [t for t, _ in DATE_TABLE] + ["2025-05-1x", "2025-1-012", "2024-02-29", "2023-02-29"]
+    want = [d for _, d in DATE_TABLE] + [None, None, dt.date(2024, 2, 29), None]
+    spark.conf.set("spark.sql.legacy.timeParserPolicy", policy)
+    try:
+        assert _one(spark, texts, date_prefix("x")) == want
+    finally:
+        spark.conf.unset("spark.sql.legacy.timeParserPolicy")
+
+
+def test_not_blank(spark):
+    got = _one(spark, ["a", "", None, "   ", " a"], F.coalesce(not_blank("x"), F.lit(False)))
+    assert got == [True, False, False, True, True]
+
+
+_ALPHABET = list("0123456789+-. \t\n") + ["\x00", "\x7f", "\x0b", "\x1c", "\x85", " ",
+                                          " ", "　", "e", "a", "٣", "９"]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(
+    st.text(alphabet=_ALPHABET, max_size=7),
+    st.integers(min_value=-(2**33), max_value=2**33).map(str),
+    st.tuples(st.integers(-(2**31), 2**31), st.sampled_from(["", ".", ".9", " ", "\t", "x"]))
+    .map(lambda t: f"{t[0]}{t[1]}"),
+), min_size=1, max_size=200))
+def test_lenient_int_equals_legacy_cast(spark, texts):
+    """Under ANSI the rule must give exactly what the non-ANSI cast gives."""
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, x string")
+    mine = [r.y for r in df.select("i", lenient_int("x").alias("y")).orderBy("i").collect()]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = [r.y for r in df.select("i", F.col("x").cast("int").alias("y")).orderBy("i").collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert mine == legacy
+
+
+@pytest.mark.parametrize("low,high", [(0, 120), (-5, 5), (10, 10), (7, 3), (-(2**31), 2**31 - 1)])
+def test_exclusive_range_bounds(spark, low, high):
+    vals = [str(v) for v in (-(2**31), -6, -5, -4, 0, 3, 4, 7, 9, 10, 11, 119, 120, 2**31 - 1)]
+    got = _one(spark, vals, F.coalesce(int_between_exclusive("x", low, high), F.lit(False)))
+    assert got == [low < int(v) < high for v in vals]
