@@ -23,6 +23,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # no SparkContext access (e.g. Spark Connect)
             root = None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (HDFS, S3A, ...): "
+                "scratch data must survive the loss of an executor")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

@@ -64,11 +64,15 @@ def publish_table(
 
 @dataclass(frozen=True)
 class JdbcTarget:
-    """Where a JDBC publish goes. ``properties`` holds user, password, driver, ..."""
+    """Where a JDBC publish goes. ``properties`` holds user, password, driver, ...
+
+    ``num_partitions`` bounds the concurrent connections (Spark coalesces the
+    frame to it before loading); keep it at what the database can take.
+    """
 
     url: str
     properties: dict = field(default_factory=dict)
-    num_partitions: int | None = None
+    num_partitions: int | None = 32
     batchsize: int | None = None
 
 

@@ -50,6 +50,17 @@ def test_publish_table_is_create_if_absent(spark, tmp_path):
     assert spark.table(name).count() == 3
 
 
+def test_publish_table_failed_write_is_retryable(spark, tmp_path):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    bad = spark.range(5).select(
+        F.when(F.col("id") == 3, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("k"))
+    with pytest.raises(Exception):
+        publish_table(bad, name, str(tmp_path / name))
+    assert not spark.catalog.tableExists(name)
+    assert publish_table(spark.range(5).withColumnRenamed("id", "k"), name, str(tmp_path / name))
+    assert spark.table(name).count() == 5
+
+
 def test_publish_jdbc_create_if_absent(spark):
     target = _derby()
     df = spark.createDataFrame([("Ana", "34", dt.date(2025, 5, 10))], "nombre string, edad string, fecha_turno date")
