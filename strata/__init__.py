@@ -1,0 +1,16 @@
+"""strata: a layered (bronze -> silver -> diamond -> gold) lake on Spark DataFrames.
+
+Public API, by module:
+
+* ``strata.functions.rules`` -- row rules as Column expressions:
+  ``not_blank``, ``lenient_int``, ``int_between_exclusive``, ``date_prefix``.
+* ``strata.operators.refine`` -- ``RefineSpec``, ``APPOINTMENTS``, ``refine``.
+* ``strata.operators.runs`` -- run keys: ``run_stamp``, ``domain_of``,
+  ``latest_run`` (lazy), ``run_of_path``.
+* ``strata.sources.layers`` -- layer storage: ``write_run``, ``read_run``,
+  ``read_layer``, ``list_runs``, ``resolve_run``, ``read_raw_csv``.
+* ``strata.sources.tables`` -- publishing: ``to_publishable``,
+  ``publish_table``, ``publish_jdbc``, ``JdbcTarget``.
+* ``strata.plans.pipeline`` -- the steps: ``ingest``, ``refine_latest``,
+  ``promote``, ``publish``, ``run_pipeline``, ``LakeRoots``.
+"""

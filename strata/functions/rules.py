@@ -42,10 +42,17 @@ def lenient_int(c: str | Column) -> Column:
     Leading/trailing blanks are skipped, a fraction is truncated toward zero
     (``'30.5'`` -> 30, ``'.5'`` -> 0), anything else (exponents, words,
     overflow) is NULL. Never raises, whatever the session's ANSI setting.
+
+    Three tiers, cheapest first, so that no row pays for a failed cast (a
+    failing ``try_cast`` costs an exception inside the JVM):
+    plain digit strings of up to 9 characters cannot overflow and are cast
+    directly; other text is cast only when it has the accepted shape, after
+    a rewrite to ``<sign>0<digits>``; text of any other shape is NULL.
     """
-    # Valid text is rewritten to "<sign>0<digits>" (plain digits the ANSI-safe
-    # try_cast reads); anything else is left as is and try_cast yields NULL.
-    return F.regexp_replace(_col(c), _LEGACY_INT, "$10$2").try_cast("int")
+    x = _col(c)
+    plain = F.length(x).between(1, 9) & (F.translate(x, "0123456789", "") == F.lit(""))
+    shaped = F.regexp_replace(x, _LEGACY_INT, "$10$2").try_cast("int")
+    return F.when(plain, x.cast("int")).when(x.rlike(_LEGACY_INT), shaped)
 
 
 def int_between_exclusive(c: str | Column, low: int, high: int) -> Column:
@@ -62,14 +69,15 @@ def date_prefix(c: str | Column, sep: str = " ", fmt: str = "yyyy-MM-dd") -> Col
     ``'2025-05-10 10:30:00'`` -> 2025-05-10; ``'2025-5-1'``, ``'2025-02-30'``,
     ``' 2025-05-10'`` -> NULL.
 
-    For the default format only well-shaped text reaches the parser. Without
-    that guard ``try_to_date`` raises under the EXCEPTION time-parser policy
-    and parses leniently under LEGACY (``'2025-05-1x'`` -> 2025-05-01); with it
-    the result is the same under every policy. The length test runs first and
-    spares the regex on most malformed text.
+    For the default format only text of the exact shape ``dddd-dd-dd``
+    reaches a parser, and that parser is the plain text -> date cast, which
+    on such text agrees with ``to_date(x, 'yyyy-MM-dd')`` (calendar checks
+    included), never consults the session's time-parser policy and costs no
+    exception on bad input. Handing the text to ``try_to_date`` instead would
+    raise under the EXCEPTION policy and parse leniently under LEGACY
+    (``'2025-05-1x'`` -> 2025-05-01). Other formats go to ``try_to_date``.
     """
     head = F.substring_index(_col(c), sep, 1)
-    parsed = F.try_to_date(head, fmt)
     if fmt == "yyyy-MM-dd":
-        return F.when((F.length(head) == 10) & head.rlike(_ISO_DAY), parsed)
-    return parsed
+        return F.when((F.length(head) == 10) & head.rlike(_ISO_DAY), head.try_cast("date"))
+    return F.try_to_date(head, fmt)

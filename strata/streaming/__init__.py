@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The source pipeline is batch only: each step is triggered by hand or by a
+scheduler, and no step keeps state between runs or reads an unbounded
+input. There is therefore no streaming operator to rebuild. Every step in
+``strata.plans.pipeline`` is an ordinary batch job and can be called from
+any scheduler (or from a ``foreachBatch`` handler, if a caller wants to
+drive it from a stream of their own).
+"""

@@ -89,3 +89,13 @@ def test_exclusive_range_bounds(spark, low, high):
     vals = [str(v) for v in (-(2**31), -6, -5, -4, 0, 3, 4, 7, 9, 10, 11, 119, 120, 2**31 - 1)]
     got = _one(spark, vals, F.coalesce(int_between_exclusive("x", low, high), F.lit(False)))
     assert got == [low < int(v) < high for v in vals]
+
+
+def test_date_rule_equals_formatter_on_every_shape(spark):
+    """On dddd-dd-dd text the rule must agree with to_date(x, 'yyyy-MM-dd')."""
+    years = ["0000", "0001", "0004", "0100", "0400", "1582", "1900", "2000", "2023", "2024", "2100", "9999"]
+    vals = [f"{y}-{m:02d}-{d:02d}" for y in years for m in range(0, 14) for d in range(0, 33)]
+    df = spark.createDataFrame([(v,) for v in vals], "x string")
+    c = df.select(date_prefix("x").alias("a"), F.try_to_date("x", "yyyy-MM-dd").alias("b"))
+    assert c.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    assert c.filter(F.col("a").isNotNull()).count() > 0.75 * len(vals)
