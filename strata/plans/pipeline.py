@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
-from strata.sources.layers import read_raw_csv, read_run, resolve_run, write_run
+from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scoped_conf, shuffle_partitions_for
+from strata.sources.layers import read_raw_csv, read_run, resolve_run, run_bytes, write_run
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
 
@@ -72,15 +73,22 @@ def refine_latest(
     day: str | None = None,
     run_ts: str | None = None,
     num_files: int | None = None,
+    bytes_per_partition: int = DEDUP_INPUT_BYTES_PER_PARTITION,
 ) -> str:
     """Latest bronze run of ``day`` -> ``refine`` -> silver Parquet run. Returns the new run key.
 
-    Raises ``FileNotFoundError`` when bronze has no run for the day.
+    The dedup's reducer count is sized from the input run's bytes (about
+    ``bytes_per_partition`` of input per reducer, never fewer reducers than
+    the session asks for), so reducers stay far from spilling at any input
+    size; AQE merges reducers that end up small. Raises
+    ``FileNotFoundError`` when bronze has no run for the day.
     """
     src = resolve_run(spark, bronze_root, domain, check_day(day))
     out = check_run(run_ts or run_stamp())
     refined = refine(read_run(spark, bronze_root, domain, src, "csv"), spec)
-    write_run(refined, silver_root, domain, out, "parquet", num_files)
+    parts = shuffle_partitions_for(spark, run_bytes(spark, bronze_root, domain, src), bytes_per_partition)
+    with scoped_conf(spark, {"spark.sql.shuffle.partitions": str(parts)}):
+        write_run(refined, silver_root, domain, out, "parquet", num_files)
     return out
 
 

@@ -8,8 +8,10 @@ runs), and is then registered as the session's checkpoint folder.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +38,42 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, tag: str) -> str:
     """A fresh, unique folder under the checkpoint root (nothing is created yet)."""
     return f"{checkpoint_root(spark)}/strata/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scoped_conf(spark: SparkSession, settings: dict[str, str]):
+    """Set runtime SQL settings for the jobs run inside the block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+# Input bytes per reducer of a whole-row dedup. The shuffled rows (binary
+# rows, at most one per distinct row per task) can be about twice the size
+# of their CSV text, so this keeps a reducer near 256 MiB.
+DEDUP_INPUT_BYTES_PER_PARTITION = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_partitions_for(
+    spark: SparkSession,
+    input_bytes: int,
+    bytes_per_partition: int = DEDUP_INPUT_BYTES_PER_PARTITION,
+) -> int:
+    """Reducer count for a shuffle over ``input_bytes`` of input.
+
+    Never below the session's own ``spark.sql.shuffle.partitions`` (AQE
+    coalesces the surplus when the data turns out smaller), capped so the
+    map x reduce block count stays manageable.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = math.ceil(max(input_bytes, 0) / bytes_per_partition)
+    return max(current, min(MAX_SHUFFLE_PARTITIONS, wanted))

@@ -118,6 +118,12 @@ def _has_data_file(fs, path) -> bool:
     return False
 
 
+def run_bytes(spark: SparkSession, root: str, domain: str, run_ts: str) -> int:
+    """Total size in bytes of the files of one run (one metadata call)."""
+    fs, path = _hadoop_fs(spark, run_dir(root, domain, run_ts))
+    return int(fs.getContentSummary(path).getLength())
+
+
 def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
     """Run keys of ``domain`` (of ``day`` when given), newest first.
 

@@ -60,3 +60,29 @@ def test_promote_takes_latest_of_any_day(spark, tmp_path):
     assert read_run(spark, silver, "pacientes", "202505151030").count() == 2  # source kept
     with pytest.raises(FileNotFoundError):
         promote(spark, silver, diamond, "otro")
+
+
+def test_dedup_reducers_sized_from_input(spark, tmp_path):
+    from strata.session import shuffle_partitions_for
+    from strata.sources.layers import run_bytes
+
+    assert shuffle_partitions_for(spark, 0) == 8  # never below the session's setting
+    assert shuffle_partitions_for(spark, 10 * 2**30, 2**20) == 10240
+    assert shuffle_partitions_for(spark, 2**60, 2**20) == 100_000
+    raw = tmp_path / "pacientes_crudo.csv"
+    raw.write_text(RAW)
+    bronze, silver = str(tmp_path / "b"), str(tmp_path / "s")
+    ingest(spark, str(raw), bronze, "202505151030")
+    assert run_bytes(spark, bronze, "pacientes", "202505151030") > 100
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep every reducer's file
+    try:
+        refine_latest(spark, bronze, silver, "pacientes", day="20250515", run_ts="202505151030",
+                      bytes_per_partition=16)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # restored
+    parts = [int(f.name.split("-")[1]) for f in
+             (tmp_path / "s" / "LOCAL_PACIENTES" / "run_ts=202505151030").iterdir()
+             if f.name.startswith("part-")]
+    assert max(parts) >= 8  # written by reducers beyond the session default of 8
+    assert read_run(spark, silver, "pacientes", "202505151030").count() == 2
