@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scoped_conf, shuffle_partitions_for
-from strata.sources.layers import read_raw_csv, read_run, resolve_run, run_bytes, write_run
+from strata.sources.layers import (
+    list_landing, read_raw_csv, read_run, resolve_run, run_bytes, write_run,
+)
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
 
@@ -64,6 +66,34 @@ def ingest(
     return domain, run_ts
 
 
+def ingest_landing(
+    spark: SparkSession,
+    landing: str,
+    bronze_root: str,
+    run_ts: str | None = None,
+    num_files: int | None = None,
+    preserve_whitespace: bool = False,
+) -> dict[str, str]:
+    """Every raw CSV in a landing folder -> one bronze run per domain.
+
+    Files are grouped by the domain in their names (``pacientes_a.csv`` and
+    ``pacientes_b.csv`` load together); each domain is one distributed read
+    of all its files, so files of different domains (different headers)
+    never mix. Returns ``{domain: run_ts}``; raises ``FileNotFoundError``
+    when the folder holds no CSV.
+    """
+    run_ts = check_run(run_ts or run_stamp())
+    groups: dict[str, list[str]] = {}
+    for path in list_landing(spark, landing):
+        groups.setdefault(domain_of(path), []).append(path)
+    if not groups:
+        raise FileNotFoundError(f"no raw CSV under {landing}")
+    for domain, paths in sorted(groups.items()):
+        write_run(spark.read.option("header", True).csv(paths), bronze_root, domain, run_ts, "csv",
+                  num_files, preserve_whitespace)
+    return {d: run_ts for d in groups}
+
+
 def refine_latest(
     spark: SparkSession,
     bronze_root: str,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import latest_run, run_of_path
 from strata.functions.rules import date_prefix, int_between_exclusive, not_blank
-from strata.plans.pipeline import LakeRoots, ingest, promote, publish, run_pipeline
+from strata.plans.pipeline import LakeRoots, ingest, ingest_landing, promote, publish, run_pipeline
 from strata.plans.views import (
     appointments_view, hourly_runs_view, padded_customers_view, part_ages_view, table,
 )
@@ -125,6 +125,19 @@ def ingest_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return read_run(spark, f"{base}/bronze", domain, key, "csv")
 
 
+def landing_many_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Several raw files in one landing folder: two of domain ``orders``, one of ``customers``."""
+    base = scratch_dir(spark, "landing")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    status_f = F.col("o_orderstatus") == "F"
+    o.filter(status_f).write.option("header", True).csv(f"{base}/landing/orders_f.csv")
+    o.filter(~status_f).write.option("header", True).csv(f"{base}/landing/orders_rest.csv")
+    (table(spark, sf, "customer").select("c_custkey", "c_name").write.option("header", True)
+     .csv(f"{base}/landing/customers_raw.csv"))
+    runs = ingest_landing(spark, f"{base}/landing", f"{base}/bronze", EARLY_RUN)
+    return read_run(spark, f"{base}/bronze", "orders", runs["orders"], "csv")
+
+
 def pipeline_gold(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "pipeline")
     raw = f"{base}/landing/pacientes_crudo.csv"
@@ -151,6 +164,7 @@ QUERIES = {
     "publishable_types": publishable_types,
     "publish_csv_backup": publish_csv_backup,
     "ingest_bronze": ingest_bronze,
+    "landing_many_files": landing_many_files,
     "pipeline_gold": pipeline_gold,
 }
 
@@ -220,5 +234,8 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
   CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS c_name, c_mktsegment
 FROM customer""",
+    "landing_many_files": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+  o_orderstatus, o_orderpriority FROM orders""",
     "pipeline_gold": _REFINED_APPOINTMENTS,
 }

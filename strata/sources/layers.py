@@ -111,13 +111,29 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 
 def _has_data_file(fs, path) -> bool:
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isFile() and name.startswith("part-"):
+    """True at the first ``part-`` file; the listing is consumed page by page."""
+    it = fs.listStatusIterator(path)
+    while it.hasNext():
+        st = it.next()
+        if st.isFile() and st.getPath().getName().startswith("part-"):
             return True
     return False
 
 
+def list_landing(spark: SparkSession, landing: str, suffix: str = ".csv") -> list[str]:
+    """Entries of a landing folder whose name ends with ``suffix`` (files or
+    folders of part files), as full paths, sorted. One directory listing."""
+    fs, base = _hadoop_fs(spark, landing)
+    if not fs.exists(base):
+        return []
+    names = []
+    for st in fs.listStatus(base):
+        name = st.getPath().getName()
+        if name.endswith(suffix) and not name.startswith(("_", ".")):
+            names.append(st.getPath().toString())
+    return sorted(names)
+
+
 def run_bytes(spark: SparkSession, root: str, domain: str, run_ts: str) -> int:
     """Total size in bytes of the files of one run (one metadata call)."""
     fs, path = _hadoop_fs(spark, run_dir(root, domain, run_ts))

@@ -5,7 +5,9 @@ import uuid
 
 import pytest
 
-from strata.plans.pipeline import LakeRoots, ingest, promote, refine_latest, run_pipeline
+from strata.plans.pipeline import (
+    LakeRoots, ingest, ingest_landing, promote, refine_latest, run_pipeline,
+)
 from strata.sources.layers import list_runs, read_run, write_run
 
 RAW = ('nombre,edad,obra_social,fecha_turno\n'
@@ -18,13 +20,14 @@ RAW = ('nombre,edad,obra_social,fecha_turno\n'
        'Ed,50,IOMA,2025-5-1\n')
 
 
-def test_run_pipeline(spark, tmp_path):
+@pytest.mark.parametrize("num_files", [None, 1])
+def test_run_pipeline(spark, tmp_path, num_files):
     raw = tmp_path / "pacientes_crudo.csv"
     raw.write_text(RAW)
     roots = LakeRoots.under(str(tmp_path / "lake"))
     name = f"pacientes_diamond_{uuid.uuid4().hex[:8]}"
     res = run_pipeline(spark, str(raw), roots, run_ts="202505151030", table=name,
-                       table_path=str(tmp_path / "t"))
+                       table_path=str(tmp_path / "t"), num_files=num_files)
     assert res.created and res.source_run == "202505151030"
     want = [("Ana", "34", "OSDE", dt.date(2025, 5, 10)), ("Bo", "30.5", "PAMI", dt.date(2025, 5, 11))]
     for root in (roots.silver, roots.diamond, roots.gold):
@@ -86,3 +89,21 @@ def test_dedup_reducers_sized_from_input(spark, tmp_path):
              if f.name.startswith("part-")]
     assert max(parts) >= 8  # written by reducers beyond the session default of 8
     assert read_run(spark, silver, "pacientes", "202505151030").count() == 2
+
+
+def test_ingest_landing_groups_by_domain(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "pacientes_a.csv").write_text("nombre,edad\nAna,34\n")
+    (land / "pacientes_b.csv").write_text("nombre,edad\nBo,40\nCy,50\n")
+    (land / "turnos_2025.csv").write_text("id,sala\n1,A\n")
+    (land / "notes.txt").write_text("ignored")
+    bronze = str(tmp_path / "bronze")
+    got = ingest_landing(spark, str(land), bronze, "202505151030")
+    assert got == {"pacientes": "202505151030", "turnos": "202505151030"}
+    p = read_run(spark, bronze, "pacientes", "202505151030", "csv")
+    assert p.columns == ["nombre", "edad"] and p.count() == 3
+    t = read_run(spark, bronze, "turnos", "202505151030", "csv")
+    assert [tuple(r) for r in t.collect()] == [("1", "A")]
+    with pytest.raises(FileNotFoundError):
+        ingest_landing(spark, str(tmp_path / "empty"), bronze)
