@@ -120,9 +120,10 @@ def jdbc_table_exists(spark: SparkSession, target: JdbcTarget, table: str) -> bo
 
 
 def _rename_sql(url: str, old: str, new: str) -> str:
+    bare = new.rpartition(".")[2]  # the new name is never schema-qualified
     if url.startswith("jdbc:derby:"):
-        return f"RENAME TABLE {old} TO {new}"
-    return f"ALTER TABLE {old} RENAME TO {new.rpartition('.')[2]}"
+        return f"RENAME TABLE {old} TO {bare}"
+    return f"ALTER TABLE {old} RENAME TO {bare}"
 
 
 def publish_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> bool:

@@ -57,3 +57,31 @@ def test_scratch_lives_under_checkpoint_dir(spark):
     assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     a, b = scratch_dir(spark, "q"), scratch_dir(spark, "q")
     assert a.startswith(root + "/strata/q-") and a != b
+
+
+def _nodes(plan):
+    yield plan
+    kids = plan.children()
+    for i in range(kids.size()):
+        yield from _nodes(kids.apply(i))
+
+
+def test_hot_duplicate_collapses_before_the_shuffle(spark):
+    """A row repeated as a third of the input must cross the shuffle at most once per task."""
+    n, tasks = 300_000, 6
+    rows = spark.range(0, n, numPartitions=tasks).select(
+        F.when(F.col("id") % 3 == 0, F.lit("Hot")).otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("nombre"),
+        F.lit("34").alias("edad"), F.lit("OSDE").alias("obra_social"),
+        F.lit("2025-05-10 10:00:00").alias("fecha_turno"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = refine(rows, APPOINTMENTS)
+        assert out.count() == 1 + n - n // 3  # one hot row + every other distinct row
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan()
+        shuffles = [p for p in _nodes(plan) if p.nodeName() == "Exchange"]
+        written = sum(p.metrics().get("shuffleRecordsWritten").get().value() for p in shuffles)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert n - n // 3 <= written <= (n - n // 3) + tasks  # hot copies never cross the shuffle
