@@ -111,3 +111,28 @@ def test_publish_csv_backup_variant(spark, tmp_path):
     assert res.table == "pacientes_diamond" and res.created
     back = read_run(spark, diamond, "pacientes", res.backup_run, "csv").collect()
     assert tuple(back[0]) == ("Ana", "[1,2]")
+
+
+def _pg_type(spark, dt_json):
+    """DDL type Spark's PostgreSQL dialect (or its common fallback) gives a Spark type."""
+    jvm = spark.sparkContext._jvm
+    jtype = jvm.org.apache.spark.sql.types.DataType.fromJson(dt_json)
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get("jdbc:postgresql://h/db")
+    opt = dialect.getJDBCType(jtype)
+    if opt.isEmpty():
+        opt = jvm.org.apache.spark.sql.execution.datasources.jdbc.JdbcUtils.getCommonJDBCType(jtype)
+    return opt.get().databaseTypeDefinition()
+
+
+def test_postgres_ddl_after_to_publishable(spark):
+    """SURVEY §1.3, 'our rule' column: what each type becomes in PostgreSQL."""
+    df = spark.sql("""SELECT 'a' AS s, 1 AS i, 2L AS l, CAST(3 AS SMALLINT) AS sh, 1.5D AS d,
+        1.5F AS f, true AS b, DATE'2025-05-10' AS dt, TIMESTAMP'2025-05-10 10:30:00' AS ts,
+        CAST(1.25 AS DECIMAL(5,2)) AS dec, array(1, 2) AS arr, named_struct('x', 1) AS st,
+        map('k', 1) AS m, INTERVAL '2' DAY AS iv""")
+    got = {f.name: _pg_type(spark, f.dataType.json()) for f in to_publishable(df).schema.fields}
+    assert got == {
+        "s": "TEXT", "i": "INTEGER", "l": "BIGINT", "sh": "SMALLINT", "d": "FLOAT8",
+        "f": "FLOAT4", "b": "BOOLEAN", "dt": "DATE", "ts": "TIMESTAMP", "dec": "NUMERIC(5,2)",
+        "arr": "TEXT", "st": "TEXT", "m": "TEXT", "iv": "TEXT",
+    }
