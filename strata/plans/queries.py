@@ -20,7 +20,8 @@ from strata.plans.views import (
     appointments_view, hourly_runs_view, padded_customers_view, part_ages_view, table,
 )
 from strata.session import scratch_dir
-from strata.sources.layers import domain_dir, read_run, write_run
+from strata.sources.layers import domain_dir, read_run, resolve_run, write_run
+from strata.sources.legacy import adopt_legacy_runs
 from strata.sources.tables import publish_table, to_publishable
 
 DAY = "20240110"
@@ -91,6 +92,18 @@ def run_of_file(spark: SparkSession, sf: str) -> DataFrame:
     return files.select("o_orderkey", run_of_path(F.col("_metadata.file_path")).alias("run_ts"))
 
 
+def adopt_old_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs stored under old per-run names are adopted; the latest is read back."""
+    base = scratch_dir(spark, "adopt")
+    old = f"{domain_dir(base + '/old', 'orders')}"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    o.filter(F.col("o_orderstatus") == "F").write.parquet(f"{old}/orders_refined_{EARLY_RUN}.parquet")
+    o.filter(F.col("o_orderstatus") == "O").write.parquet(f"{old}/orders_refined_{LATE_RUN}.parquet")
+    adopt_legacy_runs(spark, base + "/old", base + "/silver", "orders")
+    key = resolve_run(spark, base + "/silver", "orders")
+    return read_run(spark, base + "/silver", "orders", key, with_run_ts=True)
+
+
 def publish_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_dir(spark, "publish")
     name = f"orders_diamond_{uuid.uuid4().hex[:12]}"
@@ -160,6 +173,7 @@ QUERIES = {
     "latest_run_any_day": latest_run_any_day,
     "promote_run": promote_run,
     "run_of_file": run_of_file,
+    "adopt_old_layout": adopt_old_layout,
     "publish_if_absent": publish_if_absent,
     "publishable_types": publishable_types,
     "publish_csv_backup": publish_csv_backup,
@@ -225,6 +239,9 @@ FROM orders WHERE o_orderstatus = 'O'""",
     "run_of_file": f"""
 SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
 FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+    "adopt_old_layout": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, '{LATE_RUN}' AS run_ts
+FROM orders WHERE o_orderstatus = 'O'""",
     "publish_if_absent": """
 SELECT * FROM orders WHERE o_orderstatus = 'F'""",
     "publish_csv_backup": """
