@@ -109,14 +109,26 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _has_data_file(fs, path) -> bool:
-    """True at the first ``part-`` file; the listing is consumed page by page."""
+def _writes_success_marker(spark: SparkSession) -> bool:
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return conf.getBoolean("mapreduce.fileoutputcommitter.marksuccessfuljobs", True)
+
+
+def _run_complete(fs, path, need_marker: bool) -> bool:
+    """A committed run: it has the ``_SUCCESS`` marker, or -- where jobs write
+    no marker -- at least one ``part-`` file. Listed page by page; stops early."""
+    has_part = False
     it = fs.listStatusIterator(path)
     while it.hasNext():
         st = it.next()
-        if st.isFile() and st.getPath().getName().startswith("part-"):
+        name = st.getPath().getName()
+        if name == "_SUCCESS":
             return True
-    return False
+        if st.isFile() and name.startswith("part-"):
+            has_part = True
+            if not need_marker:
+                return True
+    return has_part and not need_marker
 
 
 def list_landing(spark: SparkSession, landing: str, suffix: str = ".csv") -> list[str]:
@@ -161,16 +173,19 @@ def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = Non
 
 
 def resolve_run(spark: SparkSession, root: str, domain: str, day: str | None = None) -> str:
-    """Key of the latest run of ``domain`` (of ``day`` when given) that holds data.
+    """Key of the latest committed run of ``domain`` (of ``day`` when given).
 
-    Runs are tried newest first and the first with a ``part-`` file wins, so a
-    run directory left empty by an aborted write is skipped. Raises
-    ``FileNotFoundError`` when there is none.
+    Runs are tried newest first. A run counts once its write job committed:
+    it carries the ``_SUCCESS`` marker (when the Hadoop setting
+    ``mapreduce.fileoutputcommitter.marksuccessfuljobs`` is off, a ``part-``
+    file is enough). A run left empty or half-written by a failed job is
+    skipped. Raises ``FileNotFoundError`` when there is none.
     """
     fs, _ = _hadoop_fs(spark, domain_dir(root, domain))
     jvm = spark.sparkContext._jvm
+    need_marker = _writes_success_marker(spark)
     for key in list_runs(spark, root, domain, day):
-        if _has_data_file(fs, jvm.org.apache.hadoop.fs.Path(run_dir(root, domain, key))):
+        if _run_complete(fs, jvm.org.apache.hadoop.fs.Path(run_dir(root, domain, key)), need_marker):
             return key
     when = f"day {day}" if day else "any day"
     raise FileNotFoundError(f"no run of domain {domain!r} for {when} under {domain_dir(root, domain)}")

@@ -67,6 +67,20 @@ def test_resolve_run_skips_run_without_data(spark, layer):
     assert resolve_run(spark, layer, "pacientes", "20250515") == "202505151045"
 
 
+def test_resolve_run_skips_uncommitted_run(spark, layer):
+    partial = run_dir(layer, "pacientes", "202505152358")
+    os.makedirs(partial)
+    with open(os.path.join(partial, "part-00000-x.parquet"), "wb") as fh:
+        fh.write(b"half")
+    assert resolve_run(spark, layer, "pacientes", "20250515") == "202505151045"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.setBoolean("mapreduce.fileoutputcommitter.marksuccessfuljobs", False)
+    try:  # writers that leave no marker: any part file counts
+        assert resolve_run(spark, layer, "pacientes", "20250515") == "202505152358"
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
 def test_read_run_reads_all_files_of_the_run(spark, layer):
     df = read_run(spark, layer, "pacientes", "202505151030")
     assert df.count() == 20 and df.columns == ["id", "tag"]
