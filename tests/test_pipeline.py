@@ -107,3 +107,16 @@ def test_ingest_landing_groups_by_domain(spark, tmp_path):
     assert [tuple(r) for r in t.collect()] == [("1", "A")]
     with pytest.raises(FileNotFoundError):
         ingest_landing(spark, str(tmp_path / "empty"), bronze)
+
+
+def test_empty_raw_file_flows_through(spark, tmp_path):
+    raw = tmp_path / "pacientes_crudo.csv"
+    raw.write_text("nombre,edad,obra_social,fecha_turno\n")
+    name = f"empty_{uuid.uuid4().hex[:8]}"
+    res = run_pipeline(spark, str(raw), LakeRoots.under(str(tmp_path / "lake")),
+                       run_ts="202505151030", table=name, table_path=str(tmp_path / "t"))
+    assert res.created
+    t = spark.table(name)
+    assert t.count() == 0
+    assert t.dtypes == [("nombre", "string"), ("edad", "string"), ("obra_social", "string"),
+                        ("fecha_turno", "date")]
