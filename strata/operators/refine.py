@@ -15,6 +15,10 @@ from operator import and_
 
 from pyspark.sql import DataFrame
 
+from strata.fixed import (
+    APPOINTMENT_AGE, APPOINTMENT_COLUMNS, APPOINTMENT_DATE, APPOINTMENT_NOT_BLANK, DATE_FORMAT,
+    DATE_SEPARATOR,
+)
 from strata.functions.rules import date_prefix, int_between_exclusive, not_blank
 
 
@@ -33,20 +37,20 @@ class RefineSpec:
     not_blank: tuple[str, ...] = ()
     int_ranges: tuple[tuple[str, int, int], ...] = ()
     dates: tuple[str, ...] = ()
-    date_sep: str = " "
-    date_format: str = "yyyy-MM-dd"
+    date_sep: str = DATE_SEPARATOR
+    date_format: str = DATE_FORMAT
     dedup: bool = True
 
 
-# The appointments ("pacientes") rule set of the source pipeline.
+# The appointments ("pacientes") rule set of the source pipeline (values in strata.fixed).
 APPOINTMENTS = RefineSpec(
-    not_blank=("nombre", "obra_social"),
-    int_ranges=(("edad", 0, 120),),
-    dates=("fecha_turno",),
+    not_blank=APPOINTMENT_NOT_BLANK,
+    int_ranges=(APPOINTMENT_AGE,),
+    dates=(APPOINTMENT_DATE,),
     dedup=True,
 )
 
-APPOINTMENT_COLUMNS = ("nombre", "edad", "obra_social", "fecha_turno")
+__all__ = ["APPOINTMENTS", "APPOINTMENT_COLUMNS", "RefineSpec", "refine", "row_filter"]
 
 
 def row_filter(spec: RefineSpec):

@@ -13,6 +13,8 @@ from pathlib import PurePosixPath
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.fixed import DOMAIN_NAME_SEPARATOR, RUN_STAMP_FORMAT
+
 RUN_COLUMN = "run_ts"
 RUN_KEY = re.compile(r"[0-9]{12}")
 DAY_KEY = re.compile(r"[0-9]{8}")
@@ -20,7 +22,7 @@ DAY_KEY = re.compile(r"[0-9]{8}")
 
 def run_stamp(now: datetime | None = None) -> str:
     """Minute stamp ``YYYYMMDDHHMM`` of ``now`` (default: the current local time)."""
-    return (now or datetime.now()).strftime("%Y%m%d%H%M")
+    return (now or datetime.now()).strftime(RUN_STAMP_FORMAT)
 
 
 def check_run(run_ts: str) -> str:
@@ -41,7 +43,7 @@ def domain_of(path: str) -> str:
     ``.../pacientes_crudo.csv`` -> ``pacientes``.
     """
     stem = PurePosixPath(path.rstrip("/")).stem
-    return stem.split("_")[0].lower()
+    return stem.split(DOMAIN_NAME_SEPARATOR)[0].lower()
 
 
 def run_of_path(path: str | Column) -> Column:

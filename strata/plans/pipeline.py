@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.fixed import PUBLISHED_TABLE_SUFFIX
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scoped_conf, shuffle_partitions_for
@@ -167,7 +168,7 @@ def publish(
     df = read_run(spark, source_root, domain, src, source_format)
     if transform is not None:
         df = transform(df)
-    name = table or f"{domain}_diamond"
+    name = table or f"{domain}{PUBLISHED_TABLE_SUFFIX}"
     out = to_publishable(df)
     created = publish_jdbc(out, jdbc, name) if jdbc else publish_table(out, name, table_path)
     backup_run = check_run(run_ts or run_stamp())

@@ -14,11 +14,11 @@ import re
 
 from pyspark.sql import SparkSession
 
+from strata.fixed import LEGACY_RUN_NAME
 from strata.operators.runs import check_day
 from strata.sources.layers import _hadoop_fs, _reader, domain_dir, write_run
 
-# The old naming, "<stem>_<12-digit minute stamp>" plus an optional extension.
-_LEGACY_NAME = re.compile(r"^(?P<stem>.+)_(?P<run>[0-9]{12})(?P<ext>\.[A-Za-z0-9]+)?$")
+_LEGACY_NAME = re.compile(LEGACY_RUN_NAME)
 
 
 def legacy_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> dict[str, str]:
