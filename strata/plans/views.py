@@ -17,10 +17,11 @@ TABLES = (
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir, name: str) -> DataFrame:
+    """One benchmark table (``<sf_dir>/<name>.parquet``); ``sf_dir`` may be a str or a Path."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def appointments_view(events: DataFrame) -> DataFrame:
