@@ -31,32 +31,37 @@ PIPELINE_RUN = "202505151030"
 
 
 def refine_appointments(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: the appointments rule set over the derived view of ``events``."""
+    """Flagship, CMP-2 core: the appointments rule set over the derived view of ``events``."""
     return refine(appointments_view(table(spark, sf, "events")).drop("event_id"), APPOINTMENTS)
 
 
 def not_blank_names(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-1: names that are neither NULL nor empty (whitespace-only counts as present)."""
     v = appointments_view(table(spark, sf, "events"))
     return v.filter(not_blank("nombre")).select("event_id", "nombre")
 
 
 def int_range(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-2, FN-6: 0 < int(text) < 120 with legacy-cast truncation ('120.5' -> 120, dropped)."""
     return part_ages_view(table(spark, sf, "part")).filter(int_between_exclusive("edad", 0, 120))
 
 
 def date_prefix_retype(spark: SparkSession, sf: str) -> DataFrame:
+    """PRJ-1, FN-1..3, FLT-3: text before the first space -> date; unparsable rows dropped."""
     v = appointments_view(table(spark, sf, "events"))
     return (v.select("event_id", date_prefix("fecha_turno").alias("fecha_turno"))
             .dropna(subset=["fecha_turno"]))
 
 
 def distinct_after_retype(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-1, S5: whole-row dedup after the time of day is cut off."""
     ev = table(spark, sf, "events").select(
         "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("fecha"))
     return refine(ev, RefineSpec(dates=("fecha",), dedup=True))
 
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-1, SRC-2: a run written as CSV with a header reads back as all-text columns."""
     root = scratch_dir(spark, "csv_roundtrip")
     cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
     write_run(table(spark, sf, "orders").select(*cols), root, "orders", EARLY_RUN, "csv")
@@ -64,10 +69,12 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_run_of_day(spark: SparkSession, sf: str) -> DataFrame:
+    """RUN-1: rows of the latest hourly run of one day (lazy broadcast semi-join)."""
     return latest_run(hourly_runs_view(table(spark, sf, "events")), day=DAY)
 
 
 def latest_run_any_day(spark: SparkSession, sf: str) -> DataFrame:
+    """RUN-2: rows of the latest hourly run of any day."""
     return latest_run(hourly_runs_view(table(spark, sf, "events")))
 
 
@@ -78,6 +85,7 @@ def _orders_runs(spark: SparkSession, sf: str, silver: str) -> None:
 
 
 def promote_run(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-5, CMP-3: the latest silver run (of any day) is copied to diamond under its key."""
     roots = LakeRoots.under(scratch_dir(spark, "promote"))
     _orders_runs(spark, sf, roots.silver)
     key = promote(spark, roots.silver, roots.diamond, "orders")
@@ -85,6 +93,7 @@ def promote_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_of_file(spark: SparkSession, sf: str) -> DataFrame:
+    """RUN-5: run key recovered from each file's path (no partition discovery)."""
     roots = LakeRoots.under(scratch_dir(spark, "run_of_file"))
     _orders_runs(spark, sf, roots.silver)
     files = (spark.read.option("recursiveFileLookup", True)
@@ -93,9 +102,9 @@ def run_of_file(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def adopt_old_layout(spark: SparkSession, sf: str) -> DataFrame:
-    """Runs stored under old per-run names are adopted; the latest is read back."""
+    """Runs stored under the old per-run names are adopted; the latest is read back."""
     base = scratch_dir(spark, "adopt")
-    old = f"{domain_dir(base + '/old', 'orders')}"
+    old = domain_dir(base + "/old", "orders")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     o.filter(F.col("o_orderstatus") == "F").write.parquet(f"{old}/orders_refined_{EARLY_RUN}.parquet")
     o.filter(F.col("o_orderstatus") == "O").write.parquet(f"{old}/orders_refined_{LATE_RUN}.parquet")
@@ -105,6 +114,7 @@ def adopt_old_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publish_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-6..8, S10: a second publish to an existing table changes nothing."""
     base = scratch_dir(spark, "publish")
     name = f"orders_diamond_{uuid.uuid4().hex[:12]}"
     orders = to_publishable(table(spark, sf, "orders"))
@@ -114,11 +124,12 @@ def publish_if_absent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def publishable_types(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-7, §1.3: arrays become JSON text so any SQL table can hold them."""
     return to_publishable(table(spark, sf, "embeddings"))
 
 
 def publish_csv_backup(spark: SparkSession, sf: str) -> DataFrame:
-    """Older publish variant: silver -> table, backup to diamond as CSV."""
+    """CMP-5, SNK-4: older publish variant -- silver -> table, backup to diamond as CSV."""
     roots = LakeRoots.under(scratch_dir(spark, "publish_csv"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     write_run(o, roots.silver, "orders", EARLY_RUN)
@@ -129,6 +140,7 @@ def publish_csv_backup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ingest_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """CMP-1, S4: raw -> bronze trims outer blanks; blank-only text becomes NULL."""
     base = scratch_dir(spark, "ingest")
     raw = f"{base}/landing/customers_raw.csv"
     (padded_customers_view(table(spark, sf, "customer")).write
@@ -139,7 +151,7 @@ def ingest_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def landing_many_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Several raw files in one landing folder: two of domain ``orders``, one of ``customers``."""
+    """RUN-4: a landing folder with two files of domain ``orders`` and one of ``customers``."""
     base = scratch_dir(spark, "landing")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     status_f = F.col("o_orderstatus") == "F"
@@ -152,6 +164,7 @@ def landing_many_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pipeline_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """CMP-6: raw CSV -> bronze -> silver -> diamond -> table + gold; the gold run."""
     base = scratch_dir(spark, "pipeline")
     raw = f"{base}/landing/pacientes_crudo.csv"
     appointments_view(table(spark, sf, "events")).drop("event_id").write.option("header", True).csv(raw)
