@@ -116,3 +116,13 @@ def test_num_files(spark, tmp_path):
     path = write_run(spark.range(1000).repartition(4), root, "x", RUNS[0], num_files=1)
     parts = [f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_failed_write_never_becomes_latest(spark, layer):
+    bad = spark.range(100).select(
+        F.when(F.col("id") == 57, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"),
+        F.lit("x").alias("tag"))
+    with pytest.raises(Exception):
+        write_run(bad, layer, "pacientes", "202505152300")
+    assert resolve_run(spark, layer, "pacientes", "20250515") == "202505151045"
+    assert resolve_run(spark, layer, "pacientes") == "202505151045"
