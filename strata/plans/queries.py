@@ -163,7 +163,7 @@ def landing_many_files(spark: SparkSession, sf: str) -> DataFrame:
     return read_run(spark, f"{base}/bronze", "orders", runs["orders"], "csv")
 
 
-def pipeline_gold(spark: SparkSession, sf: str) -> DataFrame:
+def raw_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-6: raw CSV -> bronze -> silver -> diamond -> table + gold; the gold run."""
     base = scratch_dir(spark, "pipeline")
     raw = f"{base}/landing/pacientes_crudo.csv"
@@ -192,7 +192,7 @@ QUERIES = {
     "publish_csv_backup": publish_csv_backup,
     "ingest_bronze": ingest_bronze,
     "landing_many_files": landing_many_files,
-    "pipeline_gold": pipeline_gold,
+    "raw_to_gold": raw_to_gold,
 }
 
 # ---------------------------------------------------------------------------
@@ -267,5 +267,5 @@ FROM customer""",
     "landing_many_files": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
   o_orderstatus, o_orderpriority FROM orders""",
-    "pipeline_gold": _REFINED_APPOINTMENTS,
+    "raw_to_gold": _REFINED_APPOINTMENTS,
 }
