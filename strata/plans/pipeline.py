@@ -19,7 +19,7 @@ from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scoped_conf, shuffle_partitions_for
 from strata.sources.layers import (
-    list_landing, read_raw_csv, read_run, resolve_run, run_bytes, write_run,
+    list_landing, read_latest, read_raw_csv, run_bytes, write_run,
 )
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
@@ -114,9 +114,9 @@ def refine_latest(
     size; AQE merges reducers that end up small. Raises
     ``FileNotFoundError`` when bronze has no run for the day.
     """
-    src = resolve_run(spark, bronze_root, domain, check_day(day))
+    src, bronze = read_latest(spark, bronze_root, domain, check_day(day), "csv")
     out = check_run(run_ts or run_stamp())
-    refined = refine(read_run(spark, bronze_root, domain, src, "csv"), spec)
+    refined = refine(bronze, spec)
     parts = shuffle_partitions_for(spark, run_bytes(spark, bronze_root, domain, src), bytes_per_partition)
     with scoped_conf(spark, {"spark.sql.shuffle.partitions": str(parts)}):
         write_run(refined, silver_root, domain, out, "parquet", num_files)
@@ -137,8 +137,8 @@ def promote(
     The source stays; the copy keeps the run key. The copy is a distributed
     read + write of all the run's files. Returns the run key.
     """
-    key = resolve_run(spark, src_root, domain, check_day(day))
-    write_run(read_run(spark, src_root, domain, key, fmt), dst_root, domain, key, fmt, num_files)
+    key, df = read_latest(spark, src_root, domain, check_day(day), fmt)
+    write_run(df, dst_root, domain, key, fmt, num_files)
     return key
 
 
@@ -164,8 +164,7 @@ def publish(
     ``backup_root`` whether or not the table was created. ``transform`` is
     applied to the frame before both (a hook for analytic shaping).
     """
-    src = resolve_run(spark, source_root, domain, check_day(day))
-    df = read_run(spark, source_root, domain, src, source_format)
+    src, df = read_latest(spark, source_root, domain, check_day(day), source_format)
     if transform is not None:
         df = transform(df)
     name = table or f"{domain}{PUBLISHED_TABLE_SUFFIX}"

@@ -190,3 +190,20 @@ def resolve_run(spark: SparkSession, root: str, domain: str, day: str | None = N
             return key
     when = f"day {day}" if day else "any day"
     raise FileNotFoundError(f"no run of domain {domain!r} for {when} under {domain_dir(root, domain)}")
+
+
+def read_latest(
+    spark: SparkSession,
+    root: str,
+    domain: str,
+    day: str | None = None,
+    fmt: str = "parquet",
+    with_run_ts: bool = False,
+) -> tuple[str, DataFrame]:
+    """``(run_ts, frame)`` of the latest committed run (of ``day`` when given).
+
+    ``resolve_run`` then ``read_run``: one listing, then a scan of that run's
+    files only. Raises ``FileNotFoundError`` when there is no such run.
+    """
+    key = resolve_run(spark, root, domain, day)
+    return key, read_run(spark, root, domain, key, fmt, with_run_ts)
