@@ -22,7 +22,7 @@ from strata.plans.views import (
 from strata.session import scratch_dir
 from strata.sources.layers import domain_dir, read_run, resolve_run, write_run
 from strata.sources.legacy import adopt_legacy_runs
-from strata.sources.tables import publish_table, to_publishable
+from strata.sources.tables import publish_table, publishable_column, to_publishable
 
 DAY = "20240110"
 EARLY_RUN = "202501010900"
@@ -128,6 +128,15 @@ def publishable_types(spark: SparkSession, sf: str) -> DataFrame:
     return to_publishable(table(spark, sf, "embeddings"))
 
 
+def publishable_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-7: the JSON text a published array becomes parses back to the same array."""
+    emb = table(spark, sf, "embeddings")
+    kind = emb.schema["embedding"].dataType
+    back = F.from_json(publishable_column(F.col("embedding"), kind), kind)
+    return emb.select("vec_id", "label", F.size(back).alias("dims"),
+                      (back == F.col("embedding")).alias("roundtrip_exact"))
+
+
 def publish_csv_backup(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-5, SNK-4: older publish variant -- silver -> table, backup to diamond as CSV."""
     roots = LakeRoots.under(scratch_dir(spark, "publish_csv"))
@@ -189,6 +198,7 @@ QUERIES = {
     "adopt_old_layout": adopt_old_layout,
     "publish_if_absent": publish_if_absent,
     "publishable_types": publishable_types,
+    "publishable_roundtrip": publishable_roundtrip,
     "publish_csv_backup": publish_csv_backup,
     "ingest_bronze": ingest_bronze,
     "landing_many_files": landing_many_files,
@@ -257,6 +267,8 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, '{LATE_RUN}' AS run_t
 FROM orders WHERE o_orderstatus = 'O'""",
     "publish_if_absent": """
 SELECT * FROM orders WHERE o_orderstatus = 'F'""",
+    "publishable_roundtrip": """
+SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, true AS roundtrip_exact FROM embeddings""",
     "publish_csv_backup": """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
   o_orderstatus, o_orderpriority FROM orders""",

@@ -10,11 +10,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def publishable_column(c: Column, data_type: T.DataType) -> Column:
+    """``c`` (of ``data_type``) cast to a type every SQL table can hold (see ``to_publishable``)."""
+    if isinstance(data_type, T.TimestampType):
+        return c.cast(T.TimestampNTZType())
+    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(c)
+    if isinstance(data_type, (T.DayTimeIntervalType, T.YearMonthIntervalType, T.CalendarIntervalType)):
+        return c.cast(T.StringType())
+    return c
+
+
 def to_publishable(df: DataFrame) -> DataFrame:
     """Cast columns to types every SQL table can hold, keeping names and order.
 
@@ -25,18 +36,8 @@ def to_publishable(df: DataFrame) -> DataFrame:
     All other types pass unchanged and map through the JDBC dialect (or the
     catalog) as they are.
     """
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        t = f.dataType
-        if isinstance(t, T.TimestampType):
-            c = c.cast(T.TimestampNTZType())
-        elif isinstance(t, (T.ArrayType, T.StructType, T.MapType)):
-            c = F.to_json(c)
-        elif isinstance(t, (T.DayTimeIntervalType, T.YearMonthIntervalType, T.CalendarIntervalType)):
-            c = c.cast(T.StringType())
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return df.select(*[publishable_column(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+                       for f in df.schema.fields])
 
 
 def publish_table(
