@@ -129,6 +129,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     return out
 
 
-if __name__ == "__main__":
+def _cli() -> None:
     main(sys.argv[1:])
-    sys.exit(0)
+
+
+if __name__ == "__main__":
+    _cli()
