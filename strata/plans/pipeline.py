@@ -19,7 +19,7 @@ from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scoped_conf, shuffle_partitions_for
 from strata.sources.layers import (
-    list_landing, read_latest, read_raw_csv, run_bytes, write_run,
+    csv_reader, list_landing, read_latest, read_raw_csv, run_bytes, write_run,
 )
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
@@ -90,7 +90,7 @@ def ingest_landing(
     if not groups:
         raise FileNotFoundError(f"no raw CSV under {landing}")
     for domain, paths in sorted(groups.items()):
-        write_run(spark.read.option("header", True).csv(paths), bronze_root, domain, run_ts, "csv",
+        write_run(csv_reader(spark).csv(paths), bronze_root, domain, run_ts, "csv",
                   num_files, preserve_whitespace)
     return {d: run_ts for d in groups}
 

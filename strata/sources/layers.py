@@ -33,16 +33,21 @@ def _check_format(fmt: str) -> str:
 
 
 def _reader(spark: SparkSession, fmt: str):
-    r = spark.read.format(_check_format(fmt))
-    if fmt == "csv":
-        # Header line names the columns; every field is text (no inference).
-        r = r.option("header", True)
-    return r
+    if _check_format(fmt) == "csv":
+        return csv_reader(spark).format("csv")
+    return spark.read.format(fmt)
+
+
+def csv_reader(spark: SparkSession):
+    """Header CSV reader: every field is text (no inference), and every file's
+    header must name the same columns in the same order -- a file whose header
+    differs fails the read instead of being mapped by position."""
+    return spark.read.option("header", True).option("enforceSchema", False)
 
 
 def read_raw_csv(spark: SparkSession, uri: str) -> DataFrame:
     """A raw CSV file or folder with a header line; all columns are strings."""
-    return spark.read.option("header", True).csv(uri)
+    return csv_reader(spark).csv(uri)
 
 
 def write_run(

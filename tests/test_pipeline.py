@@ -109,6 +109,15 @@ def test_ingest_landing_groups_by_domain(spark, tmp_path):
         ingest_landing(spark, str(tmp_path / "empty"), bronze)
 
 
+def test_ingest_landing_rejects_mismatched_headers(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "pacientes_a.csv").write_text("nombre,edad\nAna,34\n")
+    (land / "pacientes_b.csv").write_text("edad,nombre\n40,Bo\n")  # same domain, columns swapped
+    with pytest.raises(Exception, match="(?i)header|schema|FAILED_READ_FILE"):
+        ingest_landing(spark, str(land), str(tmp_path / "bronze"), "202505151030")
+
+
 def test_empty_raw_file_flows_through(spark, tmp_path):
     raw = tmp_path / "pacientes_crudo.csv"
     raw.write_text("nombre,edad,obra_social,fecha_turno\n")
