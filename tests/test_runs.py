@@ -126,3 +126,12 @@ def test_failed_write_never_becomes_latest(spark, layer):
         write_run(bad, layer, "pacientes", "202505152300")
     assert resolve_run(spark, layer, "pacientes", "20250515") == "202505151045"
     assert resolve_run(spark, layer, "pacientes") == "202505151045"
+
+
+def test_read_layer_csv(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    for r in ("202505140900", "202505151030"):
+        write_run(spark.createDataFrame([("Ana", r)], "nombre string, tag string"), root, "p", r, "csv")
+    df = read_layer(spark, root, "p", "csv")
+    assert df.dtypes == [("nombre", "string"), ("tag", "string"), ("run_ts", "string")]
+    assert sorted(tuple(r) for r in latest_run(df).collect()) == [("202505151030", "Ana", "202505151030")]
