@@ -37,6 +37,15 @@ def check_day(day: str | None) -> str | None:
     return day
 
 
+def check_domain(domain: str) -> str:
+    """A domain names a folder: non-empty, no path separator, no ``=`` (which
+    partition discovery would read as ``column=value``)."""
+    if not isinstance(domain, str) or not domain or any(ch in domain for ch in "/\\=") \
+            or domain.strip() != domain:
+        raise ValueError(f"invalid domain {domain!r}")
+    return domain
+
+
 def domain_of(path: str) -> str:
     """Domain of a raw file: its name without extension, up to the first ``_``, lower case.
 

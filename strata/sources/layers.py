@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.fixed import DOMAIN_DIR_PREFIX
-from strata.operators.runs import RUN_COLUMN, RUN_KEY, check_day, check_run
+from strata.operators.runs import RUN_COLUMN, RUN_KEY, check_day, check_domain, check_run
 
 FORMATS = ("parquet", "csv")
 
 
 def domain_dir(root: str, domain: str) -> str:
-    return f"{root.rstrip('/')}/{DOMAIN_DIR_PREFIX}{domain.upper()}"
+    return f"{root.rstrip('/')}/{DOMAIN_DIR_PREFIX}{check_domain(domain).upper()}"
 
 
 def run_dir(root: str, domain: str, run_ts: str) -> str:

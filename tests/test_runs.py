@@ -21,6 +21,9 @@ def test_run_stamp_and_domain():
     assert domain_of("turnos.csv") == "turnos"
     with pytest.raises(ValueError):
         check_run("2025051510")
+    for bad in ("", "a/b", "a=b", " a"):
+        with pytest.raises(ValueError):
+            run_dir("/lake", bad, "202505151030")
 
 
 def _frame(spark):
