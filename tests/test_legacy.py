@@ -36,3 +36,20 @@ def test_adopt_legacy_runs(spark, old_lake):
     assert read_run(spark, new_bronze, "pacientes", "202505151030", "csv").columns == ["nombre", "edad"]
     with pytest.raises(FileNotFoundError):
         adopt_legacy_runs(spark, str(old_lake / "silver"), dst, "otro")
+
+
+def test_adopt_single_file_runs(spark, tmp_path):
+    """Diamond kept each run as one copied Parquet file, not a folder."""
+    import glob
+    import shutil
+
+    staging = tmp_path / "staging"
+    spark.createDataFrame([("Ana", "34"), ("Bo", "40")], "nombre string, edad string") \
+        .coalesce(1).write.parquet(str(staging))
+    part = glob.glob(str(staging / "part-*.parquet"))[0]
+    base = tmp_path / "diamond" / "LOCAL_PACIENTES"
+    base.mkdir(parents=True)
+    shutil.copy(part, base / "pacientes_refinados_202505151030.parquet")
+    dst = str(tmp_path / "new-diamond")
+    assert adopt_legacy_runs(spark, str(tmp_path / "diamond"), dst, "pacientes") == ["202505151030"]
+    assert read_run(spark, dst, "pacientes", "202505151030").count() == 2
