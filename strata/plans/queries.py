@@ -133,8 +133,8 @@ def publishable_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     emb = table(spark, sf, "embeddings")
     kind = emb.schema["embedding"].dataType
     back = F.from_json(publishable_column(F.col("embedding"), kind), kind)
-    return emb.select("vec_id", "label", F.size(back).alias("dims"),
-                      (back == F.col("embedding")).alias("roundtrip_exact"))
+    return emb.select("vec_id", "label", F.array_size(back).alias("dims"),
+                      back.eqNullSafe(F.col("embedding")).alias("roundtrip_exact"))
 
 
 def publish_csv_backup(spark: SparkSession, sf: str) -> DataFrame:
