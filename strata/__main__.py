@@ -101,6 +101,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     from strata.operators.runs import run_stamp
 
     args = _parser().parse_args(argv)
+    import logging
+
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     spark = spark or SparkSession.builder.appName(f"strata-{args.step}").getOrCreate()
     run_ts = args.run_ts or run_stamp()
     day = getattr(args, "day", None)

@@ -9,6 +9,7 @@ only. The driver handles paths and run keys, never rows.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,6 +25,9 @@ from strata.sources.layers import (
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
 
+log = logging.getLogger("strata")
+
+
 @dataclass(frozen=True)
 class LakeRoots:
     """Root URI of each layer (any Hadoop file system)."""
@@ -62,8 +66,9 @@ def ingest(
     """
     domain = domain or domain_of(raw_uri)
     run_ts = check_run(run_ts or run_stamp())
-    write_run(read_raw_csv(spark, raw_uri), bronze_root, domain, run_ts, "csv", num_files,
-              preserve_whitespace)
+    path = write_run(read_raw_csv(spark, raw_uri), bronze_root, domain, run_ts, "csv", num_files,
+                     preserve_whitespace)
+    log.info("ingest: %s -> %s", raw_uri, path)
     return domain, run_ts
 
 
@@ -90,8 +95,9 @@ def ingest_landing(
     if not groups:
         raise FileNotFoundError(f"no raw CSV under {landing}")
     for domain, paths in sorted(groups.items()):
-        write_run(csv_reader(spark).csv(paths), bronze_root, domain, run_ts, "csv",
-                  num_files, preserve_whitespace)
+        path = write_run(csv_reader(spark).csv(paths), bronze_root, domain, run_ts, "csv",
+                         num_files, preserve_whitespace)
+        log.info("ingest: %d file(s) of domain %s -> %s", len(paths), domain, path)
     return {d: run_ts for d in groups}
 
 
@@ -119,7 +125,8 @@ def refine_latest(
     refined = refine(bronze, spec)
     parts = shuffle_partitions_for(spark, run_bytes(spark, bronze_root, domain, src), bytes_per_partition)
     with scoped_conf(spark, {"spark.sql.shuffle.partitions": str(parts)}):
-        write_run(refined, silver_root, domain, out, "parquet", num_files)
+        path = write_run(refined, silver_root, domain, out, "parquet", num_files)
+    log.info("refine: bronze run %s (%d dedup reducers) -> %s", src, parts, path)
     return out
 
 
@@ -138,7 +145,8 @@ def promote(
     read + write of all the run's files. Returns the run key.
     """
     key, df = read_latest(spark, src_root, domain, check_day(day), fmt)
-    write_run(df, dst_root, domain, key, fmt, num_files)
+    path = write_run(df, dst_root, domain, key, fmt, num_files)
+    log.info("promote: run %s -> %s", key, path)
     return key
 
 
@@ -171,8 +179,10 @@ def publish(
     out = to_publishable(df)
     created = publish_jdbc(out, jdbc, name) if jdbc else publish_table(out, name, table_path)
     backup_run = check_run(run_ts or run_stamp())
-    write_run(out if backup_format == "csv" else df, backup_root, domain, backup_run,
-              backup_format, num_files)
+    path = write_run(out if backup_format == "csv" else df, backup_root, domain, backup_run,
+                     backup_format, num_files)
+    log.info("publish: run %s -> table %s (%s); backup -> %s", src, name,
+             "created" if created else "already present, left as is", path)
     return PublishResult(name, created, src, backup_run)
 
 
