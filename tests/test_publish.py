@@ -136,3 +136,20 @@ def test_postgres_ddl_after_to_publishable(spark):
         "f": "FLOAT4", "b": "BOOLEAN", "dt": "DATE", "ts": "TIMESTAMP", "dec": "NUMERIC(5,2)",
         "arr": "TEXT", "st": "TEXT", "m": "TEXT", "iv": "TEXT",
     }
+
+
+def test_publish_transform_hook_shapes_table_and_backup(spark, tmp_path):
+    diamond, gold = str(tmp_path / "diamond"), str(tmp_path / "gold")
+    df = spark.createDataFrame([("Ana", "OSDE"), ("Bo", "OSDE"), ("Cy", "PAMI")],
+                               "nombre string, obra_social string")
+    write_run(df, diamond, "pacientes", "202505151030")
+    name = f"t_{uuid.uuid4().hex[:8]}"
+
+    def per_insurer(d):
+        return d.groupBy("obra_social").agg(F.count("*").alias("n"))
+
+    res = publish(spark, diamond, gold, "pacientes", "20250515", table=name,
+                  table_path=str(tmp_path / "t"), run_ts="202505151100", transform=per_insurer)
+    want = [("OSDE", 2), ("PAMI", 1)]
+    assert sorted(tuple(r) for r in spark.table(name).collect()) == want
+    assert sorted(tuple(r) for r in read_run(spark, gold, "pacientes", res.backup_run).collect()) == want
