@@ -56,10 +56,11 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-# Input bytes per reducer of a whole-row dedup. The shuffled rows (binary
-# rows, at most one per distinct row per task) can be about twice the size
-# of their CSV text, so this keeps a reducer near 256 MiB.
-DEDUP_INPUT_BYTES_PER_PARTITION = 128 * 1024 * 1024
+# Input bytes per reducer of a whole-row dedup: AQE's default target size.
+# The shuffled rows (binary rows, at most one per distinct row per task) can
+# be about twice the size of their CSV text, so a reducer starts at or below
+# ~128 MiB; AQE merges neighbours that turn out smaller.
+DEDUP_INPUT_BYTES_PER_PARTITION = 64 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 
