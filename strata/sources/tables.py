@@ -84,7 +84,9 @@ def _jdbc_connection(spark: SparkSession, target: JdbcTarget):
         props.setProperty(k, str(v))
     driver = target.properties.get("driver")
     if driver:
-        jvm.java.lang.Class.forName(driver)
+        # Load the driver the way Spark's own JDBC source does, so drivers
+        # shipped with --jars / spark.jars are found from the driver too.
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
     return jvm.java.sql.DriverManager.getConnection(target.url, props)
 
 
@@ -103,16 +105,31 @@ def _jdbc_execute(spark: SparkSession, target: JdbcTarget, sql: str) -> None:
 
 
 def jdbc_table_exists(spark: SparkSession, target: JdbcTarget, table: str) -> bool:
-    """True when ``table`` exists at the target (looked up in the database's catalog)."""
+    """True when ``table`` exists at the target.
+
+    Looked up in the database catalog by exact name (case-insensitive), in
+    the schema the name gives or else the connection's current schema.
+    """
     conn = _jdbc_connection(spark, target)
     try:
+        schema, _, bare = table.rpartition(".")
+        schema = schema or conn.getSchema()
         meta = conn.getMetaData()
-        for candidate in {table, table.upper(), table.lower()}:
-            schema, _, bare = candidate.rpartition(".")
-            rs = meta.getTables(None, schema or None, bare, None)
+        esc = meta.getSearchStringEscape() or ""
+
+        def literal(x: str) -> str:  # a name as a LIKE pattern that matches only itself
+            if not esc:
+                return x
+            return x.replace(esc, esc + esc).replace("_", esc + "_").replace("%", esc + "%")
+
+        for candidate in {bare, bare.upper(), bare.lower()}:
+            rs = meta.getTables(None, None, literal(candidate), None)
             try:
-                if rs.next():
-                    return True
+                while rs.next():
+                    name, owner = rs.getString("TABLE_NAME"), rs.getString("TABLE_SCHEM")
+                    if name.lower() == bare.lower() and \
+                            (schema is None or (owner or "").lower() == schema.lower()):
+                        return True
             finally:
                 rs.close()
         return False

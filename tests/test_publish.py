@@ -73,6 +73,19 @@ def test_publish_jdbc_create_if_absent(spark):
     assert dict(back.dtypes)["fecha_turno"] == "date"
 
 
+def test_jdbc_table_exists_is_exact(spark):
+    from strata.sources.tables import _jdbc_execute
+
+    target = _derby()
+    _jdbc_execute(spark, target, "CREATE SCHEMA other")
+    _jdbc_execute(spark, target, "CREATE TABLE other.pacientes_diamond (k INT)")
+    _jdbc_execute(spark, target, "CREATE TABLE pacientesXdiamond (k INT)")
+    assert not jdbc_table_exists(spark, target, "pacientes_diamond")  # other schema, or a LIKE match
+    assert jdbc_table_exists(spark, target, "other.pacientes_diamond")
+    assert jdbc_table_exists(spark, target, "pacientesxdiamond")
+    assert publish_jdbc(spark.range(2).withColumnRenamed("id", "k"), target, "pacientes_diamond") is True
+
+
 def test_publish_jdbc_failed_load_is_retryable(spark):
     target = _derby()
     bad = spark.range(5).select(
