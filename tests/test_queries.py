@@ -58,3 +58,25 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, got) == _rows(rel.columns, rel.fetchall())
+
+
+ODD_SESSION = {
+    "spark.sql.ansi.enabled": "false",
+    "spark.sql.legacy.timeParserPolicy": "LEGACY",
+    "spark.sql.shuffle.partitions": "200",
+    "spark.sql.session.timeZone": "Asia/Kolkata",
+}
+
+
+@pytest.mark.parametrize("name", ["refine_appointments", "date_prefix", "int_range", "raw_to_gold"])
+def test_results_do_not_depend_on_session_settings(spark, name):
+    base = sorted(map(tuple, QUERIES[name](spark, SF_SMALL).collect()))
+    old = {k: spark.conf.get(k, None) for k in ODD_SESSION}
+    for k, v in ODD_SESSION.items():
+        spark.conf.set(k, v)
+    try:
+        odd = sorted(map(tuple, QUERIES[name](spark, SF_SMALL).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert odd == base
