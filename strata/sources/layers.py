@@ -8,7 +8,9 @@ one table with a ``run_ts`` string column that Spark can prune on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +18,7 @@ from strata.fixed import DOMAIN_DIR_PREFIX
 from strata.operators.runs import RUN_COLUMN, RUN_KEY, check_day, check_domain, check_run
 
 FORMATS = ("parquet", "csv")
+log = logging.getLogger("strata")
 
 
 def domain_dir(root: str, domain: str) -> str:
@@ -65,9 +68,13 @@ def write_run(
     ``num_files`` asks for a fixed count; ``num_files=1`` reproduces a
     single-file layout at the price of one writing task. CSV output has a
     header; its writer trims leading/trailing blanks of text fields unless
-    ``preserve_whitespace`` is set. Returns the run directory.
+    ``preserve_whitespace`` is set. The number of rows written is counted
+    inside the write job itself (``observe``, no extra scan) and logged.
+    Returns the run directory.
     """
     path = run_dir(root, domain, run_ts)
+    written = Observation(f"rows written to {path}")
+    df = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if num_files is not None:
         if num_files < 1:
             raise ValueError("num_files must be >= 1")
@@ -78,6 +85,7 @@ def write_run(
         if preserve_whitespace:
             w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     w.save(path)
+    log.info("wrote %s rows to %s", written.get.get("rows"), path)
     return path
 
 
