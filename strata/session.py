@@ -40,6 +40,19 @@ def scratch_dir(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_root(spark)}/strata/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def jvm_context(spark: SparkSession):
+    """The session's SparkContext, needed for file-system listings and JDBC
+    statements from the driver; a Spark Connect session has none."""
+    try:
+        sc = spark.sparkContext
+        sc._jvm  # noqa: B018 -- touch the gateway
+        return sc
+    except Exception as exc:
+        raise RuntimeError(
+            "this operation lists files or runs JDBC statements on the driver and needs a "
+            "classic Spark session (not Spark Connect)") from exc
+
+
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
     """Set runtime SQL settings for the jobs run inside the block, then restore them."""

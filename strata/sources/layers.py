@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from strata.fixed import DOMAIN_DIR_PREFIX
 from strata.operators.runs import RUN_COLUMN, RUN_KEY, check_day, check_domain, check_run
+from strata.session import jvm_context
 
 FORMATS = ("parquet", "csv")
 log = logging.getLogger("strata")
@@ -118,13 +119,13 @@ def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    sc = jvm_context(spark)
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
 
 def _writes_success_marker(spark: SparkSession) -> bool:
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf = jvm_context(spark)._jsc.hadoopConfiguration()
     return conf.getBoolean("mapreduce.fileoutputcommitter.marksuccessfuljobs", True)
 
 
@@ -196,7 +197,7 @@ def resolve_run(spark: SparkSession, root: str, domain: str, day: str | None = N
     skipped. Raises ``FileNotFoundError`` when there is none.
     """
     fs, _ = _hadoop_fs(spark, domain_dir(root, domain))
-    jvm = spark.sparkContext._jvm
+    jvm = jvm_context(spark)._jvm
     need_marker = _writes_success_marker(spark)
     for key in list_runs(spark, root, domain, day):
         if _run_complete(fs, jvm.org.apache.hadoop.fs.Path(run_dir(root, domain, key)), need_marker):

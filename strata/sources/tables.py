@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import jvm_context
+
 
 def publishable_column(c: Column, data_type: T.DataType) -> Column:
     """``c`` (of ``data_type``) cast to a type every SQL table can hold (see ``to_publishable``)."""
@@ -78,7 +80,7 @@ class JdbcTarget:
 
 
 def _jdbc_connection(spark: SparkSession, target: JdbcTarget):
-    jvm = spark.sparkContext._jvm
+    jvm = jvm_context(spark)._jvm
     props = jvm.java.util.Properties()
     for k, v in target.properties.items():
         props.setProperty(k, str(v))
