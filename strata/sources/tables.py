@@ -87,8 +87,12 @@ def _jdbc_connection(spark: SparkSession, target: JdbcTarget):
     driver = target.properties.get("driver")
     if driver:
         # Load the driver the way Spark's own JDBC source does, so drivers
-        # shipped with --jars / spark.jars are found from the driver too.
-        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
+        # shipped with --jars / spark.jars are found from the driver too; the
+        # plain class lookup is the fallback should that helper ever move.
+        try:
+            jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
+        except Exception:
+            jvm.java.lang.Class.forName(driver)
     return jvm.java.sql.DriverManager.getConnection(target.url, props)
 
 
