@@ -55,7 +55,11 @@ def jvm_context(spark: SparkSession):
 
 @contextmanager
 def scoped_conf(spark: SparkSession, settings: dict[str, str]):
-    """Set runtime SQL settings for the jobs run inside the block, then restore them."""
+    """Set runtime SQL settings for the jobs run inside the block, then restore them.
+
+    The settings are session-wide while the block runs: jobs that other
+    threads start on the same session meanwhile see them too.
+    """
     old = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
