@@ -35,6 +35,8 @@ def main() -> None:
             fn(spark, sf).explain()
         plan = re.sub(r"file:[^\s,\]]*/strata/", "<scratch>/", buf.getvalue())
         plan = re.sub(r"#\d+L?", "", plan)
+        plan = re.sub(r", \[plan_id=\d+\]", "", plan)  # keep the file stable between runs
+        plan = re.sub(r"-[0-9a-f]{12}/", "-<id>/", plan)
         out += [f"## {name}", "", "```", plan.strip(), "```", ""]
     spark.stop()
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
