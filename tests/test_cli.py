@@ -40,3 +40,14 @@ def test_cli_run_over_jdbc(spark, tmp_path):
     back = (spark.read.format("jdbc").option("url", url).option("dbtable", "pacientes_diamond")
             .option("driver", "org.apache.derby.iapi.jdbc.AutoloadedDriver").load())
     assert [tuple(r)[:3] for r in back.collect()] == [("Ana", "34", "OSDE")]
+
+
+def test_cli_stdout_is_one_json_line(spark, tmp_path, capsys):
+    import json
+
+    raw = tmp_path / "pacientes_crudo.csv"
+    raw.write_text(RAW)
+    main(["ingest", "--raw", str(raw), "--bronze", str(tmp_path / "b"), "--run-ts", "202505151030"], spark)
+    out = capsys.readouterr().out.strip().splitlines()
+    assert len(out) == 1
+    assert json.loads(out[0]) == {"step": "ingest", "runs": {"pacientes": "202505151030"}}
