@@ -104,7 +104,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     import logging
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
-    spark = spark or SparkSession.builder.appName(f"strata-{args.step}").getOrCreate()
+    spark = spark or (SparkSession.builder.appName(f"strata-{args.step}")
+                      .config("spark.ui.showConsoleProgress", "false")  # keep stderr to log lines
+                      .getOrCreate())
     run_ts = args.run_ts or run_stamp()
     day = getattr(args, "day", None)
     if args.step == "ingest":
