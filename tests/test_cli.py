@@ -51,3 +51,14 @@ def test_cli_stdout_is_one_json_line(spark, tmp_path, capsys):
     out = capsys.readouterr().out.strip().splitlines()
     assert len(out) == 1
     assert json.loads(out[0]) == {"step": "ingest", "runs": {"pacientes": "202505151030"}}
+
+
+def test_cli_ingest_landing(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "pacientes_a.csv").write_text(RAW)
+    (land / "turnos_x.csv").write_text("id,sala\n1,A\n")
+    out = main(["ingest", "--landing", str(land), "--bronze", str(tmp_path / "b"),
+                "--run-ts", "202505151030"], spark)
+    assert out == {"runs": {"pacientes": "202505151030", "turnos": "202505151030"}}
+    assert read_run(spark, str(tmp_path / "b"), "turnos", "202505151030", "csv").count() == 1
