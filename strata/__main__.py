@@ -20,7 +20,7 @@ from dataclasses import asdict
 
 from pyspark.sql import SparkSession
 
-from strata.operators.refine import APPOINTMENTS
+from strata.operators.refine import APPOINTMENTS, spec_from_dict
 from strata.plans.pipeline import (
     LakeRoots, ingest, ingest_landing, promote, publish, refine_latest, run_pipeline,
 )
@@ -73,6 +73,7 @@ def _parser() -> argparse.ArgumentParser:
     sp = sub.add_parser("refine", help="latest bronze run of a day -> silver run")
     common(sp, "bronze", "silver")
     sp.add_argument("--domain", required=True)
+    sp.add_argument("--spec", help="JSON file with a refine spec (default: the appointments rules)")
     sp.add_argument("--day", help="YYYYMMDD (default: the day of --run-ts / today)")
 
     sp = sub.add_parser("promote", help="latest silver run (any day) -> diamond")
@@ -118,7 +119,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
                                  args.preserve_whitespace)
             out = {"runs": {domain: key}}
     elif args.step == "refine":
-        out = {"run_ts": refine_latest(spark, args.bronze, args.silver, args.domain, APPOINTMENTS,
+        spec = APPOINTMENTS
+        if args.spec:
+            with open(args.spec) as fh:
+                spec = spec_from_dict(json.load(fh))
+        out = {"run_ts": refine_latest(spark, args.bronze, args.silver, args.domain, spec,
                                        day or run_ts[:8], run_ts, args.num_files)}
     elif args.step == "promote":
         out = {"run_ts": promote(spark, args.silver, args.diamond, args.domain, day,

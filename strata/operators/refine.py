@@ -42,6 +42,26 @@ class RefineSpec:
     dedup: bool = True
 
 
+def spec_from_dict(d: dict) -> RefineSpec:
+    """A spec from plain data, e.g. parsed JSON::
+
+        {"not_blank": ["nombre"], "int_ranges": [["edad", 0, 120]],
+         "dates": ["fecha_turno"], "dedup": true}
+    """
+    known = {"not_blank", "int_ranges", "dates", "date_sep", "date_format", "dedup"}
+    unknown = set(d) - known
+    if unknown:
+        raise ValueError(f"unknown refine spec keys: {sorted(unknown)}")
+    return RefineSpec(
+        not_blank=tuple(d.get("not_blank", ())),
+        int_ranges=tuple((str(c), int(lo), int(hi)) for c, lo, hi in d.get("int_ranges", ())),
+        dates=tuple(d.get("dates", ())),
+        date_sep=d.get("date_sep", DATE_SEPARATOR),
+        date_format=d.get("date_format", DATE_FORMAT),
+        dedup=bool(d.get("dedup", True)),
+    )
+
+
 # The appointments ("pacientes") rule set of the source pipeline (values in strata.fixed).
 APPOINTMENTS = RefineSpec(
     not_blank=APPOINTMENT_NOT_BLANK,
@@ -50,7 +70,8 @@ APPOINTMENTS = RefineSpec(
     dedup=True,
 )
 
-__all__ = ["APPOINTMENTS", "APPOINTMENT_COLUMNS", "RefineSpec", "refine", "row_filter"]
+__all__ = ["APPOINTMENTS", "APPOINTMENT_COLUMNS", "RefineSpec", "refine", "row_filter",
+           "spec_from_dict"]
 
 
 def row_filter(spec: RefineSpec):

@@ -62,3 +62,29 @@ def test_cli_ingest_landing(spark, tmp_path):
                 "--run-ts", "202505151030"], spark)
     assert out == {"runs": {"pacientes": "202505151030", "turnos": "202505151030"}}
     assert read_run(spark, str(tmp_path / "b"), "turnos", "202505151030", "csv").count() == 1
+
+
+def test_cli_refine_with_spec(spark, tmp_path):
+    import json
+
+    raw = tmp_path / "turnos_crudo.csv"
+    raw.write_text("sala,dia\nA,2025-05-10 09:00\n,2025-05-10\nB,nope\nA,2025-05-10 11:00\n")
+    spec = tmp_path / "spec.json"
+    spec.write_text(json.dumps({"not_blank": ["sala"], "dates": ["dia"], "dedup": True}))
+    b, s = str(tmp_path / "b"), str(tmp_path / "s")
+    main(["ingest", "--raw", str(raw), "--bronze", b, "--run-ts", "202505151030"], spark)
+    main(["refine", "--bronze", b, "--silver", s, "--domain", "turnos", "--run-ts", "202505151031",
+          "--spec", str(spec)], spark)
+    got = [tuple(r) for r in read_run(spark, s, "turnos", "202505151031").collect()]
+    assert len(got) == 1 and got[0][0] == "A"
+
+
+def test_spec_from_dict_rejects_unknown_keys():
+    import pytest
+
+    from strata.operators.refine import APPOINTMENTS, spec_from_dict
+
+    assert spec_from_dict({"not_blank": ["nombre", "obra_social"], "int_ranges": [["edad", 0, 120]],
+                           "dates": ["fecha_turno"]}) == APPOINTMENTS
+    with pytest.raises(ValueError):
+        spec_from_dict({"not_blank": ["a"], "typo": 1})
