@@ -130,3 +130,22 @@ def test_empty_raw_file_flows_through(spark, tmp_path):
     assert t.count() == 0
     assert t.dtypes == [("nombre", "string"), ("edad", "string"), ("obra_social", "string"),
                         ("fecha_turno", "date")]
+
+
+def test_two_days_keep_their_runs(spark, tmp_path):
+    raw = tmp_path / "pacientes_crudo.csv"
+    roots = LakeRoots.under(str(tmp_path / "lake"))
+    name = f"days_{uuid.uuid4().hex[:8]}"
+    raw.write_text(RAW)
+    r1 = run_pipeline(spark, str(raw), roots, run_ts="202505140900", table=name,
+                      table_path=str(tmp_path / "t"))
+    raw.write_text(RAW.splitlines()[0] + "\nZoe,20,OSDE,2025-05-15\n")
+    r2 = run_pipeline(spark, str(raw), roots, run_ts="202505150900", table=name,
+                      table_path=str(tmp_path / "t"))
+    assert (r1.created, r2.created) == (True, False)  # table published once, left alone after
+    for root in (roots.bronze, roots.silver, roots.diamond, roots.gold):
+        assert list_runs(spark, root, "pacientes") == ["202505150900", "202505140900"]
+    assert read_run(spark, roots.gold, "pacientes", "202505150900").count() == 1
+    assert read_run(spark, roots.gold, "pacientes", "202505140900").count() == 2
+    assert read_run(spark, roots.bronze, "pacientes", "202505140900", "csv").count() == 7
+    assert spark.table(name).count() == 2
