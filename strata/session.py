@@ -92,6 +92,9 @@ def shuffle_partitions_for(
     coalesces the surplus when the data turns out smaller), capped so the
     map x reduce block count stays manageable.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    except ValueError:  # e.g. "auto" in some distributions: size from the input alone
+        current = 1
     wanted = math.ceil(max(input_bytes, 0) / bytes_per_partition)
     return max(current, min(MAX_SHUFFLE_PARTITIONS, wanted))
