@@ -80,6 +80,7 @@ def _parser() -> argparse.ArgumentParser:
     common(sp, "silver", "diamond")
     sp.add_argument("--domain", required=True)
     sp.add_argument("--day", help="restrict to runs of this day")
+    sp.add_argument("--format", default="parquet", choices=["parquet", "csv"], help="layer format")
 
     sp = sub.add_parser("publish", help="latest diamond run of a day -> table + gold backup")
     common(sp, "diamond", "gold")
@@ -126,8 +127,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {"run_ts": refine_latest(spark, args.bronze, args.silver, args.domain, spec,
                                        day or run_ts[:8], run_ts, args.num_files)}
     elif args.step == "promote":
-        out = {"run_ts": promote(spark, args.silver, args.diamond, args.domain, day,
-                                 num_files=args.num_files)}
+        out = {"run_ts": promote(spark, args.silver, args.diamond, args.domain, day, args.format,
+                                 args.num_files)}
     elif args.step == "publish":
         out = asdict(publish(spark, args.diamond, args.gold, args.domain, day or run_ts[:8],
                              args.table, args.table_path, _jdbc(args), args.source_format,
