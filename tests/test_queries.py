@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry_mod
 from strata.plans.views import TABLES
 from tests.conftest import SF_SMALL
+from tools.check_oracle import SPARK_TO_DUCK
 
 QUERIES = entry_mod.queries()
 ORACLES = entry_mod.oracle_sql()
@@ -57,6 +58,8 @@ def test_query_matches_oracle(spark, duck, name):
         return
     rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {n: SPARK_TO_DUCK.get(t, t).upper() for n, t in df.dtypes}
+    assert spark_types == {n: str(t).upper() for n, t in zip(rel.columns, rel.types)}
     assert _rows(df.columns, got) == _rows(rel.columns, rel.fetchall())
 
 
