@@ -27,7 +27,7 @@ from strata.sources.tables import publish_table, publishable_column, to_publisha
 DAY = "20240110"
 EARLY_RUN = "202501010900"
 LATE_RUN = "202501021000"
-PIPELINE_RUN = "202505151030"
+GOLD_RUN = "202505151030"
 
 
 def refine_appointments(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,7 +181,7 @@ def raw_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     raw = f"{base}/landing/pacientes_crudo.csv"
     appointments_view(table(spark, sf, "events")).drop("event_id").write.option("header", True).csv(raw)
     roots = LakeRoots.under(f"{base}/lake")
-    res = run_pipeline(spark, raw, roots, APPOINTMENTS, run_ts=PIPELINE_RUN,
+    res = run_pipeline(spark, raw, roots, APPOINTMENTS, run_ts=GOLD_RUN,
                        table=f"pacientes_diamond_{uuid.uuid4().hex[:12]}",
                        table_path=f"{base}/tables/pacientes_diamond")
     return read_run(spark, roots.gold, "pacientes", res.backup_run)
