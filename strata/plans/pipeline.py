@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,14 +80,18 @@ def ingest_landing(
     run_ts: str | None = None,
     num_files: int | None = None,
     preserve_whitespace: bool = False,
+    parallel_domains: int = 4,
 ) -> dict[str, str]:
     """Every raw CSV in a landing folder -> one bronze run per domain.
 
     Files are grouped by the domain in their names (``pacientes_a.csv`` and
     ``pacientes_b.csv`` load together); each domain is one distributed read
     of all its files, so files of different domains (different headers)
-    never mix. Returns ``{domain: run_ts}``; raises ``FileNotFoundError``
-    when the folder holds no CSV.
+    never mix. Up to ``parallel_domains`` domain jobs are submitted at once,
+    so many small domains do not leave the cluster idle between jobs; every
+    domain is attempted and the first failure is raised at the end. Returns
+    ``{domain: run_ts}``; raises ``FileNotFoundError`` when the folder holds
+    no CSV.
     """
     run_ts = check_run(run_ts or run_stamp())
     groups: dict[str, list[str]] = {}
@@ -94,10 +99,18 @@ def ingest_landing(
         groups.setdefault(domain_of(path), []).append(path)
     if not groups:
         raise FileNotFoundError(f"no raw CSV under {landing}")
-    for domain, paths in sorted(groups.items()):
+
+    def one(domain: str) -> None:
+        paths = groups[domain]
         path = write_run(csv_reader(spark).csv(paths), bronze_root, domain, run_ts, "csv",
                          num_files, preserve_whitespace)
         log.info("ingest: %d file(s) of domain %s -> %s", len(paths), domain, path)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel_domains, len(groups)))) as pool:
+        futures = [pool.submit(one, d) for d in sorted(groups)]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
     return {d: run_ts for d in groups}
 
 

@@ -8,7 +8,7 @@ import pytest
 from strata.plans.pipeline import (
     LakeRoots, ingest, ingest_landing, promote, refine_latest, run_pipeline,
 )
-from strata.sources.layers import list_runs, read_run, write_run
+from strata.sources.layers import list_runs, read_run, resolve_run, write_run
 
 RAW = ('nombre,edad,obra_social,fecha_turno\n'
        '"  Ana ",34,OSDE,2025-05-10 10:30:00\n'
@@ -149,3 +149,19 @@ def test_two_days_keep_their_runs(spark, tmp_path):
     assert read_run(spark, roots.gold, "pacientes", "202505140900").count() == 2
     assert read_run(spark, roots.bronze, "pacientes", "202505140900", "csv").count() == 7
     assert spark.table(name).count() == 2
+
+
+def test_ingest_landing_attempts_every_domain(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "pacientes_a.csv").write_text("nombre,edad\nAna,34\n")
+    (land / "pacientes_b.csv").write_text("edad,nombre\n40,Bo\n")  # bad: headers differ
+    for i in range(5):
+        (land / f"dom{i}_x.csv").write_text("id\n1\n")
+    bronze = str(tmp_path / "bronze")
+    with pytest.raises(Exception):
+        ingest_landing(spark, str(land), bronze, "202505151030", parallel_domains=3)
+    for i in range(5):  # the good domains were still loaded
+        assert read_run(spark, bronze, f"dom{i}", "202505151030", "csv").count() == 1
+    with pytest.raises(FileNotFoundError):  # the failed job committed no run
+        resolve_run(spark, bronze, "pacientes")
