@@ -21,3 +21,5 @@ Public API, by module:
 * ``strata.fixed`` -- names and formats shared with the source pipeline.
 * ``python -m strata`` -- one subcommand per step.
 """
+
+__version__ = "0.1.0"
