@@ -43,11 +43,12 @@ def lenient_int(c: str | Column) -> Column:
     (``'30.5'`` -> 30, ``'.5'`` -> 0), anything else (exponents, words,
     overflow) is NULL. Never raises, whatever the session's ANSI setting.
 
-    Three tiers, cheapest first, so that no row pays for a failed cast (a
-    failing ``try_cast`` costs an exception inside the JVM):
+    Three tiers, cheapest first, so that malformed text never pays for a
+    failed cast (a failing ``try_cast`` costs an exception inside the JVM):
     plain digit strings of up to 9 characters cannot overflow and are cast
     directly; other text is cast only when it has the accepted shape, after
-    a rewrite to ``<sign>0<digits>``; text of any other shape is NULL.
+    a rewrite to ``<sign>0<digits>`` (only well-shaped text that overflows
+    still fails a cast); text of any other shape is NULL.
     """
     x = _col(c)
     plain = F.length(x).between(1, 9) & (F.translate(x, "0123456789", "") == F.lit(""))
@@ -72,8 +73,10 @@ def date_prefix(c: str | Column, sep: str = " ", fmt: str = "yyyy-MM-dd") -> Col
     For the default format only text of the exact shape ``dddd-dd-dd``
     reaches a parser, and that parser is the plain text -> date cast, which
     on such text agrees with ``to_date(x, 'yyyy-MM-dd')`` (calendar checks
-    included), never consults the session's time-parser policy and costs no
-    exception on bad input. Handing the text to ``try_to_date`` instead would
+    included) and never consults the session's time-parser policy. Malformed
+    text never reaches a parser; only an impossible calendar date such as
+    ``2025-02-30`` costs an exception, caught inside Spark. Handing the text
+    to ``try_to_date`` instead would
     raise under the EXCEPTION policy and parse leniently under LEGACY
     (``'2025-05-1x'`` -> 2025-05-01). Other formats go to ``try_to_date``.
     """
