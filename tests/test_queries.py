@@ -6,12 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
+from strata.plans import queries
 from strata.plans.views import TABLES
 from tests.conftest import SF_SMALL
 from tools.check_oracle import SPARK_TO_DUCK
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+QUERIES = queries.QUERIES
+ORACLES = queries.ORACLE_SQL
 
 
 def _norm(v):
@@ -43,6 +44,11 @@ def test_entry(spark):
     assert df.count() > 0
 
 
+def test_every_library_query_is_registered():
+    assert set(QUERIES) <= set(entry_mod.queries())
+    assert set(ORACLES) <= set(entry_mod.oracle_sql())
+
+
 def test_every_query_has_an_oracle_or_is_listed():
     rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only == {"publishable_types"}
