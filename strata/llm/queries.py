@@ -9,13 +9,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import simhash
+from strata.llm import decontam, langid, lines, mixing, pii, sharding, simhash, tokens, topk, toxicity
+
+TOKENIZER = "piece_bpe_32k.model"
+TOKEN_LIMIT = 4096
+SHARDS = 24
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf).rstrip('/')}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    """``documents`` mixed to smoothed source weights: place of every (repeated) document in the stream."""
+    mixed = mixing.mix(_table(spark, sf, "documents").select("doc_id", "source"))
+    return mixed.select("doc_id", "source", "epoch", "block", "rank", "release", "deadline", "slot")
+
+
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data in ``documents``: base spans, and those that boosted trees add."""
+    found = pii.find(_table(spark, sf, "documents"))
+    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}")
+              for i, kind in enumerate(pii.KINDS)]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
+                        pii.spelled(F.concat("base", "added")).alias("spans"))
+
+
+def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every text of ``documents`` under the public 32k piece vocabulary."""
+    import public_tokenizers
+
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    counted = tokens.count_tokens(docs, public_tokenizers.path(TOKENIZER))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """``documents`` in 24 shards of near-equal bytes, equal texts together."""
+    placed = sharding.shards(_table(spark, sf, "documents"), SHARDS)
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate groups of ``documents`` by SimHash of three-word shingles, two bits."""
     found = simhash.near_duplicates(_table(spark, sf, "documents"))
@@ -23,8 +58,50 @@ def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
                         "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """``documents`` without the lines that three or more of them share."""
+    cleaned = lines.dedup_lines(_table(spark, sf, "documents"))
+    return cleaned.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of ``documents`` inside 13-word passages of ``benchmark``."""
+    found = decontam.contamination(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit",
+                        F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity score of every text of ``documents``, learned from ``labels``."""
+    rated = toxicity.rate(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+    return rated.withColumnRenamed("id", "doc_id")
+
+
+def op9_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The five nearest ``embeddings`` by inner product for each vec_id divisible by 50."""
+    asks = F.col("vec_id") % 50 == 0
+    return topk.top_k(_table(spark, sf, "embeddings"), asks, 5).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every text of ``documents`` by rank-order profiles."""
+    found = langid.identify(_table(spark, sf, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "held_out", F.col("lang").alias("lang_pred"), "score")
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_pii": op2_pii,
+    "op3_token_counts": op3_token_counts,
+    "op4_sharding": op4_sharding,
     "op5_simhash": op5_simhash,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_decontamination": op7_decontamination,
+    "op8_toxicity": op8_toxicity,
+    "op9_top_k": op9_top_k,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}

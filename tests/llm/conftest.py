@@ -1,0 +1,49 @@
+import pytest
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, row long, rank string, slot string, " \
+    "shard string, found string, id string, size string, source_key string, fp string, label string, n_tokens string"
+
+LICENSE = "Licensed under the Some Public License, version 3."
+PASSAGE = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+
+
+def _rows():
+    long = " ".join(f"Wort{i % 977} und\n" if i % 50 == 0 else f"mot{i % 1301}" for i in range(30_000))
+    texts = [
+        None, "", " \t\n ", "a", "one", "The cat sat on the mat with it", "The cat sat on the mat with it", long, long + " end",
+        f"{LICENSE}\nfirst own line is here, long enough\n{LICENSE}", f"  {LICENSE.upper()} \nsecond", f"x\n{LICENSE}", LICENSE,
+        f"before {PASSAGE} after", PASSAGE.upper(), "ONE, TWO!", "ünï çödé ☃ 中文 字", "|||| #### 1234",
+        "Mail a.b@c.de, x@y, 1.2.3.4 and 300.1.1.1, 1.2.3.4.5.6.7.8; +1 (988) 555-2485 or 4111 1111 1111 1111 or 4111111111111112",
+        "😀 a@b.c_d@e.f +49 30 123456-789- 123456789012345678901234567890 1-2-3", "you stupid idiot", 'they said "idiot" here',
+        "x" * 3000,
+    ]
+    out = []
+    for i, text in enumerate(texts):
+        out.append((i * 10, text, ["en", "fr", None][i % 3], ["s1", "s1", "s2", None][i % 4], len(text or ""),
+                    1, "r", "s", "t", "f", "i", "z", "k", "p", "l", "n"))
+    out.append(out[5])                                  # a row repeated whole
+    out.append((50, "another text with an old id") + out[5][2:])
+    out += [(None,) + out[6][1:], (None,) + out[9][1:]]   # no id
+    return out
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls, empty, blank and very long texts, repeated rows and ids, and columns with clashing names."""
+    return spark.createDataFrame(_rows(), COLUMNS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    return [(r[0], r[1]) for r in _rows()]
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+@pytest.fixture(scope="session")
+def few_items(spark):
+    rows = [(1, PASSAGE), (2, "one two"), (3, None), (None, "the cat"), (4, "..."), (1, PASSAGE), (5, "mot1 mot2 mot3 " + PASSAGE)]
+    return spark.createDataFrame(rows, "item_id long, text string")
