@@ -101,10 +101,9 @@ def links(fps: DataFrame) -> DataFrame:
     visits = fps.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
     shared = visits.groupBy("cell").count().filter("count > 1").select("cell")
     met = materialized(visits.join(shared, "cell", "left_semi").select("fp", "cell"), "cells")
-    candidates = met.select("fp").distinct().select("fp", F.explode(_near_values(F.col("fp"))).alias("near"))
-    named = (candidates.select("fp", "near.cell", "near.value")
-             .join(met, ["fp", "cell"], "left_semi")
-             .groupBy("value").agg(F.sort_array(F.collect_set("fp")).alias("fps"))  # 65 at most
+    inside = F.filter(_near_values(F.col("fp")), lambda near: near["cell"] == F.col("cell"))  # four values at most
+    named = (met.select("fp", F.explode(inside).alias("near"))
+             .groupBy(F.col("near.value").alias("value")).agg(F.sort_array(F.collect_set("fp")).alias("fps"))  # 65 at most
              .filter(F.size("fps") > 1))
     rest = named.select(F.col("fps")[0].alias("u"), F.explode(F.expr("slice(fps, 2, size(fps) - 1)")).alias("v"))
     return rest.distinct()

@@ -30,6 +30,15 @@ def fingerprint(text):
 
 def near_duplicates(rows):
     """[(id, text)] -> [(id, fingerprint, component id)]"""
+    return [x[:3] for x in _groups(rows)]
+
+
+def kept_ids(rows):
+    """The smallest id of every group."""
+    return sorted({group: component for _, _, component, group in _groups(rows)}.values())
+
+
+def _groups(rows):
     fps = [fingerprint(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -46,7 +55,7 @@ def near_duplicates(rows):
     for i, (key, _) in enumerate(rows):
         if key is not None:
             best[find(i)] = min(key, best.get(find(i), key))
-    return [(key, f"{fps[i]:016x}", best.get(find(i))) for i, (key, _) in enumerate(rows)]
+    return [(key, f"{fps[i]:016x}", best.get(find(i)), find(i)) for i, (key, _) in enumerate(rows)]
 
 
 # Lines ---------------------------------------------------------------------

@@ -40,10 +40,9 @@ def test_simhash_on_odd_rows(odd_docs, odd_rows, no_docs):
 
 
 def test_keep_one_keeps_one_row_of_each_group(odd_docs, odd_rows):
-    groups = {c for _, _, c in brute.near_duplicates(odd_rows)}
     kept = simhash.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
-    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(groups)
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == brute.kept_ids(odd_rows)
 
 
 def test_links_connect_exactly_the_near_fingerprints(spark):
@@ -134,8 +133,7 @@ def test_proximity(spark):
     block = decontam._items(items, "item_id", "text")
     index = decontam.build_index(docs, "row", "text", {1: [b"red", b"blue"]})
     found = decontam.proximity_hits(index, block, slop=1)
-    assert {(r.row, r.position, r.other_position) for r in found.collect()} == {(0, 0, 2), (1, 2, 3), (0, 2, 0), (1, 1, 2)} & {
-        (r.row, r.position, r.other_position) for r in found.collect()} and found.count() >= 2
+    assert {(r.row, r.position, r.other_position) for r in found.collect()} == {(0, 2, 0), (0, 2, 3), (0, 0, 2), (1, 1, 3)}
 
 
 # 3 -------------------------------------------------------------------------
