@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -51,3 +51,8 @@ def fresh(name: str, taken: list[str]) -> str:
     while name.lower() in lower:
         name += "_"
     return name
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row, also where ``use`` refers to it in a loop."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))

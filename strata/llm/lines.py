@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import materialized, text_digest
+from strata.llm.common import bound, materialized, text_digest
 from strata.session import scratch_dir
 
 FANOUT = 4
@@ -126,8 +126,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     all_lines = split_lines("text")
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     joined = rows.join(places, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
-    left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("gone"))
-    rest = F.when(F.col("gone").isNull(), text).when(F.size(left) == 0, F.lit("")).otherwise(
-        F.array_join(F.transform(left, lambda i: F.get(all_lines, i)), "\n"))
+    def without(every: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone"))
+        return F.array_join(F.transform(left, lambda i: F.get(every, i)), "\n")
+
+    rest = F.when(F.col("gone").isNull(), text).otherwise(bound(all_lines, without))
     return joined.select("id", F.size(all_lines).cast("long").alias("n_lines"),
                          F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"), rest.alias("kept"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import fresh, materialized
+from strata.llm.common import bound, fresh, materialized
 
 PERIOD = 1000        # slots of a period: weights are multiples of 1/1000
 BLOCK = 32           # rows of a block
@@ -71,9 +71,11 @@ def schedule(parts: DataFrame, period: int) -> DataFrame:
             had, own = F.get(state["had"], i), F.get(F.col("tasks"), i)["parts"]
             return F.when(_release(had, own, period) <= slot, F.struct(_deadline(had, own, period).alias("due"), i.alias("i")))
 
-        choice = F.array_min(F.transform(F.sequence(F.lit(0), F.size("tasks") - 1), offer))["i"]
-        had = F.transform(state["had"], lambda n, i: n + F.when(i == choice, 1).otherwise(0))
-        return F.struct(had.alias("had"), F.concat(state["taken"], F.array(choice)).alias("taken"))
+        def take(choice: Column) -> Column:
+            had = F.transform(state["had"], lambda n, i: n + F.when(i == choice, 1).otherwise(0))
+            return F.struct(had.alias("had"), F.concat(state["taken"], F.array(choice)).alias("taken"))
+
+        return bound(F.array_min(F.transform(F.sequence(F.lit(0), F.size("tasks") - 1), offer))["i"], take)
 
     start = F.struct(F.transform(F.col("tasks"), lambda t: F.lit(0).cast("long")).alias("had"),
                      F.array().cast("array<int>").alias("taken"))

@@ -133,7 +133,7 @@ def test_proximity(spark):
     block = decontam._items(items, "item_id", "text")
     index = decontam.build_index(docs, "row", "text", {1: [b"red", b"blue"]})
     found = decontam.proximity_hits(index, block, slop=1)
-    assert {(r.row, r.position, r.other_position) for r in found.collect()} == {(0, 2, 0), (0, 2, 3), (0, 0, 2), (1, 1, 3)}
+    assert {(r.row, r.position, r.other_position) for r in found.collect()} == {(0, 2, 0), (1, 3, 2)}
 
 
 # 3 -------------------------------------------------------------------------
@@ -359,7 +359,7 @@ def test_pii_adds_unusual_forms_and_leaves_plain_text(spark):
 def test_language_accuracy_on_held_out(spark, docs):
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
     rows = queries.op10_language_id(spark, SF_SMALL).collect()
-    assert Counter(r.doc_id for r in rows) == Counter(lang)
+    assert Counter(r.doc_id for r in rows) == Counter(lang.keys())
     held = [r for r in rows if r.held_out]
     assert held and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
     assert all(0 <= r.score <= 1 for r in rows)
