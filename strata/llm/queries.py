@@ -29,8 +29,7 @@ def op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     """Personal data in ``documents``: base spans, and those that boosted trees add."""
     found = pii.find(_table(spark, sf, "documents"))
-    counts = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{kind}")
-              for i, kind in enumerate(pii.KINDS)]
+    counts = [pii.count_of(F.col("base"), i).alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"),
                         pii.spelled(F.concat("base", "added")).alias("spans"))
 
