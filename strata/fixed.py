@@ -16,4 +16,5 @@ APPOINTMENT_AGE = ("edad", 0, 120)    # kept when 0 < edad < 120 (both bounds ex
 APPOINTMENT_DATE = "fecha_turno"      # text before the first " ", parsed as yyyy-MM-dd
 DATE_SEPARATOR = " "
 DATE_FORMAT = "yyyy-MM-dd"
-LEGACY_RUN_NAME = r"^(?P<stem>.+)_(?P<run>[0-9]{12})(?P<ext>\.[A-Za-z0-9]+)?$"  # <stem>_<run key>[.ext]
+LEGACY_RUN_NAME = r"^(?P<stem>.+)_(?P<run>[0-9]{12})(?:[0-9]{5})?(?P<ext>\.[A-Za-z0-9]+)?$"  # <stem>_<run key>[part number][.ext]
+LEGACY_BACKUP_DIR = "diamond"         # folder of the older CSV backups, <table>_<run key>.csv

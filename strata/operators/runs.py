@@ -17,6 +17,7 @@ from strata.fixed import DOMAIN_NAME_SEPARATOR, RUN_STAMP_FORMAT
 
 RUN_COLUMN = "run_ts"
 RUN_KEY = re.compile(r"[0-9]{12}")
+RAW_SUFFIX = re.compile(r"\.csv(\.(gz|bz2|zst|deflate|lz4|snappy))?$", re.IGNORECASE)  # plain or compressed
 DAY_KEY = re.compile(r"[0-9]{8}")
 
 
@@ -51,7 +52,8 @@ def domain_of(path: str) -> str:
 
     ``.../pacientes_crudo.csv`` -> ``pacientes``.
     """
-    stem = PurePosixPath(path.rstrip("/")).stem
+    name = PurePosixPath(path.rstrip("/")).name
+    stem = re.sub(RAW_SUFFIX, "", name) if re.search(RAW_SUFFIX, name) else PurePosixPath(name).stem
     return stem.split(DOMAIN_NAME_SEPARATOR)[0].lower()
 
 

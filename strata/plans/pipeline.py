@@ -10,19 +10,18 @@ only. The driver handles paths and run keys, never rows.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.fixed import PUBLISHED_TABLE_SUFFIX
+from strata.fixed import DOMAIN_NAME_SEPARATOR, PUBLISHED_TABLE_SUFFIX
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
-from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scoped_conf, shuffle_partitions_for
-from strata.sources.layers import (
-    csv_reader, list_landing, read_latest, read_raw_csv, run_bytes, write_run,
-)
+from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, session_with, shuffle_partitions_for
+from strata.sources.layers import list_landing, read_latest, read_raw_csv, read_run, run_bytes, write_run
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
 
@@ -82,7 +81,7 @@ def ingest_landing(
     preserve_whitespace: bool = False,
     parallel_domains: int = 4,
 ) -> dict[str, str]:
-    """Every raw CSV in a landing folder -> one bronze run per domain.
+    """Every raw CSV in a landing folder, plain or compressed -> one bronze run per domain.
 
     Files are grouped by the domain in their names (``pacientes_a.csv`` and
     ``pacientes_b.csv`` load together); each domain is one distributed read
@@ -91,7 +90,8 @@ def ingest_landing(
     so many small domains do not leave the cluster idle between jobs; every
     domain is attempted and the first failure is raised at the end. Returns
     ``{domain: run_ts}``; raises ``FileNotFoundError`` when the folder holds
-    no CSV.
+    no CSV, and ``ValueError`` before anything is loaded when it holds other entries.
+    A domain's files reach Spark as a few name patterns, not as a path each.
     """
     run_ts = check_run(run_ts or run_stamp())
     groups: dict[str, list[str]] = {}
@@ -102,8 +102,8 @@ def ingest_landing(
 
     def one(domain: str) -> None:
         paths = groups[domain]
-        path = write_run(csv_reader(spark).csv(paths), bronze_root, domain, run_ts, "csv",
-                         num_files, preserve_whitespace)
+        raw = read_raw_csv(spark, _patterns(paths))
+        path = write_run(raw, bronze_root, domain, run_ts, "csv", num_files, preserve_whitespace)
         log.info("ingest: %d file(s) of domain %s -> %s", len(paths), domain, path)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_domains, len(groups)))) as pool:
@@ -114,6 +114,19 @@ def ingest_landing(
     return {d: run_ts for d in groups}
 
 
+def _patterns(paths: list[str]) -> list[str]:
+    """Glob patterns that match exactly ``paths``, entries of one domain in a folder without
+    other entries: one for each spelling of the domain, with and without a name part after it."""
+    found = set()
+    for path in paths:
+        folder, _, name = path.rpartition("/")
+        stem, sep, _ = name.partition(DOMAIN_NAME_SEPARATOR)
+        if not sep:
+            stem, sep, _ = name.partition(".")
+        found.add(f"{folder}/{re.sub(r'([][{}*?^,\\])', r'\\\1', stem)}{sep}*")
+    return sorted(found)
+
+
 def refine_latest(
     spark: SparkSession,
     bronze_root: str,
@@ -124,21 +137,24 @@ def refine_latest(
     run_ts: str | None = None,
     num_files: int | None = None,
     bytes_per_partition: int = DEDUP_INPUT_BYTES_PER_PARTITION,
+    source_run: str | None = None,
 ) -> str:
-    """Latest bronze run of ``day`` -> ``refine`` -> silver Parquet run. Returns the new run key.
+    """Bronze run -> ``refine`` -> silver Parquet run. Returns the new run key.
 
-    The dedup's reducer count is sized from the input run's bytes (about
+    Takes run ``source_run``, or else the latest of ``day``. The dedup's
+    reducer count is sized from the input run's bytes (about
     ``bytes_per_partition`` of input per reducer, never fewer reducers than
-    the session asks for), so reducers stay far from spilling at any input
-    size; AQE merges reducers that end up small. Raises
-    ``FileNotFoundError`` when bronze has no run for the day.
+    the session asks for), so that a reducer's input does not grow with the
+    run; AQE merges reducers that end up small. The count is set on a session of the
+    step's own. Raises ``FileNotFoundError`` when bronze has no such run.
     """
-    src, bronze = read_latest(spark, bronze_root, domain, check_day(day), "csv")
+    check_day(day)
+    src, _ = read_latest(spark, bronze_root, domain, day, "csv", source_run=source_run)
     out = check_run(run_ts or run_stamp())
-    refined = refine(bronze, spec)
     parts = shuffle_partitions_for(spark, run_bytes(spark, bronze_root, domain, src), bytes_per_partition)
-    with scoped_conf(spark, {"spark.sql.shuffle.partitions": str(parts)}):
-        path = write_run(refined, silver_root, domain, out, "parquet", num_files)
+    own = session_with(spark, {"spark.sql.shuffle.partitions": str(parts)})
+    refined = refine(read_run(own, bronze_root, domain, src, "csv"), spec)
+    path = write_run(refined, silver_root, domain, out, "parquet", num_files)
     log.info("refine: bronze run %s (%d dedup reducers) -> %s", src, parts, path)
     return out
 
@@ -151,13 +167,14 @@ def promote(
     day: str | None = None,
     fmt: str = "parquet",
     num_files: int | None = None,
+    source_run: str | None = None,
 ) -> str:
-    """Copy the latest run (of ``day``; any day by default) to another layer.
+    """Copy run ``source_run``, or else the latest run (of ``day``; any day by default), to another layer.
 
     The source stays; the copy keeps the run key. The copy is a distributed
     read + write of all the run's files. Returns the run key.
     """
-    key, df = read_latest(spark, src_root, domain, check_day(day), fmt)
+    key, df = read_latest(spark, src_root, domain, check_day(day), fmt, source_run=source_run)
     path = write_run(df, dst_root, domain, key, fmt, num_files)
     log.info("promote: run %s -> %s", key, path)
     return key
@@ -177,23 +194,34 @@ def publish(
     run_ts: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     num_files: int | None = None,
+    source_run: str | None = None,
 ) -> PublishResult:
-    """Latest source run of ``day`` -> table ``<domain>_diamond`` (if absent) + backup run.
-
-    The table goes to ``jdbc`` when given, else to the session catalog
-    (external at ``table_path`` when given). The backup run is written to
-    ``backup_root`` whether or not the table was created. ``transform`` is
-    applied to the frame before both (a hook for analytic shaping).
+    """Source run -> backup run + table ``<domain>_diamond`` (if absent).
+
+    Takes run ``source_run``, or else the latest of ``day``. ``transform`` is
+    applied first (a hook for analytic shaping). The backup run is written to
+    ``backup_root`` whether or not the table is created. A Parquet backup is
+    what the table is then loaded from, so source and ``transform`` run once;
+    a CSV backup (``backup_format="csv"``: quoted, see ``write_run``) has no
+    types, and the table is loaded from the source. The table goes to
+    ``jdbc`` when given, else to the session catalog, external at
+    ``table_path`` (default ``<backup_root>/_tables/<table>``).
     """
-    src, df = read_latest(spark, source_root, domain, check_day(day), source_format)
+    src, df = read_latest(spark, source_root, domain, check_day(day), source_format, source_run=source_run)
     if transform is not None:
         df = transform(df)
     name = table or f"{domain}{PUBLISHED_TABLE_SUFFIX}"
-    out = to_publishable(df)
-    created = publish_jdbc(out, jdbc, name) if jdbc else publish_table(out, name, table_path)
     backup_run = check_run(run_ts or run_stamp())
-    path = write_run(out if backup_format == "csv" else df, backup_root, domain, backup_run,
-                     backup_format, num_files)
+    if backup_format == "csv":
+        path = write_run(to_publishable(df), backup_root, domain, backup_run, "csv_quoted", num_files)
+    else:
+        path = write_run(df, backup_root, domain, backup_run, backup_format, num_files)
+        df = read_run(spark, backup_root, domain, backup_run, backup_format)
+    out = to_publishable(df)
+    if jdbc:
+        created = publish_jdbc(out, jdbc, name)
+    else:
+        created = publish_table(out, name, table_path or f"{backup_root.rstrip('/')}/_tables/{name}")
     log.info("publish: run %s -> table %s (%s); backup -> %s", src, name,
              "created" if created else "already present, left as is", path)
     return PublishResult(name, created, src, backup_run)
@@ -213,13 +241,11 @@ def run_pipeline(
 ) -> PublishResult:
     """Raw CSV -> bronze -> silver -> diamond -> table + gold, all under one run key.
 
-    Refine and publish take the latest run of the run key's day; promote takes
-    the latest silver run of any day.
+    Every step takes the run of this key, also when later runs exist (a backfill).
     """
     run_ts = check_run(run_ts or run_stamp())
-    day = run_ts[:8]
     domain, _ = ingest(spark, raw_uri, roots.bronze, run_ts, num_files=num_files)
-    refine_latest(spark, roots.bronze, roots.silver, domain, spec, day, run_ts, num_files)
-    promote(spark, roots.silver, roots.diamond, domain, None, "parquet", num_files)
-    return publish(spark, roots.diamond, roots.gold, domain, day, table, table_path, jdbc,
-                   run_ts=run_ts, transform=gold_transform, num_files=num_files)
+    refine_latest(spark, roots.bronze, roots.silver, domain, spec, run_ts=run_ts, num_files=num_files, source_run=run_ts)
+    promote(spark, roots.silver, roots.diamond, domain, num_files=num_files, source_run=run_ts)
+    return publish(spark, roots.diamond, roots.gold, domain, None, table, table_path, jdbc,
+                   run_ts=run_ts, transform=gold_transform, num_files=num_files, source_run=run_ts)

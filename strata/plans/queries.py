@@ -13,18 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
-from strata.operators.runs import latest_run, run_of_path
+from strata.operators.runs import RUN_COLUMN, latest_run, run_of_path
 from strata.functions.rules import date_prefix, int_between_exclusive, not_blank
 from strata.plans.pipeline import LakeRoots, ingest, ingest_landing, promote, publish, run_pipeline
 from strata.plans.views import (
     appointments_view, hourly_runs_view, padded_customers_view, part_ages_view, table,
 )
 from strata.session import scratch_dir
-from strata.sources.layers import domain_dir, read_run, resolve_run, write_run
-from strata.sources.legacy import adopt_legacy_runs
+from strata.sources.layers import domain_dir, read_layer, read_run, resolve_run, run_dir, write_run, write_runs
+from strata.sources.legacy import adopt_legacy_backups, adopt_legacy_runs
 from strata.sources.tables import publish_table, publishable_column, to_publishable
 
 DAY = "20240110"
+FIRST_RUN = "202412311800"
 EARLY_RUN = "202501010900"
 LATE_RUN = "202501021000"
 GOLD_RUN = "202505151030"
@@ -63,69 +64,133 @@ def distinct_after_retype(spark: SparkSession, sf: str) -> DataFrame:
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-1, SRC-2: a run written as CSV with a header reads back as all-text columns."""
     root = scratch_dir(spark, "csv_roundtrip")
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-    write_run(table(spark, sf, "orders").select(*cols), root, "orders", EARLY_RUN, "csv")
+    write_run(table(spark, sf, "orders"), root, "orders", EARLY_RUN, "csv")
     return read_run(spark, root, "orders", EARLY_RUN, "csv")
 
 
+def csv_free_text(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-4: free text with line breaks, quotes and backslashes survives the CSV backup of the older publish."""
+    roots = LakeRoots.under(scratch_dir(spark, "csv_text"))
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", "lang", F.concat(F.lit('say "a\\b",\n ,\''), "source", F.lit('"\\')).alias("quoted"))
+    write_run(docs, roots.silver, "documents", EARLY_RUN)
+    res = publish(spark, roots.silver, roots.diamond, "documents", day=EARLY_RUN[:8],
+                  table=f"documents_diamond_{uuid.uuid4().hex[:12]}", backup_format="csv", run_ts=LATE_RUN)
+    return read_run(spark, roots.diamond, "documents", res.backup_run, "csv_quoted")
+
+
+def _hourly_layer(spark: SparkSession, sf: str) -> str:
+    """Hourly runs of ``events``, and two newer runs that were never committed."""
+    root = scratch_dir(spark, "hourly")
+    runs = hourly_runs_view(table(spark, sf, "events"))
+    write_runs(runs, root, "events")
+    for key in (f"{DAY}2359", "209901010000"):
+        (runs.drop(RUN_COLUMN).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+         .parquet(run_dir(root, "events", key)))
+    return root
+
+
 def latest_run_of_day(spark: SparkSession, sf: str) -> DataFrame:
-    """RUN-1: rows of the latest hourly run of one day (lazy broadcast semi-join)."""
-    return latest_run(hourly_runs_view(table(spark, sf, "events")), day=DAY)
+    """RUN-1: rows of the latest committed hourly run of one day (lazy broadcast semi-join, pruned scans)."""
+    return latest_run(read_layer(spark, _hourly_layer(spark, sf), "events"), day=DAY)
 
 
 def latest_run_any_day(spark: SparkSession, sf: str) -> DataFrame:
-    """RUN-2: rows of the latest hourly run of any day."""
-    return latest_run(hourly_runs_view(table(spark, sf, "events")))
+    """RUN-2: rows of the latest committed hourly run of any day."""
+    return latest_run(read_layer(spark, _hourly_layer(spark, sf), "events"))
 
 
-def _orders_runs(spark: SparkSession, sf: str, silver: str) -> None:
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    write_run(o.filter(F.col("o_orderstatus") == "F"), silver, "orders", EARLY_RUN)
-    write_run(o.filter(F.col("o_orderstatus") == "O"), silver, "orders", LATE_RUN)
+def missing_day(spark: SparkSession, sf: str) -> DataFrame:
+    """RUN-3: a day without runs raises; the layer's own days do not. Rows of the found run, with both outcomes."""
+    root = _hourly_layer(spark, sf)
+    try:
+        resolve_run(spark, root, "events", "19990101")
+        raised = False
+    except FileNotFoundError:
+        raised = True
+    return read_run(spark, root, "events", resolve_run(spark, root, "events", DAY), with_run_ts=True).withColumn(
+        "missing_raises", F.lit(raised))
+
+
+def _orders_by_run(spark: SparkSession, sf: str) -> DataFrame:
+    """All ``orders``; the status decides the run."""
+    status = F.col("o_orderstatus")
+    key = F.when(status == "P", FIRST_RUN).when(status == "F", EARLY_RUN).otherwise(LATE_RUN)
+    return table(spark, sf, "orders").withColumn(RUN_COLUMN, key)
 
 
 def promote_run(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK-5, CMP-3: the latest silver run (of any day) is copied to diamond under its key."""
+    """SNK-5, CMP-3: every silver run is copied to diamond under its key, the latest by default."""
     roots = LakeRoots.under(scratch_dir(spark, "promote"))
-    _orders_runs(spark, sf, roots.silver)
-    key = promote(spark, roots.silver, roots.diamond, "orders")
-    return read_run(spark, roots.diamond, "orders", key, with_run_ts=True)
+    write_runs(_orders_by_run(spark, sf), roots.silver, "orders")
+    promote(spark, roots.silver, roots.diamond, "orders")
+    for key in (FIRST_RUN, EARLY_RUN):
+        promote(spark, roots.silver, roots.diamond, "orders", source_run=key)
+    return read_layer(spark, roots.diamond, "orders")
 
 
 def run_of_file(spark: SparkSession, sf: str) -> DataFrame:
     """RUN-5: run key recovered from each file's path (no partition discovery)."""
     roots = LakeRoots.under(scratch_dir(spark, "run_of_file"))
-    _orders_runs(spark, sf, roots.silver)
+    write_runs(_orders_by_run(spark, sf), roots.silver, "orders")
     files = (spark.read.option("recursiveFileLookup", True)
              .parquet(domain_dir(roots.silver, "orders")))
-    return files.select("o_orderkey", run_of_path(F.col("_metadata.file_path")).alias("run_ts"))
+    return files.select(*table(spark, sf, "orders").columns, run_of_path(F.col("_metadata.file_path")).alias("run_ts"))
 
 
 def adopt_old_layout(spark: SparkSession, sf: str) -> DataFrame:
-    """Runs stored under the old per-run names are adopted; the latest is read back."""
+    """Runs stored under the old names, with and without part number, are adopted with their keys."""
     base = scratch_dir(spark, "adopt")
     old = domain_dir(base + "/old", "orders")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    o.filter(F.col("o_orderstatus") == "F").write.parquet(f"{old}/orders_refined_{EARLY_RUN}.parquet")
-    o.filter(F.col("o_orderstatus") == "O").write.parquet(f"{old}/orders_refined_{LATE_RUN}.parquet")
+    runs = _orders_by_run(spark, sf)
+    for key, name in ((FIRST_RUN, f"orders_refined_{FIRST_RUN}.parquet"), (EARLY_RUN, f"orders_refined_{EARLY_RUN}00000.parquet"),
+                      (LATE_RUN, f"orders_refined_{LATE_RUN}.parquet")):
+        runs.filter(F.col(RUN_COLUMN) == key).drop(RUN_COLUMN).write.parquet(f"{old}/{name}")
     adopt_legacy_runs(spark, base + "/old", base + "/silver", "orders")
-    key = resolve_run(spark, base + "/silver", "orders")
-    return read_run(spark, base + "/silver", "orders", key, with_run_ts=True)
+    return read_layer(spark, base + "/silver", "orders")
+
+
+def adopt_old_backup(spark: SparkSession, sf: str) -> DataFrame:
+    """An older publisher's CSV backup, quotes doubled and line breaks inside fields, is adopted."""
+    base = scratch_dir(spark, "adopt_backup")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/old/diamond/documents_diamond_{EARLY_RUN}.csv"))
+    adopt_legacy_backups(spark, base + "/old", base + "/diamond", "documents", "documents_diamond")
+    return read_run(spark, base + "/diamond", "documents", EARLY_RUN, "csv_quoted")
 
 
 def publish_if_absent(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK-6..8, S10: a second publish to an existing table changes nothing."""
+    """SNK-6..8, S10: a second publish, of changed rows, to an existing table changes nothing."""
     base = scratch_dir(spark, "publish")
     name = f"orders_diamond_{uuid.uuid4().hex[:12]}"
     orders = to_publishable(table(spark, sf, "orders"))
-    publish_table(orders.filter(F.col("o_orderstatus") == "F"), name, f"{base}/{name}")
-    publish_table(orders, name, f"{base}/{name}")  # present: nothing happens
+    publish_table(orders, name, f"{base}/{name}")
+    publish_table(orders.withColumn("o_totalprice", F.lit(0.0)), name, f"{base}/{name}")  # present: nothing happens
     return spark.table(name)
 
 
+def single_file_run(spark: SparkSession, sf: str) -> DataFrame:
+    """PAR-1: a run written with ``num_files=1`` is one file with all rows."""
+    root = scratch_dir(spark, "single_file")
+    write_run(table(spark, sf, "orders"), root, "orders", EARLY_RUN, num_files=1)
+    run = read_run(spark, root, "orders", EARLY_RUN)
+    return run.agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"), F.count(F.lit(1)).alias("n_rows"),
+                   F.sum("o_orderkey").alias("key_sum"))
+
+
 def publishable_types(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK-7, §1.3: arrays become JSON text so any SQL table can hold them."""
-    return to_publishable(table(spark, sf, "embeddings"))
+    """SNK-7, §1.3: arrays, structs, maps, zoned timestamps and intervals become types any SQL table can hold."""
+    o = table(spark, sf, "orders")
+    return to_publishable(o.select(
+        "o_orderkey",
+        F.array("o_orderkey", "o_custkey").alias("keys"),
+        F.array("o_orderstatus", "o_orderpriority").alias("words"),
+        F.struct(F.col("o_custkey").alias("cust"), F.col("o_orderpriority").alias("priority")).alias("nested"),
+        F.create_map(F.col("o_orderstatus"), F.col("o_custkey")).alias("by_status"),
+        F.col("o_orderdate").cast("timestamp").alias("ordered_at"),
+        F.make_dt_interval((F.col("o_custkey") % 28).cast("int")).alias("span"),
+        "o_totalprice"))
 
 
 def publishable_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -143,12 +208,11 @@ def publishable_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def publish_csv_backup(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-5, SNK-4: older publish variant -- silver -> table, backup to diamond as CSV."""
     roots = LakeRoots.under(scratch_dir(spark, "publish_csv"))
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    write_run(o, roots.silver, "orders", EARLY_RUN)
+    write_run(table(spark, sf, "orders"), roots.silver, "orders", EARLY_RUN)
     res = publish(spark, roots.silver, roots.diamond, "orders", day=EARLY_RUN[:8],
                   table=f"orders_diamond_{uuid.uuid4().hex[:12]}",
                   table_path=f"{roots.gold}/table", backup_format="csv", run_ts=LATE_RUN)
-    return read_run(spark, roots.diamond, "orders", res.backup_run, "csv")
+    return read_run(spark, roots.diamond, "orders", res.backup_run, "csv_quoted")
 
 
 def ingest_bronze(spark: SparkSession, sf: str) -> DataFrame:
@@ -163,22 +227,42 @@ def ingest_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def landing_many_files(spark: SparkSession, sf: str) -> DataFrame:
-    """RUN-4: a landing folder with two files of domain ``orders`` and one of ``customers``."""
+    """RUN-4: a landing folder with two files of domain ``orders`` and one of ``customers``, spelled
+    and compressed in different ways; the rows of both domains."""
     base = scratch_dir(spark, "landing")
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     status_f = F.col("o_orderstatus") == "F"
-    o.filter(status_f).write.option("header", True).csv(f"{base}/landing/orders_f.csv")
-    o.filter(~status_f).write.option("header", True).csv(f"{base}/landing/orders_rest.csv")
-    (table(spark, sf, "customer").select("c_custkey", "c_name").write.option("header", True)
-     .csv(f"{base}/landing/customers_raw.csv"))
+    o.filter(status_f).write.option("header", True).csv(f"{base}/landing/orders_f.CSV")
+    o.filter(~status_f).write.option("header", True).option("compression", "gzip").csv(f"{base}/landing/Orders_rest.csv")
+    (table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey").write.option("header", True)
+     .csv(f"{base}/landing/customers.csv"))
     runs = ingest_landing(spark, f"{base}/landing", f"{base}/bronze", EARLY_RUN)
-    return read_run(spark, f"{base}/bronze", "orders", runs["orders"], "csv")
+    loaded = [read_run(spark, f"{base}/bronze", d, runs[d], "csv").toDF("key", "a", "b", "c").withColumn("domain", F.lit(d))
+              for d in sorted(runs)]
+    return loaded[0].unionByName(loaded[1])
+
+
+def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
+    """CMP-6: an older raw file that arrives after a newer run was published goes through under its own key."""
+    base = scratch_dir(spark, "backfill")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    newer = orders.withColumn("o_orderpriority", F.lit("NEWER"))
+    roots = LakeRoots.under(f"{base}/lake")
+    names = {}
+    for key, rows in ((LATE_RUN, newer), (EARLY_RUN, orders)):  # the older one last
+        rows.write.option("header", True).csv(f"{base}/landing/{key}/orders_raw.csv")
+        names[key] = f"orders_diamond_{uuid.uuid4().hex[:12]}"
+        run_pipeline(spark, f"{base}/landing/{key}/orders_raw.csv", roots, RefineSpec(not_blank=("o_orderstatus",)),
+                     run_ts=key, table=names[key])
+    gold = read_run(spark, roots.gold, "orders", EARLY_RUN)
+    return spark.table(names[EARLY_RUN]).withColumn("copy", F.lit("table")).unionByName(
+        gold.withColumn("copy", F.lit("gold")))
 
 
 def raw_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-6: raw CSV -> bronze -> silver -> diamond -> table + gold; the gold run."""
     base = scratch_dir(spark, "pipeline")
-    raw = f"{base}/landing/pacientes_crudo.csv"
+    raw = f"{base}/landing/pacientes_export.csv"
     appointments_view(table(spark, sf, "events")).drop("event_id").write.option("header", True).csv(raw)
     roots = LakeRoots.under(f"{base}/lake")
     res = run_pipeline(spark, raw, roots, APPOINTMENTS, run_ts=GOLD_RUN,
@@ -194,17 +278,22 @@ QUERIES = {
     "date_prefix": date_prefix_retype,
     "distinct_after_retype": distinct_after_retype,
     "csv_roundtrip": csv_roundtrip,
+    "csv_free_text": csv_free_text,
     "latest_run_of_day": latest_run_of_day,
     "latest_run_any_day": latest_run_any_day,
+    "missing_day": missing_day,
     "promote_run": promote_run,
     "run_of_file": run_of_file,
     "adopt_old_layout": adopt_old_layout,
+    "adopt_old_backup": adopt_old_backup,
+    "single_file_run": single_file_run,
     "publish_if_absent": publish_if_absent,
     "publishable_types": publishable_types,
     "publishable_roundtrip": publishable_roundtrip,
     "publish_csv_backup": publish_csv_backup,
     "ingest_bronze": ingest_bronze,
     "landing_many_files": landing_many_files,
+    "backfill_run": backfill_run,
     "raw_to_gold": raw_to_gold,
 }
 
@@ -232,6 +321,16 @@ WHERE nombre IS NOT NULL AND nombre <> ''
 _HOURLY = """
 WITH r AS (SELECT event_id, user_id, event_type, strftime(ts, '%Y%m%d%H') || '00' AS run_ts FROM events)"""
 
+_ORDERS_BY_RUN = f"""
+SELECT orders.*, CASE o_orderstatus WHEN 'P' THEN '{FIRST_RUN}' WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
+FROM orders"""
+
+_ORDERS_TEXT = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+  CAST(o_totalprice AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') AS o_orderdate,
+  o_orderpriority
+FROM orders"""
+
 ORACLE_SQL = {
     "refine_appointments": _REFINED_APPOINTMENTS,
     "not_blank": f"""
@@ -252,35 +351,49 @@ SELECT event_id, CAST(try_strptime(split_part(fecha_turno, ' ', 1), '%Y-%m-%d')
 FROM raw WHERE try_strptime(split_part(fecha_turno, ' ', 1), '%Y-%m-%d') IS NOT NULL""",
     "distinct_after_retype": """
 SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS fecha FROM events""",
-    "csv_roundtrip": """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-  o_orderstatus, o_orderpriority FROM orders""",
+    "csv_roundtrip": _ORDERS_TEXT,
     "latest_run_of_day": _HOURLY + f"""
 SELECT * FROM r WHERE run_ts = (SELECT max(run_ts) FROM r WHERE run_ts LIKE '{DAY}%')""",
     "latest_run_any_day": _HOURLY + """
 SELECT * FROM r WHERE run_ts = (SELECT max(run_ts) FROM r)""",
-    "promote_run": f"""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, '{LATE_RUN}' AS run_ts
-FROM orders WHERE o_orderstatus = 'O'""",
-    "run_of_file": f"""
-SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
-FROM orders WHERE o_orderstatus IN ('F', 'O')""",
-    "adopt_old_layout": f"""
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, '{LATE_RUN}' AS run_ts
-FROM orders WHERE o_orderstatus = 'O'""",
-    "publish_if_absent": """
-SELECT * FROM orders WHERE o_orderstatus = 'F'""",
+    "promote_run": _ORDERS_BY_RUN,
+    "run_of_file": _ORDERS_BY_RUN,
+    "adopt_old_layout": _ORDERS_BY_RUN,
+    "publish_if_absent": "SELECT * FROM orders",
     "publishable_roundtrip": """
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, true AS roundtrip_exact FROM embeddings""",
-    "publish_csv_backup": """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-  o_orderstatus, o_orderpriority FROM orders""",
+    "publish_csv_backup": _ORDERS_TEXT,
     "ingest_bronze": """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
   CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS c_name, c_mktsegment
 FROM customer""",
     "landing_many_files": """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-  o_orderstatus, o_orderpriority FROM orders""",
+SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_custkey AS VARCHAR) AS a, o_orderstatus AS b, o_orderpriority AS c,
+  'orders' AS domain FROM orders
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), 'customers' FROM customer""",
     "raw_to_gold": _REFINED_APPOINTMENTS,
+    "csv_free_text": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang,
+  'say "a\\b",' || chr(10) || ' ,''' || source || '"\\' AS quoted
+FROM documents""",
+    "adopt_old_backup": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents",
+    "missing_day": _HOURLY + f"""
+SELECT *, true AS missing_raises FROM r WHERE run_ts = (SELECT max(run_ts) FROM r WHERE run_ts LIKE '{DAY}%')""",
+    "single_file_run": """
+SELECT CAST(1 AS BIGINT) AS files, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders""",
+    "backfill_run": """
+WITH r AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority
+  FROM orders)
+SELECT *, 'table' AS copy FROM r UNION ALL SELECT *, 'gold' FROM r""",
+    "publishable_types": """
+SELECT o_orderkey, '[' || o_orderkey || ',' || o_custkey || ']' AS keys,
+  '["' || o_orderstatus || '","' || o_orderpriority || '"]' AS words,
+  '{"cust":' || o_custkey || ',"priority":"' || o_orderpriority || '"}' AS nested,
+  '{"' || o_orderstatus || '":' || o_custkey || '}' AS by_status,
+  o_orderdate AS ordered_at,
+  'INTERVAL ''' || (o_custkey % 28) || ' 00:00:00'' DAY TO SECOND' AS span,
+  o_totalprice
+FROM orders""",
 }

@@ -11,7 +11,6 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,24 +52,17 @@ def jvm_context(spark: SparkSession):
             "classic Spark session (not Spark Connect)") from exc
 
 
-@contextmanager
-def scoped_conf(spark: SparkSession, settings: dict[str, str]):
-    """Set runtime SQL settings for the jobs run inside the block, then restore them.
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of its own with the caller's SQL settings and then ``settings``.
 
-    The settings are session-wide while the block runs: jobs that other
-    threads start on the same session meanwhile see them too.
+    It shares the caller's context, catalog and storage; the caller's session
+    is left as it is, also while other threads use it.
     """
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
 
 
 # Input bytes per reducer of a whole-row dedup: AQE's default target size.
@@ -78,7 +70,6 @@ def scoped_conf(spark: SparkSession, settings: dict[str, str]):
 # be about twice the size of their CSV text, so a reducer starts at or below
 # ~128 MiB; AQE merges neighbours that turn out smaller.
 DEDUP_INPUT_BYTES_PER_PARTITION = 64 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_partitions_for(
@@ -89,12 +80,11 @@ def shuffle_partitions_for(
     """Reducer count for a shuffle over ``input_bytes`` of input.
 
     Never below the session's own ``spark.sql.shuffle.partitions`` (AQE
-    coalesces the surplus when the data turns out smaller), capped so the
-    map x reduce block count stays manageable.
+    coalesces the surplus when the data turns out smaller).
     """
     try:
         current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     except ValueError:  # e.g. "auto" in some distributions: size from the input alone
         current = 1
     wanted = math.ceil(max(input_bytes, 0) / bytes_per_partition)
-    return max(current, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    return max(current, wanted)

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.fixed import DOMAIN_DIR_PREFIX
-from strata.operators.runs import RUN_COLUMN, RUN_KEY, check_day, check_domain, check_run
+from strata.operators.runs import RAW_SUFFIX, RUN_COLUMN, RUN_KEY, check_day, check_domain, check_run
 from strata.session import jvm_context
 
-FORMATS = ("parquet", "csv")
+FORMATS = ("parquet", "csv", "csv_quoted")
 log = logging.getLogger("strata")
 
 
@@ -37,8 +37,11 @@ def _check_format(fmt: str) -> str:
 
 
 def _reader(spark: SparkSession, fmt: str):
-    if _check_format(fmt) == "csv":
+    _check_format(fmt)
+    if fmt == "csv":
         return csv_reader(spark).format("csv")
+    if fmt == "csv_quoted":  # quoted fields may hold line breaks, so a file is read by one task
+        return csv_reader(spark).option("multiLine", True).option("escape", '"').format("csv")
     return spark.read.format(fmt)
 
 
@@ -49,9 +52,31 @@ def csv_reader(spark: SparkSession):
     return spark.read.option("header", True).option("enforceSchema", False)
 
 
-def read_raw_csv(spark: SparkSession, uri: str) -> DataFrame:
-    """A raw CSV file or folder with a header line; all columns are strings."""
-    return csv_reader(spark).csv(uri)
+def _odd_header(cells: list[str]) -> bool:
+    """Empty or repeated header cells, for which Spark makes up names."""
+    names = [(c or "").strip().lower() for c in cells]
+    return "" in names or len(set(names)) < len(names)
+
+
+def read_raw_csv(spark: SparkSession, uri: str | list[str]) -> DataFrame:
+    """Raw CSV files or folders with header lines; all columns are strings.
+
+    All files must have the same header. Empty and repeated header cells load under the names
+    that Spark gives them (``_c1``; the name and its position).
+    """
+    plain = spark.read.option("header", True).csv(uri)
+    first = spark.read.option("header", False).csv(uri[0] if isinstance(uri, list) else uri).first()
+    if first is None or not _odd_header([c.strip() if c else "" for c in first]):
+        return csv_reader(spark).csv(uri)
+    # Spark's own comparison knows only clean headers: compare the files' first lines instead
+    lines = spark.read.text(uri).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
+    heads = lines.groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    found = heads.agg(F.min("head").alias("low"), F.max("head").alias("high")).first()
+    if found.low != found.high:
+        raise ValueError(f"headers differ under {uri}: {found.low!r} and {found.high!r}")
+    return plain
 
 
 def write_run(
@@ -69,7 +94,8 @@ def write_run(
     ``num_files`` asks for a fixed count; ``num_files=1`` reproduces a
     single-file layout at the price of one writing task. CSV output has a
     header; its writer trims leading/trailing blanks of text fields unless
-    ``preserve_whitespace`` is set. The number of rows written is counted
+    ``preserve_whitespace`` is set. ``csv_quoted`` is CSV with doubled quotes
+    (RFC 4180): blanks, quotes, backslashes and line breaks inside fields survive. The number of rows written is counted
     inside the write job itself (``observe``, no extra scan) and logged.
     Returns the run directory.
     """
@@ -80,10 +106,12 @@ def write_run(
         if num_files < 1:
             raise ValueError("num_files must be >= 1")
         df = df.repartition(num_files)
-    w = df.write.mode("overwrite").format(_check_format(fmt))
-    if fmt == "csv":
+    w = df.write.mode("overwrite").format("parquet" if _check_format(fmt) == "parquet" else "csv")
+    if fmt != "parquet":
         w = w.option("header", True)
-        if preserve_whitespace:
+        if fmt == "csv_quoted":
+            w = w.option("escape", '"')
+        if preserve_whitespace or fmt == "csv_quoted":
             w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     w.save(path)
     log.info("wrote %s rows to %s", written.get.get("rows"), path)
@@ -106,16 +134,48 @@ def read_run(
 
 
 def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet") -> DataFrame:
-    """Every run of ``domain`` as one lazy frame with a string ``run_ts`` column.
+    """Every committed run of ``domain`` as one lazy frame with a string ``run_ts`` column.
 
-    The schema is given explicitly so ``run_ts`` stays text (partition type
-    inference would make it a number); filters on ``run_ts`` prune directories.
+    Runs without a commit marker are left out, as in ``resolve_run``. The
+    schema has the columns of all Parquet runs (a run that lacks one reads
+    NULL there); CSV runs must have one header. It is given explicitly so that ``run_ts`` stays
+    text; filters on ``run_ts`` prune directories. Raises ``FileNotFoundError`` without runs.
     """
     base = domain_dir(root, domain)
-    inferred = _reader(spark, fmt).load(base).schema
+    paths = [run_dir(root, domain, key) for key in committed_runs(spark, root, domain)]
+    if not paths:
+        raise FileNotFoundError(f"no run of domain {domain!r} under {base}")
+    reader = _reader(spark, fmt).option("basePath", base)
+    inferred = reader.option("mergeSchema", fmt == "parquet").load(paths).schema
     fields = [f for f in inferred.fields if f.name != RUN_COLUMN]
     schema = T.StructType(fields + [T.StructField(RUN_COLUMN, T.StringType(), True)])
-    return _reader(spark, fmt).schema(schema).load(base)
+    return _reader(spark, fmt).option("basePath", base).schema(schema).load(paths)
+
+
+def write_runs(df: DataFrame, root: str, domain: str, run_col: str = RUN_COLUMN, fmt: str = "parquet") -> list[str]:
+    """Write each row of ``df`` to the run that ``run_col`` names, all runs in one job.
+
+    Runs that occur in ``df`` are replaced, others stay. A run gets its
+    commit marker after the job succeeded. Rows without a run key are refused.
+    Returns the run keys, newest first.
+    """
+    spark = df.sparkSession
+    base = domain_dir(root, domain)
+    seen = Observation(f"runs written to {base}")
+    key = F.col(run_col)
+    good = F.coalesce(key.rlike("^[0-9]{12}$"), F.lit(False))
+    checked = F.when(good, key).otherwise(F.raise_error(F.concat(F.lit("not a run key: "), F.coalesce(key, F.lit("NULL")))))
+    rows = df.withColumn(RUN_COLUMN, checked).observe(seen, F.collect_set(RUN_COLUMN).alias("runs"))
+    w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COLUMN)
+    if _check_format(fmt) != "parquet":
+        w = w.option("header", True)
+    w.format("parquet" if fmt == "parquet" else "csv").save(base)
+    keys = sorted(seen.get["runs"], reverse=True)
+    fs, _ = _hadoop_fs(spark, base)
+    jvm = jvm_context(spark)._jvm
+    for k in keys:
+        fs.create(jvm.org.apache.hadoop.fs.Path(f"{run_dir(root, domain, k)}/_SUCCESS"), True).close()
+    return keys
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -146,18 +206,23 @@ def _run_complete(fs, path, need_marker: bool) -> bool:
     return has_part and not need_marker
 
 
-def list_landing(spark: SparkSession, landing: str, suffix: str = ".csv") -> list[str]:
-    """Entries of a landing folder whose name ends with ``suffix`` (files or
-    folders of part files), as full paths, sorted. One directory listing."""
+def list_landing(spark: SparkSession, landing: str) -> list[str]:
+    """CSV entries of a landing folder (files, plain or compressed, or folders
+    of part files; any letter case), as full paths, sorted. Hidden entries
+    (``_``, ``.``) are skipped; any other entry raises ``ValueError``. One
+    directory listing, page by page."""
     fs, base = _hadoop_fs(spark, landing)
     if not fs.exists(base):
         return []
-    names = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if name.endswith(suffix) and not name.startswith(("_", ".")):
-            names.append(st.getPath().toString())
-    return sorted(names)
+    taken, others = [], []
+    it = fs.listStatusIterator(base)
+    while it.hasNext():
+        path = it.next().getPath()
+        if not path.getName().startswith(("_", ".")):
+            (taken if RAW_SUFFIX.search(path.getName()) else others).append(path.toString())
+    if others:
+        raise ValueError(f"not CSV, under {landing}: {sorted(others)[:10]} ({len(others)} in all)")
+    return sorted(taken)
 
 
 def run_bytes(spark: SparkSession, root: str, domain: str, run_ts: str) -> int:
@@ -177,7 +242,9 @@ def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = Non
     if not fs.exists(base):
         return []
     keys = []
-    for st in fs.listStatus(base):
+    it = fs.listStatusIterator(base)
+    while it.hasNext():
+        st = it.next()
         name = st.getPath().getName()
         if not (st.isDirectory() and name.startswith(f"{RUN_COLUMN}=")):
             continue
@@ -187,20 +254,26 @@ def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = Non
     return sorted(keys, reverse=True)
 
 
+def is_committed(spark: SparkSession, root: str, domain: str, run_ts: str) -> bool:
+    """Whether a run's write job committed: the run carries the ``_SUCCESS`` marker (when the Hadoop
+    setting ``mapreduce.fileoutputcommitter.marksuccessfuljobs`` is off, a ``part-`` file is enough)."""
+    fs, path = _hadoop_fs(spark, run_dir(root, domain, run_ts))
+    return fs.exists(path) and _run_complete(fs, path, _writes_success_marker(spark))
+
+
+def committed_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
+    """Keys of the committed runs of ``domain`` (of ``day`` when given), newest first."""
+    return [key for key in list_runs(spark, root, domain, day) if is_committed(spark, root, domain, key)]
+
+
 def resolve_run(spark: SparkSession, root: str, domain: str, day: str | None = None) -> str:
     """Key of the latest committed run of ``domain`` (of ``day`` when given).
 
-    Runs are tried newest first. A run counts once its write job committed:
-    it carries the ``_SUCCESS`` marker (when the Hadoop setting
-    ``mapreduce.fileoutputcommitter.marksuccessfuljobs`` is off, a ``part-``
-    file is enough). A run left empty or half-written by a failed job is
-    skipped. Raises ``FileNotFoundError`` when there is none.
+    Runs are tried newest first; a run left empty or half-written by a failed job is
+    skipped (see ``is_committed``). Raises ``FileNotFoundError`` when there is none.
     """
-    fs, _ = _hadoop_fs(spark, domain_dir(root, domain))
-    jvm = jvm_context(spark)._jvm
-    need_marker = _writes_success_marker(spark)
     for key in list_runs(spark, root, domain, day):
-        if _run_complete(fs, jvm.org.apache.hadoop.fs.Path(run_dir(root, domain, key)), need_marker):
+        if is_committed(spark, root, domain, key):
             return key
     when = f"day {day}" if day else "any day"
     raise FileNotFoundError(f"no run of domain {domain!r} for {when} under {domain_dir(root, domain)}")
@@ -213,11 +286,17 @@ def read_latest(
     day: str | None = None,
     fmt: str = "parquet",
     with_run_ts: bool = False,
+    source_run: str | None = None,
 ) -> tuple[str, DataFrame]:
-    """``(run_ts, frame)`` of the latest committed run (of ``day`` when given).
+    """``(run_ts, frame)`` of run ``source_run``, or else of the latest committed run (of ``day`` when given).
 
-    ``resolve_run`` then ``read_run``: one listing, then a scan of that run's
-    files only. Raises ``FileNotFoundError`` when there is no such run.
+    One listing, then a scan of that run's files only. Raises
+    ``FileNotFoundError`` when there is no such committed run.
     """
-    key = resolve_run(spark, root, domain, day)
+    if source_run is None:
+        key = resolve_run(spark, root, domain, day)
+    else:
+        key = check_run(source_run)
+        if not is_committed(spark, root, domain, key):
+            raise FileNotFoundError(f"no committed run {key} of domain {domain!r} under {domain_dir(root, domain)}")
     return key, read_run(spark, root, domain, key, fmt, with_run_ts)

@@ -8,9 +8,10 @@ leaves no half-loaded table behind, so it can simply be retried.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,23 +46,21 @@ def to_publishable(df: DataFrame) -> DataFrame:
 def publish_table(
     df: DataFrame,
     name: str,
-    path: str | None = None,
+    path: str,
     fmt: str = "parquet",
     mode: str = "ignore",
 ) -> bool:
     """Save ``df`` as catalog table ``name`` unless it exists. Returns True if written now.
 
-    With ``path`` the table is external at that location (use shared
-    storage). Spark writes the files first and registers the table only
-    after the write committed, so a failed publish leaves no table and the
-    next attempt loads it again.
+    The table is external at ``path`` (use shared storage). Spark writes the
+    files first and registers the table only after the write committed, so a
+    failed publish leaves no table, and the next attempt replaces whatever
+    files it left. (A managed table could not be retried: files left in its
+    location by a driver that died would refuse every later attempt.)
     """
     spark = df.sparkSession
     existed = spark.catalog.tableExists(name)
-    w = df.write.mode(mode).format(fmt)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
+    df.write.mode(mode).format(fmt).option("path", path).saveAsTable(name)
     return mode != "ignore" or not existed
 
 
@@ -110,6 +109,20 @@ def _jdbc_execute(spark: SparkSession, target: JdbcTarget, sql: str) -> None:
         conn.close()
 
 
+def _jdbc_count(spark: SparkSession, target: JdbcTarget, table: str) -> int:
+    conn = _jdbc_connection(spark, target)
+    try:
+        st = conn.createStatement()
+        try:
+            rs = st.executeQuery(f"SELECT COUNT(*) FROM {table}")
+            rs.next()
+            return rs.getLong(1)
+        finally:
+            st.close()
+    finally:
+        conn.close()
+
+
 def jdbc_table_exists(spark: SparkSession, target: JdbcTarget, table: str) -> bool:
     """True when ``table`` exists at the target.
 
@@ -153,30 +166,39 @@ def _rename_sql(url: str, old: str, new: str) -> str:
 def publish_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> bool:
     """Create-if-absent publish into a JDBC table. Returns True if written now.
 
-    The rows are loaded by the executors, partition by partition, into
-    ``<table>__staging`` (dropped and recreated on each attempt); only after
-    the load succeeded is the staging table renamed to ``table``. A failure
-    at any point leaves ``table`` absent, so a retry loads it again -- never
-    an empty or half-filled table that later runs would skip. Column types
-    come from Spark's dialect for the target database.
+    The rows are loaded by the executors, partition by partition, into a
+    staging table of this attempt (``<table>__staging_<suffix>``); only after
+    the load succeeded and the staging table has exactly the rows that the
+    load counted is it renamed to ``table``. (A committed task that is run
+    again, after a lost executor, inserts its rows twice: that is found here.)
+    A failure at any point leaves ``table`` absent, so a retry loads it
+    again -- never an empty, half-filled or doubled table that later runs
+    would skip. Column types come from Spark's dialect for the target database.
     """
     spark = df.sparkSession
     if jdbc_table_exists(spark, target, table):
         return False
-    staging = f"{table}__staging"
-    w = df.write.mode("overwrite").format("jdbc").option("url", target.url).option("dbtable", staging)
+    staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
+    loaded = Observation(f"rows loaded into {staging}")
+    w = df.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("jdbc").option(
+        "url", target.url).option("dbtable", staging)
     for k, v in target.properties.items():
         w = w.option(k, v)
     if target.num_partitions:
         w = w.option("numPartitions", target.num_partitions)
     if target.batchsize:
         w = w.option("batchsize", target.batchsize)
-    w.save()
     try:
+        w.save()
+        there, sent = _jdbc_count(spark, target, staging), loaded.get["rows"]
+        if there != sent:
+            raise RuntimeError(f"{staging} has {there} rows, {sent} were sent; {table} is not published")
         _jdbc_execute(spark, target, _rename_sql(target.url, staging, table))
     except Exception:
-        if jdbc_table_exists(spark, target, table):  # lost a race: someone published first
+        raced = jdbc_table_exists(spark, target, table)  # someone else published first
+        if jdbc_table_exists(spark, target, staging):
             _jdbc_execute(spark, target, f"DROP TABLE {staging}")
+        if raced:
             return False
         raise
     return True
