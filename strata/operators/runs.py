@@ -50,7 +50,7 @@ def check_domain(domain: str) -> str:
 def domain_of(path: str) -> str:
     """Domain of a raw file: its name without extension, up to the first ``_``, lower case.
 
-    ``.../pacientes_crudo.csv`` -> ``pacientes``.
+    ``.../pacientes_export.csv`` -> ``pacientes``.
     """
     name = PurePosixPath(path.rstrip("/")).name
     stem = re.sub(RAW_SUFFIX, "", name) if re.search(RAW_SUFFIX, name) else PurePosixPath(name).stem

@@ -95,7 +95,8 @@ def write_run(
     single-file layout at the price of one writing task. CSV output has a
     header; its writer trims leading/trailing blanks of text fields unless
     ``preserve_whitespace`` is set. ``csv_quoted`` is CSV with doubled quotes
-    (RFC 4180): blanks, quotes, backslashes and line breaks inside fields survive. The number of rows written is counted
+    (RFC 4180): blanks, quotes, backslashes and line breaks inside fields
+    survive; an empty text reads back as NULL. The number of rows written is counted
     inside the write job itself (``observe``, no extra scan) and logged.
     Returns the run directory.
     """

@@ -2,7 +2,7 @@
 
 Layers written by the source pipeline keep each run as a folder (or a
 single file) directly under ``LOCAL_<DOMAIN>/``, the run key at the end of
-its name, e.g. ``pacientes_crudo_202505151030/`` (bronze CSV) or
+its name, e.g. ``pacientes_export_202505151030/`` (bronze CSV) or
 ``pacientes_refinados_202505151030.parquet`` (silver Parquet); promoted
 diamond files carry a part number after the key
 (``pacientes_refinados_20250515103000000.parquet``). The older publisher's

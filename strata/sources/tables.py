@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,8 +168,8 @@ def publish_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> bool:
 
     The rows are loaded by the executors, partition by partition, into a
     staging table of this attempt (``<table>__staging_<suffix>``); only after
-    the load succeeded and the staging table has exactly the rows that the
-    load counted is it renamed to ``table``. (A committed task that is run
+    the load succeeded and the staging table has exactly as many rows as
+    ``df`` (counted by Spark, no columns read) is it renamed to ``table``. (A committed task that is run
     again, after a lost executor, inserts its rows twice: that is found here.)
     A failure at any point leaves ``table`` absent, so a retry loads it
     again -- never an empty, half-filled or doubled table that later runs
@@ -179,9 +179,7 @@ def publish_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> bool:
     if jdbc_table_exists(spark, target, table):
         return False
     staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
-    loaded = Observation(f"rows loaded into {staging}")
-    w = df.observe(loaded, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("jdbc").option(
-        "url", target.url).option("dbtable", staging)
+    w = df.write.mode("overwrite").format("jdbc").option("url", target.url).option("dbtable", staging)
     for k, v in target.properties.items():
         w = w.option(k, v)
     if target.num_partitions:
@@ -190,7 +188,7 @@ def publish_jdbc(df: DataFrame, target: JdbcTarget, table: str) -> bool:
         w = w.option("batchsize", target.batchsize)
     try:
         w.save()
-        there, sent = _jdbc_count(spark, target, staging), loaded.get["rows"]
+        there, sent = _jdbc_count(spark, target, staging), df.count()
         if there != sent:
             raise RuntimeError(f"{staging} has {there} rows, {sent} were sent; {table} is not published")
         _jdbc_execute(spark, target, _rename_sql(target.url, staging, table))

@@ -11,7 +11,7 @@ RAW = ('nombre,edad,obra_social,fecha_turno\n'
 
 
 def test_cli_steps(spark, tmp_path):
-    raw = tmp_path / "pacientes_crudo.csv"
+    raw = tmp_path / "pacientes_export.csv"
     raw.write_text(RAW)
     lake = tmp_path / "lake"
     b, s, d, g = (str(lake / x) for x in ("bronze", "silver", "diamond", "gold"))
@@ -30,7 +30,7 @@ def test_cli_steps(spark, tmp_path):
 
 
 def test_cli_run_over_jdbc(spark, tmp_path):
-    raw = tmp_path / "pacientes_crudo.csv"
+    raw = tmp_path / "pacientes_export.csv"
     raw.write_text(RAW)
     url = f"jdbc:derby:memory:cli{uuid.uuid4().hex[:8]};create=true"
     out = main(["run", "--raw", str(raw), "--lake", str(tmp_path / "lake"), "--run-ts", "202505151030",
@@ -45,7 +45,7 @@ def test_cli_run_over_jdbc(spark, tmp_path):
 def test_cli_stdout_is_one_json_line(spark, tmp_path, capsys):
     import json
 
-    raw = tmp_path / "pacientes_crudo.csv"
+    raw = tmp_path / "pacientes_export.csv"
     raw.write_text(RAW)
     main(["ingest", "--raw", str(raw), "--bronze", str(tmp_path / "b"), "--run-ts", "202505151030"], spark)
     out = capsys.readouterr().out.strip().splitlines()
@@ -67,7 +67,7 @@ def test_cli_ingest_landing(spark, tmp_path):
 def test_cli_refine_with_spec(spark, tmp_path):
     import json
 
-    raw = tmp_path / "turnos_crudo.csv"
+    raw = tmp_path / "turnos_export.csv"
     raw.write_text("sala,dia\nA,2025-05-10 09:00\n,2025-05-10\nB,nope\nA,2025-05-10 11:00\n")
     spec = tmp_path / "spec.json"
     spec.write_text(json.dumps({"not_blank": ["sala"], "dates": ["dia"], "dedup": True}))

@@ -12,16 +12,21 @@ from strata.sources.layers import list_landing, write_run
     ("/in/Pacientes-2025_x.csv", "pacientes-2025"),
     ("s3a://b/in/turnos_a_b.csv/", "turnos"),
     ("hdfs:///in/TURNOS", "turnos"),
+    ("/in/Turnos.csv.gz", "turnos"),
+    ("/in/turnos_b.CSV", "turnos"),
 ])
 def test_domain_of(path, domain):
     assert domain_of(path) == domain
 
 
-def test_list_landing_skips_hidden_and_other_files(spark, tmp_path):
-    for name in ("a_x.csv", "_b_x.csv", ".c_x.csv", "d_x.txt", "e_x.CSV"):
+def test_list_landing_takes_every_csv_spelling_and_refuses_the_rest(spark, tmp_path):
+    for name in ("a_x.csv", "_b_x.csv", ".c_x.csv", "e_x.CSV", "f_x.csv.gz", "g.Csv.bz2"):
         (tmp_path / name).write_text("h\n1\n")
     got = [p.rsplit("/", 1)[1] for p in list_landing(spark, str(tmp_path))]
-    assert got == ["a_x.csv"]
+    assert got == ["a_x.csv", "e_x.CSV", "f_x.csv.gz", "g.Csv.bz2"]
+    (tmp_path / "d_x.txt").write_text("h\n1\n")
+    with pytest.raises(ValueError, match="d_x.txt"):
+        list_landing(spark, str(tmp_path))
     assert list_landing(spark, str(tmp_path / "missing")) == []
 
 

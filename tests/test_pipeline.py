@@ -22,7 +22,7 @@ RAW = ('nombre,edad,obra_social,fecha_turno\n'
 
 @pytest.mark.parametrize("num_files", [None, 1])
 def test_run_pipeline(spark, tmp_path, num_files):
-    raw = tmp_path / "pacientes_crudo.csv"
+    raw = tmp_path / "pacientes_export.csv"
     raw.write_text(RAW)
     roots = LakeRoots.under(str(tmp_path / "lake"))
     name = f"pacientes_diamond_{uuid.uuid4().hex[:8]}"
@@ -43,7 +43,7 @@ def test_run_pipeline(spark, tmp_path, num_files):
 
 
 def test_refine_needs_a_run_of_the_day(spark, tmp_path):
-    raw = tmp_path / "pacientes_crudo.csv"
+    raw = tmp_path / "pacientes_export.csv"
     raw.write_text(RAW)
     bronze, silver = str(tmp_path / "b"), str(tmp_path / "s")
     ingest(spark, str(raw), bronze, "202505140900")
@@ -71,8 +71,8 @@ def test_dedup_reducers_sized_from_input(spark, tmp_path):
 
     assert shuffle_partitions_for(spark, 0) == 8  # never below the session's setting
     assert shuffle_partitions_for(spark, 10 * 2**30, 2**20) == 10240
-    assert shuffle_partitions_for(spark, 2**60, 2**20) == 100_000
-    raw = tmp_path / "pacientes_crudo.csv"
+    assert shuffle_partitions_for(spark, 2**50, 2**20) == 2**30  # no cap: a reducer's input stays the same
+    raw = tmp_path / "pacientes_export.csv"
     raw.write_text(RAW)
     bronze, silver = str(tmp_path / "b"), str(tmp_path / "s")
     ingest(spark, str(raw), bronze, "202505151030")
@@ -84,7 +84,7 @@ def test_dedup_reducers_sized_from_input(spark, tmp_path):
                       bytes_per_partition=16)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # restored
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"  # untouched
     parts = [int(f.name.split("-")[1]) for f in
              (tmp_path / "s" / "LOCAL_PACIENTES" / "run_ts=202505151030").iterdir()
              if f.name.startswith("part-")]
@@ -98,7 +98,7 @@ def test_ingest_landing_groups_by_domain(spark, tmp_path):
     (land / "pacientes_a.csv").write_text("nombre,edad\nAna,34\n")
     (land / "pacientes_b.csv").write_text("nombre,edad\nBo,40\nCy,50\n")
     (land / "turnos_2025.csv").write_text("id,sala\n1,A\n")
-    (land / "notes.txt").write_text("ignored")
+    (land / "_notes.txt").write_text("hidden")
     bronze = str(tmp_path / "bronze")
     got = ingest_landing(spark, str(land), bronze, "202505151030")
     assert got == {"pacientes": "202505151030", "turnos": "202505151030"}
@@ -120,7 +120,7 @@ def test_ingest_landing_rejects_mismatched_headers(spark, tmp_path):
 
 
 def test_empty_raw_file_flows_through(spark, tmp_path):
-    raw = tmp_path / "pacientes_crudo.csv"
+    raw = tmp_path / "pacientes_export.csv"
     raw.write_text("nombre,edad,obra_social,fecha_turno\n")
     name = f"empty_{uuid.uuid4().hex[:8]}"
     res = run_pipeline(spark, str(raw), LakeRoots.under(str(tmp_path / "lake")),
@@ -133,7 +133,7 @@ def test_empty_raw_file_flows_through(spark, tmp_path):
 
 
 def test_two_days_keep_their_runs(spark, tmp_path):
-    raw = tmp_path / "pacientes_crudo.csv"
+    raw = tmp_path / "pacientes_export.csv"
     roots = LakeRoots.under(str(tmp_path / "lake"))
     name = f"days_{uuid.uuid4().hex[:8]}"
     raw.write_text(RAW)
@@ -165,3 +165,71 @@ def test_ingest_landing_attempts_every_domain(spark, tmp_path):
         assert read_run(spark, bronze, f"dom{i}", "202505151030", "csv").count() == 1
     with pytest.raises(FileNotFoundError):  # the failed job committed no run
         resolve_run(spark, bronze, "pacientes")
+
+
+def test_backfill_publishes_its_own_rows(spark, tmp_path):
+    raw = tmp_path / "pacientes_export.csv"
+    roots = LakeRoots.under(str(tmp_path / "lake"))
+    names = {}
+    for key, person in (("202505151030", "Ana"), ("202505150900", "Bo"), ("202505140900", "Cy")):
+        raw.write_text(f"nombre,edad,obra_social,fecha_turno\n{person},34,OSDE,2025-05-10\n")
+        names[key] = f"backfill_{uuid.uuid4().hex[:8]}"
+        res = run_pipeline(spark, str(raw), roots, run_ts=key, table=names[key])
+        assert res.source_run == res.backup_run == key
+        for root in (roots.silver, roots.diamond, roots.gold):
+            assert [r.nombre for r in read_run(spark, root, "pacientes", key).collect()] == [person]
+        assert [r.nombre for r in spark.table(names[key]).collect()] == [person]
+
+
+def test_steps_refuse_a_source_run_that_is_missing(spark, tmp_path):
+    write_run(spark.range(1), str(tmp_path / "s"), "pacientes", "202505151030")
+    for step in (lambda: promote(spark, str(tmp_path / "s"), str(tmp_path / "d"), "pacientes", source_run="202505151031"),
+                 lambda: refine_latest(spark, str(tmp_path / "s"), str(tmp_path / "d"), "pacientes", source_run="202505151031")):
+        with pytest.raises(FileNotFoundError):
+            step()
+
+
+def test_overlapping_refines_leave_the_session_alone(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    raw = tmp_path / "pacientes_export.csv"
+    raw.write_text(RAW)
+    bronze = str(tmp_path / "b")
+    ingest(spark, str(raw), bronze, "202505151030")
+
+    def one(i):
+        out = str(tmp_path / f"s{i}")
+        refine_latest(spark, bronze, out, "pacientes", run_ts="202505151030", bytes_per_partition=8 * (i + 1))
+        return read_run(spark, out, "pacientes", "202505151030").count()
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(one, range(4))) == [2] * 4
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_a_session_of_its_own_keeps_the_callers_settings(spark):
+    from strata.session import session_with
+
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        own = session_with(spark, {"spark.sql.shuffle.partitions": "77"})
+        assert own.conf.get("spark.sql.session.timeZone") == "Asia/Kolkata"
+        assert own.conf.get("spark.sql.shuffle.partitions") == "77"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_landing_loads_compressed_and_upper_case_files(spark, tmp_path):
+    import gzip
+
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "turnos.csv").write_text("id,sala\n1,A\n")
+    (land / "Turnos_b.CSV").write_text("id,sala\n2,B\n")
+    (land / "turnos_c.csv.gz").write_bytes(gzip.compress(b"id,sala\n3,C\n"))
+    (land / "turnosx.csv").write_text("id\n9\n")
+    got = ingest_landing(spark, str(land), str(tmp_path / "b"), "202505151030")
+    assert sorted(got) == ["turnos", "turnosx"]
+    rows = read_run(spark, str(tmp_path / "b"), "turnos", "202505151030", "csv").collect()
+    assert sorted(tuple(r) for r in rows) == [("1", "A"), ("2", "B"), ("3", "C")]

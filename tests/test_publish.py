@@ -166,3 +166,26 @@ def test_publish_transform_hook_shapes_table_and_backup(spark, tmp_path):
     want = [("OSDE", 2), ("PAMI", 1)]
     assert sorted(tuple(r) for r in spark.table(name).collect()) == want
     assert sorted(tuple(r) for r in read_run(spark, gold, "pacientes", res.backup_run).collect()) == want
+
+
+def test_publish_recovers_from_files_left_by_a_dead_driver(spark, tmp_path):
+    silver, gold = str(tmp_path / "s"), str(tmp_path / "g")
+    write_run(spark.range(3), silver, "x", "202505151030")
+    name = f"left_{uuid.uuid4().hex[:8]}"
+    spark.range(99).write.parquet(f"{gold}/_tables/{name}")  # files, but no table
+    res = publish(spark, silver, gold, "x", table=name)
+    assert res.created and spark.table(name).count() == 3
+    assert read_run(spark, gold, "x", res.backup_run).count() == 3
+
+
+def test_jdbc_publish_checks_the_staging_count(spark, tmp_path, monkeypatch):
+    from strata.sources import tables
+
+    target = _derby()
+    monkeypatch.setattr(tables, "_jdbc_count", lambda *a: 6)  # as if a task had inserted its rows twice
+    with pytest.raises(RuntimeError, match="not published"):
+        publish_jdbc(spark.range(3), target, "doubled")
+    assert not jdbc_table_exists(spark, target, "doubled")
+    monkeypatch.undo()
+    assert publish_jdbc(spark.range(3), target, "doubled") is True
+    assert _read_jdbc(spark, target, "doubled").count() == 3

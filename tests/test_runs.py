@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.runs import check_run, domain_of, latest_run, run_of_path, run_stamp
 from strata.sources.layers import (
-    list_runs, read_layer, read_run, resolve_run, run_dir, write_run,
+    committed_runs, list_runs, read_layer, read_run, resolve_run, run_dir, write_run, write_runs,
 )
 
 RUNS = ["202505140900", "202505151030", "202505151045"]
@@ -16,8 +16,8 @@ RUNS = ["202505140900", "202505151030", "202505151045"]
 
 def test_run_stamp_and_domain():
     assert run_stamp(dt.datetime(2025, 5, 15, 10, 30, 59)) == "202505151030"
-    assert domain_of("/opt/data/csv/pacientes_crudo.csv") == "pacientes"
-    assert domain_of("s3a://bucket/in/Pacientes_Crudo.csv/") == "pacientes"
+    assert domain_of("/opt/data/csv/pacientes_export.csv") == "pacientes"
+    assert domain_of("s3a://bucket/in/Pacientes_Export.csv/") == "pacientes"
     assert domain_of("turnos.csv") == "turnos"
     with pytest.raises(ValueError):
         check_run("2025051510")
@@ -138,3 +138,33 @@ def test_read_layer_csv(spark, tmp_path):
     df = read_layer(spark, root, "p", "csv")
     assert df.dtypes == [("nombre", "string"), ("tag", "string"), ("run_ts", "string")]
     assert sorted(tuple(r) for r in latest_run(df).collect()) == [("202505151030", "Ana", "202505151030")]
+
+
+def test_read_layer_and_resolve_run_agree(spark, layer):
+    partial = run_dir(layer, "pacientes", "202505152359")
+    spark.range(7).withColumn("tag", F.lit("x")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(partial)
+    assert resolve_run(spark, layer, "pacientes") == "202505151045"
+    assert {r.run_ts for r in latest_run(read_layer(spark, layer, "pacientes")).collect()} == {"202505151045"}
+    with pytest.raises(FileNotFoundError):
+        read_layer(spark, layer, "otro")
+
+
+def test_read_layer_has_the_columns_of_all_runs(spark, tmp_path):
+    root = str(tmp_path / "l")
+    write_run(spark.range(2), root, "x", RUNS[0])
+    write_run(spark.range(3).withColumn("extra", F.lit("e")), root, "x", RUNS[1])
+    df = read_layer(spark, root, "x")
+    assert sorted(df.columns) == ["extra", "id", "run_ts"]
+    assert df.filter("extra is null").count() == 2 and df.count() == 5
+
+
+def test_write_runs_writes_and_commits_every_run(spark, tmp_path):
+    root = str(tmp_path / "l")
+    write_run(spark.range(9), root, "x", RUNS[0])
+    rows = spark.range(10).withColumn("run_ts", F.when(F.col("id") < 4, RUNS[1]).otherwise(RUNS[2]))
+    assert write_runs(rows, root, "x") == sorted(RUNS[1:], reverse=True)
+    assert committed_runs(spark, root, "x") == sorted(RUNS, reverse=True)
+    assert read_run(spark, root, "x", RUNS[1]).count() == 4 and read_run(spark, root, "x", RUNS[0]).count() == 9
+    with pytest.raises(Exception, match="not a run key"):
+        write_runs(rows.withColumn("run_ts", F.lit("2025")), root, "y")
