@@ -4,7 +4,9 @@ The lexicon holds words and word beginnings (``stem*``) that the labels mark as
 toxic. All its terms form one trie; the Levenshtein automata of the terms are run
 on the trie at once, as a deterministic automaton whose states are sets of
 (trie node, edits so far) and whose transitions are built when first needed.
-A word that the automaton accepts is a hit with its number of edits.
+A word that the automaton accepts is a hit with its number of edits. A
+misspelled hit weighs as much as the term, unless clean documents hold
+words that near to it by chance: then only as much as these allow.
 
 Each hit is looked at in its context window: inside quotation marks it
 counts as quotation, otherwise as abuse. A logistic model over the hits of a
@@ -47,9 +49,14 @@ def words(text: str) -> list[str]:
 
 
 class Lexicon:
-    """Weighted terms, and the automaton that finds them with at most one edit."""
+    """Weighted terms, and the automaton that finds them with at most one edit.
 
-    def __init__(self, terms: dict[str, float]):
+    ``near``: term -> weight of a word one edit away, where it differs from the term's.
+    """
+
+    def __init__(self, terms: dict[str, float], near: dict[str, float] | None = None):
+        self.near_weight = {t: (near or {}).get(t, w) for t, w in terms.items()}
+        self.words: dict[int, str] = {}      # node -> whole word
         self.children: list[dict[str, int]] = [{}]
         self.ends: dict[int, float] = {}     # node -> weight of a whole word
         self.stems: dict[int, float] = {}    # node -> weight of a word beginning
@@ -68,6 +75,7 @@ class Lexicon:
                 self.stems[node] = weight
             else:
                 self.ends[node] = weight
+                self.words[node] = term
                 self.edits[node] = int(len(term) >= EDIT_LENGTH)
                 if self.edits[node]:
                     for p in path:
@@ -77,7 +85,7 @@ class Lexicon:
         self.found: list[float] = []               # state -> weight of a stem met on the way
         self.moves: list[dict[str, int]] = []
         self.start = self._state(self._closed({(0, 0)}), 0.0)
-        self.known: dict[str, tuple[float, int]] = {}
+        self.known: dict[str, tuple[float, str, int]] = {}
 
     def _closed(self, places: set[tuple[int, int]]) -> frozenset:
         """Also the places reached by leaving out a letter of the term."""
@@ -102,8 +110,9 @@ class Lexicon:
         self.moves[state][c] = after
         return after
 
-    def look_up(self, word: str) -> tuple[float, int]:
-        """(weight, edits) of the best term for a word; weight 0 where there is none."""
+    def look_up(self, word: str) -> tuple[float, str, int]:
+        """(weight, whole word, edits) of the best term for a word; weight 0 where there is none,
+        and no whole word where it is a word beginning."""
         if word in self.known:
             return self.known[word]
         state = self.start
@@ -112,10 +121,11 @@ class Lexicon:
             state = self._step(state, c) if after is None else after
             if not self.sets[state]:
                 break
-        best = (self.found[state], 0)
+        best = (self.found[state], "", 0)
         for node, e in self.sets[state]:
             if node in self.ends and e <= self.edits[node]:
-                best = max(best, (self.ends[node], e), key=lambda b: (b[0] / (1 + b[1]), -b[1]))
+                term = self.words[node]
+                best = max(best, (self.near_weight[term] if e else self.ends[node], term, e), key=lambda b: (b[0], -b[2], b[1]))
         if len(self.known) >= MAX_WORDS:
             self.known.clear()
         self.known[word] = best
@@ -137,19 +147,19 @@ FEATURES = 6
 
 
 def features(lexicon: Lexicon, text: str | None) -> list[float]:
-    """What the score sees of a text: abuse (strongest, sum, misspelled), quotation (strongest, sum), density."""
-    abuse, quotation, edited, n = [], [], 0, 0
-    for m in _WORD.finditer((text or "").lower()):
+    """What the score sees of a text: abuse (strongest, sum, different words), quotation (strongest, sum), density."""
+    abuse, quotation, different, n = [], [], set(), 0
+    text = (text or "").lower()
+    for m in _WORD.finditer(text):
         n += 1
-        weight, edits = lexicon.look_up(m.group())
-        if weight:
-            weight /= 1 + edits
-            if _quoted(text.lower(), *m.span()):
+        weight = lexicon.look_up(m.group())[0]
+        if weight > 0:
+            if _quoted(text, *m.span()):
                 quotation.append(weight)
             else:
                 abuse.append(weight)
-                edited += edits
-    return [max(abuse, default=0.0), math.log1p(sum(abuse)), math.log1p(edited), max(quotation, default=0.0),
+                different.add(m.group())
+    return [max(abuse, default=0.0), math.log1p(sum(abuse)), math.log1p(len(different)), max(quotation, default=0.0),
             math.log1p(sum(quotation)), math.log1p(100.0 * len(abuse) / max(1, n))]
 
 
@@ -158,6 +168,7 @@ class Model:
     """A lexicon and the weights of the logistic model (the last one is the constant)."""
 
     terms: dict[str, float] = field(default_factory=dict)
+    near: dict[str, float] = field(default_factory=dict)
     weights: list[float] = field(default_factory=lambda: [0.0] * (FEATURES + 1))
 
     def scores(self, lexicon: Lexicon, texts: list[str | None]) -> list[float]:
@@ -198,6 +209,18 @@ def _lexicon(sample: DataFrame, totals: dict[int, int]) -> dict[str, float]:
     return {r.term: math.log(r.ratio) for r in top}
 
 
+def _near_weights(sample: DataFrame, terms: dict[str, float], clean: int) -> dict[str, float]:
+    """Term -> weight of a word one edit away: the term's, or less where clean documents hold such words."""
+    def misspelled(texts: pa.Array) -> pa.Array:
+        lexicon = Lexicon(terms)
+        found = [{term for _, term, edits in map(lexicon.look_up, set(words(t or ""))) if edits} for t in texts.to_pylist()]
+        return pa.array([sorted(f) for f in found], pa.list_(pa.string()))
+
+    seen = sample.filter("toxic = 0").select(F.explode(F.arrow_udf(misspelled, T.ArrayType(T.StringType()))("text")).alias("term"))
+    return {r.term: max(0.0, min(terms[r.term], math.log((clean + 1) / (r["count"] + 1)) - math.log(MIN_RATIO)))
+            for r in seen.groupBy("term").count().collect()}  # a row per term at most
+
+
 def _fit(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> list[float]:
     """Ridge logistic regression by Newton steps."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -241,8 +264,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model()
     terms = _lexicon(sample, totals)
 
+    near = _near_weights(sample, terms, totals[0])
+
     def look(texts: pa.Array) -> pa.Array:
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon(terms, near)
         return pa.array([features(lexicon, t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
     rated = sample.select("toxic", F.arrow_udf(look, T.ArrayType(T.DoubleType()))("text").alias("x"))
@@ -252,13 +277,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     back = {k: sizes[k] / totals[k] for k in (0, 1)}
     importance = np.array([r["count"] * back[r.toxic] for r in seen])
     importance *= sum(totals.values()) / importance.sum()
-    return Model(terms, _fit(x, y, importance))
+    return Model(terms, near, _fit(x, y, importance))
 
 
 def score(model: Model, text: str | Column) -> Column:
     """The score of a whole text, 0 to 1; null and empty texts score as texts without hits."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lexicon = Lexicon(model.terms)
+        lexicon = Lexicon(model.terms, model.near)
         for texts in batches:
             yield pa.array(model.scores(lexicon, texts.to_pylist()), pa.float64())
 

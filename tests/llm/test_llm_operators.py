@@ -433,7 +433,8 @@ def test_automaton_accepts_one_edit():
     import random
 
     terms = {"idiot": 3.0, "moron": 2.0, "scum": 1.5, "idea": 0.5, "vequ*": 4.0, "morons": 1.0}
-    lexicon = toxicity.Lexicon(terms)
+    near = {"moron": 0.25}
+    lexicon = toxicity.Lexicon(terms, near)
     rnd = random.Random(4)
     seen = ["idiot", "idiott", "idio", "xdiot", "idoit", "morn", "moronss", "scun", "scum", "vequaire", "veq", "", "idiots", "iidiot"]
     for _ in range(3000):
@@ -443,12 +444,28 @@ def test_automaton_accepts_one_edit():
             w[at:at + rnd.randint(0, 1)] = rnd.choice(["", "a", "o"])
         seen.append("".join(w))
     for w in seen:
-        options = [(v, 0) for t, v in terms.items() if t.endswith("*") and w.startswith(t[:-1])]
-        options += [(v, e) for t, v in terms.items() if not t.endswith("*")
+        options = [v for t, v in terms.items() if t.endswith("*") and w.startswith(t[:-1])]
+        options += [near.get(t, v) if e else v for t, v in terms.items() if not t.endswith("*")
                     for e in [_edits(w, t)] if e <= (len(t) >= 5)]
-        best = max((v / (1 + e) for v, e in options), default=0.0)
-        weight, edits = lexicon.look_up(w)
-        assert weight / (1 + edits) == best, w
+        assert lexicon.look_up(w)[0] == max(options, default=0.0), w
+
+
+def test_misspelled_abuse_scores_high(spark):
+    import random
+
+    rnd = random.Random(9)
+    plain = ["river", "stone", "cloud", "paper", "green", "light", "horse", "bread", "under", "table", "water", "house"]
+    rows, labels = [], []
+    for i in range(600):
+        body = [rnd.choice(plain) + rnd.choice(["", "s", "en"]) for _ in range(30)]
+        if i % 5 == 0:
+            body[rnd.randrange(30)] = rnd.choice(["wretched", "numbskull", "vermin"])
+        rows.append((i, " ".join(body)))
+        labels.append((i, int(i % 5 == 0)))
+    rows += [(1000, "you are a numbskul and stone water"), (1001, "you are a wretchedd horse"), (1002, "river stone cloud")]
+    found = {r.id: r.score for r in toxicity.rate(spark.createDataFrame(rows, "doc_id long, text string"),
+                                                  spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert found[1000] >= 0.3 and found[1001] >= 0.3 and found[1002] < 0.3
 
 
 def test_quotation_counts_apart_from_abuse():
