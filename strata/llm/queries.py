@@ -103,4 +103,56 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+#: DuckDB versions of the queries that SQL can express. The others need hash functions, models
+#: or tokenizers that it lacks, or a schedule; tests hold those against plain Python versions.
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": f"""
+WITH lists AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM lists),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), {_LOWER}) AS key FROM l),
+r AS (
+  SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE k.doc_id < r.top) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE r.key IS NULL OR k.doc_id = r.top), '')) AS kept_sha256
+FROM k LEFT JOIN r ON k.key = r.key
+GROUP BY doc_id""",
+    "op7_decontamination": f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+starts AS (SELECT item_id, words, least(13, len(words)) AS n, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS s
+  FROM b WHERE len(words) > 0),
+w AS (SELECT DISTINCT item_id, n, words[s:s + n - 1] AS win FROM starts),
+places AS (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS s
+  FROM d CROSS JOIN (SELECT DISTINCT n FROM w) WHERE len(words) >= n),
+hits AS (SELECT doc_id, item_id, s, places.n AS n FROM places JOIN w ON w.n = places.n AND w.win = words[s:s + places.n - 1]),
+covered AS (SELECT doc_id, unnest(range(s, s + n)) AS place FROM hits),
+n_hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM covered GROUP BY doc_id),
+ids AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits),
+n_ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM ids GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN n_hits ON d.doc_id = n_hits.doc_id LEFT JOIN n_ids ON d.doc_id = n_ids.doc_id""",
+    "op9_top_k": """
+WITH parts AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+bad AS (SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)),
+v AS (
+  SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM parts
+  WHERE vec_id IS NOT NULL AND vec_id NOT IN (SELECT vec_id FROM bad)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+  GROUP BY q.vec_id, c.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 5""",
+}
