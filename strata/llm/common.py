@@ -5,10 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_dir
+from strata.session import scratch_dir, session_with
+
+
+BATCH_ROWS = 256  # rows that go to Python at once, in sessions for long texts
+
+
+def written(df: DataFrame, tag: str) -> str:
+    """``df`` as Parquet in the session's shared scratch folder; returns the path."""
+    path = scratch_dir(df.sparkSession, tag)
+    df.write.parquet(path)
+    return path
 
 
 def materialized(df: DataFrame, tag: str) -> DataFrame:
@@ -17,10 +27,13 @@ def materialized(df: DataFrame, tag: str) -> DataFrame:
     Cuts the lineage on storage that survives a lost executor, and gives the
     reader real file sizes to plan with.
     """
-    spark = df.sparkSession
-    path = scratch_dir(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, tag))
+
+
+def text_session(spark: SparkSession) -> SparkSession:
+    """A session that hands Python ``BATCH_ROWS`` rows at once, so that a task's Arrow
+    buffers stay small however long the texts are. The caller's settings stay as they are."""
+    return session_with(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)})
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:

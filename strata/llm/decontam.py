@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import fresh, materialized, small_batches, utf8
+from strata.llm.common import fresh, materialized, small_batches, text_session, utf8, written
 
 WINDOW = 13
 VOCABULARY_BYTES = 32 << 20  # benchmark words sent to the tasks at once; larger benchmarks go in blocks
@@ -166,23 +167,26 @@ def proximity_hits(index: DataFrame, items: DataFrame, slop: int, window: int =
         "row", "item", F.col("p1").alias("position"), F.col("p2").alias("other_position")).distinct()
 
 
-def _verdicts(rows: DataFrame, row: str, text_col: str, benchmark: DataFrame, item_id: str, item_text: str,
+def _verdicts(rows: str, row: str, text_col: str, benchmark: DataFrame, item_id: str, item_text: str,
               window: int) -> DataFrame:
-    """(row, n_words, n_hit, item_ids) for each row of ``rows``; ``row`` is unique."""
-    items = materialized(_items(benchmark, item_id, item_text), "items")
-    hits, n_words = None, None
+    """(row, n_words, n_hit, item_ids) for each row of the written table ``rows``; ``row`` is unique."""
+    spark = benchmark.sparkSession
+    small = text_session(spark)
+    texts = small.read.parquet(rows).select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    items = small.read.parquet(written(_items(benchmark, item_id, item_text), "items"))
+    hits, n_words = [], None
     for block in _blocks(items):
-        index = materialized(build_index(rows, row, text_col, _vocabularies(block, window)), "index")
-        found = phrase_hits(index, block, window)
-        hits = found if hits is None else hits.unionByName(found)
+        index = materialized(build_index(texts, "row", "text", _vocabularies(block, window)), "index")
+        hits.append(phrase_hits(index, block, window))
         n_words = index.select("row", "n_words") if n_words is None else n_words
-    per_row = hits.groupBy("row").agg(
+    per_row = reduce(DataFrame.unionByName, hits).groupBy("row").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_hit"),
         F.sort_array(F.collect_set("item")).alias("item_ids"))
     per_row = materialized(per_row, "hits")
-    return n_words.join(per_row, "row", "left").select(
+    found = n_words.join(per_row, "row", "left").select(
         "row", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+    return spark.read.schema(found.schema).parquet(written(found, "verdicts"))
 
 
 def _is_contaminated(n_hit: Column, n_words: Column) -> Column:
@@ -200,11 +204,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     words; items without words and empty tables hit nothing; a null item id
     stands as the empty text, and repeated items count once.
     """
-    row = fresh("row", docs.columns)
-    rows = materialized(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                        .withColumn(row, F.monotonically_increasing_id()), "decontam_rows")
-    found = _verdicts(rows, row, "text", benchmark, item_id, item_text, window)
-    return rows.select("id", F.col(row).alias("row")).join(found, "row").select(
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    path = written(rows, "decontam_rows")
+    found = _verdicts(path, "row", "text", benchmark, item_id, item_text, window)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path).select("id", "row").join(found, "row").select(
         "id", "n_words", "n_hit", "item_ids",
         _is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
@@ -213,7 +216,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                       item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns kept."""
     row = fresh("row", docs.columns)
-    rows = materialized(docs.withColumn(row, F.monotonically_increasing_id()), "decontam_rows")
-    found = _verdicts(rows, row, text_col, benchmark, item_id, item_text, window)
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    path = written(rows, "decontam_rows")
+    found = _verdicts(path, row, text_col, benchmark, item_id, item_text, window)
     bad = found.filter(_is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("row").alias(row))
-    return rows.join(materialized(bad, "contaminated"), row, "left_anti").select(*docs.columns)
+    back = docs.sparkSession.read.schema(rows.schema).parquet(path)
+    return back.join(materialized(bad, "contaminated"), row, "left_anti").select(*docs.columns)
