@@ -1,4 +1,4 @@
-"""Write the physical plan of every registered query to PLANS.md.
+"""Write the physical plan of every query of the library to PLANS.md.
 
 Usage: python tools/dump_plans.py [sf_dir]
 Storage queries run their layer/table writes while being built; the plan
@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as entry_mod  # noqa: E402
+from strata.plans.queries import QUERIES  # noqa: E402
 
 
 def main() -> None:
@@ -29,7 +29,7 @@ def main() -> None:
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/dump_plans.py` on `{os.path.basename(sf)}`, local[8], AQE on "
            "(plans before execution). Scratch paths are shortened to `<scratch>`.", ""]
-    for name, fn in entry_mod.queries().items():
+    for name, fn in QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             fn(spark, sf).explain()
