@@ -108,6 +108,43 @@ _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 #: DuckDB versions of the queries that SQL can express. The others need hash functions, models
 #: or tokenizers that it lacks, or a schedule; tests hold those against plain Python versions.
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": f"""
+WITH RECURSIVE sizes AS (
+  SELECT coalesce('=' || source, '') AS key, count(*) AS n, CAST(round(pow(count(*), {mixing.SMOOTHING}) * 1000) AS BIGINT) AS want
+  FROM documents GROUP BY 1),
+exact AS (
+  SELECT *, {mixing.PERIOD} - count(*) OVER () AS extra,
+    ({mixing.PERIOD} - count(*) OVER ()) * want / CAST(sum(want) OVER () AS DOUBLE) AS share FROM sizes),
+parts AS (
+  SELECT key, n, CAST(1 + floor(share) + CASE WHEN
+      row_number() OVER (ORDER BY share - floor(share) DESC, key) <= extra - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS BIGINT) AS c,
+    row_number() OVER (ORDER BY key) AS i FROM exact),
+tasks AS (SELECT list(c ORDER BY i) AS c FROM parts),
+fold(t, had, pick) AS (
+  SELECT CAST(-1 AS BIGINT), list_transform(c, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM tasks
+  UNION ALL
+  SELECT t + 1, list_transform(had, lambda h, j: h + CASE WHEN j = p THEN 1 ELSE 0 END), p
+  FROM (
+    SELECT t, had, list_min(list_transform(range(1, len(had) + 1), lambda j: CASE WHEN had[j] * {mixing.PERIOD} // c[j] <= t + 1
+      THEN ((had[j] + 1) * {mixing.PERIOD} + c[j] - 1) // c[j] * 1000000 + j END)) % 1000000 AS p
+    FROM fold, tasks WHERE t + 1 < {mixing.PERIOD})),
+plan AS (
+  SELECT key, n, c, list(t ORDER BY t) AS slots, (n + {mixing.BLOCK} - 1) // {mixing.BLOCK} AS blocks
+  FROM fold JOIN parts ON pick = i WHERE t >= 0 GROUP BY key, n, c),
+stream AS (SELECT *, max((blocks - 1) // c * {mixing.PERIOD} + slots[(blocks - 1) % c + 1] + 1) OVER () AS length FROM plan),
+uses AS (
+  SELECT *, length // {mixing.PERIOD} * c + len(list_filter(slots, lambda x: x < length % {mixing.PERIOD})) AS used FROM stream),
+ranked AS (
+  SELECT doc_id, source, coalesce('=' || source, '') AS key, row_number() OVER (
+    PARTITION BY source ORDER BY md5(CAST(doc_id AS VARCHAR)), doc_id) - 1 AS rank FROM documents),
+placed AS (
+  SELECT doc_id, source, rank, rank // {mixing.BLOCK} AS block, c, slots, blocks,
+    unnest(range(0, (used - 1 - rank // {mixing.BLOCK}) // blocks + 1)) AS epoch
+  FROM ranked JOIN uses USING (key) WHERE rank // {mixing.BLOCK} < used),
+turns AS (SELECT *, block + epoch * blocks AS q FROM placed)
+SELECT doc_id, source, epoch, block, rank, q * {mixing.PERIOD} // c AS release,
+  ((q + 1) * {mixing.PERIOD} + c - 1) // c AS deadline, q // c * {mixing.PERIOD} + slots[q % c + 1] AS slot
+FROM turns""",
     "op6_line_dedup": f"""
 WITH lists AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM lists),
