@@ -72,10 +72,6 @@ def _counts(fp: Column) -> Column:
     return F.shiftleft(of_half(high), 32) + of_half(low) + F.lit(0x1111111111111111)
 
 
-def _signed(bit: int) -> int:
-    return (1 << bit) - (1 << 64) if bit == 63 else 1 << bit
-
-
 def _cells(fp: Column) -> Column:
     """The 33 cells within Manhattan distance 1 of a fingerprint's count vector."""
     base = _counts(fp)
@@ -83,15 +79,13 @@ def _cells(fp: Column) -> Column:
     return F.array(base, *[base + s for s in steps], *[base - s for s in steps])
 
 
-def _near_values(fp: Column) -> Column:
-    """(cell, value) of the 65 values within one bit of a fingerprint."""
-    base = _counts(fp)
-    flips = []
-    for bit in range(64):
-        step, mask = F.lit(1 << (BITS * (bit // BITS))), F.lit(_signed(bit))
-        cell = F.when(fp.bitwiseAND(mask) == 0, base + step).otherwise(base - step)
-        flips.append(F.struct(cell.alias("cell"), fp.bitwiseXOR(mask).alias("value")))
-    return F.array(F.struct(base.alias("cell"), fp.alias("value")), *flips)
+def _values_in(cell: Column, fp: Column) -> Column:
+    """The values of a cell within one bit of a fingerprint that visits it: four at most."""
+    def flip(bit: Column) -> Column:
+        return fp.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), bit))
+
+    near = F.concat(F.array(fp), F.transform(F.sequence(F.lit(0), F.lit(63)), flip))
+    return F.filter(near, lambda value: _counts(value) == cell)
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -101,9 +95,9 @@ def links(fps: DataFrame) -> DataFrame:
     visits = fps.select("fp", F.explode(_cells(F.col("fp"))).alias("cell"))
     shared = visits.groupBy("cell").count().filter("count > 1").select("cell")
     met = materialized(visits.join(shared, "cell", "left_semi").select("fp", "cell"), "cells")
-    inside = F.filter(_near_values(F.col("fp")), lambda near: near["cell"] == F.col("cell"))  # four values at most
-    named = (met.select("fp", F.explode(inside).alias("near"))
-             .groupBy(F.col("near.value").alias("value")).agg(F.sort_array(F.collect_set("fp")).alias("fps"))  # 65 at most
+    inside = _values_in(F.col("cell"), F.col("fp"))
+    named = (met.select("fp", F.explode(inside).alias("value"))
+             .groupBy("value").agg(F.sort_array(F.collect_set("fp")).alias("fps"))  # 65 at most
              .filter(F.size("fps") > 1))
     rest = named.select(F.col("fps")[0].alias("u"), F.explode(F.expr("slice(fps, 2, size(fps) - 1)")).alias("v"))
     return rest.distinct()
