@@ -1,5 +1,12 @@
+from collections import namedtuple
+
 import pytest
 
+from strata.llm import queries
+from tests.conftest import SF_SMALL
+
+Result = namedtuple("Result", "dtypes columns rows")
+
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, row long, rank string, slot string, " \
     "shard string, found string, id string, size string, source_key string, fp string, label string, n_tokens string"
 
@@ -47,3 +54,17 @@ def no_docs(spark):
 def few_items(spark):
     rows = [(1, PASSAGE), (2, "one two"), (3, None), (None, "the cat"), (4, "..."), (1, PASSAGE), (5, "mot1 mot2 mot3 " + PASSAGE)]
     return spark.createDataFrame(rows, "item_id long, text string")
+
+
+@pytest.fixture(scope="session")
+def result(spark):
+    """name -> the query's columns and rows on the smallest tables; each query runs once."""
+    done = {}
+
+    def of(name, sf=SF_SMALL):
+        if (name, sf) not in done:
+            df = queries.QUERIES[name](spark, sf)
+            done[name, sf] = Result(dict(df.dtypes), df.columns, df.collect())
+        return done[name, sf]
+
+    return of

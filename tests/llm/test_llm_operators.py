@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, lines, mixing, pii, queries, sharding, simhash, tokens, topk, toxicity
+from strata.llm import decontam, langid, lines, mixing, pii, sharding, simhash, tokens, topk, toxicity
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 
@@ -28,8 +28,8 @@ def pairs(docs):
 
 # 5 -------------------------------------------------------------------------
 
-def test_simhash_query_matches_all_pairs(spark, pairs):
-    assert rows_of(queries.op5_simhash(spark, SF_SMALL)) == Counter(brute.near_duplicates(pairs))
+def test_simhash_query_matches_all_pairs(result, pairs):
+    assert Counter(map(tuple, result("op5_simhash").rows)) == Counter(brute.near_duplicates(pairs))
 
 
 def test_simhash_on_odd_rows(odd_docs, odd_rows, no_docs):
@@ -77,8 +77,8 @@ def test_links_connect_exactly_the_near_fingerprints(spark):
 
 # 6 -------------------------------------------------------------------------
 
-def test_line_dedup_query(spark, pairs):
-    assert rows_of(queries.op6_line_dedup(spark, SF_SMALL)) == Counter(brute.dedup_lines(pairs))
+def test_line_dedup_query(result, pairs):
+    assert Counter(map(tuple, result("op6_line_dedup").rows)) == Counter(brute.dedup_lines(pairs))
 
 
 @pytest.mark.parametrize("batches", [1, 9])
@@ -101,11 +101,11 @@ def test_line_runs_stay_logarithmic_and_anti_join(spark):
 
 # 7 -------------------------------------------------------------------------
 
-def test_decontamination_query(spark, pairs):
+def test_decontamination_query(spark, result, pairs):
     items = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text").collect()]
     expected = brute.contamination(pairs, items)
     assert any(r[-1] for r in expected)
-    assert rows_of(queries.op7_decontamination(spark, SF_SMALL)) == Counter(expected)
+    assert Counter(map(tuple, result("op7_decontamination").rows)) == Counter(expected)
 
 
 @pytest.mark.parametrize("vocabulary_bytes", [decontam.VOCABULARY_BYTES, 40])
@@ -152,10 +152,10 @@ def _library_counts(path, texts):
     return [len(e) for e in model.encode([t or "" for t in texts])]
 
 
-def test_token_query_equals_the_library(spark, pairs, piece_model):
+def test_token_query_equals_the_library(result, pairs, piece_model):
     counts = _library_counts(piece_model, [t for _, t in pairs])
     expected = Counter((i, len(t.encode()), n, n > 4096) for (i, t), n in zip(pairs, counts))
-    assert rows_of(queries.op3_token_counts(spark, SF_SMALL)) == expected
+    assert Counter(map(tuple, result("op3_token_counts").rows)) == expected
 
 
 @pytest.mark.parametrize("chunk", [tokens.CHUNK, 100])
@@ -186,10 +186,10 @@ def test_state_maps_compose_at_any_cut(piece_model):
 
 # 9 -------------------------------------------------------------------------
 
-def test_top_k_query(spark):
+def test_top_k_query(spark, result):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()]
     expected = Counter(brute.top_k(rows, 5, lambda q: q % 50 == 0))
-    assert rows_of(queries.op9_top_k(spark, SF_SMALL)) == expected
+    assert Counter(map(tuple, result("op9_top_k").rows)) == expected
 
 
 @pytest.mark.parametrize("block", [topk.VECTORS, 5])
@@ -236,9 +236,9 @@ def _check_shards(rows, texts, count):
     assert all(len(s) == 1 for s in shard_of.values())
 
 
-def test_sharding_query(spark, pairs):
-    rows = queries.op4_sharding(spark, SF_SMALL).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
-    _check_shards(rows, pairs, 24)
+def test_sharding_query(result, pairs):
+    rows = result("op4_sharding").rows
+    _check_shards([(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in rows], pairs, 24)
     loads = Counter()
     for r in rows:
         loads[r.shard] += r["size"]
@@ -260,8 +260,8 @@ def test_lpt_takes_the_largest_first():
 
 # 1 -------------------------------------------------------------------------
 
-def test_mixing_query_uses_every_document_and_keeps_its_shares(spark, docs):
-    rows = queries.op1_mixing(spark, SF_SMALL).collect()
+def test_mixing_query_uses_every_document_and_keeps_its_shares(result, docs):
+    rows = result("op1_mixing").rows
     ids = Counter(r.doc_id for r in rows if r.epoch == 0)
     assert ids == Counter(r.doc_id for r in docs.select("doc_id").collect())
     blocks = defaultdict(set)
@@ -303,9 +303,9 @@ def test_mixing_on_odd_rows(odd_docs, odd_rows, no_docs):
 
 # 2 -------------------------------------------------------------------------
 
-def test_pii_base_spans(spark, pairs):
+def test_pii_base_spans(result, pairs):
     kinds = [k for k, _, _ in brute.PII]
-    for r in queries.op2_pii(spark, SF_SMALL).collect():
+    for r in result("op2_pii").rows:
         text = dict(pairs)[r.doc_id]
         spans = brute.personal_data(text)
         assert [r[f"n_{k}"] for k in kinds] == [sum(s[1] == i for s in spans) for i in range(4)]
@@ -358,9 +358,9 @@ def test_pii_adds_unusual_forms_and_leaves_plain_text(spark):
 
 # 10 ------------------------------------------------------------------------
 
-def test_language_accuracy_on_held_out(spark, docs):
+def test_language_accuracy_on_held_out(result, docs):
     lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
-    rows = queries.op10_language_id(spark, SF_SMALL).collect()
+    rows = result("op10_language_id").rows
     assert Counter(r.doc_id for r in rows) == Counter(lang.keys())
     held = [r for r in rows if r.held_out]
     assert held and sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.95 * len(held)
@@ -400,10 +400,10 @@ def test_ngrams_are_counted_across_blocks(monkeypatch):
 
 # 8 -------------------------------------------------------------------------
 
-def test_toxicity_on_held_out(spark):
+def test_toxicity_on_held_out(spark, result):
     sf = "/root/testdata/sf0.01"
     toxic = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
-    rows = queries.op8_toxicity(spark, sf).collect()
+    rows = result("op8_toxicity", sf).rows
     held = [r for r in rows if r.held_out and r.doc_id in toxic]
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
     good = [r.score for r in held if toxic[r.doc_id]]

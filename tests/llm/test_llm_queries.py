@@ -37,19 +37,18 @@ def test_all_are_registered():
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
-def test_columns_are_the_contracts(spark, name):
-    assert dict(queries.QUERIES[name](spark, SF_SMALL).dtypes) == COLUMNS[name]
+def test_columns_are_the_contracts(result, name):
+    assert result(name).dtypes == COLUMNS[name]
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
-def test_query_matches_its_sql(spark, name):
+def test_query_matches_its_sql(result, name):
     duck = duckdb.connect()
     for table in ("documents", "benchmark", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_SMALL}/{table}.parquet')")
-    df = queries.QUERIES[name](spark, SF_SMALL)
-    names = sorted(df.columns)
+    names = result(name).columns
     found = duck.execute(f"SELECT {', '.join(names)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
-    assert Counter(map(tuple, df.select(*names).collect())) == Counter(found)
+    assert Counter(map(tuple, result(name).rows)) == Counter(found)
 
 
 # pipeline ------------------------------------------------------------------
