@@ -17,7 +17,7 @@ from strata.operators.runs import RUN_COLUMN, latest_run, run_of_path
 from strata.functions.rules import date_prefix, int_between_exclusive, not_blank
 from strata.plans.pipeline import LakeRoots, ingest, ingest_landing, promote, publish, run_pipeline
 from strata.plans.views import (
-    appointments_view, hourly_runs_view, padded_customers_view, part_ages_view, table,
+    appointments_view, padded_customers_view, part_ages_view, shift_runs_view, table,
 )
 from strata.session import scratch_dir
 from strata.sources.layers import domain_dir, read_layer, read_run, resolve_run, run_dir, write_run, write_runs
@@ -79,10 +79,10 @@ def csv_free_text(spark: SparkSession, sf: str) -> DataFrame:
     return read_run(spark, roots.diamond, "documents", res.backup_run, "csv_quoted")
 
 
-def _hourly_layer(spark: SparkSession, sf: str) -> str:
-    """Hourly runs of ``events``, and two newer runs that were never committed."""
-    root = scratch_dir(spark, "hourly")
-    runs = hourly_runs_view(table(spark, sf, "events"))
+def _shift_layer(spark: SparkSession, sf: str) -> str:
+    """Runs of ``events``, one per six-hour shift, and two newer runs that were never committed."""
+    root = scratch_dir(spark, "shifts")
+    runs = shift_runs_view(table(spark, sf, "events"))
     write_runs(runs, root, "events")
     for key in (f"{DAY}2359", "209901010000"):
         (runs.drop(RUN_COLUMN).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
@@ -91,18 +91,18 @@ def _hourly_layer(spark: SparkSession, sf: str) -> str:
 
 
 def latest_run_of_day(spark: SparkSession, sf: str) -> DataFrame:
-    """RUN-1: rows of the latest committed hourly run of one day (lazy broadcast semi-join, pruned scans)."""
-    return latest_run(read_layer(spark, _hourly_layer(spark, sf), "events"), day=DAY)
+    """RUN-1: rows of the latest committed run of one day (lazy broadcast semi-join, pruned scans)."""
+    return latest_run(read_layer(spark, _shift_layer(spark, sf), "events"), day=DAY)
 
 
 def latest_run_any_day(spark: SparkSession, sf: str) -> DataFrame:
-    """RUN-2: rows of the latest committed hourly run of any day."""
-    return latest_run(read_layer(spark, _hourly_layer(spark, sf), "events"))
+    """RUN-2: rows of the latest committed run of any day."""
+    return latest_run(read_layer(spark, _shift_layer(spark, sf), "events"))
 
 
 def missing_day(spark: SparkSession, sf: str) -> DataFrame:
     """RUN-3: a day without runs raises; the layer's own days do not. Rows of the found run, with both outcomes."""
-    root = _hourly_layer(spark, sf)
+    root = _shift_layer(spark, sf)
     try:
         resolve_run(spark, root, "events", "19990101")
         raised = False
@@ -318,8 +318,9 @@ WHERE nombre IS NOT NULL AND nombre <> ''
   AND obra_social IS NOT NULL AND obra_social <> ''
   AND try_strptime(split_part(fecha_turno, ' ', 1), '%Y-%m-%d') IS NOT NULL"""
 
-_HOURLY = """
-WITH r AS (SELECT event_id, user_id, event_type, strftime(ts, '%Y%m%d%H') || '00' AS run_ts FROM events)"""
+_SHIFTS = """
+WITH r AS (SELECT event_id, user_id, event_type, 
+  strftime(ts, '%Y%m%d') || printf('%02d', hour(ts) // 6 * 6) || '00' AS run_ts FROM events)"""
 
 _ORDERS_BY_RUN = f"""
 SELECT orders.*, CASE o_orderstatus WHEN 'P' THEN '{FIRST_RUN}' WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
@@ -352,9 +353,9 @@ FROM raw WHERE try_strptime(split_part(fecha_turno, ' ', 1), '%Y-%m-%d') IS NOT
     "distinct_after_retype": """
 SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS fecha FROM events""",
     "csv_roundtrip": _ORDERS_TEXT,
-    "latest_run_of_day": _HOURLY + f"""
+    "latest_run_of_day": _SHIFTS + f"""
 SELECT * FROM r WHERE run_ts = (SELECT max(run_ts) FROM r WHERE run_ts LIKE '{DAY}%')""",
-    "latest_run_any_day": _HOURLY + """
+    "latest_run_any_day": _SHIFTS + """
 SELECT * FROM r WHERE run_ts = (SELECT max(run_ts) FROM r)""",
     "promote_run": _ORDERS_BY_RUN,
     "run_of_file": _ORDERS_BY_RUN,
@@ -378,7 +379,7 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang,
   'say "a\\b",' || chr(10) || ' ,''' || source || '"\\' AS quoted
 FROM documents""",
     "adopt_old_backup": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents",
-    "missing_day": _HOURLY + f"""
+    "missing_day": _SHIFTS + f"""
 SELECT *, true AS missing_raises FROM r WHERE run_ts = (SELECT max(run_ts) FROM r WHERE run_ts LIKE '{DAY}%')""",
     "single_file_run": """
 SELECT CAST(1 AS BIGINT) AS files, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders""",

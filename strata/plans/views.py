@@ -52,11 +52,12 @@ def part_ages_view(part: DataFrame) -> DataFrame:
     )
 
 
-def hourly_runs_view(events: DataFrame) -> DataFrame:
-    """Events tagged with an hourly run key ``YYYYMMDDHH00`` from their timestamp."""
+def shift_runs_view(events: DataFrame) -> DataFrame:
+    """Events tagged with the run key ``YYYYMMDDHH00`` of their six-hour shift."""
+    shift = F.lpad((F.floor(F.hour("ts") / 6) * 6).cast("string"), 2, "0")
     return events.select(
         "event_id", "user_id", "event_type",
-        F.concat(F.date_format("ts", "yyyyMMddHH"), F.lit("00")).alias("run_ts"),
+        F.concat(F.date_format("ts", "yyyyMMdd"), shift, F.lit("00")).alias("run_ts"),
     )
 
 

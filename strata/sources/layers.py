@@ -9,6 +9,7 @@ one table with a ``run_ts`` string column that Spark can prune on.
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -263,8 +264,17 @@ def is_committed(spark: SparkSession, root: str, domain: str, run_ts: str) -> bo
 
 
 def committed_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
-    """Keys of the committed runs of ``domain`` (of ``day`` when given), newest first."""
-    return [key for key in list_runs(spark, root, domain, day) if is_committed(spark, root, domain, key)]
+    """Keys of the committed runs of ``domain`` (of ``day`` when given), newest first.
+
+    One look-up of the commit markers; run by run only where jobs write none.
+    """
+    keys = list_runs(spark, root, domain, day)
+    if not _writes_success_marker(spark):
+        return [key for key in keys if is_committed(spark, root, domain, key)]
+    base = re.sub(r"([][{}*?^\\])", r"\\\1", domain_dir(root, domain))
+    fs, markers = _hadoop_fs(spark, f"{base}/{RUN_COLUMN}={day or ''}*/_SUCCESS")
+    marked = {st.getPath().getParent().getName() for st in fs.globStatus(markers) or []}
+    return [key for key in keys if f"{RUN_COLUMN}={key}" in marked]
 
 
 def resolve_run(spark: SparkSession, root: str, domain: str, day: str | None = None) -> str:
