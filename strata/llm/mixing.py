@@ -87,7 +87,7 @@ def schedule(parts: DataFrame, period: int) -> DataFrame:
 
 
 def ranked(rows: DataFrame, source_col: str, key: list[str], rank_col: str) -> DataFrame:
-    """``rows`` with their rank (from 0) among the rows of their source, in the order of
+    """``rows`` with their rank (from 0) among the rows of their source (never null), in the order of
     a digest of ``key``: a fixed shuffle. Hash parts of a source are ranked
     independently and offset by the counts of the parts before them."""
     digest, part, begins = (fresh(n, rows.columns) for n in ("digest", "part", "begins"))
@@ -99,7 +99,8 @@ def ranked(rows: DataFrame, source_col: str, key: list[str], rank_col: str) -> D
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(begins))
     inside = F.row_number().over(Window.partitionBy(source_col, part).orderBy(digest, *key)) - 1
     numbered = placed.withColumn(rank_col, inside.cast("long"))
-    same = F.col(source_col).eqNullSafe(F.col("_source")) & (F.col(part) == F.col("_part"))
+    # the keys by which the rows are already dealt: they are not shuffled again
+    same = (F.col(source_col) == F.col("_source")) & (F.col(part) == F.col("_part"))
     joined = numbered.join(offsets, same)
     return joined.withColumn(rank_col, F.col(rank_col) + F.col(begins)).drop(digest, part, begins, "_source", "_part")
 
