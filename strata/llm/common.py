@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_dir, session_with
+from strata.session import jvm_context, scratch_dir, session_with
 
 
 BATCH_ROWS = 256  # rows that go to Python at once, in sessions for long texts
@@ -30,6 +30,14 @@ def materialized(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(written(df, tag))
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing will read any more: the results made from them are written."""
+    sc = jvm_context(spark)
+    for path in paths:
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def text_session(spark: SparkSession) -> SparkSession:
     """A session that hands Python ``BATCH_ROWS`` rows at once, so that a task's Arrow
     buffers stay small however long the texts are. The caller's settings stay as they are."""

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import fresh, materialized, small_batches, text_session, utf8, written
+from strata.llm.common import discard, fresh, materialized, small_batches, text_digest, text_session, utf8, written
 
 WINDOW = 13
 VOCABULARY_BYTES = 32 << 20  # benchmark words sent to the tasks at once; larger benchmarks go in blocks
@@ -167,26 +167,36 @@ def proximity_hits(index: DataFrame, items: DataFrame, slop: int, window: int =
         "row", "item", F.col("p1").alias("position"), F.col("p2").alias("other_position")).distinct()
 
 
-def _verdicts(rows: str, row: str, text_col: str, benchmark: DataFrame, item_id: str, item_text: str,
+def _verdicts(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFrame, item_id: str, item_text: str,
               window: int) -> DataFrame:
-    """(row, n_words, n_hit, item_ids) for each row of the written table ``rows``; ``row`` is unique."""
-    spark = benchmark.sparkSession
+    """(id, a, b, n_words, n_hit, item_ids) for each row of ``docs``; a and b are the digest of its text.
+
+    The texts are copied to scratch, read in small batches, and discarded when the verdicts are written.
+    """
+    spark = docs.sparkSession
     small = text_session(spark)
-    texts = small.read.parquet(rows).select(F.col(row).alias("row"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_digest(text_col).alias("digest"),
+                       F.monotonically_increasing_id().alias("row"))
+    scratch = [written(rows, "decontam_rows")]
+    texts = small.read.schema(rows.schema).parquet(scratch[0])
     items = small.read.parquet(written(_items(benchmark, item_id, item_text), "items"))
     hits, n_words = [], None
     for block in _blocks(items):
-        index = materialized(build_index(texts, "row", "text", _vocabularies(block, window)), "index")
+        postings = build_index(texts, "row", "text", _vocabularies(block, window))
+        scratch.append(written(postings, "index"))
+        index = small.read.schema(postings.schema).parquet(scratch[-1])
         hits.append(phrase_hits(index, block, window))
         n_words = index.select("row", "n_words") if n_words is None else n_words
     per_row = reduce(DataFrame.unionByName, hits).groupBy("row").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).cast("long").alias("n_hit"),
         F.sort_array(F.collect_set("item")).alias("item_ids"))
     per_row = materialized(per_row, "hits")
-    found = n_words.join(per_row, "row", "left").select(
-        "row", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+    found = texts.select("id", "digest.a", "digest.b", "row").join(n_words, "row").join(per_row, "row", "left").select(
+        "id", "a", "b", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
-    return spark.read.schema(found.schema).parquet(written(found, "verdicts"))
+    verdicts = spark.read.schema(found.schema).parquet(written(found, "verdicts"))
+    discard(spark, scratch)
+    return verdicts
 
 
 def _is_contaminated(n_hit: Column, n_words: Column) -> Column:
@@ -204,10 +214,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     words; items without words and empty tables hit nothing; a null item id
     stands as the empty text, and repeated items count once.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
-    path = written(rows, "decontam_rows")
-    found = _verdicts(path, "row", "text", benchmark, item_id, item_text, window)
-    return docs.sparkSession.read.schema(rows.schema).parquet(path).select("id", "row").join(found, "row").select(
+    return _verdicts(docs, id_col, text_col, benchmark, item_id, item_text, window).select(
         "id", "n_words", "n_hit", "item_ids",
         _is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
@@ -215,10 +222,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns kept."""
-    row = fresh("row", docs.columns)
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
-    path = written(rows, "decontam_rows")
-    found = _verdicts(path, row, text_col, benchmark, item_id, item_text, window)
-    bad = found.filter(_is_contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("row").alias(row))
-    back = docs.sparkSession.read.schema(rows.schema).parquet(path)
-    return back.join(materialized(bad, "contaminated"), row, "left_anti").select(*docs.columns)
+    found = _verdicts(docs, id_col, text_col, benchmark, item_id, item_text, window)
+    bad = found.filter(_is_contaminated(F.col("n_hit"), F.col("n_words")))
+    digest = fresh("digest", docs.columns)
+    marked = docs.withColumn(digest, text_digest(text_col))  # a verdict depends on the text alone
+    bad = materialized(bad.select("a", "b").distinct(), "contaminated")
+    same = (F.col(digest)["a"] == bad.a) & (F.col(digest)["b"] == bad.b)
+    return marked.join(bad, same, "left_anti").select(*docs.columns)

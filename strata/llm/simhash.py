@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -137,10 +137,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     The row with the smallest id stays (null ids last); of rows that repeat
     that id, any one of them.
     """
-    fp, row, first = (fresh(n, docs.columns) for n in ("fp", "row", "first"))
-    kept = docs.withColumn(fp, fingerprint(text_col, shingle)).withColumn(row, F.monotonically_increasing_id())
-    kept = materialized(kept, "simhash_rows")
-    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    winners = _first_of_group(kept.select(F.col(fp).alias("fp"), key.alias("first")))
-    winners = winners.select(F.col("first.row").alias(first)).distinct()
-    return kept.join(winners, F.col(row) == F.col(first), "left_semi").select(*docs.columns)
+    # a row is known by 128 bits of its id and text, so that texts need no second copy on disk
+    halves = {fresh("row_a", docs.columns): F.xxhash64(id_col, text_col),
+              fresh("row_b", docs.columns): F.xxhash64(F.lit(7), id_col, text_col)}
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+                   *[half.alias(name) for name, half in halves.items()])
+    rows = materialized(docs.select(fingerprint(text_col, shingle).alias("fp"), key.alias("first")), "simhash_rows")
+    winners = _first_of_group(rows).select(*[F.col(f"first.{name}").alias(name) for name in halves]).distinct()
+    place = fresh("place", docs.columns)
+    kept = docs.withColumns(halves).join(winners, list(halves), "left_semi")
+    again = F.row_number().over(Window.partitionBy(*halves).orderBy(*halves))
+    return kept.withColumn(place, again).filter(F.col(place) == 1).select(*docs.columns)
