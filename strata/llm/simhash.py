@@ -131,20 +131,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(first.withColumnRenamed("first", "component_id"), "fp").select("id", "fp", "component_id")
 
 
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[dict[str, Column], Column]:
+    """128 bits that stand for a row's id and text, as columns by fresh names, and a key that
+    orders rows by id (nulls last) and carries those bits as ``row_a`` and ``row_b``."""
+    # texts need no second copy on disk
+    halves = {fresh("row_a", docs.columns): F.xxhash64(id_col, text_col),
+              fresh("row_b", docs.columns): F.xxhash64(F.lit(7), id_col, text_col)}
+    return halves, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
+                            *[half.alias(name) for name, half in zip(("row_a", "row_b"), halves.values())])
+
+
+def rows_of(docs: DataFrame, halves: dict[str, Column], winners: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``halves`` are in ``winners``, one of those that have the same."""
+    place = fresh("place", docs.columns)
+    kept = docs.withColumns(halves).join(winners, list(halves), "left_semi")
+    again = F.row_number().over(Window.partitionBy(*halves).orderBy(*halves))
+    return kept.withColumn(place, again).filter(F.col(place) == 1).select(*docs.columns)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """The rows of ``docs``, all columns kept, of which one stays for each group of near-duplicates.
 
     The row with the smallest id stays (null ids last); of rows that repeat
     that id, any one of them.
     """
-    # a row is known by 128 bits of its id and text, so that texts need no second copy on disk
-    halves = {fresh("row_a", docs.columns): F.xxhash64(id_col, text_col),
-              fresh("row_b", docs.columns): F.xxhash64(F.lit(7), id_col, text_col)}
-    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"),
-                   *[half.alias(name) for name, half in halves.items()])
+    halves, key = row_keys(docs, id_col, text_col)
     rows = materialized(docs.select(fingerprint(text_col, shingle).alias("fp"), key.alias("first")), "simhash_rows")
-    winners = _first_of_group(rows).select(*[F.col(f"first.{name}").alias(name) for name in halves]).distinct()
-    place = fresh("place", docs.columns)
-    kept = docs.withColumns(halves).join(winners, list(halves), "left_semi")
-    again = F.row_number().over(Window.partitionBy(*halves).orderBy(*halves))
-    return kept.withColumn(place, again).filter(F.col(place) == 1).select(*docs.columns)
+    firsts = _first_of_group(rows).select(F.col("first.row_a"), F.col("first.row_b")).distinct()
+    return rows_of(docs, halves, firsts.toDF(*halves))
