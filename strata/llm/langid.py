@@ -29,6 +29,8 @@ TRAIN_PER_LANG = 3000    # expected size of the labelled sample that a profile i
 MAX_LANGUAGES = 8192     # profiles travel to every task: 300 numbers a language, 40 MB at most
 BLOCK = 1 << 20          # symbols whose n-grams are counted at once
 HASH_RANGE = 1 << 40
+FOREIGN = 0.9            # share of the texts of an unlearned language that should stay below the threshold
+CALIBRATION_ROWS = 100   # labelled texts that it takes to set the threshold
 BLANK = 32
 
 
@@ -120,24 +122,37 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
     return {lang: np.array(grams, np.int64) for lang, grams in profiles.items()}
 
 
-def _classifier(profiles: dict[str, np.ndarray]):
+def _scorer(profiles: dict[str, np.ndarray]):
+    """(names, a function from a text to its score in each of them, or None where it has no letter)."""
     names = sorted(profiles)
     known = np.unique(np.concatenate([profiles[n] for n in names])) if names else np.empty(0, np.int64)
     place = np.full((len(names), len(known)), -1, np.int64)
     for i, n in enumerate(names):
         place[i, np.searchsorted(known, profiles[n])] = np.arange(len(profiles[n]))
 
-    def classify(text: str | None) -> tuple[str, float]:
+    def scores(text: str | None) -> np.ndarray | None:
         own = _ranked(text) if text else known[:0]
         if not len(own) or not names:
-            return UNDETERMINED, 0.0
+            return None
         at = np.minimum(np.searchsorted(known, own), len(known) - 1)
         there = known[at] == own
         ranks = place[:, at[there]]
         apart = np.where(ranks >= 0, np.minimum(np.abs(ranks - np.flatnonzero(there)), PROFILE), PROFILE)
         distance = apart.sum(axis=1) + PROFILE * (len(own) - there.sum())
-        best = int(distance.argmin())
-        return names[best], 1.0 - float(distance[best]) / (PROFILE * len(own))
+        return 1.0 - distance / (PROFILE * len(own))
+
+    return names, scores
+
+
+def _classifier(profiles: dict[str, np.ndarray]):
+    names, scores = _scorer(profiles)
+
+    def classify(text: str | None) -> tuple[str, float]:
+        found = scores(text)
+        if found is None:
+            return UNDETERMINED, 0.0
+        best = int(found.argmax())
+        return names[best], float(found[best])
 
     return classify
 
@@ -176,11 +191,55 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return found.select("id", "held_out", "found.lang", "found.score")
 
 
+def threshold(labelled: DataFrame, profiles: dict[str, np.ndarray], floor: float, lang_col: str = "lang",
+              text_col: str = "text", key: tuple[str, ...] = ("doc_id",)) -> float:
+    """The score from which a text counts as one of the languages of ``profiles``; ``floor`` at least.
+
+    Each text of the sample that the profiles are learned from is scored twice: by all
+    profiles, and by those of the other languages, as if its own had not been
+    learned. The threshold lies midway between the ``FOREIGN`` quantile of the second
+    score, in the language where that is highest, and the lowest of the first among texts
+    whose language is recognised. It never exceeds the latter, so that no such text goes. Fewer than
+    ``CALIBRATION_ROWS`` texts calibrate nothing: the threshold is ``floor``.
+    """
+    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
+                       *[F.col(k).alias(f"key{i}") for i, k in enumerate(key)])
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, scores = _scorer(profiles)
+        for batch in small_batches(batches, "text"):
+            langs, own, foreign = [], [], []
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                found = scores(text)
+                if found is None or lang not in profiles:
+                    continue
+                langs.append(lang)
+                own.append(float(found.max()) if names[int(found.argmax())] == lang else None)
+                others = [s for n, s in zip(names, found.tolist()) if n != lang]
+                foreign.append(max(others, default=None))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(own, pa.float64()), pa.array(foreign, pa.float64())],
+                ["lang", "own", "foreign"])
+
+    sample = _training_sample(rows, "lang", "text", [f"key{i}" for i in range(len(key))])
+    rated = sample.mapInArrow(rate, "lang string, own double, foreign double").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.min("own").alias("own"),
+        F.percentile_approx("foreign", FOREIGN, 10_000).alias("foreign"))
+    seen = rated.agg(F.sum("n").alias("n"), F.min("own").alias("own"), F.max("foreign").alias("foreign")).first()
+    if (seen.n or 0) < CALIBRATION_ROWS or seen.own is None:
+        return floor
+    return max(floor, min(seen.own, (seen.own + (seen.foreign or 0.0)) / 2))
+
+
 def keep_identified(docs: DataFrame, min_score: float, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose text has a language with at least ``min_score``."""
-    profiles = learn(docs.filter(~held_out(id_col)), lang_col, text_col, (id_col,))
+    """The rows of ``docs``, all columns kept, whose text has a language with at least the score
+    that ``threshold`` sets from the labelled rows, and at least ``min_score``."""
+    labelled = docs.filter(~held_out(id_col))
+    profiles = learn(labelled, lang_col, text_col, (id_col,))
+    least = threshold(labelled, profiles, min_score, lang_col, text_col, (id_col,))
     found = fresh("found", docs.columns)
     marked = docs.withColumn(found, language(profiles, text_col))
-    good = (F.col(found)["lang"] != UNDETERMINED) & (F.col(found)["score"] >= min_score)
+    good = (F.col(found)["lang"] != UNDETERMINED) & (F.col(found)["score"] >= least)
     return marked.filter(good).select(*docs.columns)
