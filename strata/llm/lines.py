@@ -4,8 +4,10 @@
 (hash, documents that hold it, largest document id), one run per batch.
 When a level has ``FANOUT`` runs they are compacted into one run of the next
 level, so that any number of batches leaves a logarithmic number of runs and
-each entry is rewritten once per level. A batch is merged against the runs
-by an anti-join on the hash, on which both sides are sorted.
+each entry is rewritten once per level. Runs are merged by counting: a line
+that is known already changes its count and its largest id as well. The
+anti-join of a batch against the runs, ``LineRuns.unseen``, is for callers;
+``dedup_lines`` does not need it.
 """
 
 from __future__ import annotations
