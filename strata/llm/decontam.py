@@ -146,7 +146,8 @@ def proximity_hits(index: DataFrame, items: DataFrame, slop: int, window: int =
     """(row, item, position, other_position): the two rarest terms of an item's window, as the index counts
     them, in that document at most ``slop`` words further apart or closer than in the item.
 
-    Works on the postings that the index holds: both terms lie in stretches of benchmark words.
+    Works on the postings that the index holds: both terms lie in stretches of benchmark words, so passages
+    with foreign words in between are not found. No query or stage uses it.
     """
     some = index.filter(F.size("positions") > 0)
     frequency = some.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count()
