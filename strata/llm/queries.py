@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, langid, lines, mixing, pii, sharding, simhash, tokens, topk, toxicity
+from strata.llm import bpe, decontam, langid, lines, mixing, pii, sharding, simhash, tokens, topk, toxicity
+from strata.llm.common import text_session
 
 TOKENIZER = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+BPE_TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 24
 
 
@@ -90,6 +92,16 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "held_out", F.col("lang").alias("lang_pred"), "score")
 
 
+def op13_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every text of ``documents`` under the public 50k byte vocabulary, and what they decode to."""
+    import public_tokenizers
+
+    docs = _table(text_session(spark), sf, "documents").select("doc_id", "text")
+    done = bpe.tokenize(docs, public_tokenizers.path(BPE_TOKENIZER))
+    return done.select("doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_pii": op2_pii,
@@ -101,6 +113,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
+    "op13_bpe": op13_bpe,
 }
 
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
