@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontam, langid, lines, mixing, pii, sharding, simhash, tokens, topk, toxicity
+from strata.llm import bpe, decontam, langid, lines, mixing, periodic, pii, sharding, simhash, tokens, topk, toxicity
 from strata.llm.common import text_session
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -92,6 +92,30 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "held_out", F.col("lang").alias("lang_pred"), "score")
 
 
+def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of repeated words in ``documents``, a tenth of which is made periodic from some word on."""
+    docs = _table(text_session(spark), sf, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.withColumns({"g": F.floor(h / 10), "periodic": F.coalesce(h % 10 == 0, F.lit(False)),
+                             "words": F.when(h % 10 == 0, F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), 0))})
+    n = F.size("words")
+    rows = rows.withColumn("periodic", F.col("periodic") & (n > 0))
+    rows = rows.withColumn("a", F.when(F.col("periodic"), F.col("g") % n))
+    rows = rows.withColumn("p", F.when(F.col("periodic"), 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))))
+    made = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    rows = rows.select("doc_id", F.when(F.col("periodic"), F.array_join(made, " ")).otherwise(F.col("text")).alias("text"))
+    found = periodic.periodic_runs(rows)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumns({"best": longest, "lines": F.array_join(lines, "")})
+    length, start, period = F.col("best")["length"], -F.col("best")["col2"], -F.col("best")["col3"]
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"), F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every text of ``documents`` under the public 50k byte vocabulary, and what they decode to."""
     import public_tokenizers
@@ -113,6 +137,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_bpe": op13_bpe,
 }
 
