@@ -10,8 +10,8 @@ stable: they are emitted, and the rest of the window is all that is kept.
 
 The splitter in front of the merges streams as well: it holds back what the
 next characters may change (a contraction, the last blank of a run, a word
-that goes on). Splits are short as a rule; the tokens of blocks between blanks
-are kept in a bounded table, so that a block is merged when it is first met.
+that goes on). Splits are short as a rule; the tokens of short ones are kept
+in a bounded table, so that a split is merged when it is first met.
 
 Decoding is an incremental state machine from bytes to characters: a character
 may be spread over several tokens, and its open bytes are the only state.
@@ -23,6 +23,7 @@ import codecs
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = 1 << 16           # characters of a text, and tokens, that are worked off at once
-MAX_BLOCKS = 300_000      # blocks whose tokens a worker keeps; they can be merged again
-BLOCK_LETTERS = 64        # longer blocks are not kept
+KEPT_SPLITS = 400_000     # splits of a generation; a worker keeps the tokens of two generations
+KEPT_LETTERS = 48         # longer splits are not kept
 SHORT = 48                # symbols up to which a plain scan finds the next merge faster than a heap
 
 # Fixed values of the format: contractions that are split off, and the characters that are blanks.
@@ -119,6 +120,10 @@ class Merges:
         return [s for s in symbols if s >= 0]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class MergeStream:
     """Merges one split of any length in a window of bounded size."""
 
@@ -169,26 +174,28 @@ class Vocabulary:
         self.added_strings = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
         self.margin = max(map(len, self.added), default=1) - 1  # letters that may begin an added string
         self.bytes_of = spelled | {i: text.encode() for text, i in self.added.items()}
-        self.splits, self.blocks, self.runs, self.cut = _patterns()
-        self.block_ids: dict[str, bytes] = {}
+        self.splits, self.low_splits, self.runs, self.cut = _patterns()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def symbols(self, split: str) -> list[int]:
-        return [self.byte_ids[b] for b in split.encode()]
-
-    def compile(self, block: str) -> bytes:
-        """The tokens of a block of bounded length, as little-endian 32-bit numbers."""
-        ids = [token for split in self.splits.findall(block) for token in self.merges.merge(self.symbols(split))]
-        packed = np.array(ids, "<u4").tobytes()
-        if len(block) <= BLOCK_LETTERS:
-            if len(self.block_ids) >= MAX_BLOCKS:
-                self.block_ids.clear()
-            self.block_ids[block] = packed
+        return list(map(self.byte_ids.__getitem__, split.encode()))
+
+    def compile(self, split: str) -> bytes:
+        """The tokens of a split of bounded length, as little-endian 32-bit numbers."""
+        packed = self.older.get(split) or _packed(self.merges.merge(self.symbols(split)))
+        if len(split) <= KEPT_LETTERS:
+            self.known[split] = packed
         return packed
 
     def plain(self, text: str) -> bytes:
         """Packed tokens of a whole stretch of bounded length without added strings."""
-        known = self.block_ids.get
-        return b"".join([known(block) or self.compile(block) for block in self.blocks.findall(text)])
+        if len(self.known) >= KEPT_SPLITS:
+            self.older, self.known = self.known, {}
+        known = self.known.get
+        low = len(text.encode("utf-16-le")) == 2 * len(text)  # the short classes are searched faster
+        splits = (self.low_splits if low else self.splits).findall(text)
+        return b"".join([known(split) or self.compile(split) for split in splits])
 
 
 class Encoder:
@@ -213,7 +220,7 @@ class Encoder:
         for m in self.v.added_strings.finditer(text):
             yield from self._split(text[start:m.start()])
             yield from self._ended()
-            yield np.array([self.v.added[m.group()]], "<u4").tobytes()
+            yield _packed([self.v.added[m.group()]])
             start = m.end()
         stop = max(start, len(text) - margin)
         self.held = text[stop:]
@@ -254,9 +261,9 @@ class Encoder:
 
     def _merged(self, part: str, last: bool) -> Iterator[bytes]:
         for start in range(0, len(part), CHUNK):
-            yield np.array(self.stream.feed(self.v.symbols(part[start:start + CHUNK])), "<u4").tobytes()
+            yield _packed(self.stream.feed(self.v.symbols(part[start:start + CHUNK])))
         if last:
-            yield np.array(self.stream.finish(), "<u4").tobytes()
+            yield _packed(self.stream.finish())
 
     def _ended(self) -> Iterator[bytes]:
         """Tokens of what is left where a stretch of text ends."""
@@ -288,7 +295,7 @@ def _ranges(points: Iterable[int]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found)
 
 
-def _letter_classes() -> tuple[str, str]:
+def _letter_classes() -> tuple[list[int], list[int]]:
     """The letters and the numbers of Unicode as the tokenizers library knows them.
 
     Python knows the class of assigned characters; of those that only later versions of
@@ -308,20 +315,24 @@ def _letter_classes() -> tuple[str, str]:
             for name, beside in (("L", "x"), ("N", "9")):
                 if later[name].match(chr(p)) and len(split(beside + chr(p))) == 1:
                     found[name].append(p)
-    return _ranges(found["L"]), _ranges(found["N"])
+    return found["L"], found["N"]
+
+
+def _splitter(letter: str, number: str) -> re.Pattern:
+    blanks = f"[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
+    kinds = (f"[{letter}]", f"[{number}]", f"[^{BLANKS}{letter}{number}]")
+    return re.compile("|".join((*CONTRACTIONS, *(f" ?{k}+" for k in kinds), blanks)))
 
 
 @lru_cache(maxsize=1)
 def _patterns() -> tuple[re.Pattern, re.Pattern, tuple[re.Pattern, ...], re.Pattern]:
-    """(splits, blocks between blanks, what a split of each kind goes on with, the last end of a word before a blank)."""
-    letter, number = _letter_classes()
-    other = f"[^{BLANKS}{letter}{number}]"
-    blanks = f"[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+"
-    kinds = (f"[{letter}]", f"[{number}]", other)
-    splits = "|".join((*CONTRACTIONS, *(f" ?{k}+" for k in kinds), blanks))
-    runs = tuple(re.compile(f"{k}*") for k in (*kinds, f"[{BLANKS}]"))
-    return (re.compile(splits), re.compile(f" ?[^{BLANKS}]+|{blanks}"), runs,
-            re.compile(f"(?s:.*)[^{BLANKS}](?=[{BLANKS}])"))
+    """(splits, splits of texts without characters beyond 16 bits, what a split of each kind goes on with,
+    the last end of a word before a blank)."""
+    letters, numbers = _letter_classes()
+    low = [_ranges(p for p in points if p < 1 << 16) for points in (letters, numbers)]
+    letter, number = _ranges(letters), _ranges(numbers)
+    runs = tuple(re.compile(f"{k}*") for k in (f"[{letter}]", f"[{number}]", f"[^{BLANKS}{letter}{number}]", f"[{BLANKS}]"))
+    return _splitter(letter, number), _splitter(*low), runs, re.compile(f"(?s:.*)[^{BLANKS}](?=[{BLANKS}])")
 
 
 @lru_cache(maxsize=2)
