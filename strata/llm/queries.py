@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontam, langid, lines, mixing, periodic, pii, sharding, simhash, tokens, topk, toxicity
+from strata.llm import bpe, collocations, decontam, langid, lines, mixing, periodic, pii, sharding, simhash, tokens, topk, toxicity
 from strata.llm.common import text_session
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -116,6 +116,11 @@ def op11_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The 2000 best phrases of two to three words of each language of ``documents``."""
+    return collocations.collocations(_table(collocations.graph_session(spark), sf, "documents"))
+
+
 def op13_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every text of ``documents`` under the public 50k byte vocabulary, and what they decode to."""
     import public_tokenizers
@@ -138,6 +143,7 @@ QUERIES = {
     "op9_top_k": op9_top_k,
     "op10_language_id": op10_language_id,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
     "op13_bpe": op13_bpe,
 }
 
@@ -230,4 +236,32 @@ ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
     vec_id, score FROM scores)
 SELECT * FROM ranked WHERE rank <= 5""",
+    "op12_collocations": f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM pieces),
+spots AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+g AS (SELECT lang, words[i] AS x, words[i + 1] AS y, words[i + 2] AS z FROM spots),
+f1 AS (SELECT lang, x, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY ALL),
+f2 AS (SELECT lang, x, y, CAST(count(*) AS HUGEINT) AS f FROM g WHERE y IS NOT NULL GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+f3 AS (SELECT lang, x, y, z, CAST(count(*) AS HUGEINT) AS f FROM g WHERE z IS NOT NULL GROUP BY ALL HAVING count(*) >= {collocations.MIN_COUNT}),
+sizes AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang),
+longer AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM f3 UNION ALL SELECT lang, y, z, f FROM f3) GROUP BY ALL),
+two AS (
+  SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.f AS a, p.f AS l, q.f AS r, 1 AS k
+  FROM f2 JOIN f1 p ON p.lang = f2.lang AND p.x = f2.x JOIN f1 q ON q.lang = f2.lang AND q.x = f2.y
+  LEFT JOIN longer ON longer.lang = f2.lang AND longer.x = f2.x AND longer.y = f2.y
+  WHERE longer.f IS NULL OR 100 * longer.f < {collocations.COVERED_PERCENT} * f2.f),
+three AS (
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z AS phrase, f3.f AS a, p.f AS l, q.f AS r, 1 AS k
+  FROM f3 JOIN f1 p ON p.lang = f3.lang AND p.x = f3.x JOIN f2 q ON q.lang = f3.lang AND q.x = f3.y AND q.y = f3.z
+  UNION ALL
+  SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, p.f, q.f, 2
+  FROM f3 JOIN f2 p ON p.lang = f3.lang AND p.x = f3.x AND p.y = f3.y JOIN f1 q ON q.lang = f3.lang AND q.x = f3.z),
+scored AS (SELECT *, 1000000 * a * a // (l * r) AS score FROM (SELECT * FROM two UNION ALL SELECT * FROM three)),
+cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM cut)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN sizes USING (lang) WHERE rank <= {collocations.TOP}""",
 }

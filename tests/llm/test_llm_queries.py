@@ -25,13 +25,18 @@ COLUMNS = {  # as the contract has them
     "op8_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op9_top_k": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
     "op10_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op11_periodic_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint",
+                           "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op12_collocations": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint",
+                          "n": "bigint", "score": "bigint"},
+    "op13_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
 }
 
 
 def test_all_are_registered():
     found = entry_mod.queries()
     assert {n for n in found if n.startswith("op")} == set(queries.QUERIES)
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert found["pipeline"] is corpus_pipeline.run
     assert set(queries.ORACLE_SQL) <= set(queries.QUERIES) and set(queries.ORACLE_SQL) <= set(entry_mod.oracle_sql())
 
