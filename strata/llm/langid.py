@@ -30,7 +30,9 @@ MAX_LANGUAGES = 8192     # profiles travel to every task: 300 numbers a language
 BLOCK = 1 << 20          # symbols whose n-grams are counted at once
 HASH_RANGE = 1 << 40
 FOREIGN = 0.9            # share of the texts of an unlearned language that should stay below the threshold
-CALIBRATION_ROWS = 100   # labelled texts that it takes to set the threshold
+WRONG = 0.05             # share of labels that may be wrong without moving the threshold far
+CALIBRATION_FOLD = 1     # labelled texts of this fold set the threshold; the profiles are not learned from them
+PRIOR_ROWS = 10          # labelled texts that weigh as much as the lowest threshold that is given
 BLANK = 32
 
 
@@ -165,7 +167,7 @@ def language(profiles: dict[str, np.ndarray], text: str | Column) -> Column:
     """
     def run(texts: pa.Array) -> pa.Array:
         classify = _classifier(profiles)
-        found = [classify(t) for t in texts.to_pylist()]
+        found = [classify(t.as_py()) for t in texts]
         return pa.StructArray.from_arrays(
             [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
             ["lang", "score"])
@@ -195,12 +197,12 @@ def threshold(labelled: DataFrame, profiles: dict[str, np.ndarray], floor: float
               text_col: str = "text", key: tuple[str, ...] = ("doc_id",)) -> float:
     """The score from which a text counts as one of the languages of ``profiles``; ``floor`` at least.
 
-    Each text of the sample that the profiles are learned from is scored twice: by all
-    profiles, and by those of the other languages, as if its own had not been
-    learned. The threshold lies midway between the ``FOREIGN`` quantile of the second
-    score, in the language where that is highest, and the lowest of the first among texts
-    whose language is recognised. It never exceeds the latter, so that no such text goes. Fewer than
-    ``CALIBRATION_ROWS`` texts calibrate nothing: the threshold is ``floor``.
+    ``labelled`` should be rows that the profiles were not learned from. Each text of a sample
+    (about ``TRAIN_PER_LANG`` of a language) is scored twice: by all profiles, and by those of the other languages, as if its own had not
+    been learned. The threshold lies a third of the way from the ``FOREIGN`` quantile of the second
+    score, in the language where that is highest, to the ``WRONG`` quantile of the first among texts
+    whose language is recognised, in the language where that is lowest: neither a wrongly labelled nor an
+    unusual text decides it. ``n`` texts move it from ``floor`` by n / (n + ``PRIOR_ROWS``) of the way.
     """
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
@@ -224,21 +226,30 @@ def threshold(labelled: DataFrame, profiles: dict[str, np.ndarray], floor: float
 
     sample = _training_sample(rows, "lang", "text", [f"key{i}" for i in range(len(key))])
     rated = sample.mapInArrow(rate, "lang string, own double, foreign double").groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n"), F.min("own").alias("own"),
+        F.count("own").alias("n"), F.percentile_approx("own", WRONG, 10_000).alias("own"),
         F.percentile_approx("foreign", FOREIGN, 10_000).alias("foreign"))
     seen = rated.agg(F.sum("n").alias("n"), F.min("own").alias("own"), F.max("foreign").alias("foreign")).first()
-    if (seen.n or 0) < CALIBRATION_ROWS or seen.own is None:
+    if not seen.n:
         return floor
-    return max(floor, min(seen.own, (seen.own + (seen.foreign or 0.0)) / 2))
+    foreign = min(seen.foreign or 0.0, seen.own)
+    found = foreign + (seen.own - foreign) / 3
+    return max(floor, floor + (found - floor) * seen.n / (seen.n + PRIOR_ROWS))
 
 
 def keep_identified(docs: DataFrame, min_score: float, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs``, all columns kept, whose text has a language with at least the score
-    that ``threshold`` sets from the labelled rows, and at least ``min_score``."""
+    that ``threshold`` sets from the labelled rows, and at least ``min_score``.
+
+    Labelled rows of one fold set the threshold, those of the others make the profiles; held-out rows do neither.
+    Rows with null, empty or letterless texts go, and all rows go where nothing is labelled; a null id counts as empty text
+    in the choice of the fold. Repeated rows and ids are judged one by one, of equal scores the language with
+    the smaller name counts; an empty table stays empty. Columns may have any names.
+    """
     labelled = docs.filter(~held_out(id_col))
-    profiles = learn(labelled, lang_col, text_col, (id_col,))
-    least = threshold(labelled, profiles, min_score, lang_col, text_col, (id_col,))
+    calibrates = held_out(id_col, fold=CALIBRATION_FOLD)
+    profiles = learn(labelled.filter(~calibrates), lang_col, text_col, (id_col,))
+    least = threshold(labelled.filter(calibrates), profiles, min_score, lang_col, text_col, (id_col,))
     found = fresh("found", docs.columns)
     marked = docs.withColumn(found, language(profiles, text_col))
     good = (F.col(found)["lang"] != UNDETERMINED) & (F.col(found)["score"] >= least)

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from strata.llm import langid
 from tests.conftest import SF_SMALL
 
 ITALIAN = ("Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Quanto a dir "
@@ -28,3 +29,31 @@ def test_gibberish_and_unlearned_languages_go(spark):
     assert [gone[-1 - i][:20] for i in ids if i < 0] == []
     assert [t for i, t in enumerate(stay) if 10**9 + i not in ids] == []
     assert len([i for i in ids if 0 <= i < 10**9]) == n
+
+
+def _stage_keeps(spark, odd, n_bad):
+    docs = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    mixed = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["language_id"](spark, mixed, SF_SMALL).select("doc_id").collect()}
+    return len([i for i in kept if i < 0]), len([i for i in kept if 0 <= i < 10**9]), docs.count()
+
+
+def test_wrong_labels_do_not_open_the_stage(spark):
+    """3 % of the labelled texts are random letters under a real language: they and unlabelled ones still go."""
+    rnd = random.Random(5)
+
+    def letters():
+        return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(500))
+
+    odd = [(-1 - i, letters(), rnd.choice(["en", "fr", "de", "es"]) if i < 30 else None) for i in range(80)]
+    bad, clean, n = _stage_keeps(spark, odd, 80)
+    assert bad == 0 and clean == n
+
+
+def test_few_labels_leave_the_lowest_threshold(spark):
+    profiles = langid.learn(spark.createDataFrame([(1, "the cat and the dog", "en"), (2, "der Hund und die Katze", "de")],
+                                                  "doc_id long, text string, lang string"))
+    none = spark.createDataFrame([(1, None, "en"), (2, "text", None)], "doc_id long, text string, lang string")
+    assert langid.threshold(none, profiles, 0.1) == 0.1
+    one = spark.createDataFrame([(1, "the cat and the dog", "en")], "doc_id long, text string, lang string")
+    assert 0.1 <= langid.threshold(one, profiles, 0.1) < 0.2
