@@ -49,6 +49,12 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def each_utf8(column: pa.Array) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of an Arrow text column one after another, ``BATCH_ROWS`` of them copied at once."""
+    for start in range(0, len(column), BATCH_ROWS):
+        yield from utf8(column.slice(start, BATCH_ROWS))
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose ``text`` column holds about ``limit`` bytes at most
     (one row at least), so that working copies stay bounded when texts are long."""

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import fresh, materialized, utf8
+from strata.llm.common import each_utf8, fresh, materialized
 from strata.llm.components import components
 
 SEED = 42
@@ -57,7 +57,7 @@ def fingerprint(text: str | Column, shingle: int = 3) -> Column:
     Python holds one batch of texts and the hashes of one text at a time.
     """
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([_fingerprint(t or b"", shingle) for t in utf8(texts)], pa.int64())
+        return pa.array([_fingerprint(t or b"", shingle) for t in each_utf8(texts)], pa.int64())
 
     return F.arrow_udf(run, T.LongType())(text)
 
