@@ -21,7 +21,9 @@ from strata.fixed import DOMAIN_NAME_SEPARATOR, PUBLISHED_TABLE_SUFFIX
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, session_with, shuffle_partitions_for
-from strata.sources.layers import list_landing, read_latest, read_raw_csv, read_run, run_bytes, write_run
+from strata.sources.layers import (
+    list_landing, read_latest, read_raw_csv, read_run, refer_run, resolve_run, run_bytes, write_run,
+)
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
 
@@ -168,14 +170,22 @@ def promote(
     fmt: str = "parquet",
     num_files: int | None = None,
     source_run: str | None = None,
+    copy: bool = False,
 ) -> str:
-    """Copy run ``source_run``, or else the latest run (of ``day``; any day by default), to another layer.
+    """Make run ``source_run``, or else the latest run (of ``day``; any day by default), a run of another layer too.
 
-    The source stays; the copy keeps the run key. The copy is a distributed
-    read + write of all the run's files. Returns the run key.
+    No data is read or written: the target's run log refers to the source's files, and while it does so
+    they cannot be dropped or overwritten (``refer_run``). The run keeps its key. ``copy=True``,
+    or ``num_files``, copies the rows instead: a distributed read + write of the run's files, for a target
+    that must not depend on the source's storage. Returns the run key.
     """
-    key, df = read_latest(spark, src_root, domain, check_day(day), fmt, source_run=source_run)
-    path = write_run(df, dst_root, domain, key, fmt, num_files)
+    check_day(day)
+    if copy or num_files is not None:
+        key, df = read_latest(spark, src_root, domain, day, fmt, source_run=source_run)
+        path = write_run(df, dst_root, domain, key, fmt, num_files)
+    else:
+        key = check_run(source_run) if source_run else resolve_run(spark, src_root, domain, day)
+        path = refer_run(spark, src_root, dst_root, domain, key)
     log.info("promote: run %s -> %s", key, path)
     return key
 

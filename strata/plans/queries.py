@@ -17,10 +17,12 @@ from strata.operators.runs import RUN_COLUMN, latest_run, run_of_path
 from strata.functions.rules import date_prefix, int_between_exclusive, not_blank
 from strata.plans.pipeline import LakeRoots, ingest, ingest_landing, promote, publish, run_pipeline
 from strata.plans.views import (
-    appointments_view, padded_customers_view, part_ages_view, shift_runs_view, table,
+    appointments_view, hourly_runs_view, padded_customers_view, part_ages_view, table,
 )
 from strata.session import scratch_dir
-from strata.sources.layers import domain_dir, read_layer, read_run, resolve_run, run_dir, write_run, write_runs
+from strata.sources.layers import (
+    compact_run, domain_dir, read_latest, read_layer, read_run, resolve_run, run_bytes, run_dir, write_run, write_runs,
+)
 from strata.sources.legacy import adopt_legacy_backups, adopt_legacy_runs
 from strata.sources.tables import publish_table, publishable_column, to_publishable
 
@@ -71,38 +73,36 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def csv_free_text(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-4: free text with line breaks, quotes and backslashes survives the CSV backup of the older publish."""
     roots = LakeRoots.under(scratch_dir(spark, "csv_text"))
-    docs = table(spark, sf, "documents").select(
-        "doc_id", "text", "lang", F.concat(F.lit('say "a\\b",\n ,\''), "source", F.lit('"\\')).alias("quoted"))
+    docs = table(spark, sf, "documents").withColumn("quoted", F.concat(F.lit('say "a\\b",\n ,\''), "source", F.lit('"\\')))
     write_run(docs, roots.silver, "documents", EARLY_RUN)
     res = publish(spark, roots.silver, roots.diamond, "documents", day=EARLY_RUN[:8],
                   table=f"documents_diamond_{uuid.uuid4().hex[:12]}", backup_format="csv", run_ts=LATE_RUN)
     return read_run(spark, roots.diamond, "documents", res.backup_run, "csv_quoted")
 
 
-def _shift_layer(spark: SparkSession, sf: str) -> str:
-    """Runs of ``events``, one per six-hour shift, and two newer runs that were never committed."""
-    root = scratch_dir(spark, "shifts")
-    runs = shift_runs_view(table(spark, sf, "events"))
-    write_runs(runs, root, "events")
+def _hour_layer(spark: SparkSession, sf: str) -> str:
+    """Hourly runs of ``events``, and two newer runs that were written but never committed."""
+    root = scratch_dir(spark, "hours")
+    runs = hourly_runs_view(table(spark, sf, "events"))
+    write_runs(runs, root, "events", packed=True)
     for key in (f"{DAY}2359", "209901010000"):
-        (runs.drop(RUN_COLUMN).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-         .parquet(run_dir(root, "events", key)))
+        runs.drop(RUN_COLUMN).write.parquet(run_dir(root, "events", key))
     return root
 
 
 def latest_run_of_day(spark: SparkSession, sf: str) -> DataFrame:
-    """RUN-1: rows of the latest committed run of one day (lazy broadcast semi-join, pruned scans)."""
-    return latest_run(read_layer(spark, _shift_layer(spark, sf), "events"), day=DAY)
+    """RUN-1: rows of the latest committed run of one day, found in the run log."""
+    return read_latest(spark, _hour_layer(spark, sf), "events", day=DAY, with_run_ts=True)[1]
 
 
 def latest_run_any_day(spark: SparkSession, sf: str) -> DataFrame:
-    """RUN-2: rows of the latest committed run of any day."""
-    return latest_run(read_layer(spark, _shift_layer(spark, sf), "events"))
+    """RUN-2: rows of the latest committed run of any day (lazy broadcast semi-join over the layer)."""
+    return latest_run(read_layer(spark, _hour_layer(spark, sf), "events"))
 
 
 def missing_day(spark: SparkSession, sf: str) -> DataFrame:
     """RUN-3: a day without runs raises; the layer's own days do not. Rows of the found run, with both outcomes."""
-    root = _shift_layer(spark, sf)
+    root = _hour_layer(spark, sf)
     try:
         resolve_run(spark, root, "events", "19990101")
         raised = False
@@ -120,7 +120,7 @@ def _orders_by_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def promote_run(spark: SparkSession, sf: str) -> DataFrame:
-    """SNK-5, CMP-3: every silver run is copied to diamond under its key, the latest by default."""
+    """SNK-5, CMP-3: every silver run becomes a diamond run under its key, the latest by default; no row is rewritten."""
     roots = LakeRoots.under(scratch_dir(spark, "promote"))
     write_runs(_orders_by_run(spark, sf), roots.silver, "orders")
     promote(spark, roots.silver, roots.diamond, "orders")
@@ -153,7 +153,7 @@ def adopt_old_layout(spark: SparkSession, sf: str) -> DataFrame:
 def adopt_old_backup(spark: SparkSession, sf: str) -> DataFrame:
     """An older publisher's CSV backup, quotes doubled and line breaks inside fields, is adopted."""
     base = scratch_dir(spark, "adopt_backup")
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    docs = table(spark, sf, "documents")
     (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(f"{base}/old/diamond/documents_diamond_{EARLY_RUN}.csv"))
     adopt_legacy_backups(spark, base + "/old", base + "/diamond", "documents", "documents_diamond")
@@ -171,14 +171,30 @@ def publish_if_absent(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def single_file_run(spark: SparkSession, sf: str) -> DataFrame:
-    """PAR-1: a run written with ``num_files=1`` is one file with all rows."""
+    """PAR-1: a run of many files is compacted to files of 128 MB; a smaller one becomes one file with all rows."""
     root = scratch_dir(spark, "single_file")
-    write_run(table(spark, sf, "orders"), root, "orders", EARLY_RUN, num_files=1)
+    write_run(table(spark, sf, "orders"), root, "orders", EARLY_RUN, num_files=16)
+    compact_run(spark, root, "orders", EARLY_RUN, file_bytes=128 << 20)
     run = read_run(spark, root, "orders", EARLY_RUN)
     return run.agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"), F.count(F.lit(1)).alias("n_rows"),
                    F.sum("o_orderkey").alias("key_sum"))
 
 
+def bounded_files_run(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-2, in place of one file for all: a run of many small files is compacted to files of at most 96 kB of input;
+    its rows, and whether there are fewer files than before and every one keeps to twice that size."""
+    root = scratch_dir(spark, "bounded_files")
+    write_run(table(spark, sf, "lineitem"), root, "lineitem", EARLY_RUN, num_files=64)
+    before = run_bytes(spark, root, "lineitem", EARLY_RUN)
+    files = compact_run(spark, root, "lineitem", EARLY_RUN, file_bytes=max(96 << 10, before // 16))
+    run = read_run(spark, root, "lineitem", EARLY_RUN)
+    return run.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("l_orderkey").alias("key_sum"), F.sum("l_quantity").alias("quantity_sum"),
+        (F.countDistinct(F.col("_metadata.file_path")) == files).alias("as_reported"),
+        (F.countDistinct(F.col("_metadata.file_path")) < 64).alias("fewer_files"),
+        (F.max(F.col("_metadata.file_size")) <= 2 * max(96 << 10, before // 16)).alias("in_band"))
+
+
 def publishable_types(spark: SparkSession, sf: str) -> DataFrame:
     """SNK-7, §1.3: arrays, structs, maps, zoned timestamps and intervals become types any SQL table can hold."""
     o = table(spark, sf, "orders")
@@ -230,22 +246,20 @@ def landing_many_files(spark: SparkSession, sf: str) -> DataFrame:
     """RUN-4: a landing folder with two files of domain ``orders`` and one of ``customers``, spelled
     and compressed in different ways; the rows of both domains."""
     base = scratch_dir(spark, "landing")
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    o = table(spark, sf, "orders")
     status_f = F.col("o_orderstatus") == "F"
     o.filter(status_f).write.option("header", True).csv(f"{base}/landing/orders_f.CSV")
     o.filter(~status_f).write.option("header", True).option("compression", "gzip").csv(f"{base}/landing/Orders_rest.csv")
-    (table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey").write.option("header", True)
-     .csv(f"{base}/landing/customers.csv"))
+    table(spark, sf, "customer").write.option("header", True).csv(f"{base}/landing/customers.csv")
     runs = ingest_landing(spark, f"{base}/landing", f"{base}/bronze", EARLY_RUN)
-    loaded = [read_run(spark, f"{base}/bronze", d, runs[d], "csv").toDF("key", "a", "b", "c").withColumn("domain", F.lit(d))
-              for d in sorted(runs)]
-    return loaded[0].unionByName(loaded[1])
+    loaded = [read_run(spark, f"{base}/bronze", d, runs[d], "csv").withColumn("domain", F.lit(d)) for d in sorted(runs)]
+    return loaded[0].unionByName(loaded[1], allowMissingColumns=True)
 
 
 def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-6: an older raw file that arrives after a newer run was published goes through under its own key."""
     base = scratch_dir(spark, "backfill")
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = table(spark, sf, "orders")
     newer = orders.withColumn("o_orderpriority", F.lit("NEWER"))
     roots = LakeRoots.under(f"{base}/lake")
     names = {}
@@ -287,6 +301,7 @@ QUERIES = {
     "adopt_old_layout": adopt_old_layout,
     "adopt_old_backup": adopt_old_backup,
     "single_file_run": single_file_run,
+    "bounded_files_run": bounded_files_run,
     "publish_if_absent": publish_if_absent,
     "publishable_types": publishable_types,
     "publishable_roundtrip": publishable_roundtrip,
@@ -318,9 +333,8 @@ WHERE nombre IS NOT NULL AND nombre <> ''
   AND obra_social IS NOT NULL AND obra_social <> ''
   AND try_strptime(split_part(fecha_turno, ' ', 1), '%Y-%m-%d') IS NOT NULL"""
 
-_SHIFTS = """
-WITH r AS (SELECT event_id, user_id, event_type, 
-  strftime(ts, '%Y%m%d') || printf('%02d', hour(ts) // 6 * 6) || '00' AS run_ts FROM events)"""
+_HOURS = """
+WITH r AS (SELECT *, strftime(ts, '%Y%m%d%H') || '00' AS run_ts FROM events)"""
 
 _ORDERS_BY_RUN = f"""
 SELECT orders.*, CASE o_orderstatus WHEN 'P' THEN '{FIRST_RUN}' WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
@@ -353,9 +367,9 @@ FROM raw WHERE try_strptime(split_part(fecha_turno, ' ', 1), '%Y-%m-%d') IS NOT
     "distinct_after_retype": """
 SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS fecha FROM events""",
     "csv_roundtrip": _ORDERS_TEXT,
-    "latest_run_of_day": _SHIFTS + f"""
+    "latest_run_of_day": _HOURS + f"""
 SELECT * FROM r WHERE run_ts = (SELECT max(run_ts) FROM r WHERE run_ts LIKE '{DAY}%')""",
-    "latest_run_any_day": _SHIFTS + """
+    "latest_run_any_day": _HOURS + """
 SELECT * FROM r WHERE run_ts = (SELECT max(run_ts) FROM r)""",
     "promote_run": _ORDERS_BY_RUN,
     "run_of_file": _ORDERS_BY_RUN,
@@ -365,28 +379,32 @@ SELECT * FROM r WHERE run_ts = (SELECT max(run_ts) FROM r)""",
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dims, true AS roundtrip_exact FROM embeddings""",
     "publish_csv_backup": _ORDERS_TEXT,
     "ingest_bronze": """
-SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
-  CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS c_name, c_mktsegment
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_name END AS c_name,
+  CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment
 FROM customer""",
-    "landing_many_files": """
-SELECT CAST(o_orderkey AS VARCHAR) AS key, CAST(o_custkey AS VARCHAR) AS a, o_orderstatus AS b, o_orderpriority AS c,
-  'orders' AS domain FROM orders
-UNION ALL
-SELECT CAST(c_custkey AS VARCHAR), c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), 'customers' FROM customer""",
+    "landing_many_files": f"""
+WITH o AS ({_ORDERS_TEXT})
+SELECT *, NULL::VARCHAR AS c_custkey, NULL::VARCHAR AS c_name, NULL::VARCHAR AS c_nationkey, NULL::VARCHAR AS c_acctbal,
+  NULL::VARCHAR AS c_mktsegment, 'orders' AS domain FROM o
+UNION ALL BY NAME
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+  CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment, 'customers' AS domain FROM customer""",
     "raw_to_gold": _REFINED_APPOINTMENTS,
     "csv_free_text": """
-SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang,
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars,
   'say "a\\b",' || chr(10) || ' ,''' || source || '"\\' AS quoted
 FROM documents""",
-    "adopt_old_backup": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents",
-    "missing_day": _SHIFTS + f"""
+    "adopt_old_backup": """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents""",
+    "missing_day": _HOURS + f"""
 SELECT *, true AS missing_raises FROM r WHERE run_ts = (SELECT max(run_ts) FROM r WHERE run_ts LIKE '{DAY}%')""",
     "single_file_run": """
 SELECT CAST(1 AS BIGINT) AS files, count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders""",
-    "backfill_run": """
-WITH r AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority
-  FROM orders)
+    "bounded_files_run": """
+SELECT count(*) AS n_rows, CAST(sum(l_orderkey) AS BIGINT) AS key_sum, sum(l_quantity) AS quantity_sum,
+  true AS as_reported, true AS fewer_files, true AS in_band FROM lineitem""",
+    "backfill_run": f"""
+WITH r AS ({_ORDERS_TEXT})
 SELECT *, 'table' AS copy FROM r UNION ALL SELECT *, 'gold' FROM r""",
     "publishable_types": """
 SELECT o_orderkey, '[' || o_orderkey || ',' || o_custkey || ']' AS keys,

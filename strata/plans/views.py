@@ -52,22 +52,15 @@ def part_ages_view(part: DataFrame) -> DataFrame:
     )
 
 
-def shift_runs_view(events: DataFrame) -> DataFrame:
-    """Events tagged with the run key ``YYYYMMDDHH00`` of their six-hour shift."""
-    shift = F.lpad((F.floor(F.hour("ts") / 6) * 6).cast("string"), 2, "0")
-    return events.select(
-        "event_id", "user_id", "event_type",
-        F.concat(F.date_format("ts", "yyyyMMdd"), shift, F.lit("00")).alias("run_ts"),
-    )
+def hourly_runs_view(events: DataFrame) -> DataFrame:
+    """Events tagged with the run key ``YYYYMMDDHH00`` of their hour."""
+    return events.withColumn("run_ts", F.concat(F.date_format("ts", "yyyyMMddHH"), F.lit("00")))
 
 
 def padded_customers_view(customer: DataFrame) -> DataFrame:
     """Customers as raw text with outer blanks on some names, blank-only on others."""
     key = F.col("c_custkey")
-    return customer.select(
-        key.cast("string").alias("c_custkey"),
-        F.when(key % 10 == 0, F.lit("   "))
-        .when(key % 3 == 0, F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
-        .otherwise(F.col("c_name")).alias("c_name"),
-        F.col("c_mktsegment"),
-    )
+    padded = (F.when(key % 10 == 0, F.lit("   "))
+              .when(key % 3 == 0, F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
+              .otherwise(F.col("c_name")))
+    return customer.withColumn("c_name", padded)

@@ -4,12 +4,20 @@ Each run is its own directory, written in one Spark job and overwritten only
 as a whole, so re-running a minute replaces that run and leaves the others.
 The directory name doubles as a partition value, so a whole layer reads as
 one table with a ``run_ts`` string column that Spark can prune on.
+
+Which runs exist, and where their data lies, is said by the domain's run log
+(``sources.manifest``). A run of the log may lie in its own directory, in that of another
+layer that it refers to (``refer_run``), or, with many other small runs, in
+the files of one write (``write_runs(packed=True)``). Layers without a log (written
+by earlier versions) are read by their commit markers until the first write starts one.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import re
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +25,8 @@ from pyspark.sql import types as T
 
 from strata.fixed import DOMAIN_DIR_PREFIX
 from strata.operators.runs import RAW_SUFFIX, RUN_COLUMN, RUN_KEY, check_day, check_domain, check_run
-from strata.session import jvm_context
+from strata.session import jvm_context, session_with
+from strata.sources import manifest
 
 FORMATS = ("parquet", "csv", "csv_quoted")
 log = logging.getLogger("strata")
@@ -98,17 +107,34 @@ def write_run(
     ``preserve_whitespace`` is set. ``csv_quoted`` is CSV with doubled quotes
     (RFC 4180): blanks, quotes, backslashes and line breaks inside fields
     survive; an empty text reads back as NULL. The number of rows written is counted
-    inside the write job itself (``observe``, no extra scan) and logged.
-    Returns the run directory.
+    inside the write job itself (``observe``, no extra scan). The run exists for readers
+    from the moment its entry is in the run log. A run that other layers refer to is
+    not overwritten: the new data gets a directory beside it. Returns the run's directory.
     """
-    path = run_dir(root, domain, run_ts)
+    spark, path = df.sparkSession, run_dir(root, domain, check_run(run_ts))
+    _check_format(fmt)
+    if num_files is not None and num_files < 1:
+        raise ValueError("num_files must be >= 1")
+    log_now = manifest.load(spark, domain_dir(root, domain))
+    old = log_now.runs.get(run_ts) if log_now else None
+    if log_now and path in log_now.references:
+        path = f"{domain_dir(root, domain)}/_again-{uuid.uuid4().hex[:8]}/{RUN_COLUMN}={run_ts}"
+    elif old and _place(root, domain, old) == path:  # from here to the new entry the run does not exist
+        _change(spark, root, domain, lambda m: [{"op": "drop", "run": run_ts}] if m.runs.get(run_ts) == old else [])
+    rows = _save(df if num_files is None else df.repartition(num_files), path, fmt, preserve_whitespace)
+    files, size = _files_in(spark, path)
+    _change(spark, root, domain, lambda m: [
+        _entry(root, domain, run_ts, path, fmt, files=files, rows=rows, bytes=size, schema=_schema_of(df, fmt))])
+    _release(spark, root, domain, run_ts, old)
+    log.info("wrote %s rows to %s", rows, path)
+    return path
+
+
+def _save(df: DataFrame, path: str, fmt: str, preserve_whitespace: bool = False) -> int | None:
+    """Write ``df`` to ``path``; returns the rows, counted in the same job."""
     written = Observation(f"rows written to {path}")
     df = df.observe(written, F.count(F.lit(1)).alias("rows"))
-    if num_files is not None:
-        if num_files < 1:
-            raise ValueError("num_files must be >= 1")
-        df = df.repartition(num_files)
-    w = df.write.mode("overwrite").format("parquet" if _check_format(fmt) == "parquet" else "csv")
+    w = df.write.mode("overwrite").format("parquet" if fmt == "parquet" else "csv")
     if fmt != "parquet":
         w = w.option("header", True)
         if fmt == "csv_quoted":
@@ -116,10 +142,169 @@ def write_run(
         if preserve_whitespace or fmt == "csv_quoted":
             w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     w.save(path)
-    log.info("wrote %s rows to %s", written.get.get("rows"), path)
+    return written.get.get("rows")
+
+
+def _place(root: str, domain: str, entry: dict) -> str:
+    """Where the data of a log entry lies: paths inside the domain's folder are kept relative to it."""
+    return entry["path"] if "://" in entry["path"] or entry["path"].startswith(("/", "file:")) \
+        else f"{domain_dir(root, domain)}/{entry['path']}"
+
+
+def _entry(root: str, domain: str, run_ts: str, path: str, fmt: str | None, files: int | None = None, rows: int | None = None,
+           bytes: int | None = None, schema: str | None = None, packed: int = 0) -> dict:
+    base = f"{domain_dir(root, domain)}/"
+    return {"op": "commit", "run": run_ts, "path": path.removeprefix(base), "format": fmt, "files": files, "rows": rows,
+            "bytes": bytes, "schema": schema, "packed": packed}
+
+
+def _schema_of(df: DataFrame, fmt: str) -> str | None:
+    """A run's columns as they read back; None where only the files can tell (CSV headers with odd names)."""
+    if fmt == "parquet":
+        return df.schema.json()
+    if not df.columns or not all(re.fullmatch(r"\w+", c) for c in df.columns):
+        return None
+    return T.StructType([T.StructField(c, T.StringType()) for c in df.columns]).json()
+
+
+def _files_in(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(data files, their bytes) of one directory."""
+    fs, p = _hadoop_fs(spark, path)
+    files = size = 0
+    it = fs.listStatusIterator(p)
+    while it.hasNext():
+        st = it.next()
+        if st.isFile() and not st.getPath().getName().startswith(("_", ".")):
+            files, size = files + 1, size + int(st.getLen())
+    return files, size
+
+
+def _change(spark: SparkSession, root: str, domain: str, make) -> manifest.Manifest:
+    def first() -> list[dict]:  # runs that are there before the domain has a log
+        return [_entry(root, domain, key, run_dir(root, domain, key), None) for key in _marked_runs(spark, root, domain)]
+
+    return manifest.change(spark, domain_dir(root, domain), make, first)
+
+
+def _holder(root: str, domain: str, run_ts: str) -> str:
+    return run_dir(root, domain, run_ts)
+
+
+def _source_of(entry: dict) -> tuple[str, str]:
+    """(domain folder, path) of the run that an entry of another layer refers to."""
+    path = entry["path"]
+    return entry.get("log") or path.rpartition("/")[0], path
+
+
+def _release(spark: SparkSession, root: str, domain: str, run_ts: str, old: dict | None) -> None:
+    """Tell the layer that ``old`` referred to that it does so no more."""
+    if old and old.get("log"):
+        folder, path = _source_of(old)
+        manifest.change(spark, folder, lambda m: [{"op": "release", "path": path, "by": _holder(root, domain, run_ts)}])
+
+
+def refer_run(spark: SparkSession, src_root: str, dst_root: str, domain: str, run_ts: str) -> str:
+    """Make run ``run_ts`` of the source layer a run of the target layer too, without touching its data.
+
+    The source's log first gets a reference, which keeps the data from being deleted or overwritten;
+    then the target's log gets an entry that points at it. A failure in between leaves a reference
+    that holds the data until the call is repeated, or ``drop_run`` of the target run. Raises
+    ``FileNotFoundError`` where the source has no such run. Returns the data's directory.
+    """
+    folder, holder = domain_dir(src_root, domain), _holder(dst_root, domain, run_ts)
+    missing = FileNotFoundError(f"no committed run {run_ts} of domain {domain!r} under {folder}")
+    seen = _change(spark, src_root, domain, lambda m: []).runs.get(run_ts)
+    if seen is None:
+        raise missing
+    path = _place(src_root, domain, seen)
+    origin = seen.get("log") or folder  # where the data's own entry is, if the source itself only refers to it
+
+    def hold(m: manifest.Manifest) -> list[dict]:
+        if not any(path in (r["path"], f"{origin}/{r['path']}") for r in m.runs.values()):
+            raise missing  # dropped in the meantime
+        return [] if holder in m.references.get(path, []) else [{"op": "refer", "path": path, "by": holder}]
+
+    manifest.change(spark, origin, hold)
+    before = manifest.load(spark, domain_dir(dst_root, domain))
+    old = before.runs.get(run_ts) if before else None
+    _change(spark, dst_root, domain, lambda m: [
+        {"op": "commit", "run": run_ts, **{k: v for k, v in seen.items() if k not in ("path", "log")}, "path": path, "log": origin}])
+    if old and old.get("log") and old["path"] != path:
+        _release(spark, dst_root, domain, run_ts, old)
     return path
 
 
+def register_run(spark: SparkSession, root: str, domain: str, run_ts: str, fmt: str = "parquet") -> None:
+    """Commit a run that another program has written into its run directory."""
+    path = run_dir(root, domain, check_run(run_ts))
+    files, size = _files_in(spark, path)
+    _change(spark, root, domain, lambda m: [_entry(root, domain, run_ts, path, _check_format(fmt), files=files, bytes=size)])
+
+
+def compact_run(spark: SparkSession, root: str, domain: str, run_ts: str, file_bytes: int = 128 << 20, fmt: str = "parquet") -> int:
+    """Rewrite a run as files of about ``file_bytes``, in one job without a shuffle; returns their number.
+
+    Spark packs small files into one task's input up to that size and cuts larger ones (Parquet at row
+    groups), and each task writes one file: no task takes more than ``file_bytes`` of input, and a run
+    smaller than that becomes a single file. The new files are committed in place of the old ones at
+    once; the old are deleted unless other layers refer to them. Raises ``RuntimeError``, with the run as it was, when
+    the rows differ in number or another writer has changed the run in the meantime.
+    """
+    own = session_with(spark, {"spark.sql.files.maxPartitionBytes": str(file_bytes), "spark.sql.files.openCostInBytes": "0",
+                               "spark.sql.files.minPartitionNum": "1"})
+    old = _entries(spark, root, domain).get(check_run(run_ts))
+    if old is None:
+        raise FileNotFoundError(f"no committed run {run_ts} of domain {domain!r} under {domain_dir(root, domain)}")
+    if old["packed"]:
+        raise ValueError(f"run {run_ts} shares its files with other runs")
+    df = read_run(own, root, domain, run_ts, fmt)
+    path = f"{domain_dir(root, domain)}/_again-{uuid.uuid4().hex[:8]}/{RUN_COLUMN}={run_ts}"
+    rows = _save(df, path, fmt, preserve_whitespace=True)
+    if old["rows"] is not None and rows != old["rows"]:
+        raise RuntimeError(f"{path} has {rows} rows, run {run_ts} has {old['rows']}")
+    files, size = _files_in(spark, path)
+    kept = _place(root, domain, old)
+
+    def swap(m: manifest.Manifest) -> list[dict]:
+        if m.runs.get(run_ts) != {k: v for k, v in old.items() if k not in ("op", "run")}:
+            raise RuntimeError(f"run {run_ts} was changed while it was compacted")
+        return [_entry(root, domain, run_ts, path, fmt, files=files, rows=rows, bytes=size, schema=old["schema"])]
+
+    after = _change(spark, root, domain, swap)
+    _release(spark, root, domain, run_ts, old)
+    if not old.get("log") and kept not in after.references:
+        fs, p = _hadoop_fs(spark, kept)
+        fs.delete(p, True)
+    return files
+
+
+def drop_run(spark: SparkSession, root: str, domain: str, run_ts: str) -> None:
+    """Take a run out of its layer and delete its data.
+
+    Data that other layers refer to is not given up: ``ValueError``, and nothing changes. A run that itself
+    refers to another layer only gives back its reference, and files that runs share go with the last of them. Raises ``FileNotFoundError`` without such a run.
+    """
+    gone: dict = {}
+
+    def make(m: manifest.Manifest) -> list[dict]:
+        if run_ts not in m.runs:
+            raise FileNotFoundError(f"no committed run {run_ts} of domain {domain!r} under {domain_dir(root, domain)}")
+        entry = m.runs[run_ts]
+        holders = m.references.get(_place(root, domain, entry), [])
+        shared = any(k != run_ts and r["path"] == entry["path"] for k, r in m.runs.items())
+        if holders and not shared:
+            raise ValueError(f"run {run_ts} is referred to by {holders}")
+        gone.update(entry, shared=shared)
+        return [{"op": "drop", "run": run_ts}]
+
+    _change(spark, root, domain, make)
+    if gone.get("log"):
+        _release(spark, root, domain, run_ts, gone)
+    elif not gone["shared"]:
+        fs, path = _hadoop_fs(spark, _place(root, domain, gone))
+        fs.delete(path, True)
+
+
 def read_run(
     spark: SparkSession,
     root: str,
@@ -128,55 +313,132 @@ def read_run(
     fmt: str = "parquet",
     with_run_ts: bool = False,
 ) -> DataFrame:
-    """All files of one run (its data columns; plus ``run_ts`` when asked)."""
-    df = _reader(spark, fmt).load(run_dir(root, domain, run_ts))
+    """All rows of one run (its data columns; plus ``run_ts`` when asked), wherever the run log says they lie.
+
+    Columns and types come from the log, where it has them; no file is opened to plan the read.
+    """
+    state = manifest.load(spark, domain_dir(root, domain))
+    entry = state.runs.get(run_ts) if state else None
+    if entry is None:
+        df = _reader(spark, fmt).load(run_dir(root, domain, run_ts))
+    elif entry["packed"]:
+        df = _packed(spark, root, domain, [(run_ts, entry)], fmt)
+        return df if with_run_ts else df.drop(RUN_COLUMN)
+    else:
+        reader = _reader(spark, fmt)
+        if entry["schema"]:
+            reader = reader.schema(T.StructType.fromJson(json.loads(entry["schema"])))
+        df = reader.load(_place(root, domain, entry))
     if with_run_ts:
         df = df.withColumn(RUN_COLUMN, F.lit(run_ts))
     return df
 
 
-def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet") -> DataFrame:
-    """Every committed run of ``domain`` as one lazy frame with a string ``run_ts`` column.
+def _packed(spark: SparkSession, root: str, domain: str, runs: list[tuple[str, dict]], fmt: str) -> DataFrame:
+    """The rows of some runs that one write has packed together, with ``run_ts``."""
+    entry = runs[0][1]
+    fields = T.StructType.fromJson(json.loads(entry["schema"])).fields
+    schema = T.StructType([*fields, T.StructField(RUN_COLUMN, T.StringType())])
+    df = _reader(spark, fmt).schema(schema).load(_place(root, domain, entry))
+    keys = [key for key, _ in runs]
+    # files are sorted by run: the key's range leaves out files and row groups
+    return df if len(keys) == entry["packed"] else df.filter(F.col(RUN_COLUMN).isin(keys))
+
+
+def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet", day: str | None = None) -> DataFrame:
+    """Every committed run of ``domain`` (of ``day`` when given) as one lazy frame with a string ``run_ts`` column.
 
-    Runs without a commit marker are left out, as in ``resolve_run``. The
+    Planned from the run log: neither other runs' folders nor any file footer is read. The
     schema has the columns of all Parquet runs (a run that lacks one reads
     NULL there); CSV runs must have one header. It is given explicitly so that ``run_ts`` stays
     text; filters on ``run_ts`` prune directories. Raises ``FileNotFoundError`` without runs.
     """
     base = domain_dir(root, domain)
-    paths = [run_dir(root, domain, key) for key in committed_runs(spark, root, domain)]
-    if not paths:
+    entries = _entries(spark, root, domain, check_day(day))
+    if not entries:
         raise FileNotFoundError(f"no run of domain {domain!r} under {base}")
-    reader = _reader(spark, fmt).option("basePath", base)
-    inferred = reader.option("mergeSchema", fmt == "parquet").load(paths).schema
-    fields = [f for f in inferred.fields if f.name != RUN_COLUMN]
-    schema = T.StructType(fields + [T.StructField(RUN_COLUMN, T.StringType(), True)])
-    return _reader(spark, fmt).option("basePath", base).schema(schema).load(paths)
-
-
-def write_runs(df: DataFrame, root: str, domain: str, run_col: str = RUN_COLUMN, fmt: str = "parquet") -> list[str]:
-    """Write each row of ``df`` to the run that ``run_col`` names, all runs in one job.
-
-    Runs that occur in ``df`` are replaced, others stay. A run gets its
-    commit marker after the job succeeded. Rows without a run key are refused.
+    groups: dict[tuple[str, int], list[tuple[str, dict]]] = {}
+    for key in sorted(entries):
+        place = _place(root, domain, entries[key])
+        packed = entries[key]["packed"]
+        groups.setdefault((place if packed else place.rpartition("/")[0], packed), []).append((key, entries[key]))
+    fields = _merged_fields([e["schema"] for e in entries.values()])
+    frames = []
+    for (parent, packed), runs in groups.items():
+        if packed:
+            frames.append(_packed(spark, root, domain, runs, fmt))
+            continue
+        paths = [_place(root, domain, e) for _, e in runs]
+        reader = _reader(spark, fmt).option("basePath", parent)
+        if fields is None:
+            inferred = reader.option("mergeSchema", fmt == "parquet").load(paths).schema
+            own = [f for f in inferred.fields if f.name != RUN_COLUMN]
+        else:
+            own = fields
+        schema = T.StructType([*own, T.StructField(RUN_COLUMN, T.StringType(), True)])
+        frames.append(_reader(spark, fmt).option("basePath", parent).schema(schema).load(paths))
+    whole = frames[0]
+    for df in frames[1:]:
+        whole = whole.unionByName(df, allowMissingColumns=True)
+    return whole
+
+
+def _merged_fields(schemas: list[str | None]) -> list[T.StructField] | None:
+    """The columns of all schemas; None where one is unknown or a column has two types: the files must tell."""
+    found: dict[str, T.StructField] = {}
+    for text in dict.fromkeys(schemas):
+        if text is None:
+            return None
+        for f in T.StructType.fromJson(json.loads(text)).fields:
+            if found.setdefault(f.name, f).dataType != f.dataType:
+                return None
+    return list(found.values())
+
+
+def write_runs(df: DataFrame, root: str, domain: str, run_col: str = RUN_COLUMN, fmt: str = "parquet",
+               packed: bool = False) -> list[str]:
+    """Write each row of ``df`` to the run that ``run_col`` names, all runs in one job and one entry of the run log.
+
+    Runs that occur in ``df`` are replaced, others stay. Rows without a run key are refused.
+    Each run gets its directory; with ``packed`` (Parquet only), which suits many small runs, all of them share the
+    files of this write, ordered by run so that a run is found by file and row-group statistics. The files then
+    are as large as Spark's advisory partition size makes them, however the rows are spread over the runs.
     Returns the run keys, newest first.
     """
     spark = df.sparkSession
     base = domain_dir(root, domain)
+    if packed and fmt != "parquet":
+        raise ValueError("packed runs are Parquet")
     seen = Observation(f"runs written to {base}")
     key = F.col(run_col)
     good = F.coalesce(key.rlike("^[0-9]{12}$"), F.lit(False))
     checked = F.when(good, key).otherwise(F.raise_error(F.concat(F.lit("not a run key: "), F.coalesce(key, F.lit("NULL")))))
-    rows = df.withColumn(RUN_COLUMN, checked).observe(seen, F.collect_set(RUN_COLUMN).alias("runs"))
-    w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COLUMN)
-    if _check_format(fmt) != "parquet":
-        w = w.option("header", True)
-    w.format("parquet" if fmt == "parquet" else "csv").save(base)
+    rows = df.withColumn(RUN_COLUMN, checked)
+    columns = rows.drop(RUN_COLUMN)
+    rows = rows.observe(seen, F.collect_set(RUN_COLUMN).alias("runs"))
+    if packed:
+        path = f"{base}/_packed-{uuid.uuid4().hex[:12]}"
+        rows.sortWithinPartitions(RUN_COLUMN).write.parquet(path)
+    else:
+        log_now = manifest.load(spark, base)
+        if log_now and log_now.references:
+            raise ValueError(f"other layers refer to runs of {base}: write them one by one")
+        w = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COLUMN)
+        if _check_format(fmt) != "parquet":
+            w = w.option("header", True)
+        w.format("parquet" if fmt == "parquet" else "csv").save(base)
     keys = sorted(seen.get["runs"], reverse=True)
-    fs, _ = _hadoop_fs(spark, base)
-    jvm = jvm_context(spark)._jvm
-    for k in keys:
-        fs.create(jvm.org.apache.hadoop.fs.Path(f"{run_dir(root, domain, k)}/_SUCCESS"), True).close()
+    schema = _schema_of(columns, fmt)
+    replaced: dict = {}
+
+    def make(m: manifest.Manifest) -> list[dict]:
+        replaced.update({k: m.runs[k] for k in keys if k in m.runs})
+        return [_entry(root, domain, k, path if packed else run_dir(root, domain, k), fmt, schema=schema,
+                       packed=len(keys) if packed else 0) for k in keys]
+
+    _change(spark, root, domain, make)
+    for k, old in replaced.items():
+        _release(spark, root, domain, k, old)
     return keys
 
 
@@ -228,22 +490,27 @@ def list_landing(spark: SparkSession, landing: str) -> list[str]:
 
 
 def run_bytes(spark: SparkSession, root: str, domain: str, run_ts: str) -> int:
-    """Total size in bytes of the files of one run (one metadata call)."""
-    fs, path = _hadoop_fs(spark, run_dir(root, domain, run_ts))
+    """Total size in bytes of the files of one run (from the run log, or one metadata call)."""
+    state = manifest.load(spark, domain_dir(root, domain))
+    entry = state.runs.get(run_ts) if state else None
+    if entry and entry["bytes"] is not None:
+        return entry["bytes"]
+    fs, path = _hadoop_fs(spark, _place(root, domain, entry) if entry else run_dir(root, domain, run_ts))
     return int(fs.getContentSummary(path).getLength())
 
 
 def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
-    """Run keys of ``domain`` (of ``day`` when given), newest first.
+    """Run keys of ``domain`` (of ``day`` when given), newest first: those in the run log and those with a directory.
 
     One directory listing of ``LOCAL_<DOMAIN>/`` -- metadata only, one entry
     per run, no data file is opened.
     """
     check_day(day)
+    state = manifest.load(spark, domain_dir(root, domain))
+    keys = {k for k in (state.runs if state else {}) if day is None or k.startswith(day)}
     fs, base = _hadoop_fs(spark, domain_dir(root, domain))
     if not fs.exists(base):
         return []
-    keys = []
     it = fs.listStatusIterator(base)
     while it.hasNext():
         st = it.next()
@@ -252,40 +519,61 @@ def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = Non
             continue
         key = name[len(RUN_COLUMN) + 1:]
         if RUN_KEY.fullmatch(key) and (day is None or key.startswith(day)):
-            keys.append(key)
+            keys.add(key)
     return sorted(keys, reverse=True)
 
 
-def is_committed(spark: SparkSession, root: str, domain: str, run_ts: str) -> bool:
-    """Whether a run's write job committed: the run carries the ``_SUCCESS`` marker (when the Hadoop
-    setting ``mapreduce.fileoutputcommitter.marksuccessfuljobs`` is off, a ``part-`` file is enough)."""
+def _marked(spark: SparkSession, root: str, domain: str, run_ts: str) -> bool:
     fs, path = _hadoop_fs(spark, run_dir(root, domain, run_ts))
     return fs.exists(path) and _run_complete(fs, path, _writes_success_marker(spark))
 
 
-def committed_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
-    """Keys of the committed runs of ``domain`` (of ``day`` when given), newest first.
-
-    One look-up of the commit markers; run by run only where jobs write none.
-    """
+def _marked_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
+    """Runs with a commit marker: one look-up of all markers, or run by run where jobs write none."""
     keys = list_runs(spark, root, domain, day)
     if not _writes_success_marker(spark):
-        return [key for key in keys if is_committed(spark, root, domain, key)]
+        return [key for key in keys if _marked(spark, root, domain, key)]
     base = re.sub(r"([][{}*?^\\])", r"\\\1", domain_dir(root, domain))
     fs, markers = _hadoop_fs(spark, f"{base}/{RUN_COLUMN}={day or ''}*/_SUCCESS")
     marked = {st.getPath().getParent().getName() for st in fs.globStatus(markers) or []}
     return [key for key in keys if f"{RUN_COLUMN}={key}" in marked]
 
 
+def _entries(spark: SparkSession, root: str, domain: str, day: str | None = None) -> dict[str, dict]:
+    """Run key -> log entry of the committed runs (of ``day`` when given).
+
+    Without a log, the runs with a commit marker; where jobs write no markers, other programs' runs
+    are known by their files only, and count beside those of the log.
+    """
+    state = manifest.load(spark, domain_dir(root, domain))
+    marked = [] if state and _writes_success_marker(spark) else _marked_runs(spark, root, domain, day)
+    found = {k: _entry(root, domain, k, run_dir(root, domain, k), None) for k in marked}
+    return found | {k: e for k, e in (state.runs if state else {}).items() if day is None or k.startswith(day)}
+
+
+def is_committed(spark: SparkSession, root: str, domain: str, run_ts: str) -> bool:
+    """Whether a run is in the domain's run log. (A domain without a log: whether it carries the ``_SUCCESS``
+    marker. When the Hadoop setting ``mapreduce.fileoutputcommitter.marksuccessfuljobs`` is off, a ``part-`` file is enough.)"""
+    state = manifest.load(spark, domain_dir(root, domain))
+    if state and (run_ts in state.runs or _writes_success_marker(spark)):
+        return run_ts in state.runs
+    return _marked(spark, root, domain, run_ts)
+
+
+def committed_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
+    """Keys of the committed runs of ``domain`` (of ``day`` when given), newest first."""
+    return sorted(_entries(spark, root, domain, check_day(day)), reverse=True)
+
+
 def resolve_run(spark: SparkSession, root: str, domain: str, day: str | None = None) -> str:
     """Key of the latest committed run of ``domain`` (of ``day`` when given).
 
-    Runs are tried newest first; a run left empty or half-written by a failed job is
-    skipped (see ``is_committed``). Raises ``FileNotFoundError`` when there is none.
+    Read off the run log; a run left empty or half-written by a failed job is not in it.
+    Raises ``FileNotFoundError`` when there is none.
     """
-    for key in list_runs(spark, root, domain, day):
-        if is_committed(spark, root, domain, key):
-            return key
+    keys = committed_runs(spark, root, domain, day)
+    if keys:
+        return keys[0]
     when = f"day {day}" if day else "any day"
     raise FileNotFoundError(f"no run of domain {domain!r} for {when} under {domain_dir(root, domain)}")
 

@@ -1,0 +1,193 @@
+"""The run log: atomic changes, planning from it, references between layers, compaction, packed runs."""
+
+import json
+import os
+import pathlib
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.plans.pipeline import promote
+from strata.sources import manifest
+from strata.sources.layers import (
+    committed_runs, compact_run, domain_dir, drop_run, is_committed, list_runs, read_latest, read_layer, read_run, register_run,
+    resolve_run, run_bytes, run_dir, write_run, write_runs,
+)
+
+RUNS = ["202505140900", "202505151030", "202505151045"]
+
+
+def local(path):
+    return pathlib.Path(path.replace("file:", ""))
+
+
+def files_under(path):
+    return {p: p.stat().st_mtime_ns for p in local(path).rglob("part-*")}
+
+
+@pytest.fixture
+def silver(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    for i, r in enumerate(RUNS):
+        write_run(spark.range(10 * (i + 1)).withColumn("tag", F.lit(r)), root, "x", r)
+    return root
+
+
+def test_a_file_is_created_once_and_whole(spark, tmp_path):
+    path = str(tmp_path / "log" / "1.json")
+    assert manifest.create_file(spark, path, "first é")
+    assert not manifest.create_file(spark, path, "second")
+    assert manifest.read_text(spark, path) == "first é"
+    assert [p.name for p in (tmp_path / "log").iterdir() if not p.name.endswith(".crc")] == ["1.json"]
+
+
+def test_writers_at_once_lose_no_change(spark, tmp_path):
+    folder = str(tmp_path / "LOCAL_X")
+
+    def commit(i):
+        manifest.change(spark, folder, lambda m: [{"op": "commit", "run": f"{i:012d}", "path": str(i), "format": "parquet",
+                                                   "schema": "s", "packed": 0}])
+
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(commit, range(2 * manifest.CHECKPOINT_EVERY + 5)))
+    state = manifest.load(spark, folder)
+    assert state.version == len(state.runs) == 2 * manifest.CHECKPOINT_EVERY + 5
+    names = os.listdir(tmp_path / "LOCAL_X" / "_log")
+    assert len([n for n in names if n.endswith(".json") and not n.startswith(".")]) == state.version
+    assert len([n for n in names if n.endswith(".checkpoint")]) >= 1
+    for n in names:  # with a checkpoint the changes before it are not needed
+        if n.endswith(".json") and int(n.split(".")[0]) <= manifest.CHECKPOINT_EVERY:
+            (tmp_path / "LOCAL_X" / "_log" / n).unlink()
+    assert manifest.load(spark, folder).runs == state.runs
+
+
+def test_a_missing_change_is_an_error(spark, silver):
+    (local(silver) / "LOCAL_X" / "_log" / f"{2:020d}.json").unlink()
+    with pytest.raises(RuntimeError, match="change 2 is missing"):
+        resolve_run(spark, silver, "x")
+
+
+def test_entries_say_what_was_written(spark, silver):
+    entry = manifest.load(spark, domain_dir(silver, "x")).runs[RUNS[1]]
+    files = list(files_under(run_dir(silver, "x", RUNS[1])))
+    assert entry["rows"] == 20 and entry["files"] == len(files) and entry["bytes"] == sum(f.stat().st_size for f in files)
+    assert [f["name"] for f in json.loads(entry["schema"])["fields"]] == ["id", "tag"]
+    assert run_bytes(spark, silver, "x", RUNS[1]) == entry["bytes"]
+
+
+def test_reading_one_run_looks_at_no_other(spark, silver):
+    """Broken files and stray folders in other runs do not matter, and an unlogged newer run is not there."""
+    for f in files_under(run_dir(silver, "x", RUNS[0])):
+        f.write_bytes(b"broken")
+    spark.range(3).write.parquet(run_dir(silver, "x", "202512312359"))  # with a marker, but not in the log
+    assert resolve_run(spark, silver, "x") == RUNS[2]
+    key, df = read_latest(spark, silver, "x", "20250515")
+    assert key == RUNS[2] and df.count() == 30
+    assert read_layer(spark, silver, "x", day="20250515").count() == 50
+    assert not is_committed(spark, silver, "x", "202512312359") and "202512312359" in list_runs(spark, silver, "x")
+    register_run(spark, silver, "x", "202512312359")
+    assert resolve_run(spark, silver, "x") == "202512312359" and read_run(spark, silver, "x", "202512312359").count() == 3
+
+
+def test_layers_without_a_log_start_one_with_their_marked_runs(spark, tmp_path):
+    root = str(tmp_path / "old")
+    for r in RUNS[:2]:
+        spark.range(5).write.parquet(run_dir(root, "x", r))
+    spark.range(5).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(run_dir(root, "x", RUNS[2]))
+    assert committed_runs(spark, root, "x") == RUNS[1::-1]
+    write_run(spark.range(7), root, "x", "202506010000")
+    assert committed_runs(spark, root, "x") == ["202506010000", RUNS[1], RUNS[0]]
+    assert read_layer(spark, root, "x").count() == 17
+
+
+def test_promote_rewrites_nothing_and_holds_the_data(spark, silver, tmp_path):
+    diamond, third = str(tmp_path / "diamond"), str(tmp_path / "third")
+    before = files_under(silver)
+    for r in RUNS:
+        assert promote(spark, silver, diamond, "x", source_run=r) == r
+    assert promote(spark, silver, diamond, "x") == RUNS[2]  # again: nothing new
+    assert promote(spark, diamond, third, "x", source_run=RUNS[0]) == RUNS[0]
+    assert files_under(silver) == before and not files_under(diamond) and not files_under(third)
+    assert read_run(spark, diamond, "x", RUNS[1]).count() == 20 and read_layer(spark, diamond, "x").count() == 60
+    assert {r.run_ts for r in read_layer(spark, diamond, "x").select("run_ts").distinct().collect()} == set(RUNS)
+    with pytest.raises(ValueError, match="referred to by"):
+        drop_run(spark, silver, "x", RUNS[0])
+    assert files_under(silver) == before
+    drop_run(spark, diamond, "x", RUNS[0])
+    with pytest.raises(ValueError, match="referred to by"):  # the third layer still needs it
+        drop_run(spark, silver, "x", RUNS[0])
+    assert read_run(spark, third, "x", RUNS[0]).count() == 10
+    drop_run(spark, third, "x", RUNS[0])
+    drop_run(spark, silver, "x", RUNS[0])
+    assert not local(run_dir(silver, "x", RUNS[0])).exists()
+    assert committed_runs(spark, silver, "x") == committed_runs(spark, diamond, "x") == [RUNS[2], RUNS[1]]
+    with pytest.raises(FileNotFoundError):
+        promote(spark, silver, diamond, "x", source_run=RUNS[0])
+
+
+def test_a_run_that_is_referred_to_is_not_overwritten(spark, silver, tmp_path):
+    diamond = str(tmp_path / "diamond")
+    promote(spark, silver, diamond, "x")
+    write_run(spark.range(4).withColumn("tag", F.lit("new")), silver, "x", RUNS[2])
+    assert read_run(spark, silver, "x", RUNS[2]).count() == 4 and read_run(spark, diamond, "x", RUNS[2]).count() == 30
+    assert read_layer(spark, silver, "x").count() == 34
+    promote(spark, silver, diamond, "x")
+    assert read_run(spark, diamond, "x", RUNS[2]).count() == 4
+    state = manifest.load(spark, domain_dir(silver, "x"))
+    assert len(state.references) == 1  # the old data is free
+    write_run(spark.range(2), diamond, "x", RUNS[2])  # a run of its own now: the reference is given back
+    assert not manifest.load(spark, domain_dir(silver, "x")).references
+    drop_run(spark, silver, "x", RUNS[2])
+
+
+def test_promote_can_copy(spark, silver, tmp_path):
+    diamond = str(tmp_path / "diamond")
+    promote(spark, silver, diamond, "x", copy=True)
+    assert files_under(diamond) and not manifest.load(spark, domain_dir(silver, "x")).references
+    drop_run(spark, silver, "x", RUNS[2])
+    assert read_run(spark, diamond, "x", RUNS[2]).count() == 30
+
+
+def test_compaction_bounds_files_and_keeps_rows(spark, tmp_path):
+    root = str(tmp_path / "l")
+    df = spark.range(40_000).withColumn("u", F.md5(F.col("id").cast("string")))
+    write_run(df, root, "x", RUNS[0], num_files=32)
+    size = run_bytes(spark, root, "x", RUNS[0])
+    n = compact_run(spark, root, "x", RUNS[0], file_bytes=size // 4)
+    paths = read_run(spark, root, "x", RUNS[0]).select(F.col("_metadata.file_path"), F.col("_metadata.file_size")).distinct().collect()
+    assert len(paths) == n and 4 <= n <= 8 and max(p.file_size for p in paths) <= size // 2
+    assert sorted(read_run(spark, root, "x", RUNS[0]).collect()) == sorted(df.collect())
+    assert not local(run_dir(root, "x", RUNS[0])).exists()
+    promote(spark, root, str(tmp_path / "d"), "x")
+    assert compact_run(spark, root, "x", RUNS[0]) == 1  # the other layer keeps the files it refers to
+    assert read_run(spark, str(tmp_path / "d"), "x", RUNS[0]).count() == 40_000
+    with pytest.raises(FileNotFoundError):
+        compact_run(spark, root, "x", RUNS[1])
+
+
+def test_packed_runs(spark, tmp_path):
+    root = str(tmp_path / "l")
+    rows = spark.range(1000).withColumn("run_ts", F.concat(F.lit("2025051510"), F.lpad((F.col("id") % 50).cast("string"), 2, "0")))
+    keys = write_runs(rows, root, "x", packed=True)
+    assert len(keys) == 50 and resolve_run(spark, root, "x") == "202505151049"
+    assert read_run(spark, root, "x", "202505151007").count() == 20 and read_run(spark, root, "x", "202505151007").columns == ["id"]
+    assert read_layer(spark, root, "x").count() == 1000 and dict(read_layer(spark, root, "x").dtypes)["run_ts"] == "string"
+    write_run(spark.range(3), root, "x", "202505151007")  # replaces one of them
+    assert read_run(spark, root, "x", "202505151007").count() == 3 and read_layer(spark, root, "x").count() == 983
+    drop_run(spark, root, "x", "202505151008")
+    assert read_layer(spark, root, "x").count() == 963 and "202505151008" not in committed_runs(spark, root, "x")
+    diamond = str(tmp_path / "d")
+    assert promote(spark, root, diamond, "x") == "202505151049"
+    assert read_run(spark, diamond, "x", "202505151049").count() == 20 and read_layer(spark, diamond, "x").count() == 20
+    with pytest.raises(Exception, match="not a run key"):
+        write_runs(rows.withColumn("run_ts", F.lit("2025")), root, "y", packed=True)
+    with pytest.raises(FileNotFoundError):
+        resolve_run(spark, root, "y")
+
+
+def test_a_write_that_fails_takes_an_overwritten_run_with_it(spark, silver):
+    bad = spark.range(100).select(F.when(F.col("id") == 57, F.raise_error(F.lit("boom"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception):
+        write_run(bad, silver, "x", RUNS[2])
+    assert resolve_run(spark, silver, "x") == RUNS[1]
