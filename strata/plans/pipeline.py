@@ -16,13 +16,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.fixed import DOMAIN_NAME_SEPARATOR, PUBLISHED_TABLE_SUFFIX
+from strata.operators.incremental import admitted, bloom, filter_bits, row_digest, without_known
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
-from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, session_with, shuffle_partitions_for
+from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scratch_dir, session_with, shuffle_partitions_for
 from strata.sources.layers import (
-    list_landing, read_latest, read_raw_csv, read_run, refer_run, resolve_run, run_bytes, write_run,
+    committed_runs, is_state, list_landing, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
+    run_rows, state_dir, write_run,
 )
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
@@ -161,6 +164,59 @@ def refine_latest(
     return out
 
 
+def refine_incremental(
+    spark: SparkSession,
+    bronze_root: str,
+    silver_root: str,
+    domain: str,
+    spec: RefineSpec = APPOINTMENTS,
+    day: str | None = None,
+    run_ts: str | None = None,
+    source_run: str | None = None,
+) -> tuple[str, list[str]]:
+    """Bronze run -> the refined rows that no silver run has yet -> silver run. Returns its key and the silver runs it had to read.
+
+    All silver runs together then hold what whole-row dedup over all bronze runs would give, each row
+    once. Which earlier runs may share rows is told by their states (``operators.incremental``): only those
+    are read. Runs without a state (written by ``refine_latest``) are always read. The state of
+    the new run is written before its run log entry could be missed by the next call: a run whose state
+    is missing is simply read. A repeated call with the same ``run_ts`` replaces the run.
+    """
+    src, _ = read_latest(spark, bronze_root, domain, check_day(day), "csv", source_run=source_run)
+    out = check_run(run_ts or run_stamp())
+    parts = shuffle_partitions_for(spark, run_bytes(spark, bronze_root, domain, src))
+    own = session_with(spark, {"spark.sql.shuffle.partitions": str(parts)})
+    new = refine(read_run(own, bronze_root, domain, src, "csv"), spec)
+    staged = scratch_dir(own, "refined")
+    new.write.parquet(staged)
+    new = own.read.schema(new.schema).parquet(staged)
+    digests = new.select(row_digest(new.columns).alias("digest"))
+    before = [r for r in committed_runs(own, silver_root, domain) if r != out]
+    states = {r: f"{state_dir(silver_root, domain)}/run_ts={r}" for r in before}
+    kept = [r for r in before if is_state(own, states[r])]
+    to_read = [r for r in before if r not in kept]
+    if kept:
+        def state(kind: str, columns: str) -> DataFrame:
+            frames = own.read.option("basePath", state_dir(silver_root, domain)).schema(f"{columns}, run_ts string")
+            return frames.parquet(*[f"{states[r]}/kind={kind}" for r in kept])
+
+        asked = admitted(digests, state("bloom", "size int, bucket long, bits binary"))
+        hits = asked.join(state("digest", "digest long"), ["run_ts", "digest"], "left_semi")
+        to_read += hits.agg(F.collect_set("run_ts").alias("runs")).first().runs
+    if to_read:
+        known = read_layer(own, silver_root, domain, runs=sorted(to_read))
+        new = without_known(new, known)
+    path = write_run(new, silver_root, domain, out)
+    written = read_run(own, silver_root, domain, out)
+    place = f"{state_dir(silver_root, domain)}/run_ts={out}"
+    digests = written.select(row_digest(written.columns).alias("digest"))
+    digests.write.mode("overwrite").parquet(f"{place}/kind=digest")
+    saved = own.read.schema("digest long").parquet(f"{place}/kind=digest")
+    bloom(saved, filter_bits(run_rows(own, silver_root, domain, out))).write.mode("overwrite").parquet(f"{place}/kind=bloom")
+    log.info("refine: bronze run %s, %d of %d silver runs read -> %s", src, len(to_read), len(before), path)
+    return out, sorted(to_read)
+
+
 def promote(
     spark: SparkSession,
     src_root: str,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import RUN_COLUMN, latest_run, run_of_path
 from strata.functions.rules import date_prefix, int_between_exclusive, not_blank
-from strata.plans.pipeline import LakeRoots, ingest, ingest_landing, promote, publish, run_pipeline
+from strata.plans.pipeline import LakeRoots, ingest, ingest_landing, promote, publish, refine_incremental, run_pipeline
 from strata.plans.views import (
     appointments_view, hourly_runs_view, padded_customers_view, part_ages_view, table,
 )
@@ -273,6 +273,18 @@ def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
         gold.withColumn("copy", F.lit("gold")))
 
 
+def incremental_refine(spark: SparkSession, sf: str) -> DataFrame:
+    """CMP-2, AGG-1, run after run: three bronze runs that share rows, each refined into the rows that no silver run has yet.
+    The rows of all silver runs."""
+    roots = LakeRoots.under(scratch_dir(spark, "incremental"))
+    rows = appointments_view(table(spark, sf, "events")).drop("event_id")
+    month = F.substring("fecha_turno", 9, 2)
+    for key, part in ((FIRST_RUN, rows.filter(month <= "20")), (EARLY_RUN, rows.filter(month > "10")), (LATE_RUN, rows)):
+        write_run(part, roots.bronze, "pacientes", key, "csv")
+        refine_incremental(spark, roots.bronze, roots.silver, "pacientes", run_ts=key, source_run=key)
+    return read_layer(spark, roots.silver, "pacientes").drop(RUN_COLUMN)
+
+
 def raw_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-6: raw CSV -> bronze -> silver -> diamond -> table + gold; the gold run."""
     base = scratch_dir(spark, "pipeline")
@@ -309,6 +321,7 @@ QUERIES = {
     "ingest_bronze": ingest_bronze,
     "landing_many_files": landing_many_files,
     "backfill_run": backfill_run,
+    "incremental_refine": incremental_refine,
     "raw_to_gold": raw_to_gold,
 }
 
@@ -390,6 +403,7 @@ UNION ALL BY NAME
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
   CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment, 'customers' AS domain FROM customer""",
     "raw_to_gold": _REFINED_APPOINTMENTS,
+    "incremental_refine": _REFINED_APPOINTMENTS,
     "csv_free_text": """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars,
   'say "a\\b",' || chr(10) || ' ,''' || source || '"\\' AS quoted

@@ -27,6 +27,7 @@ from strata.fixed import DOMAIN_DIR_PREFIX
 from strata.operators.runs import RAW_SUFFIX, RUN_COLUMN, RUN_KEY, check_day, check_domain, check_run
 from strata.session import jvm_context, session_with
 from strata.sources import manifest
+from strata.sources.quoted import read_quoted_csv
 
 FORMATS = ("parquet", "csv", "csv_quoted")
 log = logging.getLogger("strata")
@@ -50,11 +51,19 @@ def _reader(spark: SparkSession, fmt: str):
     _check_format(fmt)
     if fmt == "csv":
         return csv_reader(spark).format("csv")
-    if fmt == "csv_quoted":  # quoted fields may hold line breaks, so a file is read by one task
+    if fmt == "csv_quoted":  # one file by one task; ``load_files`` reads it by many
         return csv_reader(spark).option("multiLine", True).option("escape", '"').format("csv")
     return spark.read.format(fmt)
 
 
+def load_files(spark: SparkSession, fmt: str, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of one run's files, with ``schema`` where it is known; large files are read by many tasks."""
+    if _check_format(fmt) == "csv_quoted":
+        return read_quoted_csv(spark, path, schema.names if schema else None)
+    reader = _reader(spark, fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
+
+
 def csv_reader(spark: SparkSession):
     """Header CSV reader: every field is text (no inference), and every file's
     header must name the same columns in the same order -- a file whose header
@@ -121,6 +130,7 @@ def write_run(
         path = f"{domain_dir(root, domain)}/_again-{uuid.uuid4().hex[:8]}/{RUN_COLUMN}={run_ts}"
     elif old and _place(root, domain, old) == path:  # from here to the new entry the run does not exist
         _change(spark, root, domain, lambda m: [{"op": "drop", "run": run_ts}] if m.runs.get(run_ts) == old else [])
+    _forget(spark, root, domain, run_ts)
     rows = _save(df if num_files is None else df.repartition(num_files), path, fmt, preserve_whitespace)
     files, size = _files_in(spark, path)
     _change(spark, root, domain, lambda m: [
@@ -130,6 +140,12 @@ def write_run(
     return path
 
 
+def _forget(spark: SparkSession, root: str, domain: str, run_ts: str) -> None:
+    """Delete the state of a run that is about to change."""
+    fs, p = _hadoop_fs(spark, f"{state_dir(root, domain)}/{RUN_COLUMN}={run_ts}")
+    fs.delete(p, True)
+
+
 def _save(df: DataFrame, path: str, fmt: str, preserve_whitespace: bool = False) -> int | None:
     """Write ``df`` to ``path``; returns the rows, counted in the same job."""
     written = Observation(f"rows written to {path}")
@@ -298,6 +314,7 @@ def drop_run(spark: SparkSession, root: str, domain: str, run_ts: str) -> None:
         return [{"op": "drop", "run": run_ts}]
 
     _change(spark, root, domain, make)
+    _forget(spark, root, domain, run_ts)
     if gone.get("log"):
         _release(spark, root, domain, run_ts, gone)
     elif not gone["shared"]:
@@ -320,15 +337,13 @@ def read_run(
     state = manifest.load(spark, domain_dir(root, domain))
     entry = state.runs.get(run_ts) if state else None
     if entry is None:
-        df = _reader(spark, fmt).load(run_dir(root, domain, run_ts))
+        df = load_files(spark, fmt, run_dir(root, domain, run_ts))
     elif entry["packed"]:
         df = _packed(spark, root, domain, [(run_ts, entry)], fmt)
         return df if with_run_ts else df.drop(RUN_COLUMN)
     else:
-        reader = _reader(spark, fmt)
-        if entry["schema"]:
-            reader = reader.schema(T.StructType.fromJson(json.loads(entry["schema"])))
-        df = reader.load(_place(root, domain, entry))
+        schema = T.StructType.fromJson(json.loads(entry["schema"])) if entry["schema"] else None
+        df = load_files(spark, fmt, _place(root, domain, entry), schema)
     if with_run_ts:
         df = df.withColumn(RUN_COLUMN, F.lit(run_ts))
     return df
@@ -345,8 +360,9 @@ def _packed(spark: SparkSession, root: str, domain: str, runs: list[tuple[str, d
     return df if len(keys) == entry["packed"] else df.filter(F.col(RUN_COLUMN).isin(keys))
 
 
-def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet", day: str | None = None) -> DataFrame:
-    """Every committed run of ``domain`` (of ``day`` when given) as one lazy frame with a string ``run_ts`` column.
+def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet", day: str | None = None,
+               runs: list[str] | None = None) -> DataFrame:
+    """Every committed run of ``domain`` (of ``day``, or of ``runs``, when given) as one lazy frame with a string ``run_ts`` column.
 
     Planned from the run log: neither other runs' folders nor any file footer is read. The
     schema has the columns of all Parquet runs (a run that lacks one reads
@@ -354,7 +370,7 @@ def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet"
     text; filters on ``run_ts`` prune directories. Raises ``FileNotFoundError`` without runs.
     """
     base = domain_dir(root, domain)
-    entries = _entries(spark, root, domain, check_day(day))
+    entries = {k: e for k, e in _entries(spark, root, domain, check_day(day)).items() if runs is None or k in runs}
     if not entries:
         raise FileNotFoundError(f"no run of domain {domain!r} under {base}")
     groups: dict[tuple[str, int], list[tuple[str, dict]]] = {}
@@ -364,11 +380,11 @@ def read_layer(spark: SparkSession, root: str, domain: str, fmt: str = "parquet"
         groups.setdefault((place if packed else place.rpartition("/")[0], packed), []).append((key, entries[key]))
     fields = _merged_fields([e["schema"] for e in entries.values()])
     frames = []
-    for (parent, packed), runs in groups.items():
+    for (parent, packed), group in groups.items():
         if packed:
-            frames.append(_packed(spark, root, domain, runs, fmt))
+            frames.append(_packed(spark, root, domain, group, fmt))
             continue
-        paths = [_place(root, domain, e) for _, e in runs]
+        paths = [_place(root, domain, e) for _, e in group]
         reader = _reader(spark, fmt).option("basePath", parent)
         if fields is None:
             inferred = reader.option("mergeSchema", fmt == "parquet").load(paths).schema
@@ -437,6 +453,8 @@ def write_runs(df: DataFrame, root: str, domain: str, run_col: str = RUN_COLUMN,
                        packed=len(keys) if packed else 0) for k in keys]
 
     _change(spark, root, domain, make)
+    for k in replaced:
+        _forget(spark, root, domain, k)
     for k, old in replaced.items():
         _release(spark, root, domain, k, old)
     return keys
@@ -499,6 +517,23 @@ def run_bytes(spark: SparkSession, root: str, domain: str, run_ts: str) -> int:
     return int(fs.getContentSummary(path).getLength())
 
 
+def run_rows(spark: SparkSession, root: str, domain: str, run_ts: str) -> int:
+    """The rows of one committed run (from the run log, or counted)."""
+    entry = _entries(spark, root, domain)[run_ts]
+    return entry["rows"] if entry["rows"] is not None else read_run(spark, root, domain, run_ts).count()
+
+
+def state_dir(root: str, domain: str) -> str:
+    """Where what is known about a domain's runs, beside the run log, is kept."""
+    return f"{domain_dir(root, domain)}/_state"
+
+
+def is_state(spark: SparkSession, path: str) -> bool:
+    """Whether the state of a run is complete: its filter, which is written last, is committed."""
+    fs, p = _hadoop_fs(spark, f"{path}/kind=bloom/_SUCCESS")
+    return fs.exists(p)
+
+
 def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
     """Run keys of ``domain`` (of ``day`` when given), newest first: those in the run log and those with a directory.
 

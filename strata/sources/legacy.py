@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from strata.fixed import LEGACY_BACKUP_DIR, LEGACY_RUN_NAME
 from strata.operators.runs import check_day
 from strata.sources.layers import (
-    _hadoop_fs, _reader, _run_complete, _writes_success_marker, domain_dir, is_committed, write_run,
+    _hadoop_fs, _run_complete, _writes_success_marker, domain_dir, is_committed, load_files, write_run,
 )
 
 _LEGACY_NAME = re.compile(LEGACY_RUN_NAME)
@@ -73,7 +73,7 @@ def _adopt(spark: SparkSession, runs: dict[str, str], dst_root: str, domain: str
             raise ValueError(f"run {run} was not committed: {path}")
 
     def one(run: str) -> None:
-        write_run(_reader(spark, fmt).load(todo[run]), dst_root, domain, run, fmt)
+        write_run(load_files(spark, fmt, todo[run]), dst_root, domain, run, fmt)
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_runs)) as pool:
         futures = [pool.submit(one, run) for run in sorted(todo)]

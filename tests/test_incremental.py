@@ -1,0 +1,91 @@
+"""Incremental refine: every row once over all runs, and old runs without a hit stay unread."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.operators.incremental import admitted, bloom, filter_bits, row_digest, without_known
+from strata.operators.refine import RefineSpec
+from strata.plans.pipeline import refine_incremental, refine_latest
+from strata.sources.layers import is_state, read_layer, read_run, run_dir, state_dir, write_run
+
+RUNS = ["202505140900", "202505151030", "202505151045", "202505160000"]
+SPEC = RefineSpec(not_blank=("nombre",))
+SCHEMA = "nombre string, edad string"
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+
+    def load(run, rows, step=refine_incremental):
+        write_run(spark.createDataFrame(rows, SCHEMA), bronze, "p", run, "csv")
+        return step(spark, bronze, silver, "p", SPEC, run_ts=run, source_run=run)
+
+    return silver, load
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_each_row_once_over_all_runs(spark, lake):
+    silver, load = lake
+    first = [(f"n{i}", None if i % 3 else str(i)) for i in range(50)]
+    second = first[30:] + [(f"m{i}", "1") for i in range(20)] + [(None, "x"), ("n1", "1")] * 2
+    assert load(RUNS[0], first + first) == (RUNS[0], [])
+    assert load(RUNS[1], second) == (RUNS[1], [RUNS[0]])
+    assert load(RUNS[2], [("other", "1"), ("m3", "1")]) == (RUNS[2], [RUNS[1]])
+    whole = {r for r in first + second + [("other", "1")] if r[0]}
+    assert rows_of(read_layer(spark, silver, "p").drop("run_ts")) == sorted(whole, key=str)
+    assert rows_of(read_run(spark, silver, "p", RUNS[2])) == [("other", "1")]
+    assert load(RUNS[3], first) == (RUNS[3], [RUNS[0]]) and read_run(spark, silver, "p", RUNS[3]).count() == 0
+
+
+def test_runs_without_a_hit_are_not_read(spark, lake):
+    import pathlib
+
+    silver, load = lake
+    load(RUNS[0], [(f"a{i}", "1") for i in range(200)])
+    load(RUNS[1], [(f"b{i}", "1") for i in range(200)])
+    for f in pathlib.Path(run_dir(silver, "p", RUNS[0])).glob("part-*"):
+        f.write_bytes(b"broken")
+    assert load(RUNS[2], [(f"c{i}", "1") for i in range(200)] + [("b7", "1")]) == (RUNS[2], [RUNS[1]])
+    assert read_run(spark, silver, "p", RUNS[2]).count() == 200
+
+
+def test_runs_without_state_are_read(spark, lake):
+    silver, load = lake
+    load(RUNS[0], [("a", "1"), ("b", "1")], refine_latest)
+    assert not is_state(spark, f"{state_dir(silver, 'p')}/run_ts={RUNS[0]}")
+    assert load(RUNS[1], [("b", "1"), ("c", "1")]) == (RUNS[1], [RUNS[0]])
+    assert rows_of(read_run(spark, silver, "p", RUNS[1])) == [("c", "1")]
+    assert is_state(spark, f"{state_dir(silver, 'p')}/run_ts={RUNS[1]}")
+    load(RUNS[1], [("z", "1")], refine_latest)  # another writer replaces the run: its state goes
+    assert not is_state(spark, f"{state_dir(silver, 'p')}/run_ts={RUNS[1]}")
+
+
+def test_a_repeated_run_replaces_itself(spark, lake):
+    silver, load = lake
+    load(RUNS[0], [("a", "1")])
+    load(RUNS[1], [("a", "1"), ("b", "1")])
+    assert load(RUNS[1], [("a", "1"), ("b", "1"), ("c", "1")]) == (RUNS[1], [RUNS[0]])
+    assert rows_of(read_layer(spark, silver, "p").drop("run_ts")) == [("a", "1"), ("b", "1"), ("c", "1")]
+
+
+def test_filters_admit_what_they_hold_and_little_else(spark):
+    df = spark.range(20_000).select(F.xxhash64("id").alias("digest"))
+    held, others = df.filter("digest % 2 = 0"), df.filter("digest % 2 != 0")
+    n = held.count()
+    filters = bloom(held, filter_bits(n)).withColumn("run_ts", F.lit("1"))
+    filters = filters.unionByName(bloom(held.filter("digest > 0"), filter_bits(100)).withColumn("run_ts", F.lit("2")))
+    found = admitted(df, filters)
+    assert found.filter("run_ts = '1'").join(held, "digest").count() == n
+    assert found.filter("run_ts = '2'").join(held.filter("digest > 0"), "digest").count() == held.filter("digest > 0").count()
+    assert found.filter("run_ts = '1'").join(others, "digest").count() < 0.03 * others.count()
+
+
+def test_digests_and_anti_join_tell_nulls_apart(spark):
+    rows = [(None, "a"), ("a", None), (None, None), ("", "a"), ("a", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert df.select(row_digest(df.columns).alias("d")).distinct().count() == len(rows)
+    assert rows_of(without_known(df, df.filter("x is null"))) == sorted([("a", None), ("", "a"), ("a", "")], key=str)

@@ -1,0 +1,100 @@
+"""Quoted CSV cut anywhere: the same rows as one task that reads the whole file."""
+
+import csv
+import io
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.session import session_with
+from strata.sources.layers import load_files, read_run, write_run
+from strata.sources.quoted import read_quoted_csv, records
+
+ROWS = [["a", "b", "c"], ["1", "plain", "x"], ["2", "two\nlines", ""], ["3", 'say "hi",\n\n"', "\n"], ["4", "", "\\"],
+        ["5", "crlf\r\nin", "é☃"], ["6", '""', "a,b"], ["7", "\n" * 30 + '"' * 9, "end"], ["8", " outer ", "'"]]
+
+
+def text_of(rows, end="\n"):
+    out = io.StringIO()
+    csv.writer(out, lineterminator=end).writerows(rows)
+    return out.getvalue()
+
+
+def expected(rows):
+    return Counter(tuple(x or None for x in r) for r in rows[1:])
+
+
+def sliced(spark, size):
+    return session_with(spark, {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0",
+                                "spark.sql.files.minPartitionNum": "1"})
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 8, 13, 40, 100, 10_000])
+@pytest.mark.parametrize("end", ["\n", "\r\n"], ids=["lf", "crlf"])
+def test_every_cut_gives_the_same_rows(spark, tmp_path, size, end):
+    path = tmp_path / "f.csv"
+    path.write_bytes(text_of(ROWS, end).encode())
+    own = sliced(spark, size)
+    df = read_quoted_csv(own, str(path))
+    assert df.columns == ["a", "b", "c"]
+    assert Counter(map(tuple, df.collect())) == expected(ROWS)
+    if size == 13:
+        assert own.read.option("lineSep", "\n").text(str(path)).rdd.getNumPartitions() > 10
+
+
+def test_random_files_cut_by_blocks(spark, tmp_path):
+    rnd = random.Random(7)
+    folder = tmp_path / "run"
+    folder.mkdir()
+    rows = []
+    for i in range(4):
+        own = [["k", "v"]] + [[str(rnd.randrange(10**6)), "".join(rnd.choice(['"', "\n", ",", "x", "y z", "\r\n"]) for _ in range(rnd.randrange(30)))]
+                              for _ in range(60)]
+        (folder / f"part-{i}.csv").write_bytes(text_of(own).encode())
+        rows += own[1:]
+    for size in (64, 700, 1 << 20):
+        df = read_quoted_csv(sliced(spark, size), str(folder))
+        assert Counter(map(tuple, df.collect())) == expected([["k", "v"]] + rows)
+
+
+def test_records_that_cross_many_blocks_are_whole(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    long = "\n".join(f"line {i}" for i in range(200))
+    path.write_text(text_of([["t"], [long], ["x"], [long + "!"]]))
+    found = [r.text for r in records(sliced(spark, 50), str(path)).filter("not header").collect()]
+    assert sorted(found) == sorted([f'"{long}"', "x", f'"{long}!"'])
+
+
+def test_no_join_broadcast_gives_the_same(spark, tmp_path):
+    path = tmp_path / "f.csv"
+    path.write_text(text_of(ROWS))
+    own = sliced(spark, 16)
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    own.conf.set("spark.sql.adaptive.enabled", "false")
+    assert Counter(map(tuple, read_quoted_csv(own, str(path)).collect())) == expected(ROWS)
+
+
+def test_headers_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("a,c\n1,2\n")
+    with pytest.raises(Exception, match="the header is not"):
+        read_quoted_csv(spark, str(tmp_path), ["a", "b"]).collect()
+
+
+def test_odd_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("﻿a,b\r\n1\r\n\r\n\"\",\"q\"\r\n".encode())
+    assert [tuple(r) for r in read_quoted_csv(spark, str(tmp_path / "a.csv"), ["a", "b"]).collect()] == [("1", None), (None, "q")]
+    (tmp_path / "b.csv").write_text("a,b\n")
+    assert read_quoted_csv(spark, str(tmp_path / "b.csv")).count() == 0
+    (tmp_path / "c.csv").write_text("")
+    assert read_quoted_csv(spark, str(tmp_path / "c.csv"), ["a"]).count() == 0
+
+
+def test_a_run_reads_back_by_many_tasks(spark, tmp_path):
+    df = spark.range(300).select(F.col("id").cast("string").alias("id"), F.concat(F.lit('x\n"y",\r\n'), F.col("id")).alias("t"))
+    path = write_run(df, str(tmp_path), "x", "202505151030", "csv_quoted", num_files=1)
+    own = sliced(spark, 500)
+    assert sorted(read_run(own, str(tmp_path), "x", "202505151030", "csv_quoted").collect()) == sorted(df.collect())
+    assert sorted(load_files(own, "csv_quoted", path).collect()) == sorted(df.collect())
