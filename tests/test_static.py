@@ -2,6 +2,9 @@
 
 import pathlib
 import re
+import shutil
+import subprocess
+import sys
 
 LIB = pathlib.Path(__file__).resolve().parent.parent / "strata"
 SOURCES = [p for p in LIB.rglob("*.py") if "llm" not in p.relative_to(LIB).parts]
@@ -44,3 +47,13 @@ def test_only_one_row_is_ever_broadcast():
 def test_library_does_not_import_the_corpus_operators():
     for path in SOURCES:
         assert "strata.llm" not in path.read_text(), path
+
+
+def test_the_library_works_without_the_corpus_operators(tmp_path):
+    """Without strata/llm the entry module still has the library's queries, also where corpus_pipeline.py is left behind."""
+    root = LIB.parent
+    shutil.copytree(LIB, tmp_path / "strata", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "corpus_pipeline.py").write_text("from strata.llm import decontam\n")
+    code = "import __spark_entry__ as e; from strata.plans.queries import QUERIES as q; assert set(e.queries()) == set(q) == set(e.oracle_sql())"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin"})
