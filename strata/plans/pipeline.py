@@ -24,7 +24,7 @@ from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scratch_dir, session_with, shuffle_partitions_for
 from strata.sources.layers import (
-    committed_runs, is_state, list_landing, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
+    committed_runs, is_state, list_landing, new_files, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
     run_rows, state_dir, write_run,
 )
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
@@ -85,6 +85,7 @@ def ingest_landing(
     num_files: int | None = None,
     preserve_whitespace: bool = False,
     parallel_domains: int = 4,
+    only_new: bool = False,
 ) -> dict[str, str]:
     """Every raw CSV in a landing folder, plain or compressed -> one bronze run per domain.
 
@@ -97,6 +98,12 @@ def ingest_landing(
     ``{domain: run_ts}``; raises ``FileNotFoundError`` when the folder holds
     no CSV, and ``ValueError`` before anything is loaded when it holds other entries.
     A domain's files reach Spark as a few name patterns, not as a path each.
+
+    With ``only_new``, files that an earlier such call has loaded are left out, and a domain without other files
+    gets no run and is not in the result. Which files a run was loaded from is committed with the run
+    (``layers.new_files``): a call that dies before that has loaded nothing, and of two calls at
+    once one is refused with ``RuntimeError``. So is a second call with new files under a run key that is taken. Files must be put into
+    the folder whole. Dropping a run gives its files free again; runs of calls without ``only_new`` are not remembered.
     """
     run_ts = check_run(run_ts or run_stamp())
     groups: dict[str, list[str]] = {}
@@ -105,18 +112,29 @@ def ingest_landing(
     if not groups:
         raise FileNotFoundError(f"no raw CSV under {landing}")
 
-    def one(domain: str) -> None:
-        paths = groups[domain]
-        raw = read_raw_csv(spark, _patterns(paths))
-        path = write_run(raw, bronze_root, domain, run_ts, "csv", num_files, preserve_whitespace)
-        log.info("ingest: %d file(s) of domain %s -> %s", len(paths), domain, path)
+    def one(domain: str) -> bool:
+        paths, ledger = _patterns(groups[domain]), None
+        if only_new:
+            ledger, files = new_files(spark, bronze_root, domain, paths)
+            if not files:
+                return False
+            paths = [_literal(f) for f in files]
+        raw = read_raw_csv(spark, paths)
+        path = write_run(raw, bronze_root, domain, run_ts, "csv", num_files, preserve_whitespace, ledger)
+        log.info("ingest: %d file(s) of domain %s -> %s", len(paths) if only_new else len(groups[domain]), domain, path)
+        return True
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallel_domains, len(groups)))) as pool:
-        futures = [pool.submit(one, d) for d in sorted(groups)]
-    errors = [f.exception() for f in futures if f.exception() is not None]
+        futures = {d: pool.submit(one, d) for d in sorted(groups)}
+    errors = [f.exception() for f in futures.values() if f.exception() is not None]
     if errors:
         raise errors[0]
-    return {d: run_ts for d in groups}
+    return {d: run_ts for d in groups if futures[d].result()}
+
+
+def _literal(path: str) -> str:
+    """A glob pattern that matches ``path`` alone."""
+    return re.sub(r"([][{}*?^,\\])", r"\\\1", path)
 
 
 def _patterns(paths: list[str]) -> list[str]:
@@ -128,7 +146,7 @@ def _patterns(paths: list[str]) -> list[str]:
         stem, sep, _ = name.partition(DOMAIN_NAME_SEPARATOR)
         if not sep:
             stem, sep, _ = name.partition(".")
-        found.add(f"{folder}/{re.sub(r'([][{}*?^,\\])', r'\\\1', stem)}{sep}*")
+        found.add(f"{folder}/{_literal(stem)}{sep}*")
     return sorted(found)
 
 

@@ -256,6 +256,19 @@ def landing_many_files(spark: SparkSession, sf: str) -> DataFrame:
     return loaded[0].unionByName(loaded[1], allowMissingColumns=True)
 
 
+def landing_only_new(spark: SparkSession, sf: str) -> DataFrame:
+    """RUN-4, CMP-1, call after call: each landing call loads the files that no earlier one has loaded, and a call without
+    new files makes no run. The rows of all runs, with their run."""
+    base = scratch_dir(spark, "landing_new")
+    orders = table(spark, sf, "orders")
+    for key, status in ((FIRST_RUN, "P"), (EARLY_RUN, "F"), (LATE_RUN, "O"), (GOLD_RUN, None)):
+        if status:
+            (orders.filter(F.col("o_orderstatus") == status).write.option("header", True)
+             .csv(f"{base}/landing/orders_{status}.csv"))
+        ingest_landing(spark, f"{base}/landing", f"{base}/bronze", key, only_new=True)
+    return read_layer(spark, f"{base}/bronze", "orders", "csv")
+
+
 def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-6: an older raw file that arrives after a newer run was published goes through under its own key."""
     base = scratch_dir(spark, "backfill")
@@ -320,6 +333,7 @@ QUERIES = {
     "publish_csv_backup": publish_csv_backup,
     "ingest_bronze": ingest_bronze,
     "landing_many_files": landing_many_files,
+    "landing_only_new": landing_only_new,
     "backfill_run": backfill_run,
     "incremental_refine": incremental_refine,
     "raw_to_gold": raw_to_gold,
@@ -402,6 +416,9 @@ SELECT *, NULL::VARCHAR AS c_custkey, NULL::VARCHAR AS c_name, NULL::VARCHAR AS
 UNION ALL BY NAME
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
   CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment, 'customers' AS domain FROM customer""",
+    "landing_only_new": f"""
+SELECT *, CASE o_orderstatus WHEN 'P' THEN '{FIRST_RUN}' WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
+FROM ({_ORDERS_TEXT})""",
     "raw_to_gold": _REFINED_APPOINTMENTS,
     "incremental_refine": _REFINED_APPOINTMENTS,
     "csv_free_text": """

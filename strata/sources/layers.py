@@ -18,6 +18,7 @@ import json
 import logging
 import re
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +107,7 @@ def write_run(
     fmt: str = "parquet",
     num_files: int | None = None,
     preserve_whitespace: bool = False,
+    ledger: "Ledger | None" = None,
 ) -> str:
     """Write ``df`` as run ``run_ts`` of ``domain`` in the layer at ``root``.
 
@@ -118,7 +120,10 @@ def write_run(
     survive; an empty text reads back as NULL. The number of rows written is counted
     inside the write job itself (``observe``, no extra scan). The run exists for readers
     from the moment its entry is in the run log. A run that other layers refer to is
-    not overwritten: the new data gets a directory beside it. Returns the run's directory.
+    not overwritten: the new data gets a directory beside it. With a ``ledger`` the run and the files that it
+    was loaded from are committed together, in a directory of this call's own: ``RuntimeError``, and nothing
+    is committed, where the run exists already or another call has committed files in the meantime.
+    Returns the run's directory.
     """
     spark, path = df.sparkSession, run_dir(root, domain, check_run(run_ts))
     _check_format(fmt)
@@ -126,20 +131,69 @@ def write_run(
         raise ValueError("num_files must be >= 1")
     log_now = manifest.load(spark, domain_dir(root, domain))
     old = log_now.runs.get(run_ts) if log_now else None
-    if log_now and path in log_now.references:
+    if ledger or (log_now and path in log_now.references):
         path = f"{domain_dir(root, domain)}/_again-{uuid.uuid4().hex[:8]}/{RUN_COLUMN}={run_ts}"
     elif old and _place(root, domain, old) == path:  # from here to the new entry the run does not exist
         _change(spark, root, domain, lambda m: [{"op": "drop", "run": run_ts}] if m.runs.get(run_ts) == old else [])
     _forget(spark, root, domain, run_ts)
     rows = _save(df if num_files is None else df.repartition(num_files), path, fmt, preserve_whitespace)
     files, size = _files_in(spark, path)
-    _change(spark, root, domain, lambda m: [
-        _entry(root, domain, run_ts, path, fmt, files=files, rows=rows, bytes=size, schema=_schema_of(df, fmt))])
+    entry = _entry(root, domain, run_ts, path, fmt, files=files, rows=rows, bytes=size, schema=_schema_of(df, fmt))
+
+    def commit(m: manifest.Manifest) -> list[dict]:
+        if ledger is None:
+            return [entry]
+        if run_ts in m.runs:
+            raise RuntimeError(f"run {run_ts} of domain {domain!r} exists already")
+        if _ledgers(m) != ledger.before:
+            raise RuntimeError(f"another call has loaded files of domain {domain!r} in the meantime")
+        return [{**entry, "ledger": ledger.path}]
+
+    _change(spark, root, domain, commit)
     _release(spark, root, domain, run_ts, old)
     log.info("wrote %s rows to %s", rows, path)
     return path
 
 
+@dataclass(frozen=True)
+class Ledger:
+    """The files that a run is loaded from, and the ledgers that were there when they were chosen."""
+
+    path: str
+    before: tuple[str, ...]
+
+
+_LEDGER_SCHEMA = "path string, length long, modificationTime timestamp"
+
+
+def _ledgers(state: manifest.Manifest | None) -> tuple[str, ...]:
+    return tuple(sorted({e["ledger"] for e in state.runs.values() if e.get("ledger")})) if state else ()
+
+
+def new_files(spark: SparkSession, root: str, domain: str, patterns: list[str]) -> tuple[Ledger, list[str]]:
+    """The files under ``patterns`` that no committed run of ``domain`` was loaded from, as a ledger to commit with their run.
+
+    A file is known by path, length and time of change: one that was replaced is new. Spark lists the files and
+    anti-joins them with the ledgers of all committed runs; contents are not read. The ledger (Parquet beside the run
+    log) means nothing until a run is committed with it. Only the new files' paths come to the driver, which
+    has to hand them to the reader.
+    """
+    base = domain_dir(root, domain)
+    before = _ledgers(manifest.load(spark, base))
+    files = spark.read.format("binaryFile").load(patterns).select("path", "length", "modificationTime")
+    if before:
+        known = spark.read.schema(_LEDGER_SCHEMA).parquet(*[f"{base}/{name}" for name in before])
+        files = files.join(known, ["path", "length", "modificationTime"], "left_anti")
+    name = f"_ledger-{uuid.uuid4().hex[:12]}"
+    files.write.parquet(f"{base}/{name}")
+    found = spark.read.schema(_LEDGER_SCHEMA).parquet(f"{base}/{name}")
+    paths = found.agg(F.sort_array(F.collect_list("path")).alias("paths")).first().paths
+    if not paths:
+        fs, p = _hadoop_fs(spark, f"{base}/{name}")
+        fs.delete(p, True)
+    return Ledger(name, before), paths
+
+
 def _forget(spark: SparkSession, root: str, domain: str, run_ts: str) -> None:
     """Delete the state of a run that is about to change."""
     fs, p = _hadoop_fs(spark, f"{state_dir(root, domain)}/{RUN_COLUMN}={run_ts}")
@@ -244,7 +298,7 @@ def refer_run(spark: SparkSession, src_root: str, dst_root: str, domain: str, ru
     before = manifest.load(spark, domain_dir(dst_root, domain))
     old = before.runs.get(run_ts) if before else None
     _change(spark, dst_root, domain, lambda m: [
-        {"op": "commit", "run": run_ts, **{k: v for k, v in seen.items() if k not in ("path", "log")}, "path": path, "log": origin}])
+        {"op": "commit", "run": run_ts, **{k: v for k, v in seen.items() if k not in ("path", "log", "ledger")}, "path": path, "log": origin}])
     if old and old.get("log") and old["path"] != path:
         _release(spark, dst_root, domain, run_ts, old)
     return path
@@ -284,7 +338,8 @@ def compact_run(spark: SparkSession, root: str, domain: str, run_ts: str, file_b
     def swap(m: manifest.Manifest) -> list[dict]:
         if m.runs.get(run_ts) != {k: v for k, v in old.items() if k not in ("op", "run")}:
             raise RuntimeError(f"run {run_ts} was changed while it was compacted")
-        return [_entry(root, domain, run_ts, path, fmt, files=files, rows=rows, bytes=size, schema=old["schema"])]
+        entry = _entry(root, domain, run_ts, path, fmt, files=files, rows=rows, bytes=size, schema=old["schema"])
+        return [entry | {"ledger": old["ledger"]} if old.get("ledger") else entry]
 
     after = _change(spark, root, domain, swap)
     _release(spark, root, domain, run_ts, old)

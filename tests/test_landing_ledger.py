@@ -1,0 +1,129 @@
+"""Landing calls that load only new files: each file once, also after a kill and with two calls at once."""
+
+import os
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+
+from strata.plans.pipeline import ingest_landing
+from strata.sources import layers, manifest
+from strata.sources.layers import compact_run, committed_runs, drop_run, new_files, read_layer, read_run
+
+RUNS = ["202505140900", "202505151030", "202505151045", "202505160000"]
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    folder, bronze = tmp_path / "landing", str(tmp_path / "bronze")
+    folder.mkdir()
+
+    def put(name, *values):
+        (folder / name).write_text("".join(f"{v}\n" for v in ("x", *values)))
+
+    def call(run):
+        return ingest_landing(spark, str(folder), bronze, run, only_new=True)
+
+    def values(domain="a"):
+        return sorted(r.x for r in read_layer(spark, bronze, domain, "csv").collect())
+
+    return folder, bronze, put, call, values
+
+
+def test_each_call_loads_only_new_files(spark, landing):
+    folder, bronze, put, call, values = landing
+    put("a_1.csv", 1, 2)
+    put("b_1.csv", 9)
+    assert call(RUNS[0]) == {"a": RUNS[0], "b": RUNS[0]}
+    put("a_2[x]{y}.csv", 3)  # characters with a meaning in patterns
+    put("A_3.CSV", 4)
+    assert call(RUNS[1]) == {"a": RUNS[1]}
+    assert [r.x for r in read_run(spark, bronze, "a", RUNS[1], "csv").orderBy("x").collect()] == ["3", "4"]
+    assert call(RUNS[2]) == {} and committed_runs(spark, bronze, "a") == [RUNS[1], RUNS[0]]
+    assert values() == ["1", "2", "3", "4"] and values("b") == ["9"]
+
+
+def test_folders_of_part_files_grow(spark, landing):
+    folder, _, put, call, values = landing
+    (folder / "a_parts.csv").mkdir()
+    put("a_parts.csv/part-0.csv", 1)
+    assert call(RUNS[0]) == {"a": RUNS[0]}
+    put("a_parts.csv/part-1.csv", 2)
+    assert call(RUNS[1]) == {"a": RUNS[1]} and values() == ["1", "2"]
+
+
+def test_a_replaced_file_is_new(landing):
+    folder, _, put, call, values = landing
+    put("a_1.csv", 1)
+    call(RUNS[0])
+    put("a_1.csv", 5, 6)
+    os.utime(folder / "a_1.csv", (2_000_000_000, 2_000_000_000))
+    assert call(RUNS[1]) == {"a": RUNS[1]} and values() == ["1", "5", "6"]
+
+
+def test_a_call_that_dies_before_the_commit_has_loaded_nothing(spark, landing, monkeypatch):
+    _, bronze, put, call, values = landing
+    put("a_1.csv", 1)
+    call(RUNS[0])
+    put("a_2.csv", 2)
+
+    def die(*args):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(layers, "_change", die)
+        with pytest.raises(KeyboardInterrupt):
+            call(RUNS[1])
+    assert committed_runs(spark, bronze, "a") == [RUNS[0]] and values() == ["1"]
+    assert call(RUNS[1]) == {"a": RUNS[1]} and values() == ["1", "2"]
+
+
+def test_two_calls_at_once_load_each_file_once(landing, monkeypatch):
+    _, _, put, call, values = landing
+    for i in range(3):
+        put(f"a_{i}.csv", i)
+    with ThreadPoolExecutor(2) as pool:
+        done = [pool.submit(call, run) for run in RUNS[:2]]
+    errors = [f.exception() for f in done if f.exception()]
+    assert all(isinstance(e, RuntimeError) for e in errors) and len(errors) < 2
+    assert values() == ["0", "1", "2"]
+
+
+def test_a_call_is_refused_when_another_has_committed_since_it_listed(spark, landing, monkeypatch):
+    folder, bronze, put, call, values = landing
+    put("a_1.csv", 1)
+    ledger, files = new_files(spark, bronze, "a", [f"{folder}/a_*"])
+    assert len(files) == 1
+    call(RUNS[0])
+    with pytest.raises(RuntimeError, match="meantime"):
+        layers.write_run(spark.createDataFrame([("1",)], "x string"), bronze, "a", RUNS[1], "csv", ledger=ledger)
+    assert values() == ["1"]
+
+
+def test_new_files_do_not_replace_a_run(landing):
+    _, _, put, call, values = landing
+    put("a_1.csv", 1)
+    call(RUNS[0])
+    put("a_2.csv", 2)
+    with pytest.raises(RuntimeError, match="exists already"):
+        call(RUNS[0])
+    assert values() == ["1"]
+    assert call(RUNS[1]) == {"a": RUNS[1]} and values() == ["1", "2"]
+
+
+def test_compaction_keeps_and_dropping_forgets_the_files(spark, landing):
+    _, bronze, put, call, values = landing
+    for i in range(3):
+        put(f"a_{i}.csv", i)
+    call(RUNS[0])
+    compact_run(spark, bronze, "a", RUNS[0], fmt="csv")
+    assert call(RUNS[1]) == {} and values() == ["0", "1", "2"]
+    drop_run(spark, bronze, "a", RUNS[0])
+    assert call(RUNS[2]) == {"a": RUNS[2]} and values() == ["0", "1", "2"]
+
+
+def test_headers_alone_are_remembered(spark, landing):
+    _, bronze, put, call, _ = landing
+    put("a_1.csv")
+    assert call(RUNS[0]) == {"a": RUNS[0]} and call(RUNS[1]) == {}
+    entry = manifest.load(spark, layers.domain_dir(bronze, "a")).runs[RUNS[0]]
+    assert entry["rows"] == 0 and entry["ledger"].startswith("_ledger-")
