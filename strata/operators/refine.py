@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from strata.fixed import (
     APPOINTMENT_AGE, APPOINTMENT_COLUMNS, APPOINTMENT_DATE, APPOINTMENT_NOT_BLANK, DATE_FORMAT,
@@ -70,17 +71,47 @@ APPOINTMENTS = RefineSpec(
     dedup=True,
 )
 
-__all__ = ["APPOINTMENTS", "APPOINTMENT_COLUMNS", "RefineSpec", "refine", "row_filter",
-           "spec_from_dict"]
+__all__ = ["APPOINTMENTS", "APPOINTMENT_COLUMNS", "MAX_RULES", "RefineSpec", "broken_rules", "refine", "row_filter",
+           "rule_names", "rules_of", "spec_from_dict"]
+
+MAX_RULES = 63  # bits of a long
+
+
+def _row_rules(spec: RefineSpec) -> dict[str, Column]:
+    rules = {f"not_blank:{c}": not_blank(c) for c in spec.not_blank}
+    return rules | {f"int_range:{c}:{lo}:{hi}": int_between_exclusive(c, lo, hi) for c, lo, hi in spec.int_ranges}
 
 
 def row_filter(spec: RefineSpec):
     """The spec's row predicates as one Column (None when there are none)."""
-    preds = [not_blank(c) for c in spec.not_blank]
-    preds += [int_between_exclusive(c, lo, hi) for c, lo, hi in spec.int_ranges]
+    preds = list(_row_rules(spec).values())
     return reduce(and_, preds) if preds else None
 
 
+def rules_of(spec: RefineSpec) -> dict[str, Column]:
+    """Every rule that can reject a row, by name, in the order of their bits: ``not_blank:<column>``,
+    ``int_range:<column>:<low>:<high>``, ``date:<column>``. A rule named twice counts once."""
+    rules = _row_rules(spec)
+    rules |= {f"date:{c}": date_prefix(c, spec.date_sep, spec.date_format).isNotNull() for c in spec.dates}
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"{len(rules)} rules; a bit set holds {MAX_RULES}")
+    return rules
+
+
+def broken_rules(spec: RefineSpec) -> Column:
+    """The rules that a row breaks, as a bit set (long): bit ``i`` for the ``i``-th of ``rules_of``. ``refine`` keeps a row exactly
+    when it is 0; a rule whose result is NULL is broken."""
+    bits = [F.when(rule, F.lit(0)).otherwise(F.lit(1 << i)).cast("long") for i, rule in enumerate(rules_of(spec).values())]
+    return reduce(add, bits, F.lit(0).cast("long"))
+
+
+def rule_names(bits: str | Column, spec: RefineSpec) -> Column:
+    """The names of the rules in a bit set, as an array in the order of the rules."""
+    bits = F.col(bits) if isinstance(bits, str) else bits
+    return F.filter(F.array(*[F.when(bits.bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(n))
+                              for i, n in enumerate(rules_of(spec))]).cast("array<string>"), lambda n: n.isNotNull())
+
+
 def refine(df: DataFrame, spec: RefineSpec = APPOINTMENTS) -> DataFrame:
     """Apply ``spec`` to ``df``: filter, retype dates in place, drop NULL dates, dedup.
 
@@ -91,10 +122,12 @@ def refine(df: DataFrame, spec: RefineSpec = APPOINTMENTS) -> DataFrame:
     if cond is not None:
         df = df.filter(cond)
     if spec.dates:
-        df = df.withColumns(
-            {c: date_prefix(c, spec.date_sep, spec.date_format) for c in spec.dates}
-        )
-        df = df.dropna(subset=list(spec.dates))
+        df = retype(df, spec).dropna(subset=list(spec.dates))
     if spec.dedup:
         df = df.dropDuplicates()
     return df
+
+
+def retype(df: DataFrame, spec: RefineSpec) -> DataFrame:
+    """The spec's date columns as dates, in place; no row is dropped."""
+    return df.withColumns({c: date_prefix(c, spec.date_sep, spec.date_format) for c in spec.dates}) if spec.dates else df

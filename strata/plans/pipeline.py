@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from strata.fixed import DOMAIN_NAME_SEPARATOR, PUBLISHED_TABLE_SUFFIX
 from strata.operators.incremental import admitted, bloom, filter_bits, row_digest, without_known
-from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
+from strata.operators.refine import APPOINTMENTS, RefineSpec, broken_rules, refine, retype, rules_of
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scratch_dir, session_with, shuffle_partitions_for
 from strata.sources.layers import (
-    committed_runs, is_state, list_landing, new_files, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
-    run_rows, state_dir, write_run,
+    committed_runs, drop_split, is_state, list_landing, new_files, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
+    run_rows, state_dir, write_run, write_split,
 )
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
 
@@ -182,6 +182,58 @@ def refine_latest(
     return out
 
 
+@dataclass(frozen=True)
+class RefineResult:
+    """``rejected`` + ``kept`` is the input; ``kept`` is counted before the dedup. ``by_rule``: rows that break each rule."""
+
+    run_ts: str
+    kept: int
+    rejected: int
+    by_rule: dict[str, int]
+
+
+def refine_with_rejects(
+    spark: SparkSession,
+    bronze_root: str,
+    silver_root: str,
+    rejects_root: str,
+    domain: str,
+    spec: RefineSpec = APPOINTMENTS,
+    day: str | None = None,
+    run_ts: str | None = None,
+    source_run: str | None = None,
+) -> RefineResult:
+    """Bronze run -> ``refine`` -> silver run as ``refine_latest`` does, and the rows it drops -> run of the layer at ``rejects_root``.
+
+    A rejected row keeps its bronze text, with ``broken`` as the bit set of the rules it breaks (``refine.rules_of``). Bronze
+    is scanned once: the rules are computed once a row, all counts come from the same job, and its rows are written once,
+    parted into kept and rejected. The rejected part is the run; the kept part is read back, as Parquet, for retyping and dedup, and then
+    deleted. Parted by kept and rejected only, not by rule set, so a task writes two files at most.
+    A run without rejected rows gets an empty run of rejects. The two runs have one key; the rejects are
+    committed first. Raises ``ValueError`` for a bronze column ``broken`` or ``rejected``, ``FileNotFoundError`` without such a bronze run.
+    """
+    src, rows = read_latest(spark, bronze_root, domain, check_day(day), "csv", source_run=source_run)
+    out = check_run(run_ts or run_stamp())
+    taken = {"broken", "rejected"} & {c.lower() for c in rows.columns}
+    if taken:
+        raise ValueError(f"bronze columns {sorted(taken)} have names that rejected rows need")
+    parts = shuffle_partitions_for(spark, run_bytes(spark, bronze_root, domain, src))
+    own = session_with(spark, {"spark.sql.shuffle.partitions": str(parts)})
+    # Two projections: the bit set is used by the partition, the counts and the column
+    judged = read_run(own, bronze_root, domain, src, "csv").withColumn("broken", broken_rules(spec))
+    judged = judged.withColumn("rejected", F.col("broken") != 0)
+    names = list(rules_of(spec))
+    counts = {n: F.count_if(F.col("broken").bitwiseAND(F.lit(1 << i).cast("long")) != 0) for i, n in enumerate(names)}
+    kept_path, found = write_split(judged, rejects_root, domain, out, "rejected",
+                                   {"kept": F.count_if(~F.col("rejected")), "rejected": F.count_if(F.col("rejected")), **counts})
+    kept = own.read.schema(rows.schema).parquet(kept_path) if kept_path else rows.filter(F.lit(False))
+    kept = retype(kept, spec)
+    write_run(kept.dropDuplicates() if spec.dedup else kept, silver_root, domain, out)
+    drop_split(spark, kept_path)
+    log.info("refine: bronze run %s, %d rows kept, %d rejected -> %s", src, found["kept"], found["rejected"], out)
+    return RefineResult(out, found["kept"], found["rejected"], {n: found[n] for n in names})
+
+
 def refine_incremental(
     spark: SparkSession,
     bronze_root: str,

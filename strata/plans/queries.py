@@ -8,14 +8,17 @@ session's checkpoint root first; the returned frame reads what was written.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.refine import APPOINTMENTS, RefineSpec, refine
+from strata.operators.refine import APPOINTMENTS, RefineSpec, refine, rule_names
 from strata.operators.runs import RUN_COLUMN, latest_run, run_of_path
 from strata.functions.rules import date_prefix, int_between_exclusive, not_blank
-from strata.plans.pipeline import LakeRoots, ingest, ingest_landing, promote, publish, refine_incremental, run_pipeline
+from strata.plans.pipeline import (
+    LakeRoots, ingest, ingest_landing, promote, publish, refine_incremental, refine_with_rejects, run_pipeline,
+)
 from strata.plans.views import (
     appointments_view, hourly_runs_view, padded_customers_view, part_ages_view, table,
 )
@@ -286,6 +289,19 @@ def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
         gold.withColumn("copy", F.lit("gold")))
 
 
+def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-1..3, PRJ-1: a bronze run parted in one pass into the rows that the rules keep and those they reject, with the
+    rules each breaks; the kept rows as the silver run has them (no dedup), the rejected ones with their bronze text."""
+    roots = LakeRoots.under(scratch_dir(spark, "rejects"))
+    rejects, spec = f"{roots.silver}_rejects", replace(APPOINTMENTS, dedup=False)
+    write_run(appointments_view(table(spark, sf, "events")), roots.bronze, "pacientes", EARLY_RUN, "csv")
+    refine_with_rejects(spark, roots.bronze, roots.silver, rejects, "pacientes", spec, run_ts=LATE_RUN)
+    kept = read_run(spark, roots.silver, "pacientes", LATE_RUN).withColumn("fecha_turno", F.col("fecha_turno").cast("string"))
+    rejected = read_run(spark, rejects, "pacientes", LATE_RUN)
+    return kept.withColumn("broken", F.lit("")).unionByName(
+        rejected.withColumn("broken", F.array_join(rule_names("broken", spec), ",")))
+
+
 def incremental_refine(spark: SparkSession, sf: str) -> DataFrame:
     """CMP-2, AGG-1, run after run: three bronze runs that share rows, each refined into the rows that no silver run has yet.
     The rows of all silver runs."""
@@ -335,6 +351,7 @@ QUERIES = {
     "landing_many_files": landing_many_files,
     "landing_only_new": landing_only_new,
     "backfill_run": backfill_run,
+    "rejected_rows": rejected_rows,
     "incremental_refine": incremental_refine,
     "raw_to_gold": raw_to_gold,
 }
@@ -420,6 +437,19 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARC
 SELECT *, CASE o_orderstatus WHEN 'P' THEN '{FIRST_RUN}' WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
 FROM ({_ORDERS_TEXT})""",
     "raw_to_gold": _REFINED_APPOINTMENTS,
+    "rejected_rows": f"""
+WITH raw AS ({_APPOINTMENTS_RAW}),
+judged AS (
+  SELECT *, concat_ws(',',
+    CASE WHEN nombre IS NULL OR nombre = '' THEN 'not_blank:nombre' END,
+    CASE WHEN obra_social IS NULL OR obra_social = '' THEN 'not_blank:obra_social' END,
+    CASE WHEN coalesce(trunc(try_cast(edad AS DOUBLE)) > 0 AND trunc(try_cast(edad AS DOUBLE)) < 120, false) THEN NULL
+         ELSE 'int_range:edad:0:120' END,
+    CASE WHEN try_strptime(split_part(fecha_turno, ' ', 1), '%Y-%m-%d') IS NULL THEN 'date:fecha_turno' END) AS broken
+  FROM raw)
+SELECT CAST(event_id AS VARCHAR) AS event_id, nullif(nombre, '') AS nombre, edad, obra_social,  -- bronze has NULL for blank text
+  CASE WHEN broken = '' THEN split_part(fecha_turno, ' ', 1) ELSE fecha_turno END AS fecha_turno, broken
+FROM judged""",
     "incremental_refine": _REFINED_APPOINTMENTS,
     "csv_free_text": """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars,

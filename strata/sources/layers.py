@@ -20,7 +20,7 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -311,6 +311,49 @@ def register_run(spark: SparkSession, root: str, domain: str, run_ts: str, fmt:
     _change(spark, root, domain, lambda m: [_entry(root, domain, run_ts, path, _check_format(fmt), files=files, bytes=size)])
 
 
+def write_split(df: DataFrame, root: str, domain: str, run_ts: str, by: str, counts: dict[str, Column]) -> tuple[str | None, dict[str, int]]:
+    """Write ``df`` once, as Parquet parted by the boolean column ``by``; its true rows become run ``run_ts`` of ``domain``.
+
+    The false rows are left beside it for the caller to read and then give up (``drop_split``): their folder is
+    returned, None where there are none, with the results of ``counts``, aggregated in the same job. The run has the columns of ``df``
+    but ``by``; its files are the ones written, nothing is copied. An existing run of this key is replaced.
+    """
+    spark, base = df.sparkSession, domain_dir(root, domain)
+    name, seen = f"_split-{uuid.uuid4().hex[:12]}", Observation(f"split written to {base}")
+    counted = {f"count {i}": c for i, c in enumerate(counts.values())}
+    whole = df.observe(seen, *[c.alias(k) for k, c in counted.items()], F.count_if(F.col(by)).alias("true rows"))
+    whole.write.partitionBy(by).parquet(f"{base}/{name}")
+    numbers = seen.get
+    there = {v: f"{base}/{name}/{by}={v}" for v in ("true", "false")}
+    for path in list(there.values()):
+        fs, p = _hadoop_fs(spark, path)
+        if not fs.exists(p):
+            there = {v: q for v, q in there.items() if q != path}
+    if "true" in there:
+        path = there["true"]
+        files, size = _files_in(spark, path)
+        old: dict = {}
+
+        def make(m: manifest.Manifest) -> list[dict]:
+            old.update(m.runs.get(run_ts, {}))
+            return [_entry(root, domain, run_ts, path, "parquet", files=files, rows=numbers["true rows"], bytes=size,
+                           schema=_schema_of(df.drop(by), "parquet"))]
+
+        _change(spark, root, domain, make)
+        _forget(spark, root, domain, run_ts)
+        _release(spark, root, domain, run_ts, old)
+    else:
+        write_run(df.filter(F.lit(False)).drop(by), root, domain, run_ts)
+    return there.get("false"), dict(zip(counts, (numbers[k] for k in counted)))
+
+
+def drop_split(spark: SparkSession, path: str | None) -> None:
+    """Delete the folder that ``write_split`` left to its caller."""
+    if path:
+        fs, p = _hadoop_fs(spark, path)
+        fs.delete(p, True)
+
+
 def compact_run(spark: SparkSession, root: str, domain: str, run_ts: str, file_bytes: int = 128 << 20, fmt: str = "parquet") -> int:
     """Rewrite a run as files of about ``file_bytes``, in one job without a shuffle; returns their number.
 
