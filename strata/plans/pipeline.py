@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import logging
 import re
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -24,10 +25,10 @@ from strata.operators.refine import APPOINTMENTS, RefineSpec, broken_rules, refi
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scratch_dir, session_with, shuffle_partitions_for
 from strata.sources.layers import (
-    committed_runs, drop_split, is_state, list_landing, new_files, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
+    committed_runs, drop_split, is_state, lease, list_landing, new_files, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
     run_rows, state_dir, write_run, write_split,
 )
-from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table, to_publishable
+from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table_at, to_publishable
 
 
 log = logging.getLogger("strata")
@@ -120,7 +121,8 @@ def ingest_landing(
                 return False
             paths = [_literal(f) for f in files]
         raw = read_raw_csv(spark, paths)
-        path = write_run(raw, bronze_root, domain, run_ts, "csv", num_files, preserve_whitespace, ledger)
+        path = write_run(raw, bronze_root, domain, run_ts, "csv", num_files, preserve_whitespace,
+                         ledger.guard(run_ts) if ledger else None)
         log.info("ingest: %d file(s) of domain %s -> %s", len(paths) if only_new else len(groups[domain]), domain, path)
         return True
 
@@ -331,6 +333,7 @@ def publish(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     num_files: int | None = None,
     source_run: str | None = None,
+    lease_seconds: float = 6 * 3600,
 ) -> PublishResult:
     """Source run -> backup run + table ``<domain>_diamond`` (if absent).
 
@@ -340,24 +343,34 @@ def publish(
     what the table is then loaded from, so source and ``transform`` run once;
     a CSV backup (``backup_format="csv"``: quoted, see ``write_run``) has no
     types, and the table is loaded from the source. The table goes to
-    ``jdbc`` when given, else to the session catalog, external at
+    ``jdbc`` when given, else to the session catalog, external in a folder of this call's own under
     ``table_path`` (default ``<backup_root>/_tables/<table>``).
+
+    One caller publishes a table at a time: it holds a lease in the backup's run log (``layers.lease``), and others are refused with
+    ``RuntimeError`` before they write. A caller that holds it longer than ``lease_seconds`` may be overtaken; its backup is then
+    refused, and it creates no table once it has seen so. From there on the catalog decides: it takes a name once. Which run the table was loaded from is in the log
+    (``layers.published_run``).
     """
     src, df = read_latest(spark, source_root, domain, check_day(day), source_format, source_run=source_run)
     if transform is not None:
         df = transform(df)
     name = table or f"{domain}{PUBLISHED_TABLE_SUFFIX}"
     backup_run = check_run(run_ts or run_stamp())
-    if backup_format == "csv":
-        path = write_run(to_publishable(df), backup_root, domain, backup_run, "csv_quoted", num_files)
-    else:
-        path = write_run(df, backup_root, domain, backup_run, backup_format, num_files)
-        df = read_run(spark, backup_root, domain, backup_run, backup_format)
-    out = to_publishable(df)
-    if jdbc:
-        created = publish_jdbc(out, jdbc, name)
-    else:
-        created = publish_table(out, name, table_path or f"{backup_root.rstrip('/')}/_tables/{name}")
+    with lease(spark, backup_root, domain, name, lease_seconds) as held:
+        if backup_format == "csv":
+            path = write_run(to_publishable(df), backup_root, domain, backup_run, "csv_quoted", num_files, guard=held.guard)
+        else:
+            path = write_run(df, backup_root, domain, backup_run, backup_format, num_files, guard=held.guard)
+            df = read_run(spark, backup_root, domain, backup_run, backup_format)
+        out = to_publishable(df)
+        held.check()
+        if jdbc:
+            created = publish_jdbc(out, jdbc, name)
+        else:
+            base = (table_path or f"{backup_root.rstrip('/')}/_tables/{name}").rstrip("/")
+            created = publish_table_at(out, name, f"{base}/lease-{held.number}-{uuid.uuid4().hex[:8]}")
+        if created:
+            held.record(backup_run)
     log.info("publish: run %s -> table %s (%s); backup -> %s", src, name,
              "created" if created else "already present, left as is", path)
     return PublishResult(name, created, src, backup_run)

@@ -17,7 +17,10 @@ from __future__ import annotations
 import json
 import logging
 import re
+import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -107,7 +110,7 @@ def write_run(
     fmt: str = "parquet",
     num_files: int | None = None,
     preserve_whitespace: bool = False,
-    ledger: "Ledger | None" = None,
+    guard: Callable[[manifest.Manifest], dict] | None = None,
 ) -> str:
     """Write ``df`` as run ``run_ts`` of ``domain`` in the layer at ``root``.
 
@@ -120,9 +123,9 @@ def write_run(
     survive; an empty text reads back as NULL. The number of rows written is counted
     inside the write job itself (``observe``, no extra scan). The run exists for readers
     from the moment its entry is in the run log. A run that other layers refer to is
-    not overwritten: the new data gets a directory beside it. With a ``ledger`` the run and the files that it
-    was loaded from are committed together, in a directory of this call's own: ``RuntimeError``, and nothing
-    is committed, where the run exists already or another call has committed files in the meantime.
+    not overwritten: the new data gets a directory beside it. With a ``guard`` the data gets a directory of this call's
+    own, and the guard is asked at the very change of the log that commits the run: it raises to refuse the commit, and returns
+    what the run's entry is to hold besides.
     Returns the run's directory.
     """
     spark, path = df.sparkSession, run_dir(root, domain, check_run(run_ts))
@@ -131,7 +134,7 @@ def write_run(
         raise ValueError("num_files must be >= 1")
     log_now = manifest.load(spark, domain_dir(root, domain))
     old = log_now.runs.get(run_ts) if log_now else None
-    if ledger or (log_now and path in log_now.references):
+    if guard or (log_now and path in log_now.references):
         path = f"{domain_dir(root, domain)}/_again-{uuid.uuid4().hex[:8]}/{RUN_COLUMN}={run_ts}"
     elif old and _place(root, domain, old) == path:  # from here to the new entry the run does not exist
         _change(spark, root, domain, lambda m: [{"op": "drop", "run": run_ts}] if m.runs.get(run_ts) == old else [])
@@ -140,17 +143,11 @@ def write_run(
     files, size = _files_in(spark, path)
     entry = _entry(root, domain, run_ts, path, fmt, files=files, rows=rows, bytes=size, schema=_schema_of(df, fmt))
 
-    def commit(m: manifest.Manifest) -> list[dict]:
-        if ledger is None:
-            return [entry]
-        if run_ts in m.runs:
-            raise RuntimeError(f"run {run_ts} of domain {domain!r} exists already")
-        if _ledgers(m) != ledger.before:
-            raise RuntimeError(f"another call has loaded files of domain {domain!r} in the meantime")
-        return [{**entry, "ledger": ledger.path}]
-
-    _change(spark, root, domain, commit)
+    after = _change(spark, root, domain, lambda m: [{**entry, **(guard(m) if guard else {})}])
     _release(spark, root, domain, run_ts, old)
+    if guard and old and not old.get("log") and not old["packed"] and _place(root, domain, old) not in {*after.references, path}:
+        fs, p = _hadoop_fs(spark, _place(root, domain, old))
+        fs.delete(p, True)
     log.info("wrote %s rows to %s", rows, path)
     return path
 
@@ -162,6 +159,18 @@ class Ledger:
     path: str
     before: tuple[str, ...]
 
+    def guard(self, run_ts: str) -> Callable[[manifest.Manifest], dict]:
+        """Commits the files with run ``run_ts``: ``RuntimeError``, and nothing is committed, where the run exists
+        already or another call has committed files in the meantime."""
+        def check(m: manifest.Manifest) -> dict:
+            if run_ts in m.runs:
+                raise RuntimeError(f"run {run_ts} exists already")
+            if _ledgers(m) != self.before:
+                raise RuntimeError(f"another call has loaded files since run {run_ts} chose its own")
+            return {"ledger": self.path}
+
+        return check
+
 
 _LEDGER_SCHEMA = "path string, length long, modificationTime timestamp"
 
@@ -194,6 +203,63 @@ def new_files(spark: SparkSession, root: str, domain: str, patterns: list[str])
     return Ledger(name, before), paths
 
 
+@dataclass(frozen=True)
+class Lease:
+    """The right to publish ``table`` with the run log of one domain; ``number`` rises from holder to holder."""
+
+    spark: SparkSession
+    root: str
+    domain: str
+    table: str
+    number: int
+
+    def guard(self, m: manifest.Manifest) -> dict:
+        """Raises ``RuntimeError`` where the lease has passed to another holder."""
+        if m.leases.get(self.table, {}).get("number") != self.number:
+            raise RuntimeError(f"the lease on {self.table} has passed on from number {self.number}")
+        return {}
+
+    def check(self) -> None:
+        self.guard(manifest.load(self.spark, domain_dir(self.root, self.domain)))
+
+    def record(self, run_ts: str) -> None:
+        """Note that the table was created from run ``run_ts``."""
+        _change(self.spark, self.root, self.domain, lambda m: [
+            {"op": "published", "table": self.table, "run": run_ts, "number": self.number}])
+
+
+@contextmanager
+def lease(spark: SparkSession, root: str, domain: str, table: str, seconds: float) -> Iterator[Lease]:
+    """Hold the lease on publishing ``table`` for as long as the block runs, ``seconds`` at most.
+
+    The lease is a change of the domain's run log, so of two callers at once one gets it; the other is refused with
+    ``RuntimeError``. A holder that died gives way after ``seconds``. One that
+    lives on beyond that is not stopped, but what it commits with ``Lease.guard`` is refused once another has the lease.
+    """
+    got: dict = {}
+
+    def take(m: manifest.Manifest) -> list[dict]:
+        held = m.leases.get(table)
+        if held and held["until"] > time.time():
+            raise RuntimeError(f"{table} is being published by the holder of lease {held['number']}")
+        got["number"] = m.version + 1
+        return [{"op": "lease", "table": table, "number": got["number"], "until": time.time() + seconds}]
+
+    _change(spark, root, domain, take)
+    mine = Lease(spark, root, domain, table, got["number"])
+    try:
+        yield mine
+    finally:
+        _change(spark, root, domain, lambda m: [{"op": "end", "table": table, "number": mine.number}]
+                if m.leases.get(table, {}).get("number") == mine.number else [])
+
+
+def published_run(spark: SparkSession, root: str, domain: str, table: str) -> str | None:
+    """The backup run that ``publish`` created ``table`` from; None where the run log does not know."""
+    state = manifest.load(spark, domain_dir(root, domain))
+    return state.published.get(table, {}).get("run") if state else None
+
+
 def _forget(spark: SparkSession, root: str, domain: str, run_ts: str) -> None:
     """Delete the state of a run that is about to change."""
     fs, p = _hadoop_fs(spark, f"{state_dir(root, domain)}/{RUN_COLUMN}={run_ts}")

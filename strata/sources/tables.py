@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +65,19 @@ def publish_table(
     return mode != "ignore" or not existed
 
 
+def publish_table_at(df: DataFrame, name: str, path: str) -> bool:
+    """``publish_table`` where others may create the table at the same time. ``path`` is this call's own; returns
+    True if the table lies there, so of several callers exactly one gets True: the catalog takes a name once."""
+    spark = df.sparkSession
+    try:
+        publish_table(df, name, path)
+    except AnalysisException:
+        if not spark.catalog.tableExists(name):
+            raise
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    return place is not None and place.data_type.rstrip("/").endswith("/" + path.rstrip("/").rpartition("/")[2])
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     """Where a JDBC publish goes. ``properties`` holds user, password, driver, ...

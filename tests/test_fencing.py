@@ -1,0 +1,135 @@
+"""Two publishers of one table: one wins, the other is refused, and the table is what the winner's backup holds."""
+
+import threading
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.plans import pipeline
+from strata.plans.pipeline import publish
+from strata.sources import manifest
+from strata.sources.layers import committed_runs, domain_dir, lease, published_run, read_run, write_run
+from strata.sources.tables import publish_table_at
+
+SOURCE, RUNS = "202505140900", ["202505151030", "202505151045", "202505160000"]
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    roots, name = (str(tmp_path / "diamond"), str(tmp_path / "gold")), f"p_{uuid.uuid4().hex[:8]}"
+    write_run(spark.range(20), roots[0], "p", SOURCE)
+
+    def call(run, value, **more):
+        return publish(spark, *roots, "p", table=name, run_ts=run, transform=lambda df: df.withColumn("v", F.lit(value)), **more)
+
+    return roots[1], name, call
+
+
+def values(df):
+    return {r.v for r in df.select("v").distinct().collect()}
+
+
+def test_a_second_publisher_is_refused_while_one_is_at_work(spark, lake, monkeypatch):
+    gold, name, call = lake
+    inside, go, real = threading.Event(), threading.Event(), pipeline.publish_table_at
+
+    def slow(*args):
+        inside.set()
+        assert go.wait(60)
+        return real(*args)
+
+    monkeypatch.setattr(pipeline, "publish_table_at", slow)
+    with ThreadPoolExecutor(1) as pool:
+        first = pool.submit(call, RUNS[0], 1)
+        assert inside.wait(60)
+        with pytest.raises(RuntimeError, match="being published"):
+            call(RUNS[1], 2)
+        go.set()
+        assert first.result().created
+    assert committed_runs(spark, gold, "p") == [RUNS[0]] and published_run(spark, gold, "p", name) == RUNS[0]
+    assert values(spark.table(name)) == values(read_run(spark, gold, "p", RUNS[0])) == {1}
+    assert not call(RUNS[1], 2).created  # the lease is free again; the table is there
+    assert values(spark.table(name)) == {1} and published_run(spark, gold, "p", name) == RUNS[0]
+
+
+def test_publishers_at_once_agree(spark, lake):
+    gold, name, call = lake
+    with ThreadPoolExecutor(3) as pool:
+        calls = [pool.submit(call, run, i) for i, run in enumerate(RUNS)]
+    done = [f.result() for f in calls if not f.exception()]
+    assert all(isinstance(f.exception(), RuntimeError) for f in calls if f.exception())
+    winner, = [r.backup_run for r in done if r.created]
+    assert published_run(spark, gold, "p", name) == winner
+    assert sorted(committed_runs(spark, gold, "p")) == sorted(r.backup_run for r in done)
+    assert values(spark.table(name)) == values(read_run(spark, gold, "p", winner)) == {RUNS.index(winner)}
+
+
+@pytest.mark.parametrize("key", RUNS[:2], ids=["same run key", "another run key"])
+def test_a_publisher_that_was_overtaken_commits_nothing(spark, lake, key):
+    gold, name, call = lake
+
+    def overtaken(df):  # while the slow publisher still reads, its lease runs out and another takes over
+        assert call(key, 2).created
+        return df.withColumn("v", F.lit(1))
+
+    def slow():
+        real = pipeline.write_run
+
+        def late(*args, **more):
+            pipeline.write_run = real
+            overtaken(args[0])
+            return real(*args, **more)
+
+        pipeline.write_run = late
+        try:
+            call(RUNS[0], 1, lease_seconds=0)
+        finally:
+            pipeline.write_run = real
+
+    with pytest.raises(RuntimeError, match="passed on"):
+        slow()
+    assert committed_runs(spark, gold, "p") == [key] and published_run(spark, gold, "p", name) == key
+    assert values(spark.table(name)) == values(read_run(spark, gold, "p", key)) == {2}
+
+
+def test_a_failed_publisher_gives_the_lease_back(spark, lake, monkeypatch):
+    gold, name, call = lake
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "publish_table_at", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            call(RUNS[0], 1)
+    assert manifest.load(spark, domain_dir(gold, "p")).leases == {}
+    assert call(RUNS[0], 2).created and values(spark.table(name)) == {2} == values(read_run(spark, gold, "p", RUNS[0]))
+
+
+def test_a_dead_holder_gives_way_and_numbers_rise(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    numbers = []
+    for _ in range(3):
+        holder = lease(spark, root, "p", "t", -1)
+        numbers.append(holder.__enter__().number)  # never left: its process died
+    assert numbers == sorted(set(numbers))
+    with lease(spark, root, "p", "t", 60) as held, lease(spark, root, "p", "other", 60):
+        held.check()
+        with pytest.raises(RuntimeError, match="being published"):
+            lease(spark, root, "p", "t", 60).__enter__()
+
+
+def test_leases_survive_a_checkpoint(spark, tmp_path):
+    root = str(tmp_path / "gold")
+    with lease(spark, root, "p", "t", 600) as held:
+        for i in range(manifest.CHECKPOINT_EVERY):
+            held.record(RUNS[0])
+        folder = domain_dir(root, "p")
+        state = manifest.load(spark, folder)
+        assert any(p.suffix == ".checkpoint" for p in (tmp_path / "gold" / "LOCAL_P" / "_log").iterdir())
+        assert state.leases["t"]["number"] == held.number and state.published["t"]["run"] == RUNS[0]
+
+
+def test_the_catalog_takes_a_name_once(spark, tmp_path):
+    name = f"once_{uuid.uuid4().hex[:8]}"
+    with ThreadPoolExecutor(3) as pool:
+        got = list(pool.map(lambda i: publish_table_at(spark.range(5).withColumn("v", F.lit(i)), name, str(tmp_path / f"t{i}")), range(3)))
+    assert sum(got) == 1 and values(spark.table(name)) == {got.index(True)} and spark.table(name).count() == 5

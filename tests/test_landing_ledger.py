@@ -94,8 +94,9 @@ def test_a_call_is_refused_when_another_has_committed_since_it_listed(spark, lan
     ledger, files = new_files(spark, bronze, "a", [f"{folder}/a_*"])
     assert len(files) == 1
     call(RUNS[0])
-    with pytest.raises(RuntimeError, match="meantime"):
-        layers.write_run(spark.createDataFrame([("1",)], "x string"), bronze, "a", RUNS[1], "csv", ledger=ledger)
+    with pytest.raises(RuntimeError, match="another call"):
+        layers.write_run(spark.createDataFrame([("1",)], "x string"), bronze, "a", RUNS[1], "csv",
+                         guard=ledger.guard(RUNS[1]))
     assert values() == ["1"]
 
 
