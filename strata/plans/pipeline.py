@@ -10,7 +10,6 @@ only. The driver handles paths and run keys, never rows.
 from __future__ import annotations
 
 import logging
-import re
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -25,8 +24,8 @@ from strata.operators.refine import APPOINTMENTS, RefineSpec, broken_rules, refi
 from strata.operators.runs import check_day, check_run, domain_of, run_stamp
 from strata.session import DEDUP_INPUT_BYTES_PER_PARTITION, scratch_dir, session_with, shuffle_partitions_for
 from strata.sources.layers import (
-    committed_runs, drop_split, is_state, lease, list_landing, new_files, read_latest, read_layer, read_raw_csv, read_run, refer_run, resolve_run, run_bytes,
-    run_rows, state_dir, write_run, write_split,
+    committed_runs, drop_split, is_state, lease, list_landing, literal_path, new_files, read_latest, read_layer,
+    read_raw_csv, read_run, refer_run, resolve_run, run_bytes, run_rows, state_dir, write_run, write_split,
 )
 from strata.sources.tables import JdbcTarget, publish_jdbc, publish_table_at, to_publishable
 
@@ -119,7 +118,7 @@ def ingest_landing(
             ledger, files = new_files(spark, bronze_root, domain, paths)
             if not files:
                 return False
-            paths = [_literal(f) for f in files]
+            paths = [literal_path(f) for f in files]
         raw = read_raw_csv(spark, paths)
         path = write_run(raw, bronze_root, domain, run_ts, "csv", num_files, preserve_whitespace,
                          ledger.guard(run_ts) if ledger else None)
@@ -134,10 +133,6 @@ def ingest_landing(
     return {d: run_ts for d in groups if futures[d].result()}
 
 
-def _literal(path: str) -> str:
-    """A glob pattern that matches ``path`` alone."""
-    return re.sub(r"([][{}*?^,\\])", r"\\\1", path)
-
 
 def _patterns(paths: list[str]) -> list[str]:
     """Glob patterns that match exactly ``paths``, entries of one domain in a folder without
@@ -148,7 +143,7 @@ def _patterns(paths: list[str]) -> list[str]:
         stem, sep, _ = name.partition(DOMAIN_NAME_SEPARATOR)
         if not sep:
             stem, sep, _ = name.partition(".")
-        found.add(f"{folder}/{_literal(stem)}{sep}*")
+        found.add(f"{folder}/{literal_path(stem)}{sep}*")
     return sorted(found)
 
 

@@ -7,7 +7,9 @@ session's checkpoint root first; the returned frame reads what was written.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +26,11 @@ from strata.plans.views import (
 )
 from strata.session import scratch_dir
 from strata.sources.layers import (
-    compact_run, domain_dir, read_latest, read_layer, read_run, resolve_run, run_bytes, run_dir, write_run, write_runs,
+    compact_run, domain_dir, published_run, read_latest, read_layer, read_run, resolve_run, run_bytes, run_dir, write_run, write_runs,
 )
 from strata.sources.legacy import adopt_legacy_backups, adopt_legacy_runs
 from strata.sources.tables import publish_table, publishable_column, to_publishable
+from strata.sources.zones import build_zones, read_between
 
 DAY = "20240110"
 FIRST_RUN = "202412311800"
@@ -289,6 +292,40 @@ def backfill_run(spark: SparkSession, sf: str) -> DataFrame:
         gold.withColumn("copy", F.lit("gold")))
 
 
+def zone_pruned_range(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-2, FLT-3 over SRC-2: ranges of parsed numbers and dates in a CSV run, read by its zone map; all rows in
+    range, and whether files were left out."""
+    root = scratch_dir(spark, "zones")
+    by_day = table(spark, sf, "orders").repartitionByRange(16, "o_orderdate")
+    write_run(by_day, root, "orders", EARLY_RUN, "csv")
+    build_zones(spark, root, "orders", EARLY_RUN, "csv", ("o_totalprice",), ("o_orderdate",), date_sep="T")
+    rows = read_between(spark, root, "orders", EARLY_RUN, "csv", {"o_totalprice": (100_000, 400_000)},
+                        {"o_orderdate": (dt.date(1996, 1, 1), dt.date(1997, 6, 30))}, date_sep="T")
+    fewer = len(rows.inputFiles()) < len(read_run(spark, root, "orders", EARLY_RUN, "csv").inputFiles())
+    return rows.withColumn("fewer_files", F.lit(fewer))
+
+
+def publishers_at_once(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-6, CMP-4: two publishers of one table at once, with different rows. The table's rows, whether they are those of the backup run that
+    the run log names, and how many of the two created it."""
+    roots = LakeRoots.under(scratch_dir(spark, "at_once"))
+    write_run(table(spark, sf, "orders"), roots.silver, "orders", FIRST_RUN)
+    name = f"orders_diamond_{uuid.uuid4().hex[:12]}"
+
+    def one(run: str) -> bool:
+        try:
+            return publish(spark, roots.silver, roots.gold, "orders", table=name, run_ts=run,
+                           transform=lambda df: df.withColumn("publisher", F.lit(run))).created
+        except RuntimeError:  # refused: the other one is at work
+            return False
+
+    with ThreadPoolExecutor(2) as pool:
+        created = sum(pool.map(one, (EARLY_RUN, LATE_RUN)))
+    backup = published_run(spark, roots.gold, "orders", name)
+    return (spark.table(name).withColumn("is_backup", F.col("publisher") == F.lit(backup)).drop("publisher")
+            .withColumn("created", F.lit(created)))
+
+
 def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     """FLT-1..3, PRJ-1: a bronze run parted in one pass into the rows that the rules keep and those they reject, with the
     rules each breaks; the kept rows as the silver run has them (no dedup), the rejected ones with their bronze text."""
@@ -352,6 +389,8 @@ QUERIES = {
     "landing_only_new": landing_only_new,
     "backfill_run": backfill_run,
     "rejected_rows": rejected_rows,
+    "zone_pruned_range": zone_pruned_range,
+    "publishers_at_once": publishers_at_once,
     "incremental_refine": incremental_refine,
     "raw_to_gold": raw_to_gold,
 }
@@ -437,6 +476,11 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARC
 SELECT *, CASE o_orderstatus WHEN 'P' THEN '{FIRST_RUN}' WHEN 'F' THEN '{EARLY_RUN}' ELSE '{LATE_RUN}' END AS run_ts
 FROM ({_ORDERS_TEXT})""",
     "raw_to_gold": _REFINED_APPOINTMENTS,
+    "zone_pruned_range": f"""
+SELECT *, true AS fewer_files FROM ({_ORDERS_TEXT})
+WHERE trunc(CAST(o_totalprice AS DOUBLE)) > 100000 AND trunc(CAST(o_totalprice AS DOUBLE)) < 400000
+  AND CAST(split_part(o_orderdate, 'T', 1) AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'""",
+    "publishers_at_once": "SELECT *, true AS is_backup, 1 AS created FROM orders",
     "rejected_rows": f"""
 WITH raw AS ({_APPOINTMENTS_RAW}),
 judged AS (

@@ -60,7 +60,7 @@ def _reader(spark: SparkSession, fmt: str):
     return spark.read.format(fmt)
 
 
-def load_files(spark: SparkSession, fmt: str, path: str, schema: T.StructType | None = None) -> DataFrame:
+def load_files(spark: SparkSession, fmt: str, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     """The rows of one run's files, with ``schema`` where it is known; large files are read by many tasks."""
     if _check_format(fmt) == "csv_quoted":
         return read_quoted_csv(spark, path, schema.names if schema else None)
@@ -652,6 +652,11 @@ def _run_complete(fs, path, need_marker: bool) -> bool:
     return has_part and not need_marker
 
 
+def literal_path(path: str) -> str:
+    """A glob pattern that matches ``path`` alone."""
+    return re.sub(r"([][{}*?^,\\])", r"\\\1", path)
+
+
 def list_landing(spark: SparkSession, landing: str) -> list[str]:
     """CSV entries of a landing folder (files, plain or compressed, or folders
     of part files; any letter case), as full paths, sorted. Hidden entries
@@ -694,10 +699,28 @@ def state_dir(root: str, domain: str) -> str:
 
 def is_state(spark: SparkSession, path: str) -> bool:
     """Whether the state of a run is complete: its filter, which is written last, is committed."""
-    fs, p = _hadoop_fs(spark, f"{path}/kind=bloom/_SUCCESS")
+    return state_is_written(spark, f"{path}/kind=bloom")
+
+
+def state_is_written(spark: SparkSession, path: str) -> bool:
+    """Whether one kind of state of a run is committed."""
+    fs, p = _hadoop_fs(spark, f"{path}/_SUCCESS")
     return fs.exists(p)
 
 
+def run_files_of(spark: SparkSession, root: str, domain: str, run_ts: str) -> str:
+    """The directory that holds a committed run's files, and those of no other run.
+
+    Raises ``FileNotFoundError`` without such a run, ``ValueError`` where it shares its files (``write_runs(packed=True)``).
+    """
+    entry = _entries(spark, root, domain).get(check_run(run_ts))
+    if entry is None:
+        raise FileNotFoundError(f"no committed run {run_ts} of domain {domain!r} under {domain_dir(root, domain)}")
+    if entry["packed"]:
+        raise ValueError(f"run {run_ts} shares its files with other runs")
+    return _place(root, domain, entry)
+
+
 def list_runs(spark: SparkSession, root: str, domain: str, day: str | None = None) -> list[str]:
     """Run keys of ``domain`` (of ``day`` when given), newest first: those in the run log and those with a directory.
 

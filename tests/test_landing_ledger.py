@@ -34,7 +34,7 @@ def test_each_call_loads_only_new_files(spark, landing):
     put("a_1.csv", 1, 2)
     put("b_1.csv", 9)
     assert call(RUNS[0]) == {"a": RUNS[0], "b": RUNS[0]}
-    put("a_2[x]{y}.csv", 3)  # characters with a meaning in patterns
+    put("a_2 +[x]{y}%20.csv", 3)  # characters with a meaning in patterns
     put("A_3.CSV", 4)
     assert call(RUNS[1]) == {"a": RUNS[1]}
     assert [r.x for r in read_run(spark, bronze, "a", RUNS[1], "csv").orderBy("x").collect()] == ["3", "4"]
