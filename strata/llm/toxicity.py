@@ -3,7 +3,8 @@
 The lexicon holds words and word beginnings (``stem*``) that the labels mark as
 toxic. All its terms form one trie; the Levenshtein automata of the terms are run
 on the trie at once, as a deterministic automaton whose states are sets of
-(trie node, edits so far) and whose transitions are built when first needed.
+(trie node, edits so far, letter still to come) and whose transitions are built when first needed.
+An edit is a letter left out, put in or replaced, or two neighbours in turned order.
 A word that the automaton accepts is a hit with its number of edits. A
 misspelled hit weighs as much as the term, unless clean documents hold
 words that near to it by chance: then only as much as these allow.
@@ -34,7 +35,7 @@ LEXICON = 2000           # terms kept at most, the strongest first
 MIN_SUPPORT = 5          # toxic documents of the sample that hold a term
 MIN_RATIO = 8.0          # how much more frequent a term is in toxic documents
 STEMS = (4, 5, 6)        # lengths of word beginnings
-EDIT_LENGTH = 5          # words from this length on may differ by one edit
+EDIT_LENGTHS = (4, 8)    # words from the first length on may differ by one edit, from the second on by two
 CONTEXT = 60             # characters before and after a hit in which quotation is looked for
 MAX_WORDS = 500_000      # words whose result a worker keeps
 THRESHOLD = 0.3
@@ -48,20 +49,24 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def edits_allowed(term: str) -> int:
+    """How many edits a whole word may be away from a term."""
+    return sum(len(term) >= n for n in EDIT_LENGTHS)
+
+
 class Lexicon:
-    """Weighted terms, and the automaton that finds them with at most one edit.
+    """Weighted terms, and the automaton that finds them with as many edits as ``edits_allowed``.
 
-    ``near``: term -> weight of a word one edit away, where it differs from the term's.
+    ``near``: (term, edits), or a term for any number of edits -> weight of a word that far away, where it differs from the term's.
     """
 
-    def __init__(self, terms: dict[str, float], near: dict[str, float] | None = None):
-        self.near_weight = {t: (near or {}).get(t, w) for t, w in terms.items()}
+    def __init__(self, terms: dict[str, float], near: dict | None = None):
+        self.weights, self.near = terms, near or {}
         self.words: dict[int, str] = {}      # node -> whole word
         self.children: list[dict[str, int]] = [{}]
         self.ends: dict[int, float] = {}     # node -> weight of a whole word
         self.stems: dict[int, float] = {}    # node -> weight of a word beginning
-        self.edits: dict[int, int] = {}      # node of a whole word -> edits allowed
-        self.near: list[bool] = [False]      # node -> whether a word that allows an edit lies below
+        self.room: list[int] = [0]           # node -> most edits that a word here or below allows
         for term, weight in terms.items():
             stem = term.endswith("*")
             node, path = 0, [0]
@@ -69,28 +74,33 @@ class Lexicon:
                 node = self.children[node].setdefault(c, len(self.children))
                 if node == len(self.children):
                     self.children.append({})
-                    self.near.append(False)
+                    self.room.append(0)
                 path.append(node)
             if stem:
                 self.stems[node] = weight
             else:
                 self.ends[node] = weight
                 self.words[node] = term
-                self.edits[node] = int(len(term) >= EDIT_LENGTH)
-                if self.edits[node]:
-                    for p in path:
-                        self.near[p] = True
+                for p in path:
+                    self.room[p] = max(self.room[p], edits_allowed(term))
         self.states: dict[tuple, int] = {}
         self.sets: list[frozenset] = []
         self.found: list[float] = []               # state -> weight of a stem met on the way
         self.moves: list[dict[str, int]] = []
-        self.start = self._state(self._closed({(0, 0)}), 0.0)
+        self.start = self._state(self._closed({(0, ""): 0}), 0.0)
         self.known: dict[str, tuple[float, str, int]] = {}
 
-    def _closed(self, places: set[tuple[int, int]]) -> frozenset:
-        """Also the places reached by leaving out a letter of the term."""
-        more = {(n, 1) for node, e in places if e == 0 for n in self.children[node].values() if self.near[n]}
-        return frozenset(places | more)
+    def _closed(self, places: dict[tuple[int, str], int]) -> frozenset:
+        """Also the places reached by leaving out letters of the term; each with its fewest edits."""
+        new = list(places.items())
+        while new:
+            (n, due), e = new.pop()
+            if not due and e <= places[n, due]:
+                for k in self.children[n].values():
+                    if e < self.room[k] and e + 1 < places.get((k, ""), 99):
+                        places[k, ""] = e + 1
+                        new.append(((k, ""), e + 1))
+        return frozenset((n, e, due) for (n, due), e in places.items())
 
     def _state(self, places: frozenset, stem: float) -> int:
         key = (places, stem)
@@ -102,14 +112,38 @@ class Lexicon:
         return self.states[key]
 
     def _step(self, state: int, c: str) -> int:
-        exact = {(self.children[n][c], e) for n, e in self.sets[state] if c in self.children[n]}
-        edited = {(m, 1) for n, e in self.sets[state] if e == 0 and self.near[n]
-                  for m in (n, *(k for k in self.children[n].values() if self.near[k]))}
-        stem = max((self.stems.get(n, 0.0) for n, e in exact if e == 0), default=0.0)
-        after = self._state(self._closed(exact | edited), max(stem, self.found[state]))
+        places: dict[tuple[int, str], int] = {}
+        stem = self.found[state]
+
+        def reach(n: int, due: str, e: int) -> None:
+            if e <= self.room[n] or not e:
+                places[n, due] = min(e, places.get((n, due), e))
+
+        for n, e, due in self.sets[state]:
+            if due:  # the second of two letters in turned order
+                if due == c:
+                    reach(n, "", e)
+                continue
+            below = self.children[n]
+            if c in below:
+                reach(below[c], "", e)
+                if e == 0:
+                    stem = max(stem, self.stems.get(below[c], 0.0))
+            if e < self.room[n]:
+                reach(n, "", e + 1)
+                for letter, k in below.items():
+                    if letter != c:
+                        reach(k, "", e + 1)
+                        if c in self.children[k]:
+                            reach(self.children[k][c], letter, e + 1)
+        after = self._state(self._closed(places), stem)
         self.moves[state][c] = after
         return after
 
+    def weight(self, term: str, edits: int) -> float:
+        own = self.weights[term]
+        return self.near.get((term, edits), self.near.get(term, own)) if edits else own
+
     def look_up(self, word: str) -> tuple[float, str, int]:
         """(weight, whole word, edits) of the best term for a word; weight 0 where there is none,
         and no whole word where it is a word beginning."""
@@ -122,10 +156,10 @@ class Lexicon:
             if not self.sets[state]:
                 break
         best = (self.found[state], "", 0)
-        for node, e in self.sets[state]:
-            if node in self.ends and e <= self.edits[node]:
-                term = self.words[node]
-                best = max(best, (self.near_weight[term] if e else self.ends[node], term, e), key=lambda b: (b[0], -b[2], b[1]))
+        for node, e, due in self.sets[state]:
+            term = self.words.get(node)
+            if term is not None and not due and e <= edits_allowed(term):
+                best = max(best, (self.weight(term, e), term, e), key=lambda b: (b[0], -b[2], b[1]))
         if len(self.known) >= MAX_WORDS:
             self.known.clear()
         self.known[word] = best
@@ -168,7 +202,7 @@ class Model:
     """A lexicon and the weights of the logistic model (the last one is the constant)."""
 
     terms: dict[str, float] = field(default_factory=dict)
-    near: dict[str, float] = field(default_factory=dict)
+    near: dict[tuple[str, int], float] = field(default_factory=dict)
     weights: list[float] = field(default_factory=lambda: [0.0] * (FEATURES + 1))
 
     def scores(self, lexicon: Lexicon, texts: list[str | None]) -> list[float]:
@@ -209,16 +243,19 @@ def _lexicon(sample: DataFrame, totals: dict[int, int]) -> dict[str, float]:
     return {r.term: math.log(r.ratio) for r in top}
 
 
-def _near_weights(sample: DataFrame, terms: dict[str, float], clean: int) -> dict[str, float]:
-    """Term -> weight of a word one edit away: the term's, or less where clean documents hold such words."""
+def _near_weights(sample: DataFrame, terms: dict[str, float], clean: int) -> dict[tuple[str, int], float]:
+    """(term, edits) -> weight of a word that many edits away: the term's, or less where clean documents hold such words."""
+    kind = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("edits", T.IntegerType())]))
+
     def misspelled(texts: pa.Array) -> pa.Array:
         lexicon = Lexicon(terms)
-        found = [{term for _, term, edits in map(lexicon.look_up, set(words(t or ""))) if edits} for t in texts.to_pylist()]
-        return pa.array([sorted(f) for f in found], pa.list_(pa.string()))
+        found = [{(term, edits) for _, term, edits in map(lexicon.look_up, set(words(t or ""))) if edits} for t in texts.to_pylist()]
+        return pa.array([[{"term": term, "edits": edits} for term, edits in sorted(f)] for f in found],
+                        pa.list_(pa.struct([("term", pa.string()), ("edits", pa.int32())])))
 
-    seen = sample.filter("toxic = 0").select(F.explode(F.arrow_udf(misspelled, T.ArrayType(T.StringType()))("text")).alias("term"))
-    return {r.term: max(0.0, min(terms[r.term], math.log((clean + 1) / (r["count"] + 1)) - math.log(MIN_RATIO)))
-            for r in seen.groupBy("term").count().collect()}  # a row per term at most
+    seen = sample.filter("toxic = 0").select(F.inline(F.arrow_udf(misspelled, kind)("text")))
+    return {(r.term, r.edits): max(0.0, min(terms[r.term], math.log((clean + 1) / (r["count"] + 1)) - math.log(MIN_RATIO)))
+            for r in seen.groupBy("term", "edits").count().collect()}  # a row per term and number of edits at most
 
 
 def _fit(x: np.ndarray, y: np.ndarray, importance: np.ndarray) -> list[float]:

@@ -421,33 +421,40 @@ def test_toxicity_on_odd_rows(spark, odd_docs, odd_rows, no_docs):
 
 
 def _edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row = row, [i]
-        for j, y in enumerate(b, 1):
-            row.append(min(row[-1] + 1, last[j] + 1, last[j - 1] + (x != y)))
-    return row[-1]
+    """Letters left out, put in, replaced, or two neighbours turned (and not edited further)."""
+    d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (x != y))
+            if i and j and x == b[j - 1] and y == a[i - 1]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a) - 1, len(b) - 1]
 
 
-def test_automaton_accepts_one_edit():
+def test_automaton_accepts_edits():
     import random
 
-    terms = {"idiot": 3.0, "moron": 2.0, "scum": 1.5, "idea": 0.5, "vequ*": 4.0, "morons": 1.0}
-    near = {"moron": 0.25}
+    terms = {"idiot": 3.0, "moron": 2.0, "scum": 1.5, "idea": 0.5, "vequ*": 4.0, "morons": 1.0, "numbskull": 2.5, "numskull": 0.75, "oaf": 1.25}
+    near = {"moron": 0.25, ("numbskull", 2): 0.5}
     lexicon = toxicity.Lexicon(terms, near)
     rnd = random.Random(4)
-    seen = ["idiot", "idiott", "idio", "xdiot", "idoit", "morn", "moronss", "scun", "scum", "vequaire", "veq", "", "idiots", "iidiot"]
-    for _ in range(3000):
+    seen = ["idiot", "idiott", "idio", "xdiot", "idoit", "morn", "moronss", "scun", "scum", "vequaire", "veq", "", "idiots", "iidiot",
+            "scvm", "sccum", "scmu", "mroon", "nmubskull", "nmubskul", "unmbsklul", "oaff", "numsskul"]
+    for _ in range(4000):
         w = list(rnd.choice(list(terms)).rstrip("*"))
-        for _ in range(rnd.randint(0, 2)):
+        for _ in range(rnd.randint(0, 3)):
             at = rnd.randrange(len(w) + 1)
-            w[at:at + rnd.randint(0, 1)] = rnd.choice(["", "a", "o"])
+            if rnd.random() < 0.4 and at + 1 < len(w):
+                w[at], w[at + 1] = w[at + 1], w[at]
+            else:
+                w[at:at + rnd.randint(0, 1)] = rnd.choice(["", "a", "o"])
         seen.append("".join(w))
     for w in seen:
         options = [v for t, v in terms.items() if t.endswith("*") and w.startswith(t[:-1])]
-        options += [near.get(t, v) if e else v for t, v in terms.items() if not t.endswith("*")
-                    for e in [_edits(w, t)] if e <= (len(t) >= 5)]
+        options += [near.get((t, e), near.get(t, v)) if e else v for t, v in terms.items() if not t.endswith("*")
+                    for e in [_edits(w, t)] if e <= (len(t) >= 4) + (len(t) >= 8)]
         assert lexicon.look_up(w)[0] == max(options, default=0.0), w
+    assert all(lexicon.look_up(w)[0] for w in ("scvm", "sccum", "idoit", "mroon", "unmbskulll"))
 
 
 def test_misspelled_abuse_scores_high(spark):
@@ -463,9 +470,10 @@ def test_misspelled_abuse_scores_high(spark):
         rows.append((i, " ".join(body)))
         labels.append((i, int(i % 5 == 0)))
     rows += [(1000, "you are a numbskul and stone water"), (1001, "you are a wretchedd horse"), (1002, "river stone cloud")]
+    rows += [(1003, "you are a nmubskul and stone water"), (1004, "such evrmin under the table")]
     found = {r.id: r.score for r in toxicity.rate(spark.createDataFrame(rows, "doc_id long, text string"),
                                                   spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
-    assert found[1000] >= 0.3 and found[1001] >= 0.3 and found[1002] < 0.3
+    assert all(found[i] >= 0.3 for i in (1000, 1001, 1003, 1004)) and found[1002] < 0.3
 
 
 def test_quotation_counts_apart_from_abuse():
