@@ -87,6 +87,8 @@ class Lexicon:
         self.sets: list[frozenset] = []
         self.found: list[float] = []               # state -> weight of a stem met on the way
         self.moves: list[dict[str, int]] = []
+        self.told: list[set[str] | None] = []      # state -> the letters that its places tell apart
+        self.others: dict[int, int] = {}           # state -> state after any other letter
         self.start = self._state(self._closed({(0, ""): 0}), 0.0)
         self.known: dict[str, tuple[float, str, int]] = {}
 
@@ -109,9 +111,33 @@ class Lexicon:
             self.sets.append(places)
             self.found.append(stem)
             self.moves.append({})
+            self.told.append(None)
         return self.states[key]
 
+    def _told(self, state: int) -> set[str]:
+        letters: set[str] = set()
+        for n, e, due in self.sets[state]:
+            if due:
+                letters.add(due)
+                continue
+            letters.update(self.children[n])
+            if e < self.room[n]:  # a letter that may come one too early
+                for k in self.children[n].values():
+                    letters.update(self.children[k])
+        return letters
+
     def _step(self, state: int, c: str) -> int:
+        told = self.told[state]
+        if told is None:
+            told = self.told[state] = self._told(state)
+        if c in told:
+            after = self.moves[state][c] = self._after(state, c)
+            return after
+        if state not in self.others:
+            self.others[state] = self._after(state, c)
+        return self.others[state]
+
+    def _after(self, state: int, c: str) -> int:
         places: dict[tuple[int, str], int] = {}
         stem = self.found[state]
 
@@ -136,9 +162,7 @@ class Lexicon:
                         reach(k, "", e + 1)
                         if c in self.children[k]:
                             reach(self.children[k][c], letter, e + 1)
-        after = self._state(self._closed(places), stem)
-        self.moves[state][c] = after
-        return after
+        return self._state(self._closed(places), stem)
 
     def weight(self, term: str, edits: int) -> float:
         own = self.weights[term]
