@@ -19,8 +19,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,16 @@ MIN_SUPPORT = 5          # toxic documents of the sample that hold a term
 MIN_RATIO = 8.0          # how much more frequent a term is in toxic documents
 STEMS = (4, 5, 6)        # lengths of word beginnings
 EDIT_LENGTHS = (4, 8)    # words from the first length on may differ by one edit, from the second on by two
+FEW = 12                 # different hits of a text up to which each is searched for by itself
 CONTEXT = 60             # characters before and after a hit in which quotation is looked for
 MAX_WORDS = 500_000      # words whose result a worker keeps
+MAX_STATES = 200_000     # states of the automaton that a worker keeps; they can be built again
 THRESHOLD = 0.3
 HASH_RANGE = 1 << 40
 
 _WORD = re.compile(r"[^\W_]+")
 _OPEN, _CLOSE = "“«‹„", "”»›"
+_NOTHING = (0.0, "", 0)
 
 
 def words(text: str) -> list[str]:
@@ -83,6 +87,11 @@ class Lexicon:
                 self.words[node] = term
                 for p in path:
                     self.room[p] = max(self.room[p], edits_allowed(term))
+        self._clear()
+        self.hits: dict[str, tuple[float, str, int]] = {}  # words looked up: those near a term, and the others
+        self.clean: set[str] = set()
+
+    def _clear(self) -> None:
         self.states: dict[tuple, int] = {}
         self.sets: list[frozenset] = []
         self.found: list[float] = []               # state -> weight of a stem met on the way
@@ -90,7 +99,6 @@ class Lexicon:
         self.told: list[set[str] | None] = []      # state -> the letters that its places tell apart
         self.others: dict[int, int] = {}           # state -> state after any other letter
         self.start = self._state(self._closed({(0, ""): 0}), 0.0)
-        self.known: dict[str, tuple[float, str, int]] = {}
 
     def _closed(self, places: dict[tuple[int, str], int]) -> frozenset:
         """Also the places reached by leaving out letters of the term; each with its fewest edits."""
@@ -135,7 +143,8 @@ class Lexicon:
             return after
         if state not in self.others:
             self.others[state] = self._after(state, c)
-        return self.others[state]
+        after = self.moves[state][c] = self.others[state]
+        return after
 
     def _after(self, state: int, c: str) -> int:
         places: dict[tuple[int, str], int] = {}
@@ -171,24 +180,43 @@ class Lexicon:
     def look_up(self, word: str) -> tuple[float, str, int]:
         """(weight, whole word, edits) of the best term for a word; weight 0 where there is none,
         and no whole word where it is a word beginning."""
-        if word in self.known:
-            return self.known[word]
-        state = self.start
+        if word in self.clean:
+            return _NOTHING
+        if word in self.hits:
+            return self.hits[word]
+        if len(self.sets) > MAX_STATES:
+            self._clear()
+        if len(self.hits) + len(self.clean) >= MAX_WORDS:
+            self.hits.clear()
+            self.clean.clear()
+        moves, sets, state = self.moves, self.sets, self.start
         for c in word:
-            after = self.moves[state].get(c)
+            after = moves[state].get(c)
             state = self._step(state, c) if after is None else after
-            if not self.sets[state]:
+            if not sets[state]:
                 break
         best = (self.found[state], "", 0)
-        for node, e, due in self.sets[state]:
+        for node, e, due in sets[state]:
             term = self.words.get(node)
             if term is not None and not due and e <= edits_allowed(term):
                 best = max(best, (self.weight(term, e), term, e), key=lambda b: (b[0], -b[2], b[1]))
-        if len(self.known) >= MAX_WORDS:
-            self.known.clear()
-        self.known[word] = best
+        if best == _NOTHING:
+            self.clean.add(word)
+        else:
+            self.hits[word] = best
         return best
 
+    def weights_in(self, found: set[str]) -> dict[str, float]:
+        """The words of a set that weigh something, with their weights."""
+        weights = {w: self.look_up(w)[0] for w in found - self.clean}
+        return {w: weight for w, weight in weights.items() if weight > 0}
+
+
+@lru_cache(maxsize=1)
+def _compiled(terms: tuple, near: tuple) -> Lexicon:
+    """One automaton per worker process: later tasks find its states and words already built."""
+    return Lexicon(dict(terms), dict(near))
+
 
 def _quoted(text: str, start: int, end: int) -> bool:
     """Whether a place stands inside quotation marks within its context window."""
@@ -201,22 +229,37 @@ def _quoted(text: str, start: int, end: int) -> bool:
     return opened > max(before.rfind(c) for c in _CLOSE) and any(c in after for c in _CLOSE)
 
 
+def _places(text: str, some: Collection[str]) -> list[tuple[int, int]]:
+    """Where a text has words of ``some``, in order. A few words are searched for one by one, more in one pass over all words."""
+    if len(some) > FEW:
+        return [m.span() for m in _WORD.finditer(text) if m.group() in some]
+    found = []
+    for word in some:
+        start = text.find(word)
+        while start >= 0:
+            end = start + len(word)
+            if not _WORD.match(text[end:end + 1]) and not (start and _WORD.match(text[start - 1])):
+                found.append((start, end))
+            start = text.find(word, start + 1)
+    return sorted(found)
+
+
 FEATURES = 6
 
 
 def features(lexicon: Lexicon, text: str | None) -> list[float]:
     """What the score sees of a text: abuse (strongest, sum, different words), quotation (strongest, sum), density."""
-    abuse, quotation, different, n = [], [], set(), 0
+    abuse, quotation, different = [], [], set()
     text = (text or "").lower()
-    for m in _WORD.finditer(text):
-        n += 1
-        weight = lexicon.look_up(m.group())[0]
-        if weight > 0:
-            if _quoted(text, *m.span()):
-                quotation.append(weight)
-            else:
-                abuse.append(weight)
-                different.add(m.group())
+    found = _WORD.findall(text)
+    n, hits = len(found), lexicon.weights_in(set(found))
+    for start, end in _places(text, hits):
+        word = text[start:end]
+        if _quoted(text, start, end):
+            quotation.append(hits[word])
+        else:
+            abuse.append(hits[word])
+            different.add(word)
     return [max(abuse, default=0.0), math.log1p(sum(abuse)), math.log1p(len(different)), max(quotation, default=0.0),
             math.log1p(sum(quotation)), math.log1p(100.0 * len(abuse) / max(1, n))]
 
@@ -272,7 +315,7 @@ def _near_weights(sample: DataFrame, terms: dict[str, float], clean: int) -> dic
     kind = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("edits", T.IntegerType())]))
 
     def misspelled(texts: pa.Array) -> pa.Array:
-        lexicon = Lexicon(terms)
+        lexicon = _compiled(tuple(terms.items()), ())
         found = [{(term, edits) for _, term, edits in map(lexicon.look_up, set(words(t or ""))) if edits} for t in texts.to_pylist()]
         return pa.array([[{"term": term, "edits": edits} for term, edits in sorted(f)] for f in found],
                         pa.list_(pa.struct([("term", pa.string()), ("edits", pa.int32())])))
@@ -328,7 +371,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     near = _near_weights(sample, terms, totals[0])
 
     def look(texts: pa.Array) -> pa.Array:
-        lexicon = Lexicon(terms, near)
+        lexicon = _compiled(tuple(terms.items()), tuple(near.items()))
         return pa.array([features(lexicon, t) for t in texts.to_pylist()], pa.list_(pa.float64()))
 
     rated = sample.select("toxic", F.arrow_udf(look, T.ArrayType(T.DoubleType()))("text").alias("x"))
@@ -344,7 +387,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(model: Model, text: str | Column) -> Column:
     """The score of a whole text, 0 to 1; null and empty texts score as texts without hits."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lexicon = Lexicon(model.terms, model.near)
+        lexicon = _compiled(tuple(model.terms.items()), tuple(model.near.items()))
         for texts in batches:
             yield pa.array(model.scores(lexicon, texts.to_pylist()), pa.float64())
 
