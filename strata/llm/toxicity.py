@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
@@ -40,7 +41,7 @@ EDIT_LENGTHS = (4, 8)    # words from the first length on may differ by one edit
 FEW = 12                 # different hits of a text up to which each is searched for by itself
 CONTEXT = 60             # characters before and after a hit in which quotation is looked for
 MAX_WORDS = 500_000      # words whose result a worker keeps
-MAX_STATES = 200_000     # states of the automaton that a worker keeps; they can be built again
+MAX_STATES = 300_000     # states of the automaton that a worker keeps; they can be built again
 THRESHOLD = 0.3
 HASH_RANGE = 1 << 40
 
@@ -92,16 +93,16 @@ class Lexicon:
         self.clean: set[str] = set()
 
     def _clear(self) -> None:
-        self.states: dict[tuple, int] = {}
-        self.sets: list[frozenset] = []
-        self.found: list[float] = []               # state -> weight of a stem met on the way
+        self.states: dict[bytes, int] = {}
+        self.sets: list[bytes] = []                # state -> its places, packed
+        self.stem_of: list[float] = []             # state -> weight of the stem that ends there
         self.moves: list[dict[str, int]] = []
-        self.told: list[set[str] | None] = []      # state -> the letters that its places tell apart
+        self.told: list[str | None] = []           # state -> the letters that its places tell apart
         self.others: dict[int, int] = {}           # state -> state after any other letter
-        self.start = self._state(self._closed({(0, ""): 0}), 0.0)
+        self.start = self._state({(0, ""): 0})
 
-    def _closed(self, places: dict[tuple[int, str], int]) -> frozenset:
-        """Also the places reached by leaving out letters of the term; each with its fewest edits."""
+    def _state(self, places: dict[tuple[int, str], int]) -> int:
+        """The state of these places and of those reached by leaving out letters of the term, each with its fewest edits."""
         new = list(places.items())
         while new:
             (n, due), e = new.pop()
@@ -110,21 +111,21 @@ class Lexicon:
                     if e < self.room[k] and e + 1 < places.get((k, ""), 99):
                         places[k, ""] = e + 1
                         new.append(((k, ""), e + 1))
-        return frozenset((n, e, due) for (n, due), e in places.items())
-
-    def _state(self, places: frozenset, stem: float) -> int:
-        key = (places, stem)
+        key = array("q", sorted(n << 24 | e << 21 | ord(due or "\0") for (n, due), e in places.items())).tobytes()
         if key not in self.states:
             self.states[key] = len(self.sets)
-            self.sets.append(places)
-            self.found.append(stem)
+            self.sets.append(key)
+            self.stem_of.append(max((self.stems.get(n, 0.0) for (n, due), e in places.items() if not e and not due), default=0.0))
             self.moves.append({})
             self.told.append(None)
         return self.states[key]
 
-    def _told(self, state: int) -> set[str]:
+    def _places(self, state: int) -> list[tuple[int, int, str]]:
+        return [(p >> 24, p >> 21 & 7, chr(p & 0x1FFFFF) if p & 0x1FFFFF else "") for p in array("q", self.sets[state])]
+
+    def _told(self, state: int) -> str:
         letters: set[str] = set()
-        for n, e, due in self.sets[state]:
+        for n, e, due in self._places(state):
             if due:
                 letters.add(due)
                 continue
@@ -132,29 +133,29 @@ class Lexicon:
             if e < self.room[n]:  # a letter that may come one too early
                 for k in self.children[n].values():
                     letters.update(self.children[k])
-        return letters
+        return "".join(letters)
 
     def _step(self, state: int, c: str) -> int:
         told = self.told[state]
         if told is None:
             told = self.told[state] = self._told(state)
         if c in told:
-            after = self.moves[state][c] = self._after(state, c)
-            return after
-        if state not in self.others:
-            self.others[state] = self._after(state, c)
-        after = self.moves[state][c] = self.others[state]
+            after = self._after(state, c)
+        else:
+            if state not in self.others:
+                self.others[state] = self._after(state, c)
+            after = self.others[state]
+        self.moves[state][c] = after
         return after
 
     def _after(self, state: int, c: str) -> int:
         places: dict[tuple[int, str], int] = {}
-        stem = self.found[state]
 
         def reach(n: int, due: str, e: int) -> None:
             if e <= self.room[n] or not e:
                 places[n, due] = min(e, places.get((n, due), e))
 
-        for n, e, due in self.sets[state]:
+        for n, e, due in self._places(state):
             if due:  # the second of two letters in turned order
                 if due == c:
                     reach(n, "", e)
@@ -162,8 +163,6 @@ class Lexicon:
             below = self.children[n]
             if c in below:
                 reach(below[c], "", e)
-                if e == 0:
-                    stem = max(stem, self.stems.get(below[c], 0.0))
             if e < self.room[n]:
                 reach(n, "", e + 1)
                 for letter, k in below.items():
@@ -171,7 +170,7 @@ class Lexicon:
                         reach(k, "", e + 1)
                         if c in self.children[k]:
                             reach(self.children[k][c], letter, e + 1)
-        return self._state(self._closed(places), stem)
+        return self._state(places)
 
     def weight(self, term: str, edits: int) -> float:
         own = self.weights[term]
@@ -189,14 +188,16 @@ class Lexicon:
         if len(self.hits) + len(self.clean) >= MAX_WORDS:
             self.hits.clear()
             self.clean.clear()
-        moves, sets, state = self.moves, self.sets, self.start
+        moves, sets, stem_of, state, stem = self.moves, self.sets, self.stem_of, self.start, 0.0
         for c in word:
             after = moves[state].get(c)
             state = self._step(state, c) if after is None else after
+            if stem_of[state] > stem:
+                stem = stem_of[state]
             if not sets[state]:
                 break
-        best = (self.found[state], "", 0)
-        for node, e, due in sets[state]:
+        best = (stem, "", 0)
+        for node, e, due in self._places(state):
             term = self.words.get(node)
             if term is not None and not due and e <= edits_allowed(term):
                 best = max(best, (self.weight(term, e), term, e), key=lambda b: (b[0], -b[2], b[1]))
@@ -253,9 +254,10 @@ def features(lexicon: Lexicon, text: str | None) -> list[float]:
     text = (text or "").lower()
     found = _WORD.findall(text)
     n, hits = len(found), lexicon.weights_in(set(found))
+    marks = any(c in text for c in '"' + _OPEN)
     for start, end in _places(text, hits):
         word = text[start:end]
-        if _quoted(text, start, end):
+        if marks and _quoted(text, start, end):
             quotation.append(hits[word])
         else:
             abuse.append(hits[word])
