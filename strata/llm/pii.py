@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import bound, materialized
 
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_CANDIDATES = 20_000   # expected size of the sample that the trees learn from
-PRECISION = 0.98            # of selected candidates, on the held-out part of the sample
+PRECISION = 0.98            # of selected candidates, on the held-out third of those that are known
 TREES, DEPTH, SEED = 20, 4, 7
 CONTEXT = 24                # characters on either side of a candidate
 
@@ -173,23 +172,21 @@ def _learn(c: DataFrame):
     """(model, threshold) from candidates with ``is_base``, or None where there are not both classes.
 
     A candidate is negative where it fails its checks; valid candidates
-    that are not base spans, what the method may add, are not learned from. The threshold is
-    the lowest score from which the held-out third of the sample has ``PRECISION``.
+    that are not base spans, what the method may add, are not learned from. Every other candidate
+    counts: those that no feature tells apart are one row, with their number as its weight. The
+    threshold is the lowest score from which the held-out third has ``PRECISION``.
     """
     known = c.filter(F.col("is_base") | ~_valid(F.col("kind"), _plain(F.col("kind"), F.col("found"))))
-    n = known.count()
-    place = F.pmod(F.xxhash64("row", "kind", "start"), F.lit(1 << 30))  # copies of a candidate are drawn one by one
-    sample = known.filter(place * n < F.lit(TRAIN_CANDIDATES * (1 << 30))) if n > TRAIN_CANDIDATES else known
-    rated = materialized(_features(sample).withColumn("label", F.col("is_base").cast("double")).withColumn(
-        "calibrates", F.pmod(F.xxhash64("found"), F.lit(3)) == 0).drop("found", "before", "after", "plain"), "pii_sample")
-    rated = _vectors(rated)
-    classes = {r.label: r["count"] for r in rated.filter("not calibrates").groupBy("label").count().collect()}
-    if len(classes) < 2:
+    calibrates = F.pmod(F.xxhash64("found"), F.lit(3)) == 0
+    each = _features(known.withColumn("label", F.col("is_base").cast("double")).withColumn("calibrates", calibrates))
+    alike = ["label", "calibrates", "kind_", *[name for name in _FEATURES if name != "kind"]]
+    rated = _vectors(materialized(each.groupBy(*alike).agg(F.count(F.lit(1)).cast("double").alias("weight")), "pii_known"))
+    if rated.filter("not calibrates").select("label").distinct().count() < 2:
         return None
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(rated.filter("not calibrates"))
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight").fit(rated.filter("not calibrates"))
     scored = model.transform(rated.filter("calibrates")).select(
-        F.floor(vector_to_array("probability")[1] * 100).alias("score"), "label")
-    counts = scored.groupBy("score").agg(F.sum("label").alias("good"), F.count("label").alias("all"))
+        F.floor(vector_to_array("probability")[1] * 100).alias("score"), "label", "weight")
+    counts = scored.groupBy("score").agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("all"))
     good = total = 0.0
     threshold = 1.01
     for row in sorted(counts.collect(), key=lambda r: -r.score):  # 101 scores at most

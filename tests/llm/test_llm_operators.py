@@ -356,6 +356,16 @@ def test_pii_adds_unusual_forms_and_leaves_plain_text(spark):
     assert found[1000].added and not found[1001].added and not found[1001].base
 
 
+def test_pii_learns_from_every_candidate(spark):
+    """50,000 candidates, of which some 100 are base spans; a part of the candidates chosen by this hash has none of them."""
+    late = F.pmod(F.xxhash64("id", F.lit(0), F.lit(0)), F.lit(1 << 30)) >= 1 << 29
+    mail = F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@mail.example.com"))
+    text = F.when(F.col("id") == 7, "joe.doe (at) mail3 (dot) example (dot) com").when(late & (F.col("id") % 256 == 0), mail)
+    rows = spark.range(0, 50_000, 1, 1).select("id", text.otherwise(F.concat(F.lit("300.1.1."), (F.col("id") % 256).cast("string"))).alias("text"))
+    found = pii.find(rows, "id")
+    assert [(r.id, [(s.start, s.kind, s.end) for s in r.added]) for r in found.filter(F.size("added") > 0).collect()] == [(7, [(0, 0, 42)])]
+
+
 # 10 ------------------------------------------------------------------------
 
 def test_language_accuracy_on_held_out(result, docs):
