@@ -25,13 +25,13 @@ from strata.llm.common import fresh, small_batches
 
 UNDETERMINED = "und"
 PROFILE = 300            # n-grams of a profile, and of a document
-TRAIN_PER_LANG = 3000    # expected size of the labelled sample that a profile is learned from
 MAX_LANGUAGES = 8192     # profiles travel to every task: 300 numbers a language, 40 MB at most
 BLOCK = 1 << 20          # symbols whose n-grams are counted at once
-HASH_RANGE = 1 << 40
+LEARN_BYTES = 1 << 20    # text whose n-grams are merged at once
 FOREIGN = 0.9            # share of the texts of an unlearned language that should stay below the threshold
 WRONG = 0.05             # share of labels that may be wrong without moving the threshold far
 CALIBRATION_FOLD = 1     # labelled texts of this fold set the threshold; the profiles are not learned from them
+RANKS = 10_000           # the threshold's quantiles are off by one part in so many of all ranks at most
 PRIOR_ROWS = 10          # labelled texts that weigh as much as the lowest threshold that is given
 BLANK = 32
 
@@ -77,32 +77,25 @@ def _ranked(text: str) -> np.ndarray:
     return grams[np.argsort(-counts, kind="stable")[:PROFILE]]
 
 
-def _training_sample(labelled: DataFrame, lang: str, text: str, key: list[str]) -> DataFrame:
-    """About ``TRAIN_PER_LANG`` rows of each language, chosen by a hash of the row."""
-    sizes = labelled.groupBy(lang).agg(F.count(F.lit(1)).alias("_n"))
-    share = F.ceil(F.lit(float(TRAIN_PER_LANG * HASH_RANGE)) / F.col("_n"))
-    place = F.pmod(F.xxhash64(*key, text), F.lit(HASH_RANGE))
-    # one row a language: MAX_LANGUAGES rows at most
-    return labelled.join(F.broadcast(sizes), lang).filter(place < share).select(lang, text)
+def _labelled(rows: DataFrame, lang_col: str, text_col: str) -> DataFrame:
+    """(lang, text) of the rows that have both."""
+    rows = rows.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    return rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
 
-def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
-          key: tuple[str, ...] = ("doc_id",)) -> dict[str, np.ndarray]:
-    """Language -> its profile, from the rows of ``labelled`` with a language and a text.
+def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> dict[str, np.ndarray]:
+    """Language -> its profile, from all rows of ``labelled`` with a language and a text.
 
-    Profiles are learned from a sample of about ``TRAIN_PER_LANG`` rows of each language
-    (all rows of smaller ones), chosen by a hash of ``key`` and the text. The counts are
-    summed in Spark; only the profiles, ``PROFILE`` n-grams a language, come to the driver.
+    The counts are summed in Spark; only the profiles, ``PROFILE`` n-grams a language, come
+    to the driver.
     """
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                       *[F.col(k).alias(f"key{i}") for i, k in enumerate(key)])
+    rows = _labelled(labelled, lang_col, text_col)
     languages = rows.select("lang").distinct().count()
     if languages > MAX_LANGUAGES:
         raise ValueError(f"{languages} languages; profiles of {MAX_LANGUAGES} at most are sent to the tasks")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", LEARN_BYTES):
             found: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 found.setdefault(lang, []).append(_count(text))
@@ -113,8 +106,7 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text",
                     [pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(n.astype(np.int64))],
                     ["lang", "gram", "n"])
 
-    sample = _training_sample(rows, "lang", "text", [f"key{i}" for i in range(len(key))])
-    total = sample.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
+    total = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = total.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PROFILE)
@@ -188,26 +180,22 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     language labels are not otherwise used. An empty table gives an empty result.
     """
     out = held_out(id_col)
-    profiles = learn(docs.filter(~out), lang_col, text_col, (id_col,))
+    profiles = learn(docs.filter(~out), lang_col, text_col)
     found = docs.select(F.col(id_col).alias("id"), out.alias("held_out"), language(profiles, text_col).alias("found"))
     return found.select("id", "held_out", "found.lang", "found.score")
 
 
 def threshold(labelled: DataFrame, profiles: dict[str, np.ndarray], floor: float, lang_col: str = "lang",
-              text_col: str = "text", key: tuple[str, ...] = ("doc_id",)) -> float:
+              text_col: str = "text") -> float:
     """The score from which a text counts as one of the languages of ``profiles``; ``floor`` at least.
 
-    ``labelled`` should be rows that the profiles were not learned from. Each text of a sample
-    (about ``TRAIN_PER_LANG`` of a language) is scored twice: by all profiles, and by those of the other languages, as if its own had not
+    ``labelled`` should be rows that the profiles were not learned from. Each of their texts is
+    scored twice: by all profiles, and by those of the other languages, as if its own had not
     been learned. The threshold lies a third of the way from the ``FOREIGN`` quantile of the second
     score, in the language where that is highest, to the ``WRONG`` quantile of the first among texts
     whose language is recognised, in the language where that is lowest: neither a wrongly labelled nor an
     unusual text decides it. ``n`` texts move it from ``floor`` by n / (n + ``PRIOR_ROWS``) of the way.
     """
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                       *[F.col(k).alias(f"key{i}") for i, k in enumerate(key)])
-
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, scores = _scorer(profiles)
         for batch in small_batches(batches, "text"):
@@ -224,10 +212,10 @@ def threshold(labelled: DataFrame, profiles: dict[str, np.ndarray], floor: float
                 [pa.array(langs, pa.string()), pa.array(own, pa.float64()), pa.array(foreign, pa.float64())],
                 ["lang", "own", "foreign"])
 
-    sample = _training_sample(rows, "lang", "text", [f"key{i}" for i in range(len(key))])
-    rated = sample.mapInArrow(rate, "lang string, own double, foreign double").groupBy("lang").agg(
-        F.count("own").alias("n"), F.percentile_approx("own", WRONG, 10_000).alias("own"),
-        F.percentile_approx("foreign", FOREIGN, 10_000).alias("foreign"))
+    rows = _labelled(labelled, lang_col, text_col)
+    rated = rows.mapInArrow(rate, "lang string, own double, foreign double").groupBy("lang").agg(
+        F.count("own").alias("n"), F.percentile_approx("own", WRONG, RANKS).alias("own"),
+        F.percentile_approx("foreign", FOREIGN, RANKS).alias("foreign"))
     seen = rated.agg(F.sum("n").alias("n"), F.min("own").alias("own"), F.max("foreign").alias("foreign")).first()
     if not seen.n:
         return floor
@@ -248,8 +236,8 @@ def keep_identified(docs: DataFrame, min_score: float, id_col: str = "doc_id", t
     """
     labelled = docs.filter(~held_out(id_col))
     calibrates = held_out(id_col, fold=CALIBRATION_FOLD)
-    profiles = learn(labelled.filter(~calibrates), lang_col, text_col, (id_col,))
-    least = threshold(labelled.filter(calibrates), profiles, min_score, lang_col, text_col, (id_col,))
+    profiles = learn(labelled.filter(~calibrates), lang_col, text_col)
+    least = threshold(labelled.filter(calibrates), profiles, min_score, lang_col, text_col)
     found = fresh("found", docs.columns)
     marked = docs.withColumn(found, language(profiles, text_col))
     good = (F.col(found)["lang"] != UNDETERMINED) & (F.col(found)["score"] >= least)

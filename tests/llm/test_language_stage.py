@@ -1,7 +1,11 @@
 """The language stage's threshold: text in no learned language goes, short real text stays."""
 
+import math
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from strata.llm import langid
 from tests.conftest import SF_SMALL
@@ -57,3 +61,39 @@ def test_few_labels_leave_the_lowest_threshold(spark):
     assert langid.threshold(none, profiles, 0.1) == 0.1
     one = spark.createDataFrame([(1, "the cat and the dog", "en")], "doc_id long, text string, lang string")
     assert 0.1 <= langid.threshold(one, profiles, 0.1) < 0.2
+
+
+def test_profiles_are_learned_from_every_row(spark):
+    """20,090 rows of one language, a letter each; the counts of the letters differ by two to the next."""
+    letter = F.explode(F.sequence(F.lit(0), F.lit(9)))
+    rows = spark.range(1).select(letter.alias("i")).select("i", F.explode(F.expr("sequence(1, 2000 + 2 * i)")).alias("doc_id"))
+    rows = rows.select("doc_id", F.expr("substring('abcdefghij', i + 1, 1)").alias("text"), F.lit("xx").alias("lang"))
+    profile = langid.learn(rows)["xx"]
+    assert "".join(chr(g) for g in profile if g < 1 << 21) == "jihgfedcba"
+
+
+def test_threshold_is_set_by_every_row(spark):
+    """12,000 rows of each of two languages against the quantiles of all of them in plain Python."""
+    texts = {"en": "the cat and the dog are in the house with a mouse", "de": "der Hund und die Katze sind in dem Haus mit einer Maus"}
+    profiles = langid.learn(spark.createDataFrame([(1, t, n) for n, t in texts.items()], "doc_id long, text string, lang string"))
+    kinds = [(n, " ".join(t.split()[i:i + k])) for n, t in texts.items() for k in (3, 5) for i in range(6)]
+    table = spark.createDataFrame([(n, t, i) for i, (n, t) in enumerate(kinds)], "lang string, text string, kind int")
+    rows = table.select("lang", "text", F.explode(F.expr("sequence(1, 1000)")).alias("i"), "kind")
+    rows = rows.select((F.col("i") * 100 + F.col("kind")).alias("doc_id"), "text", "lang")
+    names, scores = langid._scorer(profiles)
+    own, foreign, n = {}, {}, 0
+    for name, text in kinds:
+        s = dict(zip(names, scores(text).tolist()))
+        foreign.setdefault(name, []).append(max(v for k, v in s.items() if k != name))
+        if max(s, key=s.get) == name:
+            own.setdefault(name, []).append(s[name])
+            n += 1000
+
+    def quantile(values, share):
+        return sorted(values)[math.ceil(share * len(values)) - 1]
+
+    low = min(quantile(v, langid.WRONG) for v in own.values())
+    high = min(low, max(quantile(v, langid.FOREIGN) for v in foreign.values()))
+    found = high + (low - high) / 3
+    expected = 0.1 + (found - 0.1) * n / (n + langid.PRIOR_ROWS)
+    assert found > 0.15 and langid.threshold(rows, profiles, 0.1) == pytest.approx(expected, abs=1e-9)
